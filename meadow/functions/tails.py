@@ -7,6 +7,7 @@ vectorised batches, so they never sit on the wide part of a plan.
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 # Lanczos coefficients for g = 7, n = 9.
 _LANCZOS = np.array([
@@ -92,14 +93,14 @@ def _clean(values, *inputs):
     return pd.Series(np.where(bad, np.nan, values)).astype(object).where(~bad, None).astype("Float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def p_normal(z: pd.Series) -> pd.Series:
     """Two-sided normal p."""
     z = z.to_numpy(dtype=float, na_value=np.nan)
     return _clean(normal_two_sided(np.nan_to_num(z)), z)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def p_chi2(stat: pd.Series, df: pd.Series) -> pd.Series:
     """Upper chi-squared tail."""
     s, k = stat.to_numpy(float, na_value=np.nan), df.to_numpy(float, na_value=np.nan)
@@ -107,7 +108,7 @@ def p_chi2(stat: pd.Series, df: pd.Series) -> pd.Series:
     return _clean(gamma_upper(np.nan_to_num(k, nan=1.0) / 2.0, np.maximum(np.nan_to_num(s), 0) / 2.0), s, k)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def p_t(stat: pd.Series, df: pd.Series) -> pd.Series:
     """Two-sided Student p."""
     t, k = stat.to_numpy(float, na_value=np.nan), df.to_numpy(float, na_value=np.nan)
@@ -116,7 +117,7 @@ def p_t(stat: pd.Series, df: pd.Series) -> pd.Series:
     return _clean(beta_inc(k1 / 2.0, 0.5, k1 / (k1 + t1 * t1)), k, np.where(np.isnan(t), np.nan, 0.0))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def p_f(stat: pd.Series, df1: pd.Series, df2: pd.Series) -> pd.Series:
     """Upper F tail."""
     s = stat.to_numpy(float, na_value=np.nan)
@@ -130,7 +131,7 @@ def _log_choose(n, k):
     return log_gamma(n + 1.0) - log_gamma(k + 1.0) - log_gamma(n - k + 1.0)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def p_fisher(a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series) -> pd.Series:
     """Two-sided Fisher p of [[a, b], [c, d]]: sum of the tables that are no more likely."""
     out = []
@@ -144,7 +145,7 @@ def p_fisher(a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series) -> pd.Serie
     return pd.Series(out, dtype=float)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def p_absent(total: pd.Series, n: pd.Series, depth: pd.Series) -> pd.Series:
     """C(total - n, depth) / C(total, depth): chance that a feature with n of total reads is missed at a depth."""
     t, k, d = (s.to_numpy(float) for s in (total, n, depth))

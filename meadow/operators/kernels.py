@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 BROADCAST_ROWS = 200_000
 
@@ -211,7 +211,7 @@ def permuted_codes(labels: DataFrame, key: str, group: str, reps: int, seed: int
     n = int(ends[-1]) if len(ends) else 0
     code = F.coalesce(*[F.when(F.col("_g") == g, F.lit(i)) for i, g in enumerate(names)]) if names else F.lit(0)
 
-    @F.pandas_udf("array<int>")
+    @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def images(idx: pd.Series) -> pd.Series:
         p = permute_index(idx.to_numpy(), n, reps, seed)
         return pd.Series(list(np.searchsorted(ends, p, side="right").astype(np.int32)))

@@ -19,11 +19,16 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+# Values are cut to six digits with the same floating-point steps in Spark and in SQL. The offset is a hair above one
+# half, so a value that sits exactly between two results goes up on both sides whatever the order of a float sum.
+_HALF = "0.5000001"
+
+
 def r6(col: Column | str) -> Column:
-    """Six digits, no negative zero: the edge rounding that makes float sums comparable."""
+    """Six digits by floor(x * 1e6 + half) / 1e6."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.round(c.cast("double"), 6) + F.lit(0.0)
+    return F.floor(c.cast("double") * F.lit(1e6) + F.lit(float(_HALF))) / F.lit(1e6)
 
 
 def q6(expr: str) -> str:
-    return f"(ROUND(CAST({expr} AS DOUBLE), 6) + CAST(0 AS DOUBLE))"
+    return f"(FLOOR(CAST({expr} AS DOUBLE) * CAST(1e6 AS DOUBLE) + CAST({_HALF} AS DOUBLE)) / CAST(1e6 AS DOUBLE))"
