@@ -250,36 +250,36 @@ PLAIN_PAIR = (r"([-+]?[1-8]?\d(?:\.\d+)?|[-+]?90(?:\.0+)?),\s*"
 DMS = r"(?i)(\d{1,3})\s*°\s*(?:([\d.]+)\s*['′]\s*)?(?:([\d.]+)\s*[\"″]\s*)?([NSEW])"
 
 
-def coordinate_pair(s: Column) -> tuple[Column, Column]:
-    """(lat, lon) of a text: `12.3 N 45.6 W`, then `lat, lon`, then degrees-minutes-seconds."""
+def coordinate_pair(s: Column) -> Column:
+    """struct(lat, lon) of a text: `12.3 N 45.6 W`, then `lat, lon`, then degrees-minutes-seconds; null when none fits."""
     ex = lambda p, g: F.regexp_extract(s, p, g)
     sign = lambda letter, neg: F.when(F.upper(letter) == neg, -1.0).otherwise(1.0)
-    d_lat = ex(DIRECTED, 1).try_cast("double") * sign(ex(DIRECTED, 2), "S")
-    d_lon = ex(DIRECTED, 3).try_cast("double") * sign(ex(DIRECTED, 4), "W")
-    p_lat, p_lon = ex(PLAIN_PAIR, 1).try_cast("double"), ex(PLAIN_PAIR, 2).try_cast("double")
-    parts = [F.regexp_extract_all(s, F.lit(DMS), F.lit(i)) for i in (1, 2, 3, 4)]
+    pair = lambda y, x: F.struct(y.alias("lat"), x.alias("lon"))
+    directed = pair(ex(DIRECTED, 1).try_cast("double") * sign(ex(DIRECTED, 2), "S"),
+                    ex(DIRECTED, 3).try_cast("double") * sign(ex(DIRECTED, 4), "W"))
+    plain = pair(ex(PLAIN_PAIR, 1).try_cast("double"), ex(PLAIN_PAIR, 2).try_cast("double"))
+    found = F.regexp_extract_all(s, F.lit(DMS), F.lit(0))
 
-    def angle(i):
-        at = lambda k: F.coalesce(F.get(parts[k], F.lit(i)).try_cast("double"), F.lit(0.0))
-        v = at(0) + at(1) / 60 + at(2) / 3600
-        return F.when(F.size(parts[0]) >= 2, F.when(F.upper(F.get(parts[3], F.lit(i))).isin("S", "W"), -v).otherwise(v))
+    def angle(text):
+        at = lambda k: F.coalesce(F.regexp_extract(text, DMS, k).try_cast("double"), F.lit(0.0))
+        v = at(1) + at(2) / 60 + at(3) / 3600
+        return F.when(F.upper(text).rlike("[SW]"), -v).otherwise(v)
 
-    directed = d_lat.isNotNull() & d_lon.isNotNull()
-    plain = p_lat.isNotNull() & p_lon.isNotNull()
-    return (F.when(directed, d_lat).when(plain, p_lat).otherwise(angle(0)),
-            F.when(directed, d_lon).when(plain, p_lon).otherwise(angle(1)))
+    angles = F.transform(F.when(s.contains("°"), found), angle)
+    dms = F.transform(F.filter(F.array(angles), lambda a: F.size(a) >= 2), lambda a: pair(F.get(a, F.lit(0)), F.get(a, F.lit(1))))
+    good = F.filter(F.array(directed, plain), lambda p: p["lat"].isNotNull() & p["lon"].isNotNull())
+    return F.get(F.concat(good, dms), F.lit(0))
 
 
 def extract_coordinates(df: DataFrame) -> DataFrame:
     """lat / lon from the first numeric columns, else from the first pair column that parses; invalid rows dropped."""
     col = lambda c: F.col(f"`{c}`")
     first = lambda names: F.coalesce(*[number(col(c)) for c in names if c in df.columns], F.lit(None).cast("double"))
+    numeric = F.struct(first(LAT_COLUMNS).alias("lat"), first(LON_COLUMNS).alias("lon"))
+    whole = F.filter(F.array(numeric), lambda p: p["lat"].isNotNull() & p["lon"].isNotNull())
     pairs = [coordinate_pair(col(c).cast("string")) for c in PAIR_COLUMNS if c in df.columns]
-    lat, lon = first(LAT_COLUMNS), first(LON_COLUMNS)
-    both = lat.isNotNull() & lon.isNotNull()
-    pick = lambda i: F.coalesce(*[F.when(p[0].isNotNull() & p[1].isNotNull(), p[i]) for p in pairs], F.lit(None).cast("double"))
-    out = df.withColumns({"_lat": F.when(both, lat).otherwise(pick(0)), "_lon": F.when(both, lon).otherwise(pick(1))})
-    return (out.drop("lat", "lon").withColumnsRenamed({"_lat": "lat", "_lon": "lon"})
+    out = df.withColumn("_at", F.coalesce(F.get(whole, F.lit(0)), *pairs))
+    return (out.withColumns({"lat": F.col("_at.lat"), "lon": F.col("_at.lon")}).drop("_at")
             .filter("lat between -90 and 90 and lon between -180 and 180"))
 
 
