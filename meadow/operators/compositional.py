@@ -49,7 +49,7 @@ def alr(ab: DataFrame, reference, p: int | None = None) -> DataFrame:
 def dense_grid(samples: DataFrame, features: DataFrame, chunks: int = 64) -> DataFrame:
     """Every sample with every kept feature, as an equi join on feature chunks, so the grid is built by many tasks."""
     f = features.select("feature_id", F.pmod(F.xxhash64("feature_id"), F.lit(chunks)).alias("_ch"))
-    s = samples.select("sample_id", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).cast("long").alias("_ch"))
+    s = samples.select("sample_id", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(chunks - 1).cast("long"))).alias("_ch"))
     return s.join(f, "_ch").drop("_ch")
 
 
@@ -155,9 +155,8 @@ def percentile_normalize(ab: DataFrame, batches: DataFrame) -> DataFrame:
     q = pos.withColumns({"k_low": low.cast("long"), "k_high": high.cast("long")})
     q = q.join(at(low, "low"), ["feature_id", "k_low"]).join(at(high, "high"), ["feature_id", "k_high"])
     new = q.select("feature_id", "batch", "value", (F.col("low") + (F.col("high") - F.col("low")) * (F.col("pos") - F.col("k_low"))).alias("new"))
-    out = j.join(new, (j["feature_id"] == new["feature_id"]) & (j["batch"] == new["batch"]) & (j["count"] == new["value"]), "left")
-    out = out.join(size, j["batch"] == size["batch"])
-    return out.select(j["sample_id"], j["feature_id"], F.when(F.col("n") < 2, F.col("count")).otherwise(F.col("new")).alias("count"))
+    out = j.join(new.withColumnRenamed("value", "count"), ["feature_id", "batch", "count"], "left").join(size, "batch")
+    return out.select("sample_id", "feature_id", F.when(F.col("n") < 2, F.col("count")).otherwise(F.col("new")).alias("count"))
 
 
 def dense_pairs(features: DataFrame, groups: DataFrame) -> DataFrame:

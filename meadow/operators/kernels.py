@@ -11,6 +11,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
+from meadow.sources.tables import cut_lineage
+
 BROADCAST_ROWS = 200_000
 
 
@@ -49,8 +51,10 @@ def value_ranks(df: DataFrame, keys: list[str], value: str, totals: DataFrame |
 
     Absent rows are zeros: with `n` (rows per key) or `totals` (keys, n) the zero block of n - present rows sits
     below the positives and gets its own row with value 0. Without either, only the given rows are ranked.
+
+    The histogram is used several times below, so it is written once (checkpoint) instead of being planned again.
     """
-    hist = df.groupBy(*keys, F.col(value).alias("value")).agg(F.count(F.lit(1)).alias("cnt"))
+    hist = cut_lineage(df.groupBy(*keys, F.col(value).alias("value")).agg(F.count(F.lit(1)).alias("cnt")))
     if n is not None or totals is not None:
         present = hist.groupBy(*keys).agg(F.sum("cnt").alias("_p"))
         if totals is not None:
@@ -156,11 +160,17 @@ def pair_sums(df: DataFrame, row: str, col: str, value: str, rows_per_block: int
     return part.groupBy("a", "b").agg(*[F.sum(c).alias(c) for c in ("shared", "dot", "mins")])
 
 
-def all_pairs(ids: DataFrame, key: str) -> DataFrame:
-    """Every unordered pair of ids; only for operators whose result is a full distance table."""
-    a = ids.select(F.col(key).alias("a"))
-    b = ids.select(F.col(key).alias("b"))
-    return a.join(b, F.col("a") < F.col("b"))
+def all_pairs(ids: DataFrame, key: str, per_block: int = 512) -> DataFrame:
+    """a, b (a < b) for every unordered pair of ids: the result of a full distance table, built as an equi join of id
+    blocks so that its size is spread evenly over tasks."""
+    n = ids.select(key).distinct().count()
+    nb = max(1, -(-n // per_block))
+    blk = F.pmod(F.xxhash64(key), F.lit(nb)).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.lit(nb - 1)))
+    u = ids.select(key).distinct()
+    a = u.select(F.col(key).alias("a"), blk.alias("bi"), every.alias("bj"))
+    b = u.select(F.col(key).alias("b"), blk.alias("bj"), every.alias("bi"))
+    return a.join(b, ["bi", "bj"]).filter("a < b").select("a", "b")
 
 
 # ---------------------------------------------------------------- permutations

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as
 
 from meadow.functions import tails
 from meadow.operators.kernels import exact_quantiles, permuted_codes, running_total, small, value_bucket, value_ranks
+from meadow.sources.tables import cut_lineage
 
 
 def labelled(labels: DataFrame, group: str = "group") -> DataFrame:
@@ -37,8 +38,8 @@ def group_moments(ab: DataFrame, labels: DataFrame, value: str = "count") -> Dat
 
 def group_rank_sums(ab: DataFrame, labels: DataFrame, value: str = "count", zeros: bool = True) -> DataFrame:
     """feature_id, group, ng, rank_sum, n, tie: average-rank sums per group, tie = sum of t^3 - t."""
-    h = (ab.join(labels, "sample_id").groupBy("feature_id", F.col(value).alias("value"), "group")
-         .agg(F.count(F.lit(1)).alias("cnt")))
+    h = cut_lineage(ab.join(labels, "sample_id").groupBy("feature_id", F.col(value).alias("value"), "group")
+                    .agg(F.count(F.lit(1)).alias("cnt")))
     sizes = small(group_sizes(labels))
     grid = h.select("feature_id").distinct().crossJoin(sizes)
     if zeros:
@@ -213,6 +214,7 @@ def adjust_p(df: DataFrame, p: str = "p_value", method: str = "fdr_bh", strata:
     two levels (inside a bucket, then over bucket extremes), so no window holds a whole stratum.
     """
     keys = list(strata)
+    df = cut_lineage(df)
     known = df.filter(F.col(p).isNotNull())
     hist = known.groupBy(*keys, F.col(p).alias("_p")).agg(F.count(F.lit(1)).alias("_c"))
     size = hist.groupBy(*keys).agg(F.sum("_c").alias("_m"))
@@ -271,8 +273,8 @@ def hierarchical_fdr(tests: DataFrame, alpha: float = 0.05, p: str = "p_value")
 
     A family is the children of one parent; one pass per tree level, each pass one partitioned adjustment.
     """
-    from meadow.sources.tables import cut_lineage
-    family = tests.filter("parent is null").withColumn("parent", F.lit("").cast(dict(tests.dtypes)["parent"]) if dict(tests.dtypes)["parent"] == "string" else F.lit(-1))
+    root = F.lit("") if dict(tests.dtypes)["parent"] == "string" else F.lit(-1)
+    family = tests.filter("parent is null").withColumn("parent", root)
     rest = tests.filter("parent is not null")
     done = None
     while True:

@@ -108,7 +108,7 @@ def i11(spark, d):
 def p_table(spark, d):
     k = F.col("p_partkey")
     return fx.table(spark, d, "part").select(k.alias("test"), "p_type", "p_brand", ((k * 7919 % 499 + 1) * (k * 31 % 97 + 1) / 48500.0).alias("raw")).select(
-        "test", "p_type", "p_brand", F.when(k % 50 != 0, F.col("raw") ** 2).alias("p_value"))
+        "test", "p_type", "p_brand", F.when(F.col("test") % 50 != 0, F.col("raw") ** 2).alias("p_value"))
 
 
 PT = """SELECT p_partkey AS test, p_type, p_brand, CASE WHEN p_partkey % 50 <> 0 THEN POWER((p_partkey*7919 % 499 + 1)*(p_partkey*31 % 97 + 1)/CAST(48500 AS DOUBLE), 2) END AS p FROM part"""
