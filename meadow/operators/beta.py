@@ -395,13 +395,13 @@ def cluster_quality(points: DataFrame, dim: int) -> DataFrame:
     j = points.join(small(cen), "cluster").select("cluster", d2("axes", "c").alias("q"))
     w = cut_lineage(j.groupBy("cluster").agg(F.sum("q").alias("w"), F.avg(F.sqrt("q")).alias("s")))
     allc = cen.join(w, "cluster")
-    g = points.agg(F.array(*[F.avg(at("axes", i)) for i in range(dim)]).alias("g"), F.count(F.lit(1)).alias("N"))
-    ch = allc.crossJoin(F.broadcast(g)).agg(F.sum("w").alias("inertia"), F.sum(F.col("n") * d2("c", "g")).alias("b"), F.max("N").alias("N"), F.count(F.lit(1)).alias("k"))
+    g = points.agg(F.array(*[F.avg(at("axes", i)) for i in range(dim)]).alias("g"), F.count(F.lit(1)).alias("total"))
+    ch = allc.crossJoin(F.broadcast(g)).agg(F.sum("w").alias("inertia"), F.sum(F.col("n") * d2("c", "g")).alias("b"), F.max("total").alias("total"), F.count(F.lit(1)).alias("k"))
     o = allc.select(F.col("cluster").alias("other"), F.col("c").alias("oc"), F.col("s").alias("os"))
     db = (allc.join(small(o), F.col("cluster") != F.col("other")).groupBy("cluster")
           .agg(F.max((F.col("s") + F.col("os")) / F.sqrt(d2("c", "oc"))).alias("r")).agg(F.avg("r").alias("davies_bouldin")))
     t = ch.crossJoin(db)
-    return t.select("k", "inertia", ((F.col("b") / (F.col("k") - 1)) / (F.col("inertia") / (F.col("N") - F.col("k")))).alias("calinski_harabasz"), "davies_bouldin")
+    return t.select("k", "inertia", ((F.col("b") / (F.col("k") - 1)) / (F.col("inertia") / (F.col("total") - F.col("k")))).alias("calinski_harabasz"), "davies_bouldin")
 
 
 def choose_k(vectors: DataFrame, ks: range, dim: int, seed: int = 42) -> DataFrame:
