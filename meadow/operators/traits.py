@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+import pandas as pd
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from meadow.operators.clean import number
-from meadow.operators.kernels import all_pairs, exact_quantiles, small, value_ranks
+from meadow.operators.kernels import all_pairs, dense_index, exact_quantiles, permute_index, small, value_ranks
 from meadow.operators.table import sample_count
 from meadow.sources.tables import cut_lineage
 from meadow.functions import tails
@@ -32,7 +32,7 @@ def functions_from_taxonomy(feature_meta: DataFrame, patterns: DataFrame) -> Dat
     p = patterns.select("function", F.lower("pattern").alias("pattern"))
     plain = names.join(p.filter(~F.col("pattern").contains("*")).withColumnRenamed("pattern", "name"), "name")
     wild = p.filter(F.col("pattern").contains("*")).select(
-        "function", F.concat(F.lit("^\\Q"), F.regexp_replace("pattern", r"\*", r"\\\\E.*\\\\Q"), F.lit("\\E$")).alias("rx"))
+        "function", F.concat(F.lit("^\\Q"), F.regexp_replace("pattern", r"\*", r"\\E.*\\Q"), F.lit("\\E$")).alias("rx"))
     loose = names.join(small(wild), F.expr("name rlike rx")).select("name", "function")
     return parts.join(plain.select("name", "function").unionByName(loose), "name").select("feature_id", "function").distinct()
 
@@ -186,9 +186,6 @@ def trait_signal(traits: DataFrame, dist: DataFrame, reps: int = 99, seed: int =
 
 def permuted_trait_signal(pairs: DataFrame, diff: DataFrame, reps: int, seed: int) -> DataFrame:
     """Correlation of distances with relabelled trait differences; differences of every pair are needed for relabelling."""
-    import pandas as pd
-    from pyspark.sql import types as T
-    from meadow.operators.kernels import dense_index, permute_index
     x, y = cut_lineage(pairs.select("a", "b", F.col("d").alias("x"))), cut_lineage(diff.select("a", "b", F.col("d").alias("y")))
     ids = cut_lineage(dense_index(y.select(F.col("a").alias("id")).unionByName(y.select(F.col("b").alias("id"))).distinct(), "id"))
     n = ids.count()
