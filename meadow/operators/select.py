@@ -51,11 +51,13 @@ def select_k_best(ab: DataFrame, labels: DataFrame, k: int, method: str = "f_cla
 
 
 def drop_collinear(ab: DataFrame, scores: DataFrame, threshold: float = 0.95) -> DataFrame:
-    """Kept features: those not collinear with a later one (id order), and of each anchored group the best scored member."""
+    """Kept features: those collinear with nothing, and the best scored member of each anchored group.
+
+    A feature anchors the group of its earlier (id order) collinear partners.
+    """
     r = cut_lineage(count_correlation(ab).filter(F.abs("r") > threshold).select("a", "b"))
-    # The later feature of a pair anchors the group, its earlier partners are dropped.
-    dropped = r.select(F.col("a").alias("feature_id")).distinct()
-    free = ab.select("feature_id").distinct().join(dropped, "feature_id", "left_anti")
+    tied = r.select(F.explode(F.array("a", "b")).alias("feature_id")).distinct()
+    free = ab.select("feature_id").distinct().join(tied, "feature_id", "left_anti")
     members = r.select(F.col("b").alias("anchor"), F.col("a").alias("feature_id")).unionByName(r.select(F.col("b").alias("anchor"), F.col("b").alias("feature_id")).distinct())
     best = members.join(scores, "feature_id").groupBy("anchor").agg(F.min_by("feature_id", F.struct(-F.col("score"), F.col("feature_id"))).alias("feature_id"))
     return free.unionByName(best.select("feature_id")).distinct()
