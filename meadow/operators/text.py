@@ -116,8 +116,8 @@ def tag_keywords(df: DataFrame, cols: list[str], keywords: list[str], order: str
     pattern = r"(?i)\b(" + "|".join(re.escape(k) for k in keywords) + r")\b"
     named = F.create_map(*[x for k in keywords for x in (F.lit(k.lower()), F.lit(k))])
     long = df.select(order, *[F.col(c).cast("string").alias(c) for c in cols]).unpivot([order], cols, "column", "cell")
-    hit = long.withColumn("k", F.lower(F.regexp_extract("cell", pattern, 1))).filter("k <> ''")
-    return hit.groupBy(F.element_at(named, F.col("k")).alias("keyword"), "column").agg(
+    hit = long.withColumn("_kw", F.lower(F.regexp_extract("cell", pattern, 1))).filter("_kw <> ''")
+    return hit.groupBy(F.element_at(named, F.col("_kw")).alias("keyword"), "column").agg(
         F.count(F.lit(1)).alias("count"), F.min_by("cell", order).alias("example"))
 
 

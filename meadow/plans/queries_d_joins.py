@@ -34,8 +34,8 @@ def d02b(spark, d):
     return joins.add_metadata_column(fx.abundance_brand(spark, d), m, "study", "site")
 
 
-@query("d03_assemble_runs", """WITH r AS (SELECT l_orderkey, MIN(l_linenumber) AS ln, ARG_MIN(l_shipdate, l_linenumber) AS sd FROM lineitem GROUP BY 1)
-SELECT o_orderkey AS experiment_accession, c_name AS sample_title, n_name AS study_title, ln AS run_accession, CAST(sd AS VARCHAR) AS run_day, c_mktsegment AS biosample_kind
+@query("d03_assemble_runs", """WITH r AS (SELECT l_orderkey, MIN((CAST(l_linenumber AS BIGINT)*1000000 + l_partkey)*100000 + l_suppkey) AS ln, ARG_MIN(l_shipdate, (CAST(l_linenumber AS BIGINT)*1000000 + l_partkey)*100000 + l_suppkey) AS sd FROM lineitem GROUP BY 1)
+SELECT o_orderkey AS experiment_accession, c_name AS sample_title, n_name AS study_title, COALESCE(ln, -1) AS run_accession, CAST(sd AS VARCHAR) AS run_day, c_mktsegment AS biosample_kind
 FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN r ON o_orderkey = l_orderkey""")
 def d03(spark, d):
     o, c, n, li = (fx.table(spark, d, t) for t in ("orders", "customer", "nation", "lineitem"))
@@ -44,10 +44,10 @@ def d03(spark, d):
                                                                F.col("c_nationkey").alias("study_accession"))
     s = c.select(F.col("c_custkey").alias("accession"), F.col("c_name").alias("title"))
     st = n.select(F.col("n_nationkey").alias("accession"), F.col("n_name").alias("title"))
-    r = li.select(F.col("l_linenumber").alias("accession"), F.col("l_orderkey").alias("experiment_accession"), F.col("l_shipdate").alias("day"))
+    r = li.select(((F.col("l_linenumber").cast("long") * 1000000 + F.col("l_partkey")) * 100000 + F.col("l_suppkey")).alias("accession"), F.col("l_orderkey").alias("experiment_accession"), F.col("l_shipdate").alias("day"))
     b = c.select(F.col("c_custkey").alias("accession"), F.col("c_mktsegment").alias("kind"))
     return joins.assemble_runs(e, s, st, r, b).select(
-        "experiment_accession", "sample_title", "study_title", "run_accession",
+        "experiment_accession", "sample_title", "study_title", F.coalesce("run_accession", F.lit(-1)).alias("run_accession"),
         F.date_format("run_day", "yyyy-MM-dd HH:mm:ss").alias("run_day"), "biosample_kind")
 
 
@@ -115,14 +115,14 @@ def d10(spark, d):
 @query("d11_borrow_from_nearby", cte("meta", "fac") + f""", p AS (SELECT meta.sample_id, facility_id, facility, (CASE WHEN facility_id % 3 = 0 THEN 3 ELSE 0 END + CASE WHEN facility_id % 4 = 0 THEN 2 ELSE 0 END)*1000
  - {hav('meta', 'fac')} - CASE WHEN facility_id % 5 = 0 THEN 10 ELSE 0 END AS s FROM meta, fac WHERE meta.sample_id % 2 = 1 AND {hav('meta', 'fac')} <= 900),
 r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY sample_id ORDER BY s DESC, facility_id) AS k FROM p)
-SELECT meta.sample_id, r.facility_id AS donor, CASE WHEN meta.sample_id % 3 <> 0 THEN r.facility END AS site_nearby_inferred FROM meta LEFT JOIN r ON meta.sample_id = r.sample_id AND k = 1""")
+SELECT meta.sample_id, COALESCE(r.facility_id, -1) AS donor, CASE WHEN meta.sample_id % 3 <> 0 THEN r.facility END AS site_nearby_inferred FROM meta LEFT JOIN r ON meta.sample_id = r.sample_id AND k = 1""")
 def d11(spark, d):
     i = F.col("facility_id")
     arch = fx.facilities(spark, d).select(i.alias("archive_id"), "lat", "lon", F.when(i % 3 == 0, "2020").alias("collection_date"),
                                           F.when(i % 4 == 0, "x").alias("location"), F.when(i % 5 == 0, "host").alias("host"), F.col("facility").alias("site"))
     s = F.col("sample_id")
     m = fx.sample_meta(spark, d).select("sample_id", "lat", "lon", F.when(s % 2 == 0, "SRR1").alias("accession"), F.when(s % 3 == 0, "known").alias("site"))
-    return geo.borrow_from_nearby(m, arch, 900, ["site"]).select("sample_id", "donor", "site_nearby_inferred")
+    return geo.borrow_from_nearby(m, arch, 900, ["site"]).select("sample_id", F.coalesce("donor", F.lit(-1)).alias("donor"), "site_nearby_inferred")
 
 
 @query("d12_dedup_facilities")

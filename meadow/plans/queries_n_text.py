@@ -42,7 +42,7 @@ MARK = F.when(I % 2 == 0, LINE).otherwise("")
 
 def _mention_sql(kind):
     sep = r"[\s,()]+" if kind == "sequencing_details" else r"\s+"
-    return (f"array_to_string(list_sort(list_distinct(list_transform(regexp_extract_all(t, '(?i){quote(tx.MENTIONS[kind])}', 0), m -> trim(regexp_replace(m, '{sep}', ' ', 'g'))))), '|') AS {kind}")
+    return (f"array_to_string(list_sort(list_distinct(list_transform(regexp_extract_all(t, '(?i){quote(tx.MENTIONS[kind])}', 0), lambda m: trim(regexp_replace(m, '{sep}', ' ', 'g'))))), '|') AS {kind}")
 
 
 KINDS = ["variable_regions", "primer_names", "primer_sequences", "extraction_protocol_and_kits", "pcr_conditions_and_kits", "sequencing_details"]
@@ -71,21 +71,21 @@ def n04(spark, d):
     return out.select("doc_id", "mentions", F.concat_ws("|", F.array_sort(F.array_distinct(F.transform(clean, lambda c: F.regexp_replace(c, "clue: .*Lee", "clue: Lee"))))).alias("clues"))
 
 
-@query("n05_verify_items", """WITH i AS (SELECT doc_id, UNNEST([upper(substr(text, 1, 20)), 'zzz qqq', 'xx ' || substr(text, 5, 6)]) AS item FROM documents), w AS (SELECT i.doc_id, item, lower(regexp_replace(text, '\\s+', ' ', 'g')) AS t, lower(regexp_replace(item, '\\s+', ' ', 'g')) AS n FROM i JOIN documents USING (doc_id))
-SELECT doc_id, md5(item) AS item FROM w WHERE contains(t, n) OR len(list_filter(string_split(n, ' '), x -> length(x) > 4 AND contains(t, x))) > 0""")
+@query("n05_verify_items", """WITH i AS (SELECT doc_id, UNNEST([CASE WHEN lang = 'en' THEN upper(substr(text, 1, 20)) ELSE substr(text, 1, 20) END, 'zzz qqq', 'xx ' || substr(text, 5, 6)]) AS item FROM documents), w AS (SELECT i.doc_id, item, lower(regexp_replace(text, '\\s+', ' ', 'g')) AS t, lower(regexp_replace(item, '\\s+', ' ', 'g')) AS n FROM i JOIN documents USING (doc_id))
+SELECT doc_id, md5(item) AS item FROM w WHERE contains(t, n) OR len(list_filter(string_split(n, ' '), lambda x: length(x) > 4 AND contains(t, x))) > 0""")
 def n05(spark, d):
     t = docs(spark, d)
-    items = t.select("doc_id", F.explode(F.array(F.upper(F.substring("text", 1, 20)), F.lit("zzz qqq"), F.concat(F.lit("xx "), F.substring("text", 5, 6)))).alias("item"))
+    items = t.select("doc_id", F.explode(F.array(F.when(F.col("lang") == "en", F.upper(F.substring("text", 1, 20))).otherwise(F.substring("text", 1, 20)), F.lit("zzz qqq"), F.concat(F.lit("xx "), F.substring("text", 5, 6)))).alias("item"))
     return tx.verify_items(items, t, "doc_id", "item", "text").select("doc_id", F.md5("item").alias("item"))
 
 
 WORDS = ["the", "And", "in", "of", "zebra"]
 
 
-@query("n06_tag_keywords", """WITH t AS (SELECT conv_id*1000 + turn AS k, text FROM conversations), h AS (SELECT k, text, lower(regexp_extract(text, '(?i)\\b(the|And|in|of|zebra)\\b', 1)) AS w FROM t)
+@query("n06_tag_keywords", """WITH t AS (SELECT lpad(CAST(conv_id AS VARCHAR), 8, '0') || lpad(CAST(turn AS VARCHAR), 5, '0') || md5(text) AS k, text FROM conversations), h AS (SELECT k, text, lower(regexp_extract(text, '(?i)\\b(the|And|in|of|zebra)\\b', 1)) AS w FROM t)
 SELECT CASE w WHEN 'and' THEN 'And' ELSE w END AS keyword, 'text' AS "column", COUNT(*) AS count, md5(ARG_MIN(text, k)) AS example FROM h WHERE w <> '' GROUP BY 1""")
 def n06(spark, d):
-    c = fx.table(spark, d, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("k"), "text")
+    c = fx.table(spark, d, "conversations").select(F.concat(F.lpad(F.col("conv_id").cast("string"), 8, "0"), F.lpad(F.col("turn").cast("string"), 5, "0"), F.md5("text")).alias("k"), "text")
     return tx.tag_keywords(c, ["text"], WORDS, "k").withColumn("example", F.md5("example"))
 
 
