@@ -34,7 +34,7 @@ def bray_curtis(ab: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
     """1 - 2 sum(min) / (Sa + Sb). Without `pairs` every sample pair; pairs that share nothing are 1."""
     tot = ab.groupBy("sample_id").agg(F.sum("count").alias("t"))
     if pairs is None:
-        base = all_pairs(tot, "sample_id").join(pair_sums(ab, "sample_id", "feature_id", "count").select("a", "b", "mins"), ["a", "b"], "left")
+        base = all_pairs(tot, "sample_id").join(pair_sums(ab, "sample_id", "feature_id", "count", want=("mins",)).select("a", "b", "mins"), ["a", "b"], "left")
     else:
         base = given_pair_sums(ab, pairs)
     d = 1 - 2 * F.coalesce("mins", F.lit(0.0)) / (F.col("t_a") + F.col("t_b"))
@@ -52,7 +52,7 @@ def given_pair_sums(ab: DataFrame, pairs: DataFrame) -> DataFrame:
 def jaccard(ab: DataFrame) -> DataFrame:
     """1 - shared / union of present features."""
     n = ab.groupBy("sample_id").agg(F.count(F.lit(1)).alias("n"))
-    base = all_pairs(n, "sample_id").join(pair_sums(ab, "sample_id", "feature_id", "count").select("a", "b", "shared"), ["a", "b"], "left")
+    base = all_pairs(n, "sample_id").join(pair_sums(ab, "sample_id", "feature_id", "count", want=("shared",)).select("a", "b", "shared"), ["a", "b"], "left")
     s = F.coalesce("shared", F.lit(0.0))
     return _joined(base, n, ["n"]).select("a", "b", (1 - s / (F.col("n_a") + F.col("n_b") - s)).alias("d"))
 
@@ -63,7 +63,7 @@ def aitchison(ab: DataFrame, p: int | None = None) -> DataFrame:
     p = p or feature_count(ab)
     e = replace_zeros(ab, p).select("sample_id", "feature_id", (F.log("value") - F.log("zero_value")).alias("e"))
     s = e.groupBy("sample_id").agg(F.sum("e").alias("es"), F.sum(F.col("e") ** 2).alias("ee"), (-F.sum("e") / p).alias("z"))
-    base = all_pairs(s, "sample_id").join(pair_sums(e, "sample_id", "feature_id", "e").select("a", "b", "dot"), ["a", "b"], "left")
+    base = all_pairs(s, "sample_id").join(pair_sums(e, "sample_id", "feature_id", "e", want=("dot",)).select("a", "b", "dot"), ["a", "b"], "left")
     dz = F.col("z_a") - F.col("z_b")
     d2 = p * dz * dz + 2 * dz * (F.col("es_a") - F.col("es_b")) + F.col("ee_a") + F.col("ee_b") - 2 * F.coalesce("dot", F.lit(0.0))
     return _joined(base, s, ["es", "ee", "z"]).select("a", "b", F.sqrt(F.greatest(d2, F.lit(0.0))).alias("d"))
@@ -75,7 +75,7 @@ def unifrac(ab: DataFrame, branch: DataFrame, weighted: bool = True, normalized:
     value = F.col("l") * F.col("p") if weighted else F.sqrt("l")
     v = sb.select("sample_id", "branch_id", value.alias("v"), "l")
     w = v.groupBy("sample_id").agg((F.sum("v") if weighted else F.sum("l")).alias("w"))
-    base = all_pairs(w, "sample_id").join(pair_sums(v, "sample_id", "branch_id", "v"), ["a", "b"], "left")
+    base = all_pairs(w, "sample_id").join(pair_sums(v, "sample_id", "branch_id", "v", want=("mins",) if weighted else ("dot",)), ["a", "b"], "left")
     both = F.col("w_a") + F.col("w_b")
     if weighted:
         diff = both - 2 * F.coalesce("mins", F.lit(0.0))

@@ -6,6 +6,7 @@ A rule that depends on a column's content (fill rate, share of numbers) is decid
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -327,11 +328,15 @@ ONTOLOGY = {
 }
 
 
-def infer_terms(text: Column, terms: dict[str, list[str]]) -> Column:
-    """First term with a word inside the text, else Unknown."""
-    low = F.lower(text)
-    hit = lambda words: F.exists(F.array(*[F.lit(w) for w in words]), lambda w: low.contains(w))
-    return F.coalesce(*[F.when(hit(words), term) for term, words in terms.items()], F.lit("Unknown"))
+def infer_terms(df: DataFrame, text: Column, ontology: dict[str, dict[str, list[str]]] = ONTOLOGY) -> DataFrame:
+    """One column per category: the first term with a word inside the text, else Unknown.
+
+    The lower-cased text is made once per row in its own projection; each word is one `contains` in generated code.
+    """
+    low = df.withColumn("_low", F.lower(text))
+    hit = lambda words: reduce(lambda x, y: x | y, [F.col("_low").contains(w) for w in words])
+    cols = {c: F.coalesce(*[F.when(hit(words), term) for term, words in terms.items()], F.lit("Unknown")) for c, terms in ontology.items()}
+    return low.withColumns(cols).drop("_low")
 
 
 # Parts of names whose columns stay text.

@@ -18,7 +18,14 @@ BROADCAST_ROWS = 200_000
 
 def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast only after checking that df has at most `limit` rows; beyond it the plan shuffles."""
-    return F.broadcast(df) if len(df.limit(limit + 1).select(F.lit(1)).take(limit + 1)) <= limit else df
+    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Repartition an input that has fewer partitions than the cluster has cores (one big row group) before work that is
+    heavy per row; larger inputs are left as they are."""
+    n = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
 
 
 def value_bucket(value: Column, per_octave: int = 8) -> Column:
@@ -104,44 +111,45 @@ def dense_index(df: DataFrame, key: str, out: str = "idx", buckets: int = 1024)
 # ---------------------------------------------------------------- pairs
 
 
-def _dense(part: pd.DataFrame, rows: dict, cols: dict, width: int) -> np.ndarray:
-    m = np.zeros((len(rows), width))
-    if len(part):
-        m[part["r"].map(rows).to_numpy(), part["c"].map(cols).to_numpy()] = part["v"].to_numpy()
-    return m
+def _tile(part: pd.DataFrame, cols: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row ids, dense tile) of the rows of one block."""
+    code, ids = pd.factorize(part["r"])
+    m = np.zeros((len(ids), width))
+    m[code, cols] = part["v"].to_numpy()
+    return np.asarray(ids), m
 
 
-def _block_pairs(pdf: pd.DataFrame) -> pd.DataFrame:
+def _block_pairs(pdf: pd.DataFrame, want: tuple) -> pd.DataFrame:
     """Sums over one column chunk for every row pair of two blocks; dense work on a bounded tile."""
     i, j = int(pdf["bi"].iloc[0]), int(pdf["bj"].iloc[0])
-    left = pdf[pdf["blk"] == i]
-    right = left if i == j else pdf[pdf["blk"] == j]
-    if not len(left) or not len(right):
+    col, names = pd.factorize(pdf["c"])
+    blk = pdf["blk"].to_numpy()
+    la, ma = _tile(pdf[blk == i], col[blk == i], len(names))
+    lb, mb = (la, ma) if i == j else _tile(pdf[blk == j], col[blk == j], len(names))
+    if not len(la) or not len(lb):
         return pd.DataFrame({"a": [], "b": [], "shared": [], "dot": [], "mins": []})
-    cols = {c: k for k, c in enumerate(pd.unique(pdf["c"]))}
-    la, lb = pd.unique(left["r"]), pd.unique(right["r"])
-    ma = _dense(left, {r: k for k, r in enumerate(la)}, cols, len(cols))
-    mb = ma if i == j else _dense(right, {r: k for k, r in enumerate(lb)}, cols, len(cols))
-    shared = (ma != 0).astype(float) @ (mb != 0).astype(float).T
-    dot = ma @ mb.T
-    mins = np.stack([np.minimum(row, mb).sum(axis=1) for row in ma])
+    shared = (ma != 0).astype(np.float32) @ (mb != 0).astype(np.float32).T
+    none = np.zeros(shared.shape)
+    dot = ma @ mb.T if "dot" in want else none
+    mins = np.stack([np.minimum(row, mb).sum(axis=1) for row in ma]) if "mins" in want else none
     ai, bi = np.nonzero(shared)
     if i == j:
         keep = ai < bi
         ai, bi = ai[keep], bi[keep]
     a, b = la[ai], lb[bi]
     flip = a > b
-    return pd.DataFrame({"a": np.where(flip, b, a), "b": np.where(flip, a, b), "shared": shared[ai, bi],
+    return pd.DataFrame({"a": np.where(flip, b, a), "b": np.where(flip, a, b), "shared": shared[ai, bi].astype(float),
                          "dot": dot[ai, bi], "mins": mins[ai, bi]})
 
 
 def pair_sums(df: DataFrame, row: str, col: str, value: str, rows_per_block: int = 256,
-              cols_per_chunk: int = 2048) -> DataFrame:
+              cols_per_chunk: int = 2048, want: tuple = ("shared", "dot", "mins")) -> DataFrame:
     """For each row pair that shares a column: a, b (a < b), shared, dot, mins (sum of the smaller values).
 
     The matrix is cut into hashed row blocks and column chunks; one task gets one tile of at most about
     2 x rows_per_block x cols_per_chunk cells, however common a column is. Each cell is shipped once per row block
     instead of once per partner, so a column present in every row costs no N^2 shuffle. Tile sums are added per pair.
+    `want` names the sums that are needed; the others stay 0.
     """
     n_rows, n_cols = df.agg(F.approx_count_distinct(row), F.approx_count_distinct(col)).first()
     nb = max(1, -(-int(n_rows) // rows_per_block))
@@ -154,7 +162,7 @@ def pair_sums(df: DataFrame, row: str, col: str, value: str, rows_per_block: int
     tiles = (cells.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(nb - 1))))
              .withColumn("bi", F.least("blk", "other")).withColumn("bj", F.greatest("blk", "other")).drop("other"))
     part = tiles.groupBy("bi", "bj", "ch").applyInPandas(
-        _block_pairs, f"a {kind}, b {kind}, shared double, dot double, mins double")
+        lambda pdf: _block_pairs(pdf, want), f"a {kind}, b {kind}, shared double, dot double, mins double")
     if nc == 1:
         return part
     return part.groupBy("a", "b").agg(*[F.sum(c).alias(c) for c in ("shared", "dot", "mins")])

@@ -25,7 +25,7 @@ def pair_covariances(ab: DataFrame, value: str, zero: str | None = None, n: int
     total = F.col("se") + F.col("sz")
     f = f.select("feature_id", "se", "sez", total.alias("s"), "szz",
                  ((F.col("see") + 2 * F.col("sez") + F.col("szz") - total * total / n) / (n - 1)).alias("v"))
-    dots = pair_sums(e.filter("e <> 0"), "feature_id", "sample_id", "e").select("a", "b", "dot")
+    dots = pair_sums(e.filter("e <> 0"), "feature_id", "sample_id", "e", want=("dot",)).select("a", "b", "dot")
     pairs = all_pairs(f, "feature_id").join(dots, ["a", "b"], "left")
     a = f.select(F.col("feature_id").alias("a"), F.col("sez").alias("za"), F.col("s").alias("sa"), F.col("v").alias("va"), "szz")
     b = f.select(F.col("feature_id").alias("b"), F.col("sez").alias("zb"), F.col("s").alias("sb"), F.col("v").alias("vb"))

@@ -246,15 +246,15 @@ def ecotypes(ab: DataFrame, meta: DataFrame, cols: list[str], max_k: int = 4, mi
     ks = F.explode(F.array(*[F.lit(k) for k in range(2, max_k + 1)]))
     cen = cut_lineage(starts.withColumn("k", ks).filter("slot < k").groupBy("feature_id", "k").agg(F.collect_list("c").alias("cs")))
 
-    def assign(cs):
-        j = rows.join(cs, "feature_id")
-        near = F.array_sort(F.transform("cs", lambda c, i: F.struct(d2(F.col("x"), c).alias("d"), i.alias("i"))))
-        return j.select("feature_id", "k", "sample_id", "x", F.get(near, F.lit(0)).alias("a"), F.get(near, F.lit(1)).alias("b"))
+    dists = F.transform("cs", lambda c, i: F.struct(d2(F.col("x"), c).alias("d"), i.alias("i")))
+    joined = lambda cs: rows.join(cs, "feature_id").withColumn("ds", dists)
 
     for _ in range(rounds):
-        new = assign(cen).groupBy("feature_id", "k", "a.i").agg(F.array(*[F.avg(F.get("x", F.lit(i))) for i in range(dim)]).alias("c"))
+        near = joined(cen).select("feature_id", "k", "x", F.array_min("ds")["i"].alias("i"))
+        new = near.groupBy("feature_id", "k", "i").agg(F.array(*[F.avg(F.get("x", F.lit(i))) for i in range(dim)]).alias("c"))
         cen = cut_lineage(new.groupBy("feature_id", "k").agg(F.array_sort(F.collect_list("c")).alias("cs")))
-    out = cut_lineage(assign(cen).filter("b is not null"))
+    two = F.array_sort("ds")
+    out = cut_lineage(joined(cen).filter(F.size("cs") > 1).select("feature_id", "k", "sample_id", F.get(two, F.lit(0)).alias("a"), F.get(two, F.lit(1)).alias("b")))
     da, db = F.sqrt("a.d"), F.sqrt("b.d")
     sil = out.groupBy("feature_id", "k").agg(F.avg(F.coalesce(F.try_divide(db - da, F.greatest(da, db)), F.lit(0.0))).alias("silhouette"))
     best = sil.groupBy("feature_id").agg(F.max_by("k", F.struct(F.col("silhouette"), -F.col("k"))).alias("k"), F.max("silhouette").alias("silhouette")).filter(F.col("silhouette") >= min_silhouette)

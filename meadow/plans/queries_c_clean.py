@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from meadow.operators import clean as cl
+from meadow.operators.kernels import spread
 from meadow.plans import fixtures as fx
 from meadow.plans.registry import q6, query, r6
 
@@ -156,8 +157,8 @@ def _terms_sql(terms):
 @query("c14_infer_terms", "WITH x AS (SELECT doc_id, LOWER(text || ' ' || source) AS t FROM documents) SELECT doc_id, "
        + ", ".join(f"{_terms_sql(t)} AS {c}" for c, t in cl.ONTOLOGY.items()) + " FROM x")
 def c14(spark, d):
-    t = F.concat_ws(" ", "text", "source")
-    return fx.table(spark, d, "documents").select("doc_id", *[cl.infer_terms(t, m).alias(c) for c, m in cl.ONTOLOGY.items()])
+    docs = spread(fx.table(spark, d, "documents").select("doc_id", "text", "source"))
+    return cl.infer_terms(docs, F.concat_ws(" ", "text", "source")).drop("text", "source")
 
 
 @query("c15_clean_numeric_text", """SELECT c_custkey, CASE WHEN c_custkey % 20 = 0 THEN NULL ELSE CAST(c_nationkey AS DOUBLE) END AS plain,

@@ -115,15 +115,27 @@ def e12b(spark, d):
     return qc.remove_contaminants(fx.abundance(spark, d), qc.contaminants_database(taxa(spark, d)), "db_score", 0.5)
 
 
-SETS = """SELECT batch, sample_id, set, n, MIN(sample_id) OVER (PARTITION BY batch, set) AS rep FROM (SELECT study AS batch, sample_id, string_agg(feature_id, ',' ORDER BY feature_id) AS set, COUNT(*) AS n FROM ab JOIN meta USING (sample_id) GROUP BY 1, 2)"""
+ORDER_SETS = """SELECT DISTINCT o_custkey AS batch, o_orderkey AS sample_id, l_returnflag || l_linenumber AS f FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
+SETS = """SELECT batch, sample_id, MIN(sample_id) OVER (PARTITION BY batch, set) AS rep, n FROM (SELECT batch, sample_id, string_agg(f, ',' ORDER BY f) AS set, COUNT(*) AS n FROM o GROUP BY 1, 2)"""
 
 
-@query("e13_cross_sample_overlap", cte("meta", ab=fx.SQL["abb"], st=SETS) + f""", r AS (SELECT * FROM st WHERE sample_id = rep),
-p AS (SELECT x.batch, x.sample_id AS a, y.sample_id AS b, x.n AS na, y.n AS nb, COUNT(*) AS s FROM r x JOIN ab u ON u.sample_id = x.sample_id JOIN ab v ON v.feature_id = u.feature_id JOIN r y ON y.sample_id = v.sample_id AND y.batch = x.batch AND x.sample_id < y.sample_id GROUP BY 1, 2, 3, 4, 5)
-SELECT batch, a, b, {q6('s/(na + nb - s)')} AS jaccard FROM p WHERE s/(na + nb - s) > 0.8""")
+@query("e13_cross_sample_overlap", cte(o=ORDER_SETS, st=SETS) + f""", r AS (SELECT * FROM st WHERE sample_id = rep),
+p AS (SELECT x.batch, x.sample_id AS a, y.sample_id AS b, x.n AS na, y.n AS nb, COUNT(*) AS s FROM r x JOIN o u ON u.sample_id = x.sample_id JOIN o v ON v.batch = u.batch AND v.f = u.f JOIN r y ON y.sample_id = v.sample_id AND x.sample_id < y.sample_id GROUP BY 1, 2, 3, 4, 5)
+SELECT batch, a, b, {q6('s/(na + nb - s)')} AS jaccard FROM p WHERE s/(na + nb - s) > 0.5""")
 def e13(spark, d):
-    b = fx.sample_meta(spark, d).select("sample_id", F.col("study").alias("batch"))
-    return rounded(qc.cross_sample_overlap(fx.abundance_brand(spark, d), b, 0.8)[0])
+    """Orders of one customer as samples, return flag and line number as features: few features, many copies."""
+    li = fx.lines(spark, d)
+    ab = li.select(F.col("l_orderkey").alias("sample_id"), F.concat("l_returnflag", F.col("l_linenumber").cast("string")).alias("feature_id"))
+    b = fx.table(spark, d, "orders").select(F.col("o_orderkey").alias("sample_id"), F.col("o_custkey").alias("batch"))
+    return rounded(qc.cross_sample_overlap(ab, b, 0.5)[0])
+
+
+@query("e13_overlap_members", cte(o=ORDER_SETS, st=SETS) + "SELECT batch, sample_id, rep, n FROM st")
+def e13b(spark, d):
+    li = fx.lines(spark, d)
+    ab = li.select(F.col("l_orderkey").alias("sample_id"), F.concat("l_returnflag", F.col("l_linenumber").cast("string")).alias("feature_id"))
+    b = fx.table(spark, d, "orders").select(F.col("o_orderkey").alias("sample_id"), F.col("o_custkey").alias("batch"))
+    return qc.cross_sample_overlap(ab, b, 0.5)[1]
 
 
 @query("e14_environment_match", cte("ab", tx=TAXA, en="SELECT c_custkey AS sample_id, CASE c_custkey % 3 WHEN 0 THEN 'soil' WHEN 1 THEN 'marine' ELSE 'other' END AS env FROM customer") + """

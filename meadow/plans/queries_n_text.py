@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from meadow.operators import text as tx
+from meadow.operators.kernels import spread
 from meadow.plans import fixtures as fx
 from meadow.plans.registry import query
 
@@ -10,7 +11,7 @@ I = F.col("doc_id")
 
 
 def docs(spark, d):
-    return fx.table(spark, d, "documents")
+    return spread(fx.table(spark, d, "documents"))
 
 
 def quote(p):
