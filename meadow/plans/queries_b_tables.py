@@ -187,8 +187,8 @@ def b20(spark, d):
     return tb.drop_outlier_samples(fx.abundance(spark, d), 1.5)
 
 
-@query("b21_filter_small_classes", cte("meta") + """, c AS (SELECT study FROM meta GROUP BY 1 HAVING COUNT(*) >= 60)
-SELECT sample_id, study FROM meta WHERE study IN (SELECT study FROM c)""")
+@query("b21_filter_small_classes", cte("meta") + """, c AS (SELECT study, COUNT(*) AS n FROM meta GROUP BY 1), k AS (SELECT COUNT(*) FILTER (n >= 60) AS k, COUNT(*) AS a, COALESCE(SUM(n) FILTER (n >= 60), 0) AS l, SUM(n) AS t FROM c)
+SELECT sample_id, study FROM meta JOIN c USING (study), k WHERE n >= 60 OR NOT (k >= 2 AND k < a AND l >= GREATEST(10, FLOOR(t*0.1)) AND 1 - l/t <= 0.8)""")
 def b21(spark, d):
     return tb.filter_small_classes(fx.sample_meta(spark, d), "study", 60).select("sample_id", "study")
 

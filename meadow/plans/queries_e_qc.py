@@ -42,7 +42,7 @@ def e04(spark, d):
 
 @query("e05_target_warnings", cte("meta") + """, f AS (SELECT COUNT(*) FILTER (flag) AS a, COUNT(*) FILTER (NOT flag) AS b FROM meta) SELECT 'nothing' AS target, 'ERROR' AS severity, 'Missing Target' AS category
 UNION ALL SELECT 'value', 'WARNING', 'Missing Target Data' UNION ALL SELECT 'flag', CASE WHEN b/a > 100 THEN 'ERROR' ELSE 'WARNING' END, CASE WHEN b/a > 100 THEN 'Severe Imbalance' ELSE 'Class Imbalance' END FROM f WHERE b/a > 10
-UNION ALL SELECT 'flag', 'WARNING', 'Small Class' FROM f WHERE a < 30""")
+UNION ALL SELECT 'flag', 'WARNING', 'Small Class' FROM f WHERE a < 30 UNION ALL SELECT 'group', 'WARNING', 'Small Class' FROM (SELECT MIN(c) AS m FROM (SELECT COUNT(*) AS c FROM meta GROUP BY "group")) WHERE m < 30""")
 def e05(spark, d):
     return qc.target_warnings(fx.sample_meta(spark, d), ["nothing", "value", "flag", "group"])
 

@@ -72,7 +72,7 @@ def f06b(spark, d):
     return cp.check_clr_centered(c, p).select("sample_id", F.lit(True).alias("off"))
 
 
-@query("f07_batch_center", cte("meta", ab=ABB, p=P, c=CLR) + f""", s AS (SELECT sample_id, MIN(zero_clr) AS z, study FROM c JOIN meta USING (sample_id) GROUP BY 1, 3),
+@query("f07_batch_center", cte("meta", ab=ABB, p=P, c=CLR) + f""", s AS (SELECT sample_id, MIN(zero_clr) AS z, study FROM c JOIN meta USING (sample_id) WHERE study IN (SELECT study FROM meta WHERE sample_id IN (SELECT sample_id FROM ab) GROUP BY 1 HAVING COUNT(*) >= 5) GROUP BY 1, 3),
 g AS (SELECT study, f.feature_id, s.sample_id, z FROM s, (SELECT DISTINCT feature_id FROM ab) f),
 m AS (SELECT g.study, g.feature_id, AVG(COALESCE(clr, z)) AS m FROM g LEFT JOIN c ON c.sample_id = g.sample_id AND c.feature_id = g.feature_id GROUP BY 1, 2)
 SELECT sample_id, feature_id, study AS batch, {q6('clr - m')} AS value FROM c JOIN meta USING (sample_id) JOIN m USING (study, feature_id)""")

@@ -88,7 +88,7 @@ PERM = """l AS (SELECT sample_id, "group" AS g FROM sites), gs AS (SELECT g, COU
 ss AS (SELECT SUM(d*d) / (SELECT COUNT(*) FROM l) AS sst, SUM(CASE WHEN la.g = lb.g THEN d*d/n END) AS ssw FROM bc JOIN l la ON la.sample_id = a JOIN l lb ON lb.sample_id = b JOIN gs ON gs.g = la.g)"""
 
 
-@query("h06_permanova", base() + f", {PERM} SELECT {q6('((sst-ssw)/4)/(ssw/(125-5))')} AS pseudo_f, {q6('1 - ssw/sst')} AS r2 FROM ss")
+@query("h06_permanova", base() + f", {PERM} SELECT {q6('((sst-ssw)/((SELECT COUNT(*) FROM gs) - 1))/(ssw/((SELECT COUNT(*) FROM l) - (SELECT COUNT(*) FROM gs)))')} AS pseudo_f, {q6('1 - ssw/sst')} AS r2 FROM ss")
 def h06(spark, d):
     return rounded(bt.permanova(bc(spark, d), groups(spark, d), 99).select("pseudo_f", "r2"))
 

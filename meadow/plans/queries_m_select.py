@@ -114,13 +114,14 @@ def m08b(spark, d):
     return sl.batch_predictability(dense(spark, d), fx.sample_meta(spark, d).select("sample_id", F.col("region").alias("group")))
 
 
-SX = """x AS (SELECT m.study, m.g, f.feature_id, COALESCE(abb.count, 0) AS v FROM (SELECT sample_id, study, "group" AS g FROM meta) m CROSS JOIN (SELECT DISTINCT feature_id FROM abb) f LEFT JOIN abb ON abb.sample_id = m.sample_id AND abb.feature_id = f.feature_id),
+SX = """ok AS (SELECT study FROM meta GROUP BY 1 HAVING COUNT(*) >= 15 AND COUNT(DISTINCT "group") >= 2),
+x AS (SELECT m.study, m.g, f.feature_id, COALESCE(abb.count, 0) AS v FROM (SELECT sample_id, study, "group" AS g FROM meta WHERE study IN (SELECT study FROM ok)) m CROSS JOIN (SELECT DISTINCT feature_id FROM abb) f LEFT JOIN abb ON abb.sample_id = m.sample_id AND abb.feature_id = f.feature_id),
 s AS (SELECT study, feature_id, SUM(sv*sv/n) - SUM(sv)*SUM(sv)/SUM(n) AS b, SUM(ss) - SUM(sv)*SUM(sv)/SUM(n) AS t FROM (SELECT study, feature_id, g, COUNT(*) AS n, SUM(v) AS sv, SUM(v*v) AS ss FROM x GROUP BY 1, 2, 3) GROUP BY 1, 2),
 k AS (SELECT study, feature_id, COALESCE(b/NULLIF(t, 0), 0) AS i, ROW_NUMBER() OVER (PARTITION BY study ORDER BY ROUND(COALESCE(b/NULLIF(t, 0), 0), 9) DESC, feature_id) AS r FROM s)"""
 
 
-@query("m09_meta_analysis", cte("abb", "meta") + f""", {SX} SELECT feature_id, COUNT(*) AS study_frequency, {q6('COUNT(*)/(SELECT COUNT(DISTINCT study) FROM meta)')} AS frequency_pct, {q6('SUM(i)/(SELECT COUNT(DISTINCT study) FROM meta)')} AS avg_importance FROM k WHERE r <= 5 GROUP BY 1
-ORDER BY COUNT(*) DESC, ROUND(SUM(i)/(SELECT COUNT(DISTINCT study) FROM meta), 9) DESC, feature_id LIMIT 5""")
+@query("m09_meta_analysis", cte("abb", "meta") + f""", {SX} SELECT feature_id, COUNT(*) AS study_frequency, {q6('COUNT(*)/(SELECT COUNT(*) FROM ok)')} AS frequency_pct, {q6('SUM(i)/(SELECT COUNT(*) FROM ok)')} AS avg_importance FROM k WHERE r <= 5 GROUP BY 1
+ORDER BY COUNT(*) DESC, ROUND(SUM(i)/(SELECT COUNT(*) FROM ok), 9) DESC, feature_id LIMIT 5""")
 def m09(spark, d):
     return rounded(sl.meta_analysis(fx.abundance_brand(spark, d), fx.sample_meta(spark, d), "study", "group", 5)[0])
 
