@@ -231,33 +231,48 @@ def pcoa(dist: DataFrame, k: int = 3, rounds: int = 15, seed: int = 42) -> tuple
     m = min(k + 12, n - 1)
     means = cut_lineage(rows.select(F.col("a").alias("id"), (F.col("rs") / n).alias("rm")))
     start = [((F.pmod(F.xxhash64("id", F.lit(seed), F.lit(i)), F.lit(2_000_003)) / 1_000_001.5) - 1.0) for i in range(m)]
-    block = cut_lineage(means.select("id", "rm", F.array(*start).alias("v")))
-    gram = lambda df, x, y: np.array(df.agg(*[F.sum(F.get(x, F.lit(i)) * F.get(y, F.lit(j))) for i in range(m) for j in range(m)]).first(), dtype=float).reshape(m, m)
-    rotate = lambda col, mat: F.array(*[sum((F.get(col, F.lit(i)) * float(mat[i, j]) for i in range(m)), F.lit(0.0)) for j in range(m)])
-
-    def times(df):
-        """B v for the block, from A v and the row means."""
-        s = np.array(df.agg(*[F.sum(F.get("v", F.lit(i))) for i in range(m)], *[F.sum(F.col("rm") * F.get("v", F.lit(i))) for i in range(m)]).first(), float)
-        av = (both.join(df.select(F.col("id").alias("b"), "v"), "b").groupBy("a")
-              .agg(*[F.sum(F.col("w") * F.get("v", F.lit(i))).alias(f"x{i}") for i in range(m)]))
-        out = [F.col(f"x{i}") - F.col("rm") * float(s[i]) - float(s[m + i]) + grand * float(s[i]) for i in range(m)]
-        return df.join(av.withColumnRenamed("a", "id"), "id").select("id", "rm", "v", F.array(*out).alias("u"))
+    block = cut_lineage(means.select("id", "rm", F.array(*start).alias("v"), F.array(*start).alias("u")))
+
+    def rotate(col, mat):
+        @F.pandas_udf(T.ArrayType(T.DoubleType()))
+        def turn(v: pd.Series) -> pd.Series:
+            return pd.Series(list(np.stack(v.to_numpy()) @ mat))
+        return turn(col)
 
+    def products(batches):
+        """Sums of a task: v'u, u'u, 1'u and (row means)'u."""
+        acc = np.zeros(2 * m * m + 2 * m)
+        for pdf in batches:
+            if len(pdf):
+                v, u, rm = np.stack(pdf["v"].to_numpy()), np.stack(pdf["u"].to_numpy()), pdf["rm"].to_numpy()
+                acc += np.concatenate([(v.T @ u).ravel(), (u.T @ u).ravel(), u.sum(axis=0), rm @ u])
+        yield pd.DataFrame({"x": [acc]})
+
+    def reduced(df):
+        part = df.select("v", "u", "rm").mapInPandas(products, "x array<double>").select(F.posexplode("x").alias("i", "x"))
+        x = np.zeros(2 * m * m + 2 * m)
+        for i, value in part.groupBy("i").agg(F.sum("x")).collect():
+            x[i] = value
+        return x[:m * m].reshape(m, m), x[m * m:2 * m * m].reshape(m, m), x[2 * m * m:-m], x[-m:]
+
+    _, uu, su, ru = reduced(block)
     prev = None
     for _ in range(rounds):
-        g = gram(block, "v", "v")
-        inv = np.linalg.inv(np.linalg.cholesky(g + np.eye(m) * 1e-14 * np.trace(g))).T
-        block = block.select("id", "rm", rotate("v", inv).alias("v"))
-        step = cut_lineage(times(block))
-        t = gram(step, "v", "u")
-        values, vec = np.linalg.eigh((t + t.T) / 2)
+        inv = np.linalg.inv(np.linalg.cholesky(uu + np.eye(m) * 1e-14 * np.trace(uu))).T
+        s, r = su @ inv, ru @ inv
+        v = block.select("id", "rm", rotate("u", inv).alias("v"))
+        av = (both.join(v.select(F.col("id").alias("b"), "v"), "b").groupBy(F.col("a").alias("id"))
+              .agg(*[F.sum(F.col("w") * F.get("v", F.lit(i))).alias(f"x{i}") for i in range(m)]))
+        u = F.array(*[F.col(f"x{i}") - F.col("rm") * float(s[i]) - float(r[i]) + grand * float(s[i]) for i in range(m)])
+        block = cut_lineage(v.join(av, "id").select("id", "rm", "v", u.alias("u")))
+        vu, uu, su, ru = reduced(block)
+        values, vec = np.linalg.eigh((vu + vu.T) / 2)
         order = np.argsort(values)[::-1]
         values, vec = values[order], vec[:, order]
-        ready = step.select("id", rotate("v", vec).alias("v"))
         if prev is not None and np.allclose(values[:k], prev[:k], rtol=1e-7, atol=1e-12):
             break
         prev = values
-        block = step.select("id", "rm", F.col("u").alias("v"))
+    ready = block.select("id", rotate("v", vec).alias("v"))
     scale = np.sqrt(np.maximum(values[:k], 0.0))
     coords = ready.select(F.col("id").alias("sample_id"), F.array(*[F.get("v", F.lit(i)) * float(scale[i]) for i in range(k)]).alias("axes"))
     trace = -n * grand
