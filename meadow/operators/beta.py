@@ -73,7 +73,8 @@ def unifrac(ab: DataFrame, branch: DataFrame, weighted: bool = True, normalized:
     """UniFrac from branch shares: sum L |pa - pb| = Wa + Wb - 2 sum min(L pa, L pb)."""
     sb = with_share(ab).join(branch, "feature_id").groupBy("sample_id", "branch_id").agg(F.sum("share").alias("p"), F.max("length").alias("l"))
     value = F.col("l") * F.col("p") if weighted else F.sqrt("l")
-    v = sb.select("sample_id", "branch_id", value.alias("v"), "l")
+    # Branch shares are costly and read three times below, so they are written once.
+    v = cut_lineage(sb.select("sample_id", "branch_id", value.alias("v"), "l"))
     w = v.groupBy("sample_id").agg((F.sum("v") if weighted else F.sum("l")).alias("w"))
     base = all_pairs(w, "sample_id").join(pair_sums(v, "sample_id", "branch_id", "v", want=("mins",) if weighted else ("dot",)), ["a", "b"], "left")
     both = F.col("w_a") + F.col("w_b")

@@ -171,11 +171,10 @@ def pair_sums(df: DataFrame, row: str, col: str, value: str, rows_per_block: int
 def all_pairs(ids: DataFrame, key: str, per_block: int = 512) -> DataFrame:
     """a, b (a < b) for every unordered pair of ids: the result of a full distance table, built as an equi join of id
     blocks so that its size is spread evenly over tasks."""
-    n = ids.select(key).distinct().count()
-    nb = max(1, -(-n // per_block))
+    u = cut_lineage(ids.select(key).distinct())
+    nb = max(1, -(-u.count() // per_block))
     blk = F.pmod(F.xxhash64(key), F.lit(nb)).cast("int")
     every = F.explode(F.sequence(F.lit(0), F.lit(nb - 1)))
-    u = ids.select(key).distinct()
     a = u.select(F.col(key).alias("a"), blk.alias("bi"), every.alias("bj"))
     b = u.select(F.col(key).alias("b"), blk.alias("bj"), every.alias("bi"))
     return a.join(b, ["bi", "bj"]).filter("a < b").select("a", "b")
