@@ -117,3 +117,30 @@ def suggest_depth(ab: DataFrame, quantile: float = 0.1) -> DataFrame:
     """The depth quantile over samples, rounded down."""
     tot = ab.groupBy("sample_id").agg(F.sum("count").alias("total"))
     return exact_quantiles(tot, [], "total", {"depth": quantile}).select(F.floor("depth").cast("long").alias("depth"))
+
+
+def alpha_vs_metadata(values: DataFrame, meta: DataFrame, numeric: list[str], categories: list[str]) -> DataFrame:
+    """metric, column, test, statistic, p_value for values(sample_id, metric, value).
+
+    Spearman for numbers, Mann-Whitney for two groups, Kruskal-Wallis for more; all metrics of a column in one plan.
+    """
+    from meadow.operators import stats
+    v = values.select("sample_id", F.col("metric").alias("feature_id"), F.col("value").cast("double").alias("count"))
+    live = meta.join(v.select("sample_id").distinct(), "sample_id", "left_semi")
+    out = None
+    for c in numeric:
+        s = stats.spearman_features(v, live, c)
+        one = s.select(F.col("feature_id").alias("metric"), F.lit(c).alias("column"), F.lit("spearman").alias("test"), F.col("rho").alias("statistic"), "p_value")
+        out = one if out is None else out.unionByName(one)
+    for c in categories:
+        lab = stats.labelled(live, c)
+        names = sorted(r[0] for r in lab.select("group").distinct().limit(3).collect())
+        if len(names) < 2:
+            continue
+        if len(names) == 2:
+            s = stats.mann_whitney(v, lab, tuple(names), zeros=False, medians=False).withColumnRenamed("u", "statistic")
+        else:
+            s = stats.kruskal(v, lab, zeros=False).withColumnRenamed("h", "statistic")
+        one = s.select(F.col("feature_id").alias("metric"), F.lit(c).alias("column"), F.lit("mann_whitney" if len(names) == 2 else "kruskal").alias("test"), "statistic", "p_value")
+        out = one if out is None else out.unionByName(one)
+    return out

@@ -102,3 +102,18 @@ def g07(spark, d):
 @query("g07_suggest_depth", cte("ab", t=TOT) + "SELECT CAST(FLOOR(quantile_cont(total, 0.1)) AS BIGINT) AS depth FROM t")
 def g07b(spark, d):
     return alpha.suggest_depth(fx.abundance(spark, d))
+
+
+@query("g08_alpha_vs_metadata", cte("ab", "meta", t=TOT, v="""SELECT sample_id, 'observed_features' AS metric, CAST(COUNT(*) AS DOUBLE) AS v FROM ab GROUP BY 1
+UNION ALL SELECT sample_id, 'shannon', ROUND(-SUM(count/total*LN(count/total)), 6) FROM ab JOIN t USING (sample_id) GROUP BY 1""") + f"""
+, j AS (SELECT metric, v, value, flag, "group" AS g FROM v JOIN meta USING (sample_id)), s AS (SELECT metric, RANK() OVER (PARTITION BY metric ORDER BY v) + (COUNT(*) OVER (PARTITION BY metric, v) - 1)/2 AS a, RANK() OVER (PARTITION BY metric ORDER BY value) + (COUNT(*) OVER (PARTITION BY metric, value) - 1)/2 AS b FROM j WHERE value IS NOT NULL),
+r AS (SELECT *, RANK() OVER (PARTITION BY metric ORDER BY v) + (COUNT(*) OVER (PARTITION BY metric, v) - 1)/2 AS rk, COUNT(*) OVER (PARTITION BY metric) AS n FROM j), ti AS (SELECT metric, SUM(POWER(c, 3) - c) AS tie FROM (SELECT metric, v, COUNT(*) AS c FROM j GROUP BY 1, 2) GROUP BY 1),
+k AS (SELECT metric, SUM(q) AS q, MAX(n) AS n FROM (SELECT metric, g, POWER(SUM(rk), 2)/COUNT(*) AS q, CAST(MAX(n) AS DOUBLE) AS n FROM r GROUP BY 1, 2) GROUP BY 1)
+SELECT metric, 'value' AS "column", 'spearman' AS test, {q6('CORR(a, b)')} AS statistic FROM s GROUP BY 1
+UNION ALL SELECT metric, 'flag', 'mann_whitney', {q6('SUM(rk) - COUNT(*)*(COUNT(*) + 1)/2')} FROM r WHERE NOT flag GROUP BY 1
+UNION ALL SELECT metric, 'group', 'kruskal', {q6('(12/(n*(n+1))*q - 3*(n+1))/(1 - tie/(n*n*n - n))')} FROM k JOIN ti USING (metric)""")
+def g08(spark, d):
+    r = alpha.richness(fx.abundance(spark, d))
+    v = r.select("sample_id", F.explode(F.array(F.struct(F.lit("observed_features").alias("metric"), F.col("observed_features").cast("double").alias("value")),
+                                                F.struct(F.lit("shannon").alias("metric"), F.round("shannon", 6).alias("value")))).alias("m")).select("sample_id", "m.metric", "m.value")
+    return rounded(alpha.alpha_vs_metadata(v, fx.sample_meta(spark, d), ["value"], ["flag", "group"]).drop("p_value"))
