@@ -7,7 +7,9 @@ from meadow.operators.kernels import spread
 from meadow.plans import fixtures as fx
 from meadow.plans.registry import q6, query, r6
 
-K = F.col("c_custkey")
+def K():
+    return F.col("c_custkey")
+
 
 
 def customers(spark, d):
@@ -22,8 +24,8 @@ def text(c):
 CAST(c_nationkey AS VARCHAR)) AS temperature, CASE WHEN c_custkey % 3 = 0 THEN c_mktsegment END AS host_sex, c_name FROM customer""")
 def c01(spark, d):
     df = customers(spark, d).select(
-        "c_custkey", F.when(K % 2 == 0, text("c_acctbal")).alias("temp_c"), F.col("c_nationkey").alias("Temperatur"),
-        F.when(K % 3 == 0, F.col("c_mktsegment")).alias("gender"), "c_name", F.when(K < 0, K).alias("empty"))
+        "c_custkey", F.when(K() % 2 == 0, text("c_acctbal")).alias("temp_c"), F.col("c_nationkey").alias("Temperatur"),
+        F.when(K() % 3 == 0, F.col("c_mktsegment")).alias("gender"), "c_name", F.when(K() < 0, K()).alias("empty"))
     return cl.harmonize(df, core=["c_custkey"])
 
 
@@ -43,18 +45,20 @@ def c03(spark, d):
     return cl.clean_sample_ids(df, "o_orderkey")
 
 
-MIX = F.when(K % 5 == 0, F.lit("n.d.")).when(K % 5 == 1, F.concat(F.lit(" "), text("c_acctbal"))).otherwise(text("c_nationkey"))
+def MIX():
+    return F.when(K() % 5 == 0, F.lit("n.d.")).when(K() % 5 == 1, F.concat(F.lit(" "), text("c_acctbal"))).otherwise(text("c_nationkey"))
+
 MIX_SQL = "CASE WHEN c_custkey % 5 = 0 THEN 'n.d.' WHEN c_custkey % 5 = 1 THEN CAST(c_acctbal AS VARCHAR) ELSE CAST(c_nationkey AS VARCHAR) END"
 
 
 @query("c04_force_numeric", f"SELECT c_custkey, TRY_CAST({MIX_SQL} AS DOUBLE) AS v FROM customer")
 def c04(spark, d):
-    return cl.force_numeric(customers(spark, d).select("c_custkey", MIX.alias("v")), ["v"])
+    return cl.force_numeric(customers(spark, d).select("c_custkey", MIX().alias("v")), ["v"])
 
 
 @query("c04_numeric_losses", "SELECT 'v' AS \"column\", COUNT(*) FILTER (c_custkey % 5 = 0) AS lost FROM customer")
 def c04b(spark, d):
-    return cl.numeric_losses(customers(spark, d).select("c_custkey", MIX.alias("v")), ["v"])
+    return cl.numeric_losses(customers(spark, d).select("c_custkey", MIX().alias("v")), ["v"])
 
 
 @query("c05_map_values", """SELECT c_custkey, CASE LOWER(c_mktsegment) WHEN 'building' THEN 'construction' WHEN 'machinery' THEN 'machines'
@@ -67,29 +71,29 @@ def c05(spark, d):
 @query("c05_target_gene", """SELECT c_custkey, CASE c_custkey % 5 WHEN 0 THEN '16S' WHEN 1 THEN '18S' WHEN 2 THEN NULL WHEN 3 THEN 'ITS'
 ELSE 'rpoB' END AS gene FROM customer""")
 def c05b(spark, d):
-    g = F.get(F.array(*[F.lit(x) for x in ("16s rrna", "18S rRNA", "nan", "ITS2", " rpoB ")]), (K % 5).cast("int"))
+    g = F.get(F.array(*[F.lit(x) for x in ("16s rrna", "18S rRNA", "nan", "ITS2", " rpoB ")]), (K() % 5).cast("int"))
     return customers(spark, d).select("c_custkey", cl.target_gene(g).alias("gene"))
 
 
 @query("c06_drop_habitats", "SELECT c_custkey FROM customer WHERE c_mktsegment <> 'BUILDING' AND c_custkey % 11 <> 0")
 def c06(spark, d):
-    h = F.when(F.col("c_mktsegment") == "BUILDING", "Animal corpus").when(K % 11 == 0, "animal distal gut").when(K % 7 == 0, F.lit(None)).otherwise("soil")
+    h = F.when(F.col("c_mktsegment") == "BUILDING", "Animal corpus").when(K() % 11 == 0, "animal distal gut").when(K() % 7 == 0, F.lit(None)).otherwise("soil")
     return cl.drop_habitats(customers(spark, d).select("c_custkey", h.alias("empo_3"))).select("c_custkey")
 
 
 @query("c07_standardize_units", f"""SELECT c_custkey, {q6('CASE c_custkey % 3 WHEN 0 THEN c_acctbal WHEN 1 THEN (c_acctbal - 32)*5/9 ELSE c_acctbal - 273.15 END')} AS temp_celsius,
 {q6('CASE WHEN c_custkey % 2 = 0 THEN c_nationkey*0.3048 ELSE c_nationkey END')} AS depth_meters FROM customer""")
 def c07(spark, d):
-    v = lambda n, i: F.when(K % 3 == i, F.col("c_acctbal")).cast("string").alias(n)
+    v = lambda n, i: F.when(K() % 3 == i, F.col("c_acctbal")).cast("string").alias(n)
     df = customers(spark, d).select("c_custkey", v("temp_c", 0), v("temp_f", 1), v("temp_k", 2), F.col("c_nationkey").alias("depth_m"),
-                                    F.when(K % 2 == 0, F.col("c_nationkey")).alias("depth_ft"))
+                                    F.when(K() % 2 == 0, F.col("c_nationkey")).alias("depth_ft"))
     return cl.standardize_units(df).select("c_custkey", r6("temp_celsius").alias("temp_celsius"), r6("depth_meters").alias("depth_meters"))
 
 
 @query("c08_collapse_suffixes", """SELECT c_custkey, COALESCE(CASE WHEN c_custkey % 2 = 0 THEN c_name END, c_mktsegment) AS title,
 c_acctbal AS balance FROM customer""")
 def c08(spark, d):
-    df = customers(spark, d).select("c_custkey", F.when(K % 2 == 0, F.col("c_name")).alias("title"),
+    df = customers(spark, d).select("c_custkey", F.when(K() % 2 == 0, F.col("c_name")).alias("title"),
                                     F.col("c_mktsegment").alias("title_sample"), F.col("c_acctbal").alias("balance_sample"))
     return cl.collapse_suffixes(df, "_sample")
 
@@ -97,20 +101,22 @@ def c08(spark, d):
 @query("c09_merge_ph", """SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN c_nationkey / CAST(2 AS DOUBLE) WHEN c_custkey % 3 = 1 THEN c_acctbal END AS ph,
 c_name AS phylum FROM customer""")
 def c09(spark, d):
-    df = customers(spark, d).select("c_custkey", F.when(K % 3 == 1, text("c_acctbal")).otherwise("bad").alias("ph_level"),
-                                    F.when(K % 3 == 0, F.col("c_nationkey") / 2.0).alias("ph"), F.col("c_name").alias("phylum"))
+    df = customers(spark, d).select("c_custkey", F.when(K() % 3 == 1, text("c_acctbal")).otherwise("bad").alias("ph_level"),
+                                    F.when(K() % 3 == 0, F.col("c_nationkey") / 2.0).alias("ph"), F.col("c_name").alias("phylum"))
     return cl.merge_ph(df)
 
 
-D = F.date_add(F.lit("2019-01-01"), (K % 700).cast("int"))
+def D():
+    return F.date_add(F.lit("2019-01-01"), (K() % 700).cast("int"))
+
 DSQL = "(DATE '2019-01-01' + CAST(c_custkey % 700 AS INTEGER))"
 
 
 @query("c10_standardize_dates", f"""SELECT c_custkey, CASE WHEN c_custkey % 4 = 3 THEN NULL WHEN c_custkey % 4 = 2 THEN strftime({DSQL}, '%Y-01-01')
 ELSE strftime({DSQL}, '%Y-%m-%d') END AS collection_date, 'x' || c_custkey AS note_time FROM customer""")
 def c10(spark, d):
-    s = (F.when(K % 4 == 0, F.date_format(D, "yyyy-MM-dd")).when(K % 4 == 1, F.date_format(D, "MM/dd/yyyy"))
-         .when(K % 4 == 2, F.date_format(D, "yyyy")).otherwise("not known"))
+    s = (F.when(K() % 4 == 0, F.date_format(D(), "yyyy-MM-dd")).when(K() % 4 == 1, F.date_format(D(), "MM/dd/yyyy"))
+         .when(K() % 4 == 2, F.date_format(D(), "yyyy")).otherwise("not known"))
     df = customers(spark, d).select("c_custkey", s.alias("collection_date"), F.concat(F.lit("x"), "c_custkey").alias("note_time"))
     return cl.standardize_dates(df)
 
@@ -119,8 +125,8 @@ def c10(spark, d):
 WHEN 2 THEN strftime({DSQL}, '%Y-%m') WHEN 3 THEN strftime({DSQL}, '%Y') END AS value,
 CASE c_custkey % 5 WHEN 0 THEN 'day' WHEN 1 THEN 'day' WHEN 2 THEN 'month' WHEN 3 THEN 'year' ELSE 'unknown' END AS precision FROM customer""")
 def c11(spark, d):
-    s = (F.when(K % 5 == 0, F.date_format(D, "yyyy/MM/dd")).when(K % 5 == 1, F.date_format(D, "MM-dd-yyyy"))
-         .when(K % 5 == 2, F.date_format(D, " yyyy-MM")).when(K % 5 == 3, F.date_format(D, "yyyy")).otherwise("2020-13-45"))
+    s = (F.when(K() % 5 == 0, F.date_format(D(), "yyyy/MM/dd")).when(K() % 5 == 1, F.date_format(D(), "MM-dd-yyyy"))
+         .when(K() % 5 == 2, F.date_format(D(), " yyyy-MM")).when(K() % 5 == 3, F.date_format(D(), "yyyy")).otherwise("2020-13-45"))
     v, p = cl.parse_date_precision(s)
     return customers(spark, d).select("c_custkey", v.alias("value"), p.alias("precision"))
 
@@ -128,16 +134,16 @@ def c11(spark, d):
 @query("c12_extract_coordinates", f"""WITH t AS (SELECT c_custkey, (c_custkey % 170 - 85) + 0.5 AS y, (c_custkey % 340 - 170) + 0.25 AS x FROM customer)
 SELECT c_custkey, {q6('y')} AS lat, {q6('x')} AS lon FROM t WHERE c_custkey % 6 <> 4""")
 def c12(spark, d):
-    y, x = (K % 170 - 85) + 0.5, (K % 340 - 170) + 0.25
+    y, x = (K() % 170 - 85) + 0.5, (K() % 340 - 170) + 0.25
     txt = lambda v: F.abs(v).cast("string")
     ns, ew = F.when(y < 0, "S").otherwise("N"), F.when(x < 0, "W").otherwise("E")
     dm = lambda v, letter: F.concat(F.floor(F.abs(v)).cast("string"), F.lit("°"), ((F.abs(v) - F.floor(F.abs(v))) * 60).cast("int").cast("string"), F.lit("' "), letter)
-    loc = (F.when(K % 6 == 1, F.concat(txt(y), F.lit(" "), ns, F.lit(" "), txt(x), F.lit(" "), ew))
-           .when(K % 6 == 2, F.concat(y.cast("string"), F.lit(", "), x.cast("string")))
-           .when(K % 6 == 3, F.concat(dm(y, ns), F.lit(" "), dm(x, ew)))
-           .when(K % 6 == 4, F.lit("somewhere")))
-    df = customers(spark, d).select("c_custkey", F.when(K % 6 == 0, y.cast("string")).alias("lat"), F.when(K % 6 == 0, x).alias("longitude"),
-                                    F.when(K % 6 == 5, F.concat(y.cast("string"), F.lit(","), x.cast("string"))).alias("lat_lon"), loc.alias("location"))
+    loc = (F.when(K() % 6 == 1, F.concat(txt(y), F.lit(" "), ns, F.lit(" "), txt(x), F.lit(" "), ew))
+           .when(K() % 6 == 2, F.concat(y.cast("string"), F.lit(", "), x.cast("string")))
+           .when(K() % 6 == 3, F.concat(dm(y, ns), F.lit(" "), dm(x, ew)))
+           .when(K() % 6 == 4, F.lit("somewhere")))
+    df = customers(spark, d).select("c_custkey", F.when(K() % 6 == 0, y.cast("string")).alias("lat"), F.when(K() % 6 == 0, x).alias("longitude"),
+                                    F.when(K() % 6 == 5, F.concat(y.cast("string"), F.lit(","), x.cast("string"))).alias("lat_lon"), loc.alias("location"))
     return cl.extract_coordinates(df).select("c_custkey", r6("lat").alias("lat"), r6("lon").alias("lon"))
 
 
@@ -165,22 +171,22 @@ def c14(spark, d):
 CASE WHEN c_custkey % 10 = 0 THEN NULL ELSE 1000 + c_nationkey + CAST(0.5 AS DOUBLE) END AS with_unit, c_mktsegment AS words, CAST(c_custkey AS VARCHAR) AS my_id FROM customer""")
 def c15(spark, d):
     df = customers(spark, d).select(
-        "c_custkey", F.when(K % 20 == 0, "missing").otherwise(text("c_nationkey")).alias("plain"),
-        F.when(K % 10 == 0, "approx").otherwise(F.concat(F.lit("1,0"), F.lpad(text("c_nationkey"), 2, "0"), F.lit(".5 cm"))).alias("with_unit"),
+        "c_custkey", F.when(K() % 20 == 0, "missing").otherwise(text("c_nationkey")).alias("plain"),
+        F.when(K() % 10 == 0, "approx").otherwise(F.concat(F.lit("1,0"), F.lpad(text("c_nationkey"), 2, "0"), F.lit(".5 cm"))).alias("with_unit"),
         F.col("c_mktsegment").alias("words"), text("c_custkey").alias("my_id"))
     return cl.clean_numeric_text(df, ["plain", "with_unit", "words", "my_id"])
 
 
 @query("c16_coalesce_variants", """SELECT c_custkey, COALESCE(CASE WHEN c_custkey % 2 = 0 THEN 'a' END, CASE WHEN c_custkey % 3 = 0 THEN 'b' END, c_mktsegment) AS depth FROM customer""")
 def c16(spark, d):
-    df = customers(spark, d).select("c_custkey", F.when(K % 2 == 0, "a").alias("depth"), F.when(K % 3 == 0, "b").alias("depth_sample"),
-                                    F.col("c_mktsegment").alias("depth_ena"), F.when(K < 0, "x").alias("hollow"))
+    df = customers(spark, d).select("c_custkey", F.when(K() % 2 == 0, "a").alias("depth"), F.when(K() % 3 == 0, "b").alias("depth_sample"),
+                                    F.col("c_mktsegment").alias("depth_ena"), F.when(K() < 0, "x").alias("hollow"))
     return cl.coalesce_variants(df, ["depth", "elevation"])
 
 
 @query("c16_coalesce_prefixes", """SELECT c_custkey, COALESCE(CASE WHEN c_custkey % 2 = 0 THEN 'run' END, c_mktsegment) AS title, c_name AS run_accession FROM customer""")
 def c16b(spark, d):
-    df = customers(spark, d).select("c_custkey", F.when(K % 2 == 0, "run").alias("run_title"), F.col("c_mktsegment").alias("study_title"),
+    df = customers(spark, d).select("c_custkey", F.when(K() % 2 == 0, "run").alias("run_title"), F.col("c_mktsegment").alias("study_title"),
                                     F.col("c_name").alias("run_accession"))
     return cl.coalesce_prefixes(df)
 
@@ -188,8 +194,8 @@ def c16b(spark, d):
 @query("c17_unpack_nested", """SELECT c_custkey, CASE c_custkey % 5 WHEN 0 THEN c_mktsegment WHEN 1 THEN CAST(c_nationkey AS VARCHAR) WHEN 2 THEN NULL
 WHEN 3 THEN c_mktsegment ELSE '[''a'', ''b'']' END AS v FROM customer""")
 def c17(spark, d):
-    s = (F.when(K % 5 == 0, F.concat(F.lit("['"), "c_mktsegment", F.lit("']"))).when(K % 5 == 1, F.concat(F.lit("{'value': "), "c_nationkey", F.lit("}")))
-         .when(K % 5 == 2, F.lit("[]")).when(K % 5 == 3, F.concat(F.lit("[{'value': '"), "c_mktsegment", F.lit("'}]"))).otherwise("['a', 'b']"))
+    s = (F.when(K() % 5 == 0, F.concat(F.lit("['"), "c_mktsegment", F.lit("']"))).when(K() % 5 == 1, F.concat(F.lit("{'value': "), "c_nationkey", F.lit("}")))
+         .when(K() % 5 == 2, F.lit("[]")).when(K() % 5 == 3, F.concat(F.lit("[{'value': '"), "c_mktsegment", F.lit("'}]"))).otherwise("['a', 'b']"))
     return customers(spark, d).select("c_custkey", cl.unpack_nested(s).alias("v"))
 
 
@@ -208,7 +214,7 @@ p AS (SELECT a.value, b.value AS target, b.n FROM c a JOIN c b ON a.value <> b.v
  AND 1 - levenshtein(a.value, b.value) / GREATEST(LENGTH(a.value), LENGTH(b.value)) >= 0.9)
 SELECT 'segment' AS "column", value, ARG_MAX(target, n) AS target FROM p GROUP BY value""")
 def c19(spark, d):
-    v = F.concat("c_mktsegment", F.when(K % 10 == 0, " GROUPZ").otherwise(" GROUPS"))
+    v = F.concat("c_mktsegment", F.when(K() % 10 == 0, " GROUPZ").otherwise(" GROUPS"))
     return cl.suggest_value_merges(customers(spark, d).select(v.alias("segment"), "c_name"), ["segment", "c_name"])
 
 
@@ -220,21 +226,21 @@ ACC = [("SAMEA1234567", "SAMEA", 1.0), (" samn123 ", "SAMN", 0.7), ("SRR123456",
     f"WHEN {i} THEN " + (f"'{t}'" if t else "NULL") for i, (_, t, _) in enumerate(ACC)) + " END AS kind, CASE c_custkey % 7 " + " ".join(
     f"WHEN {i} THEN CAST({c} AS DOUBLE)" for i, (_, _, c) in enumerate(ACC)) + " END AS confidence FROM customer")
 def c20(spark, d):
-    a = F.get(F.array(*[F.lit(x) for x, _, _ in ACC]), (K % 7).cast("int"))
+    a = F.get(F.array(*[F.lit(x) for x, _, _ in ACC]), (K() % 7).cast("int"))
     kind, conf = cl.classify_accession(a)
     return customers(spark, d).select("c_custkey", kind.alias("kind"), conf.cast("double").alias("confidence"))
 
 
 @query("c21_record_type", """SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'run' WHEN c_custkey % 3 = 1 THEN 'experiment' ELSE 'biosample' END AS kind FROM customer""")
 def c21(spark, d):
-    return customers(spark, d).select("c_custkey", cl.record_type(F.when(K % 3 == 0, "srr1").otherwise("x"), F.when(K % 3 == 1, "ERX5")).alias("kind"))
+    return customers(spark, d).select("c_custkey", cl.record_type(F.when(K() % 3 == 0, "srr1").otherwise("x"), F.when(K() % 3 == 1, "ERX5")).alias("kind"))
 
 
 @query("c22_flags_and_defaults", """SELECT c_custkey, c_custkey % 4 = 0 AS status, COALESCE(CASE WHEN c_custkey % 2 = 0 THEN c_name END, 'N/A') AS run_acc, 'N/A' AS study_acc
 FROM customer WHERE NOT (c_nationkey = 0 AND c_custkey % 3 = 0)""")
 def c22(spark, d):
-    df = customers(spark, d).select("c_custkey", F.when(K % 4 == 0, "Yes").otherwise("no").alias("status"), F.when(K % 2 == 0, F.col("c_name")).alias("run_acc"),
-                                    F.col("c_nationkey").alias("lat"), (K % 3).alias("lon"))
+    df = customers(spark, d).select("c_custkey", F.when(K() % 4 == 0, "Yes").otherwise("no").alias("status"), F.when(K() % 2 == 0, F.col("c_name")).alias("run_acc"),
+                                    F.col("c_nationkey").alias("lat"), (K() % 3).alias("lon"))
     return cl.flags_and_defaults(df, "status", ["run_acc", "study_acc"]).drop("lat", "lon")
 
 
@@ -258,8 +264,8 @@ CASE WHEN lat < 0 THEN fmod(doy + 182.5, 365) ELSE doy END AS s FROM u)
 SELECT c_custkey, {q6(f'24 * (1 - ACOS(1 - m) / {PI})')} AS day_hours, CASE WHEN s >= 80 AND s < 172 THEN 'Spring' WHEN s >= 172 AND s < 264 THEN 'Summer'
 WHEN s >= 264 AND s < 355 THEN 'Autumn' ELSE 'Winter' END AS season FROM v""")
 def c24(spark, d):
-    lat = (K % 160 - 80).cast("double")
-    return customers(spark, d).select("c_custkey", r6(cl.day_length(lat, D)).alias("day_hours"), cl.season(lat, D).alias("season"))
+    lat = (K() % 160 - 80).cast("double")
+    return customers(spark, d).select("c_custkey", r6(cl.day_length(lat, D())).alias("day_hours"), cl.season(lat, D()).alias("season"))
 
 
 @query("c25_proxy_columns", f"""WITH e AS (SELECT c_custkey, c_custkey % 40 AS t, c_custkey % 23 AS mt, (c_custkey % 100)/CAST(100 AS DOUBLE) AS ndvi, c_custkey % 900 AS npp,
@@ -277,10 +283,10 @@ SELECT c_custkey, {q6('ABS(t-mt)/(sd+0.1)')} AS proxy_overall_climate_stress, {q
 def c25(spark, d):
     v = lambda n, e: e.cast("double").alias(n)
     df = customers(spark, d).select(
-        "c_custkey", v("weather_temp_c", K % 40), v("bioclim_annual_mean_temp", K % 23), v("vegetation_ndvi_seasonal", (K % 100) / 100.0),
-        v("carbon_npp_gC_m2_year", K % 900), v("bioclim_annual_precip", K % 6000), v("carbon_agb_mg_ha", K % 70), v("soil_carbon_stock_total", K % 90),
-        v("soil_grids_soc_pct", K % 12), v("soil_moisture_anomaly_pct", K % 200 - 100), v("human_agricultural_fraction", (K % 10) / 10.0),
-        v("human_settlement_density_per_km2", K % 55), v("human_nightlights_intensity", K % 63), v("soil_grids_ph", 4 + K % 5), v("soil_grids_cec", K % 35))
+        "c_custkey", v("weather_temp_c", K() % 40), v("bioclim_annual_mean_temp", K() % 23), v("vegetation_ndvi_seasonal", (K() % 100) / 100.0),
+        v("carbon_npp_gC_m2_year", K() % 900), v("bioclim_annual_precip", K() % 6000), v("carbon_agb_mg_ha", K() % 70), v("soil_carbon_stock_total", K() % 90),
+        v("soil_grids_soc_pct", K() % 12), v("soil_moisture_anomaly_pct", K() % 200 - 100), v("human_agricultural_fraction", (K() % 10) / 10.0),
+        v("human_settlement_density_per_km2", K() % 55), v("human_nightlights_intensity", K() % 63), v("soil_grids_ph", 4 + K() % 5), v("soil_grids_cec", K() % 35))
     out = cl.proxy_columns(df)
     names = ["overall_climate_stress", "vegetation_productivity_index", "growing_season_suitability", "carbon_cycling_intensity", "decomposition_potential",
              "habitat_fragmentation_risk", "human_impact_intensity", "soil_fertility_index", "ecosystem_resilience_score"]
@@ -302,8 +308,8 @@ NICKEL = (f"(({CLAY})*0.3 + (CASE WHEN ph < 6 THEN 0.6 WHEN ph < 7.5 THEN 0.95 W
 
 def soil(spark, d):
     v = lambda n, e: e.cast("double").alias(n)
-    return customers(spark, d).select(F.col("c_custkey").alias("sample_id"), v("clay", F.when(K % 9 != 0, K % 60)), v("phh2o", 3.5 + K % 6),
-                                      v("soc", K % 130), v("cec", K % 300), v("sand", K % 100))
+    return customers(spark, d).select(F.col("c_custkey").alias("sample_id"), v("clay", F.when(K() % 9 != 0, K() % 60)), v("phh2o", 3.5 + K() % 6),
+                                      v("soc", K() % 130), v("cec", K() % 300), v("sand", K() % 100))
 
 
 @query("c26_element_proxy", f"WITH {SOIL} SELECT c_custkey AS sample_id, {q6(URANIUM)} AS uranium_elem, {q6(CADMIUM)} AS cadmium_elem, {q6(NICKEL)} AS nickel_elem FROM e")
@@ -315,5 +321,5 @@ def c26(spark, d):
 @query("c27_combine_proxies", f"""WITH {SOIL} SELECT c_custkey AS sample_id, {q6(f'0.4*CASE WHEN c_custkey % 2 = 0 THEN 0.8 ELSE 0.5 END + 0.6*({URANIUM})')} AS uranium_proxy FROM e""")
 def c27(spark, d):
     elem = cl.element_proxy(soil(spark, d), ["uranium"]).select("sample_id", "uranium_elem")
-    geo = customers(spark, d).filter(K % 2 == 0).select(F.col("c_custkey").alias("sample_id"), F.lit(0.8).alias("uranium_geo"))
+    geo = customers(spark, d).filter(K() % 2 == 0).select(F.col("c_custkey").alias("sample_id"), F.lit(0.8).alias("uranium_geo"))
     return cl.combine_proxies(geo, elem, ["uranium"]).select("sample_id", r6("uranium_proxy").alias("uranium_proxy"))

@@ -9,7 +9,9 @@ from meadow.plans.fixtures import cte
 from meadow.plans.queries_g_alpha import rounded
 from meadow.plans.registry import q6, query, r6
 
-K = F.col("c_custkey")
+def K():
+    return F.col("c_custkey")
+
 
 
 @query("e01_diagnose_zeros", cte("ab") + f"""SELECT n AS n_samples, p AS n_features, CAST(n*p - r AS BIGINT) AS total_zeros, {q6('1 - r/(n*p)')} AS zero_fraction,
@@ -145,8 +147,8 @@ h AS (SELECT sample_id, COUNT(*) FILTER ((env = 'soil' AND phylum IN ('Proteobac
 o AS (SELECT sample_id, MAX(env = 'soil' AND genus IN ('Bacteroides', 'Prevotella')) AS odd FROM j GROUP BY 1)
 SELECT en.sample_id, CASE WHEN env = 'other' OR hits IS NULL THEN 'UNKNOWN' WHEN hits < 2 THEN 'FAIL' WHEN odd THEN 'WARNING' ELSE 'PASS' END AS env_match FROM en LEFT JOIN h USING (sample_id) LEFT JOIN o USING (sample_id)""")
 def e14(spark, d):
-    env = F.when(K % 3 == 0, "soil").when(K % 3 == 1, "marine").otherwise("other")
-    m = fx.table(spark, d, "customer").select(K.alias("sample_id"), env.alias("env"))
+    env = F.when(K() % 3 == 0, "soil").when(K() % 3 == 1, "marine").otherwise("other")
+    m = fx.table(spark, d, "customer").select(K().alias("sample_id"), env.alias("env"))
     return qc.environment_match(fx.abundance(spark, d), taxa(spark, d), m)
 
 
@@ -164,7 +166,7 @@ def e15(spark, d):
 SELECT sample_id, {q6('m')} AS median_length, CASE WHEN r IS NULL OR m IS NULL THEN 'UNKNOWN' WHEN r = 'V4' AND m BETWEEN 240 AND 280 THEN 'PASS' WHEN r = 'V1-V2' AND m BETWEEN 280 AND 320 THEN 'PASS'
 WHEN ABS(m - CASE WHEN r = 'V4' THEN 260 ELSE 300 END) < 50 THEN 'WARNING' ELSE 'FAIL' END AS primer_match FROM c LEFT JOIN g USING (sample_id)""")
 def e16(spark, d):
-    m = fx.table(spark, d, "customer").select(K.alias("sample_id"), F.when(K % 3 == 0, "V4").when(K % 3 == 1, "V1-V2").alias("region"))
+    m = fx.table(spark, d, "customer").select(K().alias("sample_id"), F.when(K() % 3 == 0, "V4").when(K() % 3 == 1, "V1-V2").alias("region"))
     return rounded(qc.region_length_check(fx.abundance(spark, d), taxa(spark, d), m))
 
 
@@ -176,13 +178,13 @@ def e17(spark, d):
 @query("e18_overall_flag", """WITH t AS (SELECT c_custkey AS k, c_custkey % 3 AS a, c_custkey % 4 AS b, c_custkey % 5 AS c FROM customer), s AS (SELECT k, CASE WHEN a = 0 THEN 1 ELSE 0 END + CASE WHEN b = 3 THEN 2 ELSE 0 END + CASE WHEN c = 0 THEN 1 ELSE 0 END AS f,
 CASE WHEN a = 1 THEN 1 ELSE 0 END + CASE WHEN b IN (1, 2) THEN 1 ELSE 0 END AS w FROM t) SELECT k AS sample_id, CASE WHEN f >= 3 THEN 'FAIL' WHEN f >= 1 OR w >= 2 THEN 'WARNING' ELSE 'PASS' END AS flag FROM s""")
 def e18(spark, d):
-    pick = lambda m, *v: F.get(F.array(*[F.lit(x) for x in v]), (K % m).cast("int"))
+    pick = lambda m, *v: F.get(F.array(*[F.lit(x) for x in v]), (K() % m).cast("int"))
     flags = [pick(3, "FAIL", "WARNING", "PASS"), pick(4, "NONE", "LOW", "MEDIUM", "HIGH"), pick(5, "FAIL", "PASS", "PASS", "PASS", "UNKNOWN")]
-    return fx.table(spark, d, "customer").select(K.alias("sample_id"), qc.overall_flag(flags).alias("flag"))
+    return fx.table(spark, d, "customer").select(K().alias("sample_id"), qc.overall_flag(flags).alias("flag"))
 
 
 def measured(spark, d):
-    return fx.table(spark, d, "customer").select(K.alias("sample_id"), (F.col("c_acctbal") / 100).alias("soil_depth"), (K % 16).cast("double").alias("ph"), (K % 90 + 250).cast("double").alias("temp_air"))
+    return fx.table(spark, d, "customer").select(K().alias("sample_id"), (F.col("c_acctbal") / 100).alias("soil_depth"), (K() % 16).cast("double").alias("ph"), (K() % 90 + 250).cast("double").alias("temp_air"))
 
 
 @query("e19_check_ranges", f"""SELECT c_custkey AS sample_id, {q6('CASE WHEN c_acctbal/100 BETWEEN 0 AND 11000 THEN c_acctbal/100 END')} AS soil_depth, CASE WHEN c_custkey % 16 <= 14 THEN CAST(c_custkey % 16 AS DOUBLE) END AS ph FROM customer""")
@@ -212,8 +214,8 @@ def e21(spark, d):
 @query("e22_geo_consistency", """WITH t AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 5 <> 0 THEN c_custkey % 180 - 90 END AS lat FROM customer) SELECT k AS sample_id, 'ERROR' AS level, 'external data without coordinates' AS rule FROM t WHERE lat IS NULL
 UNION ALL SELECT k, 'WARNING', 'marine sample near a pole' FROM t WHERE k % 2 = 0 AND ABS(lat) > 80 UNION ALL SELECT k, 'WARNING', 'facility over 1000 km away' FROM t WHERE k % 1500 > 1000""")
 def e22(spark, d):
-    df = fx.table(spark, d, "customer").select(K.alias("sample_id"), F.when(K % 5 != 0, K % 180 - 90).alias("latitude"), F.lit(0.0).alias("longitude"), F.when(K % 2 == 0, "marine").otherwise("soil").alias("env_category_type"),
-                                               (K % 1500).alias("facility_distance_km"), F.lit(1.0).alias("SoilGrids_clay"))
+    df = fx.table(spark, d, "customer").select(K().alias("sample_id"), F.when(K() % 5 != 0, K() % 180 - 90).alias("latitude"), F.lit(0.0).alias("longitude"), F.when(K() % 2 == 0, "marine").otherwise("soil").alias("env_category_type"),
+                                               (K() % 1500).alias("facility_distance_km"), F.lit(1.0).alias("SoilGrids_clay"))
     return qc.geo_consistency(df)[1]
 
 
@@ -377,15 +379,15 @@ PANEL = [("GTGYCAGCMGCCGCGGTAA", 515, "Forward primer"), ("CCTACGGGNGGCWGCAG", 3
 
 @query("e34_region_from_primers", """SELECT c_custkey AS run_id, CASE c_custkey % 5 WHEN 0 THEN 'V3-V4' WHEN 1 THEN 'V1-V3' WHEN 2 THEN 'V4-V5' WHEN 3 THEN 'V2-V3' ELSE 'NA' END AS region FROM customer""".replace("WHEN 3 THEN 'V2-V3'", "WHEN 3 THEN 'V1-V3'"))
 def e34(spark, d):
-    pick = lambda *v: F.get(F.array(*[F.lit(x) for x in v]), (K % 5).cast("int"))
-    r = fx.table(spark, d, "customer").select(K.alias("run_id"), pick("xxCCTACGGGAGGCAGCAGyy", "agagtttgatcatggctcag", "GTGCCAGCAGCCGCGGTAA", None, "nan").alias("fwd_seq"),
+    pick = lambda *v: F.get(F.array(*[F.lit(x) for x in v]), (K() % 5).cast("int"))
+    r = fx.table(spark, d, "customer").select(K().alias("run_id"), pick("xxCCTACGGGAGGCAGCAGyy", "agagtttgatcatggctcag", "GTGCCAGCAGCCGCGGTAA", None, "nan").alias("fwd_seq"),
                                               pick("GGACTACAAGGGTATCTAAT", "ATTACCGCGGCTGCTGG", "NA", "ATTACCGCGGCTGCTGG", None).alias("rev_seq"))
     return qc.region_from_primers(r, PANEL)
 
 
 @query("e34_known_primers", """SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN '515F' ELSE '806R' END AS primer FROM customer WHERE c_custkey % 3 < 2""")
 def e34b(spark, d):
-    s = F.concat(F.when(K % 3 == 0, "GTGCC-AGCAGCCGCGGTAA").when(K % 3 == 1, "ttGGACTACAAGGGTATCTAAT").otherwise("ACGTACGTACGTACGT"), F.lit(" "), K.cast("string"))
+    s = F.concat(F.when(K() % 3 == 0, "GTGCC-AGCAGCCGCGGTAA").when(K() % 3 == 1, "ttGGACTACAAGGGTATCTAAT").otherwise("ACGTACGTACGTACGT"), F.lit(" "), K().cast("string"))
     f = fx.table(spark, d, "customer").select(s.alias("seq"))
     return qc.known_primers(f, list(PRIMER.items())).select(F.element_at(F.split("seq", " "), -1).cast("long").alias("c_custkey"), "primer")
 

@@ -7,7 +7,9 @@ from meadow.operators.kernels import spread
 from meadow.plans import fixtures as fx
 from meadow.plans.registry import query
 
-I = F.col("doc_id")
+def I():
+    return F.col("doc_id")
+
 
 
 def docs(spark, d):
@@ -32,13 +34,15 @@ def n01(spark, d):
 
 @query("n02_section_between", """SELECT doc_id, md5(CASE doc_id % 3 WHEN 0 THEN 'Materials and Methods:' || chr(10) || regexp_replace(text, '^\\s+|\\s+$', '', 'g') WHEN 1 THEN 'METHODS' || chr(10) || regexp_replace(text, '^\\s+|\\s+$', '', 'g') ELSE 'Methods section not found in text.' END) AS section FROM documents""")
 def n02(spark, d):
-    pre = F.when(I % 3 == 0, "Intro text\n  Materials and Methods:\n").when(I % 3 == 1, "Intro\nMETHODS\n").otherwise("")
-    post = F.when(I % 3 == 0, "\n\nResults \nmore\nDiscussion\n").when(I % 3 == 1, "").otherwise("")
+    pre = F.when(I() % 3 == 0, "Intro text\n  Materials and Methods:\n").when(I() % 3 == 1, "Intro\nMETHODS\n").otherwise("")
+    post = F.when(I() % 3 == 0, "\n\nResults \nmore\nDiscussion\n").when(I() % 3 == 1, "").otherwise("")
     return docs(spark, d).select("doc_id", F.md5(tx.section_between(F.concat(pre, "text", post))).alias("section"))
 
 
 LINE = "We sequenced V3-V4 and v1 - V3 with 515F-Y and R 806, ACGTNACGTNACGTNAC, DNeasy PowerSoil Kit, bead-beating, Illumina (MiSeq, 30 cycles, RNAlater. "
-MARK = F.when(I % 2 == 0, LINE).otherwise("")
+def MARK():
+    return F.when(I() % 2 == 0, LINE).otherwise("")
+
 
 
 def _mention_sql(kind):
@@ -51,20 +55,20 @@ KINDS = ["variable_regions", "primer_names", "primer_sequences", "extraction_pro
 
 @query("n03_extract_mentions", f"WITH d AS (SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN '{quote(LINE)}' ELSE '' END || text AS t FROM documents) SELECT doc_id, " + ", ".join(_mention_sql(k) for k in KINDS) + " FROM d")
 def n03(spark, d):
-    t = F.concat(MARK, "text")
+    t = F.concat(MARK(), "text")
     return docs(spark, d).select("doc_id", *[F.concat_ws("|", tx.mentions(t, k)).alias(k) for k in KINDS])
 
 
 @query("n03_dna_sequences", """SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'ACGTNACGTNACGTNAC' ELSE '' END AS found FROM documents WHERE lang = 'en'""")
 def n03b(spark, d):
-    t = F.concat(F.when(I % 2 == 0, F.lit("primer: ACGTN-ACGTN ACGTNAC; ")).otherwise(F.lit("")), "text")
+    t = F.concat(F.when(I() % 2 == 0, F.lit("primer: ACGTN-ACGTN ACGTNAC; ")).otherwise(F.lit("")), "text")
     seqs = F.filter(tx.dna_sequences(t), lambda s: s.startswith("ACGTN"))
     return docs(spark, d).filter("lang = 'en'").select("doc_id", F.concat_ws("|", seqs).alias("found"))
 
 
 @query("n04_citations_near", """SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 2 WHEN doc_id % 3 = 1 THEN 1 ELSE 0 END AS mentions, CASE doc_id % 3 WHEN 0 THEN 'Author-Year clue: Lee et al. 2019|Numbered clue: 12' WHEN 1 THEN '' ELSE '' END AS clues FROM documents""")
 def n04(spark, d):
-    pre = F.when(I % 3 == 0, "PRJNA 12345 (Lee et al., 2019) was used. ########################## prjna12345 [12] ######################## ").when(I % 3 == 1, "PRJNA12345 ################################################## ").otherwise("")
+    pre = F.when(I() % 3 == 0, "PRJNA 12345 (Lee et al., 2019) was used. ########################## prjna12345 [12] ######################## ").when(I() % 3 == 1, "PRJNA12345 ################################################## ").otherwise("")
     pre = F.regexp_replace(pre, "Lee et al., 2019", "Lee et al. 2019")
     df = docs(spark, d).select("doc_id", F.concat(pre, "text").alias("text"), F.lit("PRJNA 12345").alias("acc"))
     out = tx.citations_near(df, "doc_id", "text", "acc")
