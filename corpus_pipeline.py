@@ -7,12 +7,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from meadow.llm import mixing, simhash
+from meadow.llm import line_dedup, mixing, pieces, simhash, toxicity
 from meadow.llm.common import settle, table
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the network, trained on labelled documents among them, does not call toxic."""
+    return toxicity.keep_clean(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the lines that repeat, or nearly repeat, an earlier line of the corpus."""
+    return line_dedup.drop_repeats(docs)
+
+
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-copies the document with the smallest id stays."""
     return simhash.keep_one(docs)
@@ -23,9 +33,21 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mix(docs)
 
 
+def piece_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of each text, and whether decoding them gives the text again."""
+    proto = pieces.load()
+    rows = pieces.decode(pieces.encode(docs, proto, out="ids"), proto, out="decoded")
+    text = F.coalesce("text", F.lit(""))
+    return rows.select("doc_id", "lang", "source", "n_chars", "ids", F.size("ids").cast("long").alias("n_ids"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"), (F.col("decoded") == text).alias("round_trip"))
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", drop_toxic),
+    ("line_dedup", drop_repeated_lines),
     ("simhash_near_dedup", simhash_near_dedup),
     ("mix_sources", mix_sources),
+    ("sentencepiece", piece_ids),
 ]
 
 #: SimHash, trained scores and seeded hashes have no DuckDB form; tests compare the stages with brute force.
