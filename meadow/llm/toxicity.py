@@ -15,6 +15,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from meadow.llm.common import settle
+
 PIECE = 16  # bytes; a longer word is read as several pieces
 WINDOW, STRIDE = 32, 24
 SLOTS = 8192  # rows of either embedding
@@ -273,11 +275,12 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 1000, longest: int
     hash of the id, not held out, of at most `longest` characters. Only the training sample is bounded; scoring reads all."""
     known = labels.filter("toxic in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     known = known.filter(~held_out(F.col("doc_id")))
+    sizes = docs.select("doc_id", F.char_length("text").alias("n")).filter((F.col("n") <= longest) & (F.col("n") > 0))
+    drawn = sizes.join(known, "doc_id").withColumn("draw", F.xxhash64("doc_id", F.lit(seed))).select("doc_id", "toxic", "draw")
+    parts = [drawn.filter(F.col("toxic") == t).orderBy("draw", "doc_id").limit(per_class * (2 - t)) for t in (0, 1)]
+    ids = settle(parts[0].unionByName(parts[1]).distinct(), "sample")  # at most 3 * per_class rows
     usable = docs.select("doc_id", "text").filter((F.char_length("text") <= longest) & (F.char_length("text") > 0))
-    drawn = usable.join(known, "doc_id").withColumn("draw", F.xxhash64("doc_id", F.lit(seed)))
-    rows = [r for toxic in (0, 1) for r in drawn.filter(F.col("toxic") == toxic)
-            .orderBy("draw", "doc_id", "text").limit(per_class * (2 - toxic)).collect()]
-    rows.sort(key=lambda r: r["draw"])  # both labels mixed
+    rows = usable.join(F.broadcast(ids), "doc_id").orderBy("draw", "doc_id", "text").limit(3 * per_class).collect()
     return train([r["text"] for r in rows], np.array([r["toxic"] for r in rows], np.float32), seed=seed)
 
 
