@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from meadow.sources.tables import work_folder
@@ -10,6 +12,11 @@ from meadow.sources.tables import work_folder
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """An expression that names a value, so that it is computed once however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def settle(df: DataFrame, purpose: str = "table") -> DataFrame:
     """Write to the shared folder and read back: lineage is cut, and the planner knows the size."""
     spark = df.sparkSession
