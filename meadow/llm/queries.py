@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from meadow.llm import line_dedup, mixing, pieces, simhash, sketch, toxicity
+from meadow.llm import line_dedup, mixing, pieces, simhash, sketch, toxicity, warc
 from meadow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,6 +45,11 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", "taken", F.col("source"), "whole", "part")
 
 
+@query
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"), min_bytes=0).drop("url")
+
+
 @query
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_groups(table(spark, sf_dir, "documents"), threshold=0.8)
