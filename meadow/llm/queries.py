@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from meadow.llm import line_dedup, mixing, pieces, simhash, sketch, toxicity, warc
+from meadow.llm import line_dedup, mixing, pieces, simhash, sketch, token_store, toxicity, warc
 from meadow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,11 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketch.fingerprint_report(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_store.read(token_store.write(table(spark, sf_dir, "documents")))
+
+
 @query
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
