@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from meadow.llm import line_dedup, mixing, pieces, simhash, sketch, token_store, toxicity, warc
+from meadow.llm import line_dedup, mixing, pieces, pii, simhash, sketch, token_store, toxicity, warc
 from meadow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +18,11 @@ def query(fn: Callable) -> Callable:
     return fn
 
 
+@query
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.extract(table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents"), width=3, radius=2)

@@ -290,9 +290,15 @@ def score(docs: DataFrame, net: BiGru, threshold: float = 0.3) -> DataFrame:
     Null and empty texts get the score of an empty window. A text with a null id is scored and not held out. Repeated rows get equal scores; empty tables none.
     Without any labelled rows the network stays untrained, and scores say nothing.
     """
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            texts, at = pdf["text"].tolist(), 0
+    return docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), _scorer(net)("text").alias("score")).withColumn(
+        "predicted", (F.col("score") >= threshold).cast("int"))
+
+
+def _scorer(net: BiGru):
+    @F.pandas_udf("double")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            texts, at = texts.tolist(), 0
             scores = np.empty(len(texts))
             while at < len(texts):  # blocks of about a million characters
                 to, size = at, 0
@@ -301,21 +307,11 @@ def score(docs: DataFrame, net: BiGru, threshold: float = 0.3) -> DataFrame:
                     to += 1
                 scores[at:to] = net.score(texts[at:to])
                 at = to
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "score": np.round(scores, 6)})
+            yield pd.Series(np.round(scores, 6))
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    out = docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, score double")
-    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
-                      (F.col("score") >= threshold).cast("int").alias("predicted"))
+    return run
 
 
 def keep_clean(docs: DataFrame, net: BiGru, threshold: float = 0.3) -> DataFrame:
     """Document rows, all columns, whose score is below the threshold."""
-    @F.pandas_udf("double")
-    def of(texts: pd.Series) -> pd.Series:
-        out = []
-        for at in range(0, len(texts), 256):
-            out.append(net.score(texts.iloc[at:at + 256].tolist()))
-        return pd.Series(np.round(np.concatenate(out), 6) if out else [])
-
-    return docs.filter(of("text") < threshold)
+    return docs.filter(_scorer(net)("text") < threshold)
