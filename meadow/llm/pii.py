@@ -66,13 +66,23 @@ def coarse(s: str) -> str:
     return re.sub(r"9+", "9", shape(s))
 
 
+def may_be(s: str) -> int:
+    """Bits of the kinds that a candidate can be at all: an email has an @ inside, an ip four parts up to 255, a card 14 to 19
+    digits passing Luhn's check, a phone number 7 to 15 digits, and none of them letters (but the email)."""
+    digits = "".join(c for c in s if c in "0123456789")
+    plain = not any(c.isalpha() for c in s)
+    parts = s.split(".")
+    ip = len(parts) == 4 and all(p.isdecimal() and p.isascii() and len(p) < 4 and int(p) <= 255 for p in parts)
+    return (0 < s.find("@") < len(s) - 1) | ip << 1 | (plain and 14 <= len(digits) <= 19 and luhn(digits)) << 2 | (plain and 7 <= len(digits) <= 15) << 3
+
+
 LONGEST = 4  # tokens of a candidate
 _EDGE = ".,;:!?'\"<>[]{}"
 
 
-def occurrences(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int, str, list[str]]]:
-    """(start, end, kind or -1, string, patterns) of the seeds, and of candidates: runs of up to LONGEST tokens that all
-    hold a digit or an @, apart from the seeds. Patterns are a string's shape, and its coarse shape with the word
+def occurrences(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int, str, list[str], int]]:
+    """(start, end, kind or -1, string, patterns, kinds it may be) of the seeds, and of candidates: runs of up to LONGEST tokens that all
+    hold a digit or an @ and may be of some kind, apart from the seeds. Patterns are a string's shape, and its coarse shape with the word
     before it, the word behind it, or both; a seed beside it counts as its kind."""
     if not spans and not _DIGIT.search(text) and "@" not in text:
         return []
@@ -95,7 +105,7 @@ def occurrences(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int,
     out, at_token = [], [a for a, _ in tokens]
     for a, k, b in spans:
         i, j = bisect_right(at_token, a) - 1, bisect_left(at_token, b)
-        out.append((a, b, k, text[a:b], patterns(text[a:b], word(i - 1, -1), word(j, 1))))
+        out.append((a, b, k, text[a:b], patterns(text[a:b], word(i - 1, -1), word(j, 1)), 1 << k))
     free = [bool(_DIGIT.search(text, a, b)) or "@" in text[a:b] for a, b in tokens]
     for i, (a, _) in enumerate(tokens):
         if not free[i]:
@@ -107,14 +117,14 @@ def occurrences(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int,
             s = text[a:b].strip(_EDGE)
             start = text.index(s, a) if s else a
             k = bisect_left(taken, (start + len(s), 0))
-            if len(s) < 5 or len(s) > 80 or (k and max(e for _, e in taken[max(0, k - 4):k]) > start):
+            if len(s) < 5 or len(s) > 80 or (k and max(e for _, e in taken[max(0, k - 4):k]) > start) or not (kinds := may_be(s)):
                 continue
-            out.append((start, start + len(s), -1, s, patterns(s, word(i - 1, -1), word(j + 1, 1))))
+            out.append((start, start + len(s), -1, s, patterns(s, word(i - 1, -1), word(j + 1, 1)), kinds))
     return out
 
 
 _FIELDS = ("base_sha256 string, b_start array<int>, b_kind array<int>, b_end array<int>, o_start array<int>, o_end array<int>, "
-           "o_kind array<int>, o_text array<string>, o_patterns array<string>")
+           "o_kind array<int>, o_text array<string>, o_patterns array<string>, o_may array<int>")
 
 
 def scan(docs: DataFrame) -> DataFrame:
@@ -128,7 +138,7 @@ def scan(docs: DataFrame) -> DataFrame:
             occ = occurrences(text, base)
             said = ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in base)
             rows.append((hashlib.sha256(said.encode()).hexdigest(), *([x[i] for x in base] for i in range(3)), *([x[i] for x in occ] for i in range(4)),
-                         ["\x1f".join(x[4]) for x in occ]))
+                         ["\x1f".join(x[4]) for x in occ], [x[5] for x in occ]))
         return pd.DataFrame(rows, columns=[f.split()[0] for f in _FIELDS.split(", ")])
 
     return docs.select("doc_id", run("text").alias("_s")).select("doc_id", F.monotonically_increasing_id().alias("row"), "_s.*")
@@ -164,8 +174,8 @@ def extract(docs: DataFrame, rounds: int = 3, support: int = 3, confidence: floa
     repeated rows have equal results; an empty table gives no rows. Other columns are ignored.
     """
     at = settle(scan(docs), "occurrences")
-    one = at.select("row", F.explode(F.arrays_zip("o_start", "o_end", "o_kind", "o_text", "o_patterns")).alias("o")).select(
-        "row", "o.o_start", "o.o_end", F.when(F.col("o.o_kind") >= 0, F.col("o.o_kind")).alias("kind"), F.lower("o.o_text").alias("item"),
+    one = at.select("row", F.explode(F.arrays_zip("o_start", "o_end", "o_kind", "o_text", "o_patterns", "o_may")).alias("o")).select(
+        "row", "o.o_start", "o.o_end", F.when(F.col("o.o_kind") >= 0, F.col("o.o_kind")).alias("kind"), F.lower("o.o_text").alias("item"), "o.o_may",
         F.explode(F.split("o.o_patterns", "\x1f")).alias("pattern"))
     one = settle(one, "candidates")
     edges = settle(one.select("pattern", "item", "kind").distinct(), "edges")
@@ -173,7 +183,8 @@ def extract(docs: DataFrame, rounds: int = 3, support: int = 3, confidence: floa
     # A string that is a seed anywhere is not an unseen one elsewhere.
     edges = edges.filter("kind is not null").unionByName(edges.filter("kind is null").join(seen, "item", "left_anti"))
     patterns, items = score_graph(settle(edges, "graph"), rounds, support)
-    found = one.filter("kind is null").drop("kind").join(patterns.filter(F.col("confidence") >= confidence), "pattern")
+    found = one.filter("kind is null").drop("kind").join(patterns.filter(F.col("confidence") >= confidence), "pattern").filter(
+        F.getbit(F.col("o_may").cast("long"), F.col("kind")) == 1)
     sure = items.filter(F.col("score") >= score).select("item", "kind").unionByName(
         one.filter("kind is not null").select("item", "kind").distinct())
     found = found.join(sure.distinct(), ["item", "kind"], "left_semi").select("row", "o_start", "o_end", "kind").distinct()
