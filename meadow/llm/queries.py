@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from meadow.llm import line_dedup, mixing, pieces, pii, simhash, sketch, token_store, toxicity, warc
+from meadow.llm import line_dedup, mixing, pieces, pii, simhash, sketch, token_store, toxicity, vector_graph, warc
 from meadow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +38,11 @@ def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read(token_store.write(table(spark, sf_dir, "documents")))
 
 
+@query
+def op5_vector_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_graph.near_groups(table(spark, sf_dir, "embeddings"), radius=0.9)
+
+
 @query
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
