@@ -210,10 +210,11 @@ def _platt(odds: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(w[0] / spread), float(w[1] - w[0] * mid / spread)
 
 
-def train(texts: list[str], labels: np.ndarray, epochs: int = 8, batch: int = 256, rate: float = 0.01, seed: int = 42) -> BiGru:
+def train(texts: list[str], labels: np.ndarray, epochs: int = 8, steps: int = 300, batch: int = 256, rate: float = 0.01,
+          seed: int = 42) -> BiGru:
     """Adam on windows of labelled texts, then a calibration on every fourth text, which the network does not see.
 
-    In each epoch a label-1 text gives its two highest windows (in the first epoch up to four drawn ones); a label-0 text
+    Small samples get smaller batches and more epochs, `steps` steps about. In each epoch a label-1 text gives its two highest windows (in the first epoch up to four drawn ones); a label-0 text
     gives its three highest and two drawn ones. A third of the words' own embeddings is blanked in each step, so that the
     characters are learned too.
     """
@@ -225,7 +226,9 @@ def train(texts: list[str], labels: np.ndarray, epochs: int = 8, batch: int = 25
     y = labels[owner].astype(np.float32)
     learn = np.arange(len(texts)) % 4 != 3
     m1, m2 = ({k: np.zeros_like(v) for k, v in net.p.items()} for _ in range(2))
-    step = 0
+    step, size = 0, int((np.bincount(owner[learn[owner]], minlength=1).clip(0, 5)).sum())
+    batch = int(np.clip(size // 16, 16, batch))
+    epochs = int(np.clip(-(-steps * batch // max(size, 1)), epochs, 60))
     for epoch in range(epochs):
         chance = r.random(len(ids))
         rank = _rank_within(owner, chance)
