@@ -27,7 +27,7 @@ def sketch(text: Column, width: int = WIDTH, fraction: float = FRACTION) -> Colu
             F.array().cast("array<bigint>"))
 
     def kept(all_hashes: Column) -> Column:
-        low = F.array_sort(F.array_distinct(F.filter(all_hashes, cut)))
+        low = F.sort_array(F.array_distinct(F.filter(all_hashes, cut)))
         least = F.filter(F.array(F.array_min(F.transform(all_hashes, lambda h: F.shiftrightunsigned(h, 1)))), lambda h: h.isNotNull())
         return let(low, lambda k: F.when(F.size(k) > 0, k).otherwise(F.transform(least, lambda h: F.shiftleft(h, 1))))
 
@@ -37,7 +37,7 @@ def sketch(text: Column, width: int = WIDTH, fraction: float = FRACTION) -> Colu
 
 def merge(a: Column, b: Column) -> Column:
     """Sketch of the union of two documents' shingles."""
-    return F.array_sort(F.array_union(a, b))
+    return F.sort_array(F.array_union(a, b))
 
 
 def containment(a: Column, b: Column) -> Column:
