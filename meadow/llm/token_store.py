@@ -23,9 +23,9 @@ SHARD_IDS = 1 << 20  # a shard is closed when it has so many ids
 END_ID = 2
 HEAD = "<4sIIQIII"  # mark, symbol bytes, documents, ids, rules, symbols, first nonterminal
 MARK = b"RPG1"
-CACHE = 600_000  # words a worker remembers; emptied when full
+CACHE = 1_000_000  # words a worker remembers; emptied when full
 _SPLIT = "<|endoftext|>"
-_ODD = re.compile("[\x1c-\x1f]")  # white space to Python only
+_ODD = "\x1c\x1d\x1e\x1f"  # white space to Python only
 _STOP = re.compile(r"(?<=[a-z])([.,!]+)(?=[ \n]|\Z)")
 
 
@@ -37,6 +37,21 @@ def default_path() -> str:
 
 # --- Encoding ---
 
+def _words(text: str) -> list[str]:
+    """Words of a text, in ASCII texts in lower case and with the stop after a letter or digit as a word of its own."""
+    if not text.isascii():
+        return text.split()
+    c = np.frombuffer(text.encode(), np.uint8)
+    stop = _CLASS[c] == 1
+    if (stop[1:] & (_CLASS[c[:-1]] < 2)).any():  # a run of signs must stay whole
+        return _STOP.sub(r" \1", text.lower()).split()
+    return text.lower().replace(". ", " . ").replace(", ", " , ").replace(".\n", " .\n").split()
+
+
+#: 0 signs, 1 stops, 2 letters, digits and white space.
+_CLASS = np.array([1 if chr(i) in ".," else 2 * (chr(i).isalnum() or chr(i).isspace()) for i in range(128)], np.uint8)
+
+
 class Encoder:
     """Ids of texts by the tokenizer, whose pieces never cross white space; so each word is encoded once and remembered.
 
@@ -50,6 +65,9 @@ class Encoder:
             kept.clear()
             kept.update(spec=spec, words={}, model=tokenizers.Tokenizer.from_str(spec))
         self.words, self.model = kept["words"], kept["model"]
+        vocab = self.model.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends[[i for w, i in vocab.items() if w.endswith("</w>")]] = True
         special = sorted(self.model.get_added_tokens_decoder().items())
         self.split = next((i for i, t in special if t.content == _SPLIT), None)
         self.special = [t.content for _, t in special]
@@ -58,25 +76,42 @@ class Encoder:
         """Ids (uint32) of each text, without the end id."""
         plain, out = [], [None] * len(texts)
         for k, text in enumerate(texts):
-            if self.split is None or any(s in text for s in self.special) or _ODD.search(text):
+            if self.split is None or any(s in text for s in self.special) or any(c in text for c in _ODD):
                 out[k] = np.array(self.model.encode(text, add_special_tokens=False).ids, np.uint32)
             else:
-                plain.append((k, (_STOP.sub(r" \1", text.lower()) if text.isascii() else text).split()))
-        words = self.words
+                plain.append((k, _words(text)))
+        words, used = self.words, set()
         if len(words) > CACHE:
             words.clear()
-        new = list({w for _, ws in plain for w in ws if w not in words})
-        for at in range(0, len(new), 20000):
-            part = new[at:at + 20000]
-            ids = np.array(self.model.encode_batch_fast([_SPLIT.join(part)], add_special_tokens=False)[0].ids, np.uint32)
-            cut = np.flatnonzero(ids == self.split)
-            raw, marks = ids.tobytes(), [-1, *cut.tolist(), len(ids)]
-            for w, a, b in zip(part, marks, marks[1:], strict=False):
-                words[w] = raw[4 * a + 4:4 * b]
+        for _, ws in plain:
+            used.update(ws)
+        new = used.difference(words)
+        lone = [w for w in new if w.isascii() and w.isalpha() and w.islower()]  # one piece each, so its last token ends a word
+        self._learn(lone, " ", self.ends)
+        self._learn([w for w in new if w not in words], _SPLIT, None)
         for k, ws in plain:
-            out[k] = np.frombuffer(b"".join([words[w] for w in ws]), np.uint32)
+            out[k] = np.frombuffer(b"".join(map(words.__getitem__, ws)), np.uint32)
         return out
 
+    def _learn(self, new: list[str], between: str, ends: np.ndarray | None) -> None:
+        """Remember the ids of words encoded as one text; where `ends` is given, ids that end a word part them, else the
+        special token between them. Words of a block whose parts are not as many are encoded one by one."""
+        for at in range(0, len(new), 20000):
+            part = new[at:at + 20000]
+            ids = np.array(self.model.encode_batch_fast([between.join(part)], add_special_tokens=False)[0].ids, np.uint32)
+            if ends is not None:
+                stop = (np.flatnonzero(ends[ids]) + 1).tolist()
+                begin = [0, *stop[:-1]]
+            else:
+                cut = np.flatnonzero(ids == self.split)
+                begin, stop = [0, *(cut + 1).tolist()], [*cut.tolist(), len(ids)]
+            if len(stop) == len(part):
+                raw = ids.tobytes()
+                self.words.update((w, raw[4 * a:4 * b]) for w, a, b in zip(part, begin, stop, strict=True))
+            else:
+                for w in part:
+                    self.words[w] = np.array(self.model.encode(w, add_special_tokens=False).ids, np.uint32).tobytes()
+
 
 # --- Grammar ---
 
@@ -204,8 +239,8 @@ def write(docs: DataFrame, path: str | None = None, shard_ids: int = SHARD_IDS)
 
         for pdf in batches:
             part = int(pdf["_part"].iloc[0]) if len(pdf) else part
-            for at in range(0, len(pdf), 256):
-                block = pdf.iloc[at:at + 256]
+            for at in range(0, len(pdf), 1024):
+                block = pdf.iloc[at:at + 1024]
                 ids = [None if null else int(x) for x, null in zip(block["_id"], block["_no"], strict=True)]
                 for doc_id, x in zip(ids, coder.batch(block["_text"].tolist()), strict=True):
                     held.append((doc_id, np.r_[x, np.uint32(END_ID)]))
