@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from meadow.operators.kernels import exact_quantiles, running_total
+from meadow.operators.kernels import exact_quantiles
 from meadow.operators.table import with_share
 from meadow.functions.tails import p_absent
 
@@ -74,19 +76,38 @@ def phylo_entropy(ab: DataFrame, branch: DataFrame) -> DataFrame:
     return p.groupBy("sample_id").agg(F.sum(-F.col("share") * F.log("share") * F.col("depth")).alias("phylo_entropy"))
 
 
-def rarefy(ab: DataFrame, depth: int, seed: int = 42) -> DataFrame:
-    """Subsample each sample to `depth` reads without replacement; samples with fewer reads are left out.
+def rarefy(ab: DataFrame, depth: int, seed: int = 42, blocks: int = 64) -> DataFrame:
+    """Subsample each sample to `depth` reads without replacement; samples with fewer reads are returned unchanged.
 
-    Every read gets a seeded hash and the `depth` smallest are kept, so the result is the same for any partitioning.
-    Reads of one sample are ranked inside hash buckets with a running total, so a deep sample is many tasks.
+    Counts are taken as whole reads (fractions are cut off, cells without a read are left out). A sample's depth is dealt
+    over hash blocks of features by a multivariate hypergeometric draw, then over the features of a block by another,
+    so there is no row per read and a wide sample is many groups. Draws are seeded by sample, block and `seed` alone.
     """
-    deep = ab.groupBy("sample_id").agg(F.sum("count").alias("t")).filter(F.col("t") >= depth)
-    reads = (ab.join(deep, "sample_id", "left_semi")
-             .select("sample_id", "feature_id", F.explode(F.sequence(F.lit(1), F.col("count").cast("int"))).alias("i")))
-    reads = reads.withColumn("_h", F.xxhash64("sample_id", "feature_id", "i", F.lit(seed))).withColumn("_w", F.lit(1))
-    run = running_total(reads, ["sample_id"], "_h", "_w", "_k", F.shiftright("_h", 56))
-    return (run.filter(F.col("_k") <= depth).groupBy("sample_id", "feature_id")
-            .agg(F.count(F.lit(1)).cast("double").alias("count")))
+    whole = ab.select("sample_id", "feature_id", F.floor("count").cast("long").alias("n")).filter("n > 0")
+    whole = whole.withColumn("block", F.pmod(F.xxhash64("feature_id"), F.lit(blocks)).cast("int"))
+    sums = whole.groupBy("sample_id", "block").agg(F.sum("n").alias("n"))
+    per = sums.groupBy("sample_id").agg(F.sort_array(F.collect_list(F.struct("block", "n"))).alias("b"), F.sum("n").alias("t"))
+    rng = F.xxhash64("sample_id", F.lit(seed))
+
+    @F.pandas_udf(T.ArrayType(T.LongType()))
+    def deal(counts: pd.Series, key: pd.Series) -> pd.Series:
+        draw = lambda c, k: np.random.default_rng(k % 2**63).multivariate_hypergeometric(np.asarray(c, np.int64), min(depth, int(np.sum(c))), method="marginals")
+        return pd.Series([draw(c, k) for c, k in zip(counts, key)])
+
+    share = per.withColumn("d", deal(F.transform("b", lambda x: x["n"]), rng))
+    share = share.select("sample_id", F.explode(F.arrays_zip(F.transform("b", lambda x: x["block"]).alias("block"), F.col("d"))).alias("x")).select(
+        "sample_id", "x.block", F.col("x.d").alias("d"))
+    cells = whole.groupBy("sample_id", "block").agg(F.sort_array(F.collect_list(F.struct("feature_id", "n"))).alias("c"))
+
+    @F.pandas_udf(T.ArrayType(T.LongType()))
+    def inside(counts: pd.Series, size: pd.Series, key: pd.Series) -> pd.Series:
+        draw = lambda c, d, k: np.random.default_rng(k % 2**63).multivariate_hypergeometric(np.asarray(c, np.int64), int(d), method="marginals")
+        return pd.Series([draw(c, d, k) for c, d, k in zip(counts, size, key)])
+
+    j = cells.join(share, ["sample_id", "block"])
+    j = j.withColumn("k", inside(F.transform("c", lambda x: x["n"]), "d", F.xxhash64("sample_id", "block", F.lit(seed))))
+    out = j.select("sample_id", F.explode(F.arrays_zip(F.transform("c", lambda x: x["feature_id"]).alias("f"), F.col("k"))).alias("x"))
+    return out.select("sample_id", F.col("x.f").alias("feature_id"), F.col("x.k").cast("double").alias("count")).filter("count > 0")
 
 
 def rarefaction_curve(ab: DataFrame, depths: list[int]) -> DataFrame:

@@ -100,9 +100,10 @@ def column_distance(meta: DataFrame, col: str) -> DataFrame:
     return _joined(all_pairs(m, "sample_id"), m, [col]).select("a", "b", F.abs(F.col(f"{col}_a") - F.col(f"{col}_b")).alias("d"))
 
 
-def permanova_labels(labels: DataFrame, group: str = "group") -> DataFrame:
-    """Null label = Unknown; groups under two members are dropped."""
-    l = labels.select("sample_id", F.coalesce(F.col(group).cast("string"), F.lit("Unknown")).alias("group"))
+def permanova_labels(labels: DataFrame, dist: DataFrame, group: str = "group") -> DataFrame:
+    """Labels of the samples in the distance table; null label = Unknown; groups under two members are dropped."""
+    ids = dist.select(F.explode(F.array("a", "b")).alias("sample_id")).distinct()
+    l = labels.join(ids, "sample_id", "left_semi").select("sample_id", F.coalesce(F.col(group).cast("string"), F.lit("Unknown")).alias("group"))
     ok = l.groupBy("group").agg(F.count(F.lit(1)).alias("c")).filter("c >= 2")
     return l.join(small(ok), "group", "left_semi")
 
@@ -110,7 +111,8 @@ def permanova_labels(labels: DataFrame, group: str = "group") -> DataFrame:
 def permanova(dist: DataFrame, labels: DataFrame, reps: int = 99, seed: int = 42) -> DataFrame:
     """pseudo_f, r2, p_value, n, k. Every task adds the within-group sums of its pairs for all permutations in Arrow
     batches; one row of sums per task is reduced."""
-    lab = permanova_labels(labels)
+    dist = cut_lineage(dist)
+    lab = cut_lineage(permanova_labels(labels, dist))
     codes, sizes = permuted_codes(lab, "sample_id", "group", reps, seed)
     n, k = sum(c for _, c in sizes), len(sizes)
     weight = np.array([1.0 / c for _, c in sizes])
@@ -140,7 +142,8 @@ def permanova(dist: DataFrame, labels: DataFrame, reps: int = 99, seed: int = 42
 
 def centroid_distances(dist: DataFrame, labels: DataFrame) -> DataFrame:
     """sample_id, group, distance to the group centroid, from pair sums: d2(i, c) = mean_j d2(i, j) - half the group mean."""
-    lab = permanova_labels(labels)
+    dist = cut_lineage(dist)
+    lab = cut_lineage(permanova_labels(labels, dist))
     l = small(lab)
     j = dist.join(l.select(F.col("sample_id").alias("a"), F.col("group").alias("ga")), "a").join(
         l.select(F.col("sample_id").alias("b"), F.col("group").alias("gb")), "b").filter("ga = gb")
@@ -217,11 +220,11 @@ def distance_decay(dist: DataFrame, sites: DataFrame) -> DataFrame:
                                          F.corr("d", "km").alias("r"), F.count(F.lit(1)).alias("n_pairs"))
 
 
-def pcoa(dist: DataFrame, k: int = 3, rounds: int = 15, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+def pcoa(dist: DataFrame, k: int = 3, rounds: int = 300, seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """(sample_id, axes array), (axis, eigenvalue, proportion) of the double-centred matrix.
 
     Block power iteration: Spark multiplies the pair table with the sample x k block; the driver only sees k x k sums.
-    Stops when the leading values settle, or after `rounds`; flat spectra need more rounds for the same digits.
+    Stops when the leading values settle (relative change under 1e-7); raises if `rounds` are not enough for that.
     """
     sym = cut_lineage(dist.select("a", "b", (-0.5 * F.col("d") ** 2).alias("w")))
     both = sym.unionByName(sym.select(F.col("b").alias("a"), F.col("a").alias("b"), "w"))
@@ -273,6 +276,8 @@ def pcoa(dist: DataFrame, k: int = 3, rounds: int = 15, seed: int = 42) -> tuple
         if prev is not None and np.allclose(values[:k], prev[:k], rtol=1e-7, atol=1e-12):
             break
         prev = values
+    else:
+        raise RuntimeError(f"pcoa: values not settled after {rounds} rounds, last change {float(np.max(np.abs(values[:k] - prev[:k]))):.3g}")
     ready = block.select("id", rotate("v", vec).alias("v"))
     scale = np.sqrt(np.maximum(values[:k], 0.0))
     coords = ready.select(F.col("id").alias("sample_id"), F.array(*[F.get("v", F.lit(i)) * float(scale[i]) for i in range(k)]).alias("axes"))

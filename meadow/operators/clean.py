@@ -201,17 +201,39 @@ DATE_LAYOUTS = [
 _PRECISION_FORMAT = {"day": "yyyy-MM-dd", "month": "yyyy-MM", "year": "yyyy"}
 
 
+# Month names.
+MONTHS = ["january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december"]
+
+
+def _named_month(s: Column) -> Column:
+    """Timestamp of day, month name, year in either order, or of month name and year; full or three-letter names."""
+    def month(name: Column) -> Column:
+        n = F.lower(name)
+        return F.coalesce(*[F.when(n.isin(m, m[:3]), F.lit(i)) for i, m in enumerate(MONTHS, 1)])
+
+    def made(pattern: str, day: int | None, name: int, year: int) -> Column:
+        part = lambda i: F.regexp_extract(s, pattern, i)
+        text = F.concat_ws("-", part(year), month(part(name)), part(day) if day else F.lit("1"))
+        return F.when(s.rlike(pattern) & month(part(name)).isNotNull(), F.try_to_timestamp(text, F.lit("yyyy-M-d")))
+
+    return F.coalesce(made(r"^(\d{1,2})[- /]([A-Za-z]{3,9})[- /,]+(\d{4})$", 1, 2, 3),
+                      made(r"^([A-Za-z]{3,9})[- ](\d{1,2}),? (\d{4})$", 2, 1, 3), made(r"^([A-Za-z]{3,9})[- /](\d{4})$", None, 1, 2))
+
+
 def date_of(col: Column) -> Column:
-    """Timestamp of a date text in one of the accepted layouts, or of an ISO date-time; null when not a date."""
+    """Timestamp of a date text in one of the accepted layouts, of an ISO date-time (with or without seconds, fractions and
+    zone; the date and time as written), or with a month name; null when not a date."""
     s = F.trim(col)
     tries = [F.when(s.rlike(p), F.try_to_timestamp(s, F.lit(f))) for p, f, _ in DATE_LAYOUTS]
-    iso = F.when(s.rlike(r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}$"),
-                 F.try_to_timestamp(F.replace(s, F.lit("T"), F.lit(" ")), F.lit("yyyy-MM-dd HH:mm:ss")))
-    return F.coalesce(*tries, iso)
+    clock = F.replace(s, F.lit("T"), F.lit(" "))
+    zone = r"(\.\d+)?\s*(Z|[+-]\d{2}:?\d{2})?$"
+    iso = F.when(s.rlike(r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}" + zone), F.try_to_timestamp(F.substring(clock, 1, 19), F.lit("yyyy-MM-dd HH:mm:ss")))
+    short = F.when(s.rlike(r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}\s*(Z|[+-]\d{2}:?\d{2})?$"), F.try_to_timestamp(F.substring(clock, 1, 16), F.lit("yyyy-MM-dd HH:mm")))
+    return F.coalesce(*tries, iso, short, _named_month(s))
 
 
 def standardize_dates(df: DataFrame, cols: list[str] | None = None, min_parsed: float = 0.1) -> DataFrame:
-    """Date-like text columns to yyyy-MM-dd when at least min_parsed of their values are dates."""
+    """Date-like text columns to yyyy-MM-dd when at least min_parsed of their values are dates; other values stay as they are."""
     marks = ("date", "time", "temporal", "year", "month", "day")
     types = dict(df.dtypes)
     cols = cols or [c for c in df.columns if any(m in c.lower() for m in marks)]
@@ -223,7 +245,7 @@ def standardize_dates(df: DataFrame, cols: list[str] | None = None, min_parsed:
                      *[F.count(date_of(F.col(c))).alias(f"p_{c}") for c in text]).first()
         for c in text:
             if row[f"p_{c}"] > 0 and row[f"p_{c}"] >= row[f"n_{c}"] * min_parsed:
-                out[c] = F.date_format(date_of(F.col(c)), "yyyy-MM-dd")
+                out[c] = F.coalesce(F.date_format(date_of(F.col(c)), "yyyy-MM-dd"), F.col(c))
     return df.withColumns(out) if out else df
 
 
@@ -417,23 +439,35 @@ def aggregate_runs(df: DataFrame, key: str, order: str, list_cols: list[str], me
                                *[F.avg(c).alias(c) for c in mean_cols], *first)
 
 
-def suggest_value_merges(df: DataFrame, cols: list[str], threshold: float = 0.9, max_unique: int = 100) -> DataFrame:
-    """column, value, target: similar values map to the most frequent one.
+def suggest_value_merges(df: DataFrame, cols: list[str], threshold: float = 0.9) -> DataFrame:
+    """column, value, target: similar lower-cased values map to the most frequent one.
 
-    As in the reference only columns with at most max_unique values are compared, so pairs per column are bounded.
+    Two values within e edits share, if the shorter is cut into e + 1 even pieces, one piece at a place that is at most e off.
+    So values meet by (column, length, piece, its text); any number of values per column is compared without a cap.
     """
-    long = df.select([F.trim(F.col(c).cast("string")).alias(c) for c in cols]).unpivot([], cols, "column", "value")
+    long = df.select([F.lower(F.trim(F.col(c).cast("string"))).alias(c) for c in cols]).unpivot([], cols, "column", "value")
     counts = long.filter("value is not null and value <> ''").groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    ok = counts.groupBy("column").agg(F.count(F.lit(1)).alias("u")).filter(F.col("u") <= max_unique)
-    a = counts.join(ok, "column", "left_semi")
-    b = a.select("column", F.col("value").alias("target"), F.col("n").alias("m"))
-    longer = F.greatest(F.length("value"), F.length("target"))
-    close = ((F.col("value") != F.col("target"))
-             & (1 - F.levenshtein("value", "target") / longer >= threshold)
-             & ((F.col("m") > F.col("n")) | ((F.col("m") == F.col("n")) & (F.col("target") < F.col("value")))))
-    best = a.join(b, "column").filter(close).groupBy("column", "value").agg(
-        F.min_by("target", F.struct(-F.col("m"), F.col("target"))).alias("target"))
-    return best
+    counts = counts.withColumn("len", F.length("value"))
+    slack = 1 - threshold
+    most = lambda n: F.floor(n / threshold * slack + 1e-9).cast("int")  # edits from a value of length n to a longer one
+    cut = lambda n, i: F.floor(n * i / (most(n) + 1)).cast("int")
+    piece = F.explode(F.sequence(F.lit(0), most(F.col("len")))).alias("i")
+    short = counts.select("*", piece).withColumn("lo", cut(F.col("len"), F.col("i")))
+    short = short.select("column", F.col("len").alias("m"), "i", F.expr("substring(value, lo + 1)").alias("_rest"), "value", "n",
+                         (cut(F.col("len"), F.col("i") + 1) - F.col("lo")).alias("_w"))
+    short = short.select("column", "m", "i", F.expr("left(_rest, _w)").alias("piece"), F.col("value").alias("s"), F.col("n").alias("ns"))
+    reach = F.explode(F.sequence(F.greatest(F.lit(1), F.ceil(F.col("len") * threshold - 1e-9).cast("int")), F.col("len"))).alias("m")
+    wide = counts.select("*", reach).select("*", F.explode(F.sequence(F.lit(0), most(F.col("m")))).alias("i"))
+    wide = wide.select("*", F.explode(F.sequence(-most(F.col("m")), most(F.col("m")))).alias("off")).withColumn("lo", cut(F.col("m"), F.col("i")) + F.col("off"))
+    wide = wide.withColumn("_w", cut(F.col("m"), F.col("i") + 1) - cut(F.col("m"), F.col("i"))).filter("lo >= 0 and lo + _w <= len")
+    wide = wide.select("column", "m", "i", F.expr("substring(value, lo + 1, _w)").alias("piece"), F.col("value").alias("t"), F.col("n").alias("nt"))
+    met = short.join(wide, ["column", "m", "i", "piece"]).filter("s <> t").select("column", "s", "ns", "t", "nt").distinct()
+    longer = F.greatest(F.length("s"), F.length("t"))
+    near = met.filter(1 - F.levenshtein("s", "t") / longer >= threshold)
+    up = (F.col("nt") > F.col("ns")) | ((F.col("nt") == F.col("ns")) & (F.col("t") < F.col("s")))
+    moves = near.select("column", F.when(up, F.col("s")).otherwise(F.col("t")).alias("value"), F.when(up, F.col("t")).otherwise(F.col("s")).alias("target"),
+                        F.greatest("ns", "nt").alias("m"))
+    return moves.groupBy("column", "value").agg(F.min_by("target", F.struct(-F.col("m"), F.col("target"))).alias("target"))
 
 
 # Accession shapes in the order they are tried.

@@ -154,7 +154,7 @@ def borrow_from_nearby(samples: DataFrame, archive: DataFrame, km: float, fields
     return j.select(*samples.columns, F.col("best.archive_id").alias("donor"), *fill)
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """node, component (smallest node id) of undirected edges(src, dst).
 
     Each round takes the smallest label among neighbours and then follows the label's own label, so long chains close in
@@ -163,7 +163,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     both = edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct()
     both = cut_lineage(both.filter("src <> dst"))
     lab = cut_lineage(both.groupBy(F.col("src").alias("node")).agg(F.least(F.min("dst"), F.col("node")).alias("component")))
-    for _ in range(max_rounds):
+    while True:
         step = (both.join(lab.select(F.col("node").alias("dst"), "component"), "dst").groupBy(F.col("src").alias("node"))
                 .agg(F.min("component").alias("c")))
         new = lab.join(step, "node").select("node", F.least("component", "c").alias("component"), F.col("component").alias("old"))

@@ -28,10 +28,11 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(n) if df.rdd.getNumPartitions() < n else df
 
 
-def value_bucket(value: Column, per_octave: int = 8) -> Column:
-    """A whole number that never falls when value grows: signed, `per_octave` steps in each power of two."""
+def value_bucket(value: Column, per_octave: int = 1024) -> Column:
+    """A whole number that never falls when value grows: signed, `per_octave` steps in each power of two, so that values
+    of a narrow range (shares, p values, dates) still fall into many buckets."""
     v = value.cast("double")
-    step = lambda x: F.floor(F.log2(x) * per_octave) + 100_000
+    step = lambda x: F.floor(F.log2(x) * per_octave) + 10_000_000
     return F.when(v > 0, step(v)).when(v < 0, -step(-v)).otherwise(F.lit(0)).cast("long")
 
 

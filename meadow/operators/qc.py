@@ -274,11 +274,13 @@ def environment_match(ab: DataFrame, feature_meta: DataFrame, meta: DataFrame, e
 
 
 def human_fraction(ab: DataFrame, feature_meta: DataFrame, threshold: float = 0.05, genera: list[str] = HUMAN_ASSOCIATED) -> DataFrame:
-    """NONE, LOW, MEDIUM, HIGH share of human-associated genera at 5, 15, 30 %."""
+    """NONE, LOW, MEDIUM, HIGH share of human-associated genera in all counts at 5, 15, 30 %; UNKNOWN without counts. Features
+    without metadata count as not human."""
     h = feature_meta.select("feature_id", F.coalesce(F.col("genus").isin(genera), F.lit(False)).alias("human"))
-    g = ab.join(h, "feature_id").groupBy("sample_id").agg((F.sum(F.when(F.col("human"), F.col("count")).otherwise(0.0)) / F.sum("count")).alias("f"))
+    g = ab.join(h, "feature_id", "left").groupBy("sample_id").agg(
+        F.try_divide(F.sum(F.when(F.col("human"), F.col("count")).otherwise(0.0)), F.sum("count")).alias("f"))
     f = F.col("f")
-    return g.select("sample_id", f.alias("human_fraction"), F.when(f < threshold, "NONE").when(f < 0.15, "LOW").when(f < 0.30, "MEDIUM").otherwise("HIGH").alias("human_contamination"))
+    return g.select("sample_id", f.alias("human_fraction"), F.when(f.isNull(), "UNKNOWN").when(f < threshold, "NONE").when(f < 0.15, "LOW").when(f < 0.30, "MEDIUM").otherwise("HIGH").alias("human_contamination"))
 
 
 def region_length_check(ab: DataFrame, feature_meta: DataFrame, meta: DataFrame, region: str = "region", ranges: dict = REGION_LENGTHS) -> DataFrame:
@@ -544,7 +546,7 @@ def trimming_check(before: DataFrame, after: DataFrame, primers: dict[str, str],
     whether it is within 10 bases of the first primer's length."""
     p = primer_frequencies(before, primers, window).select("run_id", "primer", F.col("forward_5prime").alias("before"))
     q = primer_frequencies(after, primers, window).select("run_id", "primer", F.col("forward_5prime").alias("after"))
-    lengths = lambda d, n: exact_quantiles(d.select("run_id", F.length("seq").cast("double").alias("l")).distinct(), ["run_id"], "l", {n: 0.5})
+    lengths = lambda d, n: exact_quantiles(d.select("run_id", F.length("seq").cast("double").alias("l")), ["run_id"], "l", {n: 0.5})
     shift = lengths(before, "m0").join(lengths(after, "m1"), "run_id").select("run_id", (F.col("m0") - F.col("m1")).alias("length_shift"))
     goal = len(next(iter(primers.values())))
     status = F.when(F.col("after") < F.col("before") * 0.1, "PASS").when(F.col("after") < F.col("before") * 0.5, "WARNING").otherwise("FAIL")

@@ -208,13 +208,13 @@ def spearman_features(ab: DataFrame, meta: DataFrame, target: str, value: str =
 
 
 def adjust_p(df: DataFrame, p: str = "p_value", method: str = "fdr_bh", strata: list[str] = (), out: str = "p_adj") -> DataFrame:
-    """Bonferroni, Sidak, Holm, BH or BY adjusted p per stratum; null p stays null and does not count.
+    """Bonferroni, Sidak, Holm, BH or BY adjusted p per stratum; null and NaN p become null and do not count.
 
     Equal p values share one histogram row. Ranks come from bucketed running totals and the running extreme is taken in
     two levels (inside a bucket, then over bucket extremes), so no window holds a whole stratum.
     """
     keys = list(strata)
-    df = cut_lineage(df)
+    df = cut_lineage(df.withColumn(p, F.nanvl(F.col(p).cast("double"), F.lit(None).cast("double"))))
     known = df.filter(F.col(p).isNotNull())
     hist = known.groupBy(*keys, F.col(p).alias("_p")).agg(F.count(F.lit(1)).alias("_c"))
     size = hist.groupBy(*keys).agg(F.sum("_c").alias("_m"))
@@ -271,7 +271,8 @@ def compare_corrections(df: DataFrame, p: str = "p_value", alpha: float = 0.05)
 def hierarchical_fdr(tests: DataFrame, alpha: float = 0.05, p: str = "p_value") -> DataFrame:
     """tests(node, parent, p_value): BH inside the root family, then inside the children of each rejected node.
 
-    A family is the children of one parent; one pass per tree level, each pass one partitioned adjustment.
+    A family is the children of one parent; one pass per tree level, each pass one partitioned adjustment. A cycle of
+    parents is not reachable from a root; a node that was decided is not decided again, so the passes end.
     """
     root = F.lit("") if dict(tests.dtypes)["parent"] == "string" else F.lit(-1)
     family = tests.filter("parent is null").withColumn("parent", root)
@@ -282,7 +283,7 @@ def hierarchical_fdr(tests: DataFrame, alpha: float = 0.05, p: str = "p_value")
         out = level.select("node", "rejected")
         done = out if done is None else done.unionByName(out)
         hit = level.filter("rejected").select(F.col("node").alias("parent"))
-        family = rest.join(hit, "parent", "left_semi")
+        family = rest.join(hit, "parent", "left_semi").join(done.select("node"), "node", "left_anti")
         if family.isEmpty():
             break
     return tests.join(done, "node", "left").select("node", F.coalesce("rejected", F.lit(False)).alias("rejected"))

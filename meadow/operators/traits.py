@@ -225,11 +225,11 @@ def niche_breadth(ab: DataFrame, meta: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def ecotypes(ab: DataFrame, meta: DataFrame, cols: list[str], max_k: int = 4, min_prevalence: float = 0.05, min_silhouette: float = 0.2,
-             rounds: int = 8, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+             seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """(feature_id, k, ecotype, size, prevalence, silhouette), (feature_id, sample_id, ecotype).
 
-    Samples of a feature are clustered on scaled metadata. Lloyd rounds run for all features and all k at once: rows meet
-    the few centroids of their (feature, k), pick the nearest, and are averaged (a partial aggregate), so a feature present
+    Samples of a feature are clustered on scaled metadata. Lloyd rounds run for all features and all k at once until no centroid
+    moves; a feature whose centroids stay is left out of further rounds. Rows meet the few centroids of their (feature, k), pick the nearest, and are averaged (a partial aggregate), so a feature present
     everywhere is spread over tasks. Silhouettes use centroids; the best k at or above min_silhouette stays.
     """
     stats = meta.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)], *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(cols)]).first()
@@ -249,10 +249,20 @@ def ecotypes(ab: DataFrame, meta: DataFrame, cols: list[str], max_k: int = 4, mi
     dists = F.transform("cs", lambda c, i: F.struct(d2(F.col("x"), c).alias("d"), i.alias("i")))
     joined = lambda cs: rows.join(cs, "feature_id").withColumn("ds", dists)
 
-    for _ in range(rounds):
-        near = joined(cen).select("feature_id", "k", "x", F.array_min("ds")["i"].alias("i"))
-        new = near.groupBy("feature_id", "k", "i").agg(F.array(*[F.avg(F.get("x", F.lit(i))) for i in range(dim)]).alias("c"))
-        cen = cut_lineage(new.groupBy("feature_id", "k").agg(F.array_sort(F.collect_list("c")).alias("cs")))
+    moving, settled = cen, None
+    while True:
+        near = joined(moving).select("feature_id", "k", "x", F.array_min("ds")["i"].alias("i"))
+        # Means are cut to nine digits, so that the order of a sum cannot keep a centroid moving.
+        new = near.groupBy("feature_id", "k", "i").agg(F.array(*[F.round(F.avg(F.get("x", F.lit(i))), 9) for i in range(dim)]).alias("c"))
+        new = new.groupBy("feature_id", "k").agg(F.array_sort(F.collect_list("c")).alias("cs"))
+        old = moving.select("feature_id", "k", F.col("cs").alias("was"))
+        new = cut_lineage(new.join(old, ["feature_id", "k"]).select("feature_id", "k", "cs", (F.col("cs") == F.col("was")).alias("same")))
+        still = new.filter("same").drop("same")
+        settled = still if settled is None else settled.unionByName(still)
+        moving = new.filter("not same").drop("same")
+        if moving.isEmpty():
+            break
+    cen = cut_lineage(settled)
     two = F.array_sort("ds")
     out = cut_lineage(joined(cen).filter(F.size("cs") > 1).select("feature_id", "k", "sample_id", F.get(two, F.lit(0)).alias("a"), F.get(two, F.lit(1)).alias("b")))
     da, db = F.sqrt("a.d"), F.sqrt("b.d")

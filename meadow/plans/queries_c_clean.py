@@ -112,7 +112,7 @@ def D():
 DSQL = "(DATE '2019-01-01' + CAST(c_custkey % 700 AS INTEGER))"
 
 
-@query("c10_standardize_dates", f"""SELECT c_custkey, CASE WHEN c_custkey % 4 = 3 THEN NULL WHEN c_custkey % 4 = 2 THEN strftime({DSQL}, '%Y-01-01')
+@query("c10_standardize_dates", f"""SELECT c_custkey, CASE WHEN c_custkey % 4 = 3 THEN 'not known' WHEN c_custkey % 4 = 2 THEN strftime({DSQL}, '%Y-01-01')
 ELSE strftime({DSQL}, '%Y-%m-%d') END AS collection_date, 'x' || c_custkey AS note_time FROM customer""")
 def c10(spark, d):
     s = (F.when(K() % 4 == 0, F.date_format(D(), "yyyy-MM-dd")).when(K() % 4 == 1, F.date_format(D(), "MM/dd/yyyy"))
@@ -121,6 +121,16 @@ def c10(spark, d):
     return cl.standardize_dates(df)
 
 
+@query("c10_archive_dates", f"""SELECT c_custkey, CASE WHEN c_custkey % 8 = 7 THEN 'autumn' WHEN c_custkey % 8 = 6 THEN strftime({DSQL}, '%Y-%m-01') ELSE strftime({DSQL}, '%Y-%m-%d') END AS collection_date FROM customer""")
+def c10_archive(spark, d):
+    """Layouts of archive metadata: zones, minutes, fractions, month names; text that is no date stays."""
+    iso, k = F.date_format(D(), "yyyy-MM-dd"), K() % 8
+    s = (F.when(k == 0, F.concat(iso, F.lit("T10:00:00Z"))).when(k == 1, F.concat(iso, F.lit("T10:00"))).when(k == 2, F.concat(iso, F.lit(" 10:00:00.5")))
+         .when(k == 3, F.date_format(D(), "dd-MMM-yyyy")).when(k == 4, F.date_format(D(), "d MMMM yyyy")).when(k == 5, F.concat(iso, F.lit("T10:00:00+02:00")))
+         .when(k == 6, F.date_format(D(), "MMM-yyyy")).otherwise("autumn"))
+    return cl.standardize_dates(customers(spark, d).select("c_custkey", s.alias("collection_date")))
+
+
 @query("c11_parse_date_precision", f"""SELECT c_custkey, CASE c_custkey % 5 WHEN 0 THEN strftime({DSQL}, '%Y-%m-%d') WHEN 1 THEN strftime({DSQL}, '%Y-%m-%d')
 WHEN 2 THEN strftime({DSQL}, '%Y-%m') WHEN 3 THEN strftime({DSQL}, '%Y') END AS value,
 CASE c_custkey % 5 WHEN 0 THEN 'day' WHEN 1 THEN 'day' WHEN 2 THEN 'month' WHEN 3 THEN 'year' ELSE 'unknown' END AS precision FROM customer""")
@@ -208,14 +218,25 @@ def c18(spark, d):
     return out.select("o_custkey", F.concat_ws("|", "priorities").alias("priorities"), r6("price").alias("price"), "status")
 
 
-@query("c19_suggest_value_merges", """WITH v AS (SELECT c_mktsegment || CASE WHEN c_custkey % 10 = 0 THEN ' GROUPZ' ELSE ' GROUPS' END AS value FROM customer),
+MERGES = """
 c AS (SELECT value, COUNT(*) AS n FROM v GROUP BY 1),
 p AS (SELECT a.value, b.value AS target, b.n FROM c a JOIN c b ON a.value <> b.value AND (b.n > a.n OR (b.n = a.n AND b.value < a.value))
  AND 1 - levenshtein(a.value, b.value) / GREATEST(LENGTH(a.value), LENGTH(b.value)) >= 0.9)
-SELECT 'segment' AS "column", value, ARG_MAX(target, n) AS target FROM p GROUP BY value""")
+SELECT 'segment' AS "column", value, (ARRAY_AGG(target ORDER BY n DESC, target))[1] AS target FROM p GROUP BY value"""
+
+
+@query("c19_suggest_value_merges", """WITH v AS (SELECT LOWER(c_mktsegment) || CASE WHEN c_custkey % 10 = 0 THEN ' groupz' ELSE ' groups' END AS value FROM customer),""" + MERGES)
 def c19(spark, d):
     v = F.concat("c_mktsegment", F.when(K() % 10 == 0, " GROUPZ").otherwise(" GROUPS"))
-    return cl.suggest_value_merges(customers(spark, d).select(v.alias("segment"), "c_name"), ["segment", "c_name"])
+    return cl.suggest_value_merges(customers(spark, d).select(v.alias("segment")), ["segment"])
+
+
+@query("c19_case", """WITH v AS (SELECT LOWER(c_mktsegment) || ' site ' || (c_custkey % 150) AS value FROM customer),""" + MERGES)
+def c19_case(spark, d):
+    """Mixed case, and more values than any cap on them would let through."""
+    v = F.concat("c_mktsegment", F.lit(" Site "), (K() % 150).cast("string"))
+    v = F.when(K() % 3 == 0, F.lower(v)).when(K() % 3 == 1, F.upper(v)).otherwise(v)
+    return cl.suggest_value_merges(customers(spark, d).select(v.alias("segment")), ["segment"])
 
 
 ACC = [("SAMEA1234567", "SAMEA", 1.0), (" samn123 ", "SAMN", 0.7), ("SRR123456", "SRR", 1.0), ("PRJNA9", "PRJNA", 1.0), ("ERR1", "ERR", 0.7),

@@ -161,6 +161,13 @@ def e15(spark, d):
     return rounded(qc.human_fraction(fx.abundance(spark, d), taxa(spark, d)))
 
 
+@query("e15_human_fraction_unannotated", cte("ab", tx=TAXA, g=f"SELECT sample_id, SUM(CASE WHEN feature_id % 2 = 0 AND {HUMAN} THEN count ELSE 0 END)/SUM(count) AS f FROM ab JOIN tx USING (feature_id) GROUP BY 1") + f"""
+SELECT sample_id, {q6('f')} AS human_fraction, CASE WHEN f < 0.05 THEN 'NONE' WHEN f < 0.15 THEN 'LOW' WHEN f < 0.3 THEN 'MEDIUM' ELSE 'HIGH' END AS human_contamination FROM g""")
+def e15_unannotated(spark, d):
+    """Every second feature has no metadata; its counts stay in the total."""
+    return rounded(qc.human_fraction(fx.abundance(spark, d), taxa(spark, d).filter("feature_id % 2 = 0")))
+
+
 @query("e16_region_length_check", cte("ab", tx=TAXA, g="SELECT sample_id, quantile_cont(len, 0.5) AS m FROM ab JOIN tx USING (feature_id) GROUP BY 1") + f"""
 , c AS (SELECT c_custkey AS sample_id, CASE c_custkey % 3 WHEN 0 THEN 'V4' WHEN 1 THEN 'V1-V2' END AS r FROM customer)
 SELECT sample_id, {q6('m')} AS median_length, CASE WHEN r IS NULL OR m IS NULL THEN 'UNKNOWN' WHEN r = 'V4' AND m BETWEEN 240 AND 280 THEN 'PASS' WHEN r = 'V1-V2' AND m BETWEEN 280 AND 320 THEN 'PASS'
@@ -311,7 +318,7 @@ def e28b(spark, d):
 
 
 @query("e29_trimming_check", cte(r=READS, u=READS.replace("% 3 = 0", "% 30 = 0")) + f""", b AS (SELECT run_id, AVG(CASE WHEN regexp_matches(left(seq, 40), '{qc.iupac_regex(PRIMER['515F'])}') THEN 1 ELSE 0 END) AS f FROM r GROUP BY 1), a AS (SELECT run_id, AVG(CASE WHEN regexp_matches(left(seq, 40), '{qc.iupac_regex(PRIMER['515F'])}') THEN 1 ELSE 0 END) AS f FROM u GROUP BY 1),
-m AS (SELECT run_id, quantile_cont(l, 0.5) AS m FROM (SELECT DISTINCT run_id, LENGTH(seq) AS l FROM r) GROUP BY 1), n AS (SELECT run_id, quantile_cont(l, 0.5) AS m FROM (SELECT DISTINCT run_id, LENGTH(seq) AS l FROM u) GROUP BY 1)
+m AS (SELECT run_id, quantile_cont(l, 0.5) AS m FROM (SELECT run_id, LENGTH(seq) AS l FROM r) GROUP BY 1), n AS (SELECT run_id, quantile_cont(l, 0.5) AS m FROM (SELECT run_id, LENGTH(seq) AS l FROM u) GROUP BY 1)
 SELECT run_id, '515F' AS primer, {q6('b.f')} AS before, {q6('a.f')} AS after, CASE WHEN a.f < b.f*0.1 THEN 'PASS' WHEN a.f < b.f*0.5 THEN 'WARNING' ELSE 'FAIL' END AS status, {q6('m.m - n.m')} AS length_shift,
 CASE WHEN ABS(m.m - n.m - 19) < 10 THEN 'PASS' ELSE 'WARNING' END AS length_check FROM b JOIN a USING (run_id) JOIN m USING (run_id) JOIN n USING (run_id)""")
 def e29(spark, d):

@@ -8,7 +8,7 @@ from meadow.plans import fixtures as fx
 from meadow.plans.fixtures import cte
 from meadow.plans.queries_d_joins import hav
 from meadow.plans.queries_g_alpha import rounded
-from meadow.plans.registry import q6, query, r6
+from meadow.plans.registry import ORACLE, q6, query, r6
 from meadow.sources.tables import cut_lineage
 
 TOT = "SELECT sample_id, SUM(count) AS t, COUNT(*) AS n FROM ab GROUP BY 1"
@@ -107,6 +107,22 @@ def h07(spark, d):
     return rounded(bt.permdisp(bc(spark, d), groups(spark, d)).select("f"))
 
 
+def more_labels(spark, d):
+    """Labels of the sites and of as many samples that have no distances."""
+    g = groups(spark, d)
+    return g.unionByName(g.select(F.concat(F.lit("none:"), "sample_id").alias("sample_id"), "group"))
+
+
+@query("h06_permanova_extra_labels", base() + f", {PERM} SELECT {q6('((sst-ssw)/((SELECT COUNT(*) FROM gs) - 1))/(ssw/((SELECT COUNT(*) FROM l) - (SELECT COUNT(*) FROM gs)))')} AS pseudo_f, {q6('1 - ssw/sst')} AS r2, (SELECT COUNT(*) FROM l) AS n FROM ss")
+def h06c(spark, d):
+    return rounded(bt.permanova(bc(spark, d), more_labels(spark, d), 99).select("pseudo_f", "r2", F.col("n").cast("long").alias("n")))
+
+
+@query("h07_permdisp_extra_labels", ORACLE["h07_permdisp"])
+def h07b(spark, d):
+    return rounded(bt.permdisp(bc(spark, d), more_labels(spark, d)).select("f"))
+
+
 @query("h08_permanova_validity")
 def h08(spark, d):
     dist = cut_lineage(bc(spark, d))
