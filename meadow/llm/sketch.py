@@ -79,7 +79,7 @@ def _chain(ids: DataFrame) -> DataFrame:
 
 
 def with_edits(docs: DataFrame, width: int = WIDTH, fraction: float = FRACTION) -> DataFrame:
-    """doc_id, n_chars, edited, kept, edited_kept, next_kept per document row (kept: sketches).
+    """doc_id, n_chars, edited, kept, edited_kept, next_kept, next_doc_id per document row (kept: sketches).
 
     The edited text is the text with its last floor(n/2) characters replaced by the first as many of the next document's
     (all, if it has fewer), the next one being that with the next smaller id; a null id comes last, after the last comes
@@ -91,22 +91,22 @@ def with_edits(docs: DataFrame, width: int = WIDTH, fraction: float = FRACTION)
     sizes = docs.select(*_key(F.col("doc_id")), F.coalesce(F.char_length("text"), F.lit(0)).alias("n"))
     ids = settle(sizes.groupBy("_no", "_id").agg(F.max("n").alias("n"), F.count(F.lit(1)).alias("rows")), "ids")
     chain = settle(_chain(ids.select("_no", "_id", "n")), "before")
-    dealt = base.repartition("_no", "_id")
+    dealt = base.repartition("_no", "_id")  # both uses read the same columns, so the texts are shuffled once
     heads = dealt.join(chain, ["_no", "_id"]).select(
         F.col("before_no").alias("_no"), F.col("before_id").alias("_id"),
-        F.substring("text", F.lit(1), F.floor(F.col("before_n") / 2).cast("int")).alias("head"), F.col("kept").alias("next_kept"))
+        F.substring("text", F.lit(1), F.floor(F.col("before_n") / 2).cast("int")).alias("head"), F.col("kept").alias("next_kept"), F.col("doc_id").alias("next_doc_id"))
     if ids.filter("rows > 1").limit(1).count():
-        heads = heads.groupBy("_no", "_id").agg(F.min(F.struct("head", "next_kept")).alias("_h")).select("_no", "_id", "_h.*")
+        heads = heads.groupBy("_no", "_id").agg(F.min(F.struct("head", "next_kept", "next_doc_id")).alias("_h")).select("_no", "_id", "_h.*")
     n = F.char_length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), (n - half).cast("int")), F.substring(F.col("head"), F.lit(1), half))
-    out = dealt.join(heads, ["_no", "_id"]).select("doc_id", n.cast("long").alias("n_chars"), edited.alias("edited"), "kept", "next_kept")
+    out = dealt.join(heads, ["_no", "_id"]).select("doc_id", n.cast("long").alias("n_chars"), edited.alias("edited"), "kept", "next_kept", "next_doc_id")
     return out.withColumn("edited_kept", sketch(F.col("edited"), width, fraction))
 
 
 def fingerprint_report(docs: DataFrame) -> DataFrame:
-    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next; see with_edits."""
+    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, next_doc_id; see with_edits."""
     return with_edits(docs).select(
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), spelled(F.col("kept")).alias("fingerprint"),
         spelled(F.col("edited_kept")).alias("edited_fingerprint"), likeness(F.col("kept"), F.col("edited_kept")).alias("near_edited"),
-        likeness(F.col("kept"), F.col("next_kept")).alias("near_next"))
+        likeness(F.col("kept"), F.col("next_kept")).alias("near_next"), "next_doc_id")
