@@ -134,15 +134,26 @@ def _log_choose(n, k):
 @F.pandas_udf(DoubleType())
 def p_fisher(a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series) -> pd.Series:
     """Two-sided Fisher p of [[a, b], [c, d]]: sum of the tables that are no more likely."""
-    out = []
-    for w, x, y, z in zip(a, b, c, d):
-        row, col, n = w + x, w + y, w + x + y + z
-        lo, hi = max(0, int(row + col - n)), int(min(row, col))
-        ks = np.arange(lo, hi + 1, dtype=float)
-        logs = _log_choose(col, ks) + _log_choose(n - col, row - ks) - _log_choose(n, row)
-        here = logs[int(w) - lo]
-        out.append(min(1.0, float(np.exp(logs[logs <= here + 1e-7]).sum())))
-    return pd.Series(out, dtype=float)
+    w, x, y, z = (s.to_numpy(float) for s in (a, b, c, d))
+    row, col, n = w + x, w + y, w + x + y + z
+    lo, hi = np.maximum(0, row + col - n), np.minimum(row, col)
+    mode = np.clip(np.floor((row + 1) * (col + 1) / (n + 2)), lo, hi)
+    log_p = lambda k, at: (_log_choose(col[at], k) + _log_choose(n[at] - col[at], row[at] - k) - _log_choose(n[at], row[at]))
+    every = np.arange(len(w))
+    here = log_p(w, every)
+    total = np.zeros(len(w))
+    # From the mode outwards all tables of the batch go one step at a time; a side ends at its margin or where
+    # its terms no longer add anything to the sum.
+    for step, k in ((1, mode.copy()), (-1, mode - 1)):
+        live = every[(k >= lo) & (k <= hi)]
+        while len(live):
+            logs = log_p(k[live], live)
+            p = np.exp(logs)
+            total[live] += np.where(logs <= here[live] + 1e-7, p, 0.0)
+            k[live] += step
+            going = (k[live] >= lo[live]) & (k[live] <= hi[live]) & ~((logs <= here[live] + 1e-7) & (p <= total[live] * 1e-17))
+            live = live[going]
+    return pd.Series(np.minimum(1.0, total))
 
 
 @F.pandas_udf(DoubleType())

@@ -119,12 +119,12 @@ def a08(spark, d):
 
 
 @query("a09_manifest", """WITH p AS (SELECT DISTINCT o_custkey AS sample_id, '/reads/' || l_shipmode_ AS path FROM
-(SELECT o_custkey, CAST(o_orderkey AS VARCHAR) || '.fastq' AS l_shipmode_ FROM orders WHERE o_orderstatus = 'F')),
+(SELECT o_custkey, CAST(o_orderkey AS VARCHAR) || '.fastq' AS l_shipmode_ FROM orders)),
 r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY sample_id ORDER BY path) AS k FROM p)
 SELECT a.sample_id, a.path AS forward_filepath, b.path AS reverse_filepath FROM r a JOIN r b
 ON a.sample_id = b.sample_id AND a.k = 1 AND b.k = 2""")
 def a09(spark, d):
-    o = fx.table(spark, d, "orders").filter("o_orderstatus = 'F'")
+    o = fx.table(spark, d, "orders")
     paths = o.select(F.col("o_custkey").alias("sample_id"),
                      F.concat(F.lit("/reads/"), F.col("o_orderkey").cast("string"), F.lit(".fastq")).alias("path"))
     return src.manifest(paths)

@@ -264,13 +264,13 @@ def e25b(spark, d):
     return qc.two_tier_split(m, qc.study_eligibility(m, "study", "value", 50), "study").select("sample_id", "may_test")
 
 
-ELIG = """m AS (SELECT sample_id, study, CASE WHEN sample_id % 25 < 12 THEN 'x' ELSE "group" END AS target FROM meta WHERE ((study <> 'NATION_3') OR ("group" = 'BUILDING'))),
+ELIG = """m AS (SELECT sample_id, study, CASE WHEN sample_id % 25 < 12 THEN 'x' ELSE "group" END AS target FROM meta),
 g AS (SELECT study, COUNT(DISTINCT target) AS k, COUNT(*) AS n FROM m GROUP BY 1), b AS (SELECT COALESCE(MAX(t) FILTER (e >= 100), 2) AS b FROM (SELECT t, FLOOR(SUM(CASE WHEN k >= t AND k > 1 THEN n ELSE 0 END)*0.7) AS e FROM g, (SELECT UNNEST([6, 5, 4, 3, 2]) AS t) GROUP BY 1))"""
 
 
 @query("e26_eligible_samples", cte("meta") + f", {ELIG} SELECT sample_id FROM m JOIN g USING (study), b WHERE k >= b AND k > 1")
 def e26(spark, d):
-    m = fx.sample_meta(spark, d).filter("study <> 'NATION_3' or group = 'BUILDING'")
+    m = fx.sample_meta(spark, d)
     m = m.withColumn("target", F.when(F.col("sample_id") % 25 < 12, "x").otherwise(F.col("group")))
     return qc.eligible_samples(m, "study", "target", 6).select("sample_id")
 
@@ -325,10 +325,10 @@ def e29(spark, d):
     return rounded(qc.trimming_check(reads(spark, d), reads(spark, d, True), {"515F": PRIMER["515F"]}, 40))
 
 
-@query("e30_run_validity", cte(r=READS) + """, g AS (SELECT CAST(run_id*7 % 10 AS BIGINT) AS run_id, COUNT(*) AS reads, MIN(LENGTH(seq)) AS s FROM r WHERE run_id % 3 = 0 OR LENGTH(seq) > 64 GROUP BY 1)
+@query("e30_run_validity", cte(r=READS) + """, g AS (SELECT CAST(run_id*7 % 10 AS BIGINT) AS run_id, COUNT(*) AS reads, MIN(LENGTH(seq)) AS s FROM r GROUP BY 1)
 SELECT run_id, reads, NOT (s < 65 OR reads < 2000) AS valid, CASE WHEN s < 65 THEN 'short reads' WHEN reads < 2000 THEN 'too few reads' END AS reason FROM g""")
 def e30(spark, d):
-    r = reads(spark, d).filter("run_id % 3 = 0 or length(seq) > 64").withColumn("run_id", F.col("run_id") * 7 % 10)
+    r = reads(spark, d).withColumn("run_id", F.col("run_id") * 7 % 10)
     return qc.run_validity(r, 65, 2000)
 
 
@@ -392,7 +392,9 @@ def e34(spark, d):
     return qc.region_from_primers(r, PANEL)
 
 
-@query("e34_known_primers", """SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN '515F' ELSE '806R' END AS primer FROM customer WHERE c_custkey % 3 < 2""")
+@query("e34_known_primers", f"""SELECT c_custkey, CASE WHEN regexp_matches(s, '{qc.iupac_regex(PRIMER['515F'])}') THEN '515F' ELSE '806R' END AS primer FROM (SELECT c_custkey, upper(regexp_replace(
+CASE c_custkey % 3 WHEN 0 THEN 'GTGCC-AGCAGCCGCGGTAA' WHEN 1 THEN 'ttGGACTACAAGGGTATCTAAT' ELSE 'ACGTACGTACGTACGT' END, '[^a-zA-Z]', '', 'g')) AS s FROM customer)
+WHERE length(s) >= 10 AND regexp_matches(s, '{qc.iupac_regex(PRIMER['515F'])}|{qc.iupac_regex(PRIMER['806R'])}')""")
 def e34b(spark, d):
     s = F.concat(F.when(K() % 3 == 0, "GTGCC-AGCAGCCGCGGTAA").when(K() % 3 == 1, "ttGGACTACAAGGGTATCTAAT").otherwise("ACGTACGTACGTACGT"), F.lit(" "), K().cast("string"))
     f = fx.table(spark, d, "customer").select(s.alias("seq"))

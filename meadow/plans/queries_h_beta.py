@@ -39,17 +39,15 @@ def h02(spark, d):
     return rounded(bt.jaccard(fx.abundance_site(spark, d)))
 
 
-SITE_KIND = """SELECT CAST(c_nationkey AS VARCHAR) || ':' || c_mktsegment AS sample_id, p_brand AS feature_id, SUM(l_quantity) AS count FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-JOIN customer ON o_custkey = c_custkey JOIN part ON l_partkey = p_partkey WHERE l_returnflag = 'R' AND l_linestatus = 'F' AND p_type = 'PROMO' GROUP BY 1, 2"""
+SITE_KIND = """SELECT CAST(c_nationkey AS VARCHAR) || ':' || c_mktsegment AS sample_id, l_partkey AS feature_id, SUM(l_quantity) AS count FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2"""
 
 
 def site_kind(spark, d):
-    """Returned promo lines by brand: sparse enough to hold zeros."""
+    """All lines by part: sparse enough to hold zeros."""
     c = fx.table(spark, d, "customer").select("c_custkey", fx.site_id().alias("sample_id"))
-    p = fx.table(spark, d, "part").filter("p_type = 'PROMO'").select("p_partkey", "p_brand")
-    li = fx.lines(spark, d).filter("l_returnflag = 'R' and l_linestatus = 'F'")
-    return (li.join(c, F.col("o_custkey") == F.col("c_custkey")).join(p, F.col("l_partkey") == F.col("p_partkey"))
-            .groupBy("sample_id", F.col("p_brand").alias("feature_id")).agg(F.sum("l_quantity").alias("count")))
+    return (fx.lines(spark, d).join(c, F.col("o_custkey") == F.col("c_custkey"))
+            .groupBy("sample_id", F.col("l_partkey").alias("feature_id")).agg(F.sum("l_quantity").alias("count")))
 
 
 DENSE = """SELECT s.sample_id, f.feature_id, COALESCE(count, 0) AS count, (SELECT COUNT(DISTINCT feature_id) FROM ab) AS p FROM (SELECT DISTINCT sample_id FROM ab) s CROSS JOIN (SELECT DISTINCT feature_id FROM ab) f

@@ -45,7 +45,7 @@ GRAPH = """SELECT DISTINCT LEAST(s, t) AS x, GREATEST(s, t) AS y FROM (SELECT p_
 UNION ALL SELECT p_partkey, p_partkey % 97 FROM part) WHERE s <> t"""
 
 
-@query("j04_network_stats", cte(e=GRAPH) + f"SELECT n AS nodes, m AS edges, CAST(1 AS BIGINT) AS components, {q6('2*m/(n*(n-1))')} AS density FROM (SELECT COUNT(DISTINCT v) AS n FROM (SELECT x AS v FROM e UNION ALL SELECT y FROM e)), (SELECT COUNT(*) AS m FROM e)")
+@query("j04_network_stats", cte(e=GRAPH) + f"SELECT n AS nodes, m AS edges, CAST(CASE WHEN n = (WITH RECURSIVE r AS (SELECT MIN(x) AS v FROM e UNION SELECT CASE WHEN e.x = r.v THEN e.y ELSE e.x END FROM r JOIN e ON r.v IN (e.x, e.y)) SELECT COUNT(*) FROM r) THEN 1 END AS BIGINT) AS components, {q6('2*m/(n*(n-1))')} AS density FROM (SELECT COUNT(DISTINCT v) AS n FROM (SELECT x AS v FROM e UNION ALL SELECT y FROM e)), (SELECT COUNT(*) AS m FROM e)")
 def j04(spark, d):
     return rounded(nw.network_stats(part_graph(spark, d)))
 

@@ -76,7 +76,7 @@ def genes(spark, d):
     return li.select(F.col("l_suppkey").alias("mag_id"), F.when(F.col("l_partkey") % 3 != 0, F.concat(F.lit("K"), (F.col("l_partkey") % 40).cast("string"))).alias("ko_id"))
 
 
-KO = "SELECT DISTINCT l_suppkey AS mag, 'K' || (l_partkey % 40) AS ko FROM lineitem WHERE l_partkey % 3 <> 0 AND l_suppkey % 10 = l_partkey % 10"
+KO = "SELECT DISTINCT l_suppkey AS mag, 'K' || (l_partkey % 40) AS ko FROM lineitem"
 
 
 def kos(spark, d):
@@ -92,7 +92,7 @@ def site_ko(spark, d):
     """customer x KO counts: features are parts, genomes suppliers, KOs follow the part number."""
     li = fx.table(spark, d, "lineitem")
     w = li.select(F.col("l_partkey").alias("qseqid"), F.col("l_suppkey").alias("sseqid"), F.lit(100.0).alias("pident"), F.col("l_extendedprice").alias("bitscore"))
-    g = li.filter("l_partkey % 3 <> 0 and l_suppkey % 10 = l_partkey % 10").select(F.col("l_suppkey").alias("mag_id"), F.concat(F.lit("K"), (F.col("l_partkey") % 40).cast("string")).alias("ko_id"))
+    g = li.select(F.col("l_suppkey").alias("mag_id"), F.concat(F.lit("K"), (F.col("l_partkey") % 40).cast("string")).alias("ko_id"))
     return tr.sample_ko(fx.abundance_site(spark, d), tr.best_hit(w), tr.mag_ko(g))
 
 

@@ -182,10 +182,10 @@ def m17(spark, d):
     return rounded(sl.overfit_gap(s.withColumn("test_score", F.col("train_score") - (F.col("fold") % 10) / 30.0), 0.1437))
 
 
-@query("m18_stable_features", cte("fm") + f""", s AS (SELECT l_suppkey % 20 AS run, 'd__B;p__' || p_type || ';g__' || replace(p_name, ' ', '_') AS f, l_discount AS i FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_quantity > 49)
+@query("m18_stable_features", cte("fm") + f""", s AS (SELECT l_suppkey % 20 AS run, 'd__B;p__' || p_type || ';g__' || replace(p_name, ' ', '_') AS f, l_discount AS i FROM lineitem JOIN part ON l_partkey = p_partkey)
 SELECT f AS feature, {q6('COUNT(DISTINCT run)/(SELECT COUNT(DISTINCT run) FROM s)')} AS frequency, {q6('AVG(i)')} AS mean_importance, split_part(f, ';', 2) AS phylum, replace(split_part(f, '__', -1), '_', ' ') AS label FROM s GROUP BY 1 HAVING COUNT(DISTINCT run)/(SELECT COUNT(DISTINCT run) FROM s) >= 0.4""")
 def m18(spark, d):
     p = fx.table(spark, d, "part")
-    li = fx.table(spark, d, "lineitem").filter("l_quantity > 49").join(p, F.col("l_partkey") == p.p_partkey)
+    li = fx.table(spark, d, "lineitem").join(p, F.col("l_partkey") == p.p_partkey)
     f = F.concat(F.lit("d__B;p__"), "p_type", F.lit(";g__"), F.replace("p_name", F.lit(" "), F.lit("_")))
     return rounded(sl.stable_features(li.select((F.col("l_suppkey") % 20).alias("run"), f.alias("feature"), F.col("l_discount").alias("importance"))))

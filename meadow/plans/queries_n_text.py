@@ -32,7 +32,19 @@ def n01(spark, d):
     return docs(spark, d).select("doc_id", F.md5(tx.fix_spacing(F.col("text"))).alias("clean"))
 
 
-@query("n02_section_between", """SELECT doc_id, md5(CASE doc_id % 3 WHEN 0 THEN 'Materials and Methods:' || chr(10) || regexp_replace(text, '^\\s+|\\s+$', '', 'g') WHEN 1 THEN 'METHODS' || chr(10) || regexp_replace(text, '^\\s+|\\s+$', '', 'g') ELSE 'Methods section not found in text.' END) AS section FROM documents""")
+def _section_sql():
+    """Start line by its first match, then the area behind it up to the first end header."""
+    start = r"(?im)^[ \t]*(?:" + "|".join(tx.START_HEADERS) + r")[ \t]*[:.\n\r]"
+    end = r"(?i)\n\s*(?:" + "|".join(tx.END_HEADERS) + r")\s*\n"
+    strip = lambda c: f"regexp_replace({c}, '^\\s+|\\s+$', '', 'g')"
+    t = """CASE doc_id % 3 WHEN 0 THEN 'Intro text' || chr(10) || '  Materials and Methods:' || chr(10) WHEN 1 THEN 'Intro' || chr(10) || 'METHODS' || chr(10) ELSE '' END || text
+|| CASE doc_id % 3 WHEN 0 THEN chr(10) || chr(10) || 'Results ' || chr(10) || 'more' || chr(10) || 'Discussion' || chr(10) ELSE '' END"""
+    return f"""WITH t AS (SELECT doc_id, {t} AS t FROM documents), s AS (SELECT doc_id, t, {strip(f"regexp_extract(t, '{start}', 0)")} AS head FROM t),
+a AS (SELECT doc_id, head, substr(t, strpos(t, head) + length(head)) AS area FROM s), b AS (SELECT *, regexp_extract(area, '{end}', 0) AS stop FROM a)
+SELECT doc_id, md5(CASE WHEN head = '' THEN '{tx.NO_SECTION}' ELSE head || chr(10) || {strip("CASE WHEN stop <> '' THEN left(area, strpos(area, stop) - 1) ELSE area END")} END) AS section FROM b"""
+
+
+@query("n02_section_between", _section_sql())
 def n02(spark, d):
     pre = F.when(I() % 3 == 0, "Intro text\n  Materials and Methods:\n").when(I() % 3 == 1, "Intro\nMETHODS\n").otherwise("")
     post = F.when(I() % 3 == 0, "\n\nResults \nmore\nDiscussion\n").when(I() % 3 == 1, "").otherwise("")
@@ -50,7 +62,7 @@ def _mention_sql(kind):
     return (f"array_to_string(list_sort(list_distinct(list_transform(regexp_extract_all(t, '(?i){quote(tx.MENTIONS[kind])}', 0), lambda m: trim(regexp_replace(m, '{sep}', ' ', 'g'))))), '|') AS {kind}")
 
 
-KINDS = ["variable_regions", "primer_names", "primer_sequences", "extraction_protocol_and_kits", "pcr_conditions_and_kits", "sequencing_details"]
+KINDS = ["variable_regions", "primer_names", "primer_sequences", "extraction_protocol_and_kits", "pcr_conditions_and_kits", "sequencing_details", "sample_storage"]
 
 
 @query("n03_extract_mentions", f"WITH d AS (SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN '{quote(LINE)}' ELSE '' END || text AS t FROM documents) SELECT doc_id, " + ", ".join(_mention_sql(k) for k in KINDS) + " FROM d")
@@ -59,11 +71,12 @@ def n03(spark, d):
     return docs(spark, d).select("doc_id", *[F.concat_ws("|", tx.mentions(t, k)).alias(k) for k in KINDS])
 
 
-@query("n03_dna_sequences", """SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'ACGTNACGTNACGTNAC' ELSE '' END AS found FROM documents WHERE lang = 'en'""")
+@query("n03_dna_sequences", """WITH t AS (SELECT doc_id, upper(CASE WHEN doc_id % 2 = 0 THEN 'primer: ACGTN-ACGTN ACGTNAC; ' ELSE '' END || translate(text, 'ß', 's')) AS t FROM documents),
+s AS (SELECT doc_id, list_distinct(list_transform(regexp_extract_all(t, '\\b([ACGTUNRYSWKMBDHV\\s-]{15,50})\\b', 1), lambda m: regexp_replace(m, '[ \\n-]', '', 'g'))) AS s FROM t)
+SELECT doc_id, array_to_string(list_transform(list_sort(list_transform(list_filter(s, lambda x: length(x) BETWEEN 15 AND 40 AND regexp_full_match(x, '[ACGTUNRYSWKMBDHV]+')), lambda x: {'n': length(x), 's': x})), lambda x: x.s), '|') AS found FROM s""")
 def n03b(spark, d):
-    t = F.concat(F.when(I() % 2 == 0, F.lit("primer: ACGTN-ACGTN ACGTNAC; ")).otherwise(F.lit("")), "text")
-    seqs = F.filter(tx.dna_sequences(t), lambda s: s.startswith("ACGTN"))
-    return docs(spark, d).filter("lang = 'en'").select("doc_id", F.concat_ws("|", seqs).alias("found"))
+    t = F.concat(F.when(I() % 2 == 0, F.lit("primer: ACGTN-ACGTN ACGTNAC; ")).otherwise(F.lit("")), F.translate("text", "ß", "s"))
+    return docs(spark, d).select("doc_id", F.concat_ws("|", tx.dna_sequences(t)).alias("found"))
 
 
 @query("n04_citations_near", """SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 2 WHEN doc_id % 3 = 1 THEN 1 ELSE 0 END AS mentions, CASE doc_id % 3 WHEN 0 THEN 'Author-Year clue: Lee et al. 2019|Numbered clue: 12' WHEN 1 THEN '' ELSE '' END AS clues FROM documents""")
