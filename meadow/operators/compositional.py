@@ -3,6 +3,8 @@ per sample, the one value that all absent features of that sample share."""
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from meadow.operators.kernels import exact_quantiles, small, value_ranks
@@ -167,7 +169,8 @@ def dense_pairs(features: DataFrame, groups: DataFrame) -> DataFrame:
 def encode_covariates(meta: DataFrame, cols: list[str], one_hot: bool = True, max_categories: int = 1000) -> DataFrame:
     """Numeric covariates with the median for nulls, categories with Unknown, one-hot without the first level or as codes.
 
-    Columns more than half empty or with too many levels are dropped; levels (at most max_categories) go to the driver.
+    Columns more than half empty or with too many levels are left out with a warning that names them and the reason; levels (at
+    most max_categories) go to the driver.
     """
     types = dict(meta.dtypes)
     row = meta.agg(F.count(F.lit(1)).alias("_n"), *[F.count(c).alias(f"n_{c}") for c in cols],
@@ -175,6 +178,7 @@ def encode_covariates(meta: DataFrame, cols: list[str], one_hot: bool = True, ma
     out = [F.col("sample_id")]
     for c in cols:
         if row["_n"] - row[f"n_{c}"] > 0.5 * row["_n"]:
+            warnings.warn(f"covariate {c} left out: more than half of its values are null", stacklevel=2)
             continue
         if types[c] in ("double", "float", "int", "bigint"):
             med = exact_quantiles(meta, [], c, {"m": 0.5}).first()["m"]
@@ -186,4 +190,6 @@ def encode_covariates(meta: DataFrame, cols: list[str], one_hot: bool = True, ma
                 out += [(v == x).cast("int").alias(f"{c}_{x}") for x in levels[1:]]
             else:
                 out.append(F.coalesce(*[F.when(v == x, i) for i, x in enumerate(levels)]).alias(c))
+        else:
+            warnings.warn(f"covariate {c} left out: {row[f'u_{c}']} levels, at most {max_categories} are encoded", stacklevel=2)
     return meta.select(*out)

@@ -14,11 +14,15 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as
 from meadow.sources.tables import cut_lineage
 
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 32 << 20
 
 
-def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after checking that df has at most `limit` rows; beyond it the plan shuffles."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+def small(df: DataFrame, limit: int = BROADCAST_ROWS, most_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast only after checking that df has at most `limit` rows and `most_bytes` bytes (its columns as text);
+    beyond either the plan shuffles."""
+    width = F.octet_length(F.concat_ws(" ", *[F.to_json(F.struct(F.col(f"`{c}`"))) for c in df.columns]))
+    rows, size = df.limit(limit + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+    return F.broadcast(df) if rows <= limit and size <= most_bytes else df
 
 
 def spread(df: DataFrame) -> DataFrame:

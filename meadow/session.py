@@ -1,10 +1,13 @@
 """Session helper for local use; on a cluster pass your own session."""
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 
 def local_session(cores: str = "8", app: str = "meadow", **conf: str) -> SparkSession:
     """A local session with the settings the tests and the bench use."""
+    conf.setdefault("spark__checkpoint__dir", tempfile.mkdtemp(prefix="meadow-"))
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)

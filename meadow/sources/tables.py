@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,10 +10,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def work_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder below the cluster's shared spark.checkpoint.dir; a local one only where that is unset."""
+    """A fresh folder below the cluster's shared spark.checkpoint.dir. Where that is unset, a session on one machine gets a
+    temporary folder, kept for the session; on a cluster it is an error, as executors could not read each other's files."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="meadow-")
+        spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
