@@ -95,6 +95,27 @@ def citations_near(docs: DataFrame, key: str, text: str, accession: str, zone: i
                     F.transform("_ctx", lambda a: F.trim(F.concat(F.col("_a"), a))).alias("snippets"))
 
 
+# Headers that open a list of references.
+REFERENCE_HEADERS = r"\b(references|bibliography|works\s+cited|literature\s+cited)\b"
+
+
+def reference_section(text: Column) -> Column:
+    """The last third of a text from its first references header on, trimmed; empty where there is none."""
+    tail = F.substring(text, F.floor(F.length(text) * 2 / 3).cast("int") + 1, F.length(text))
+    found = F.regexp_extract(tail, "(?is)" + REFERENCE_HEADERS + ".*", 0)
+    return F.regexp_replace(found, r"^\s+|\s+$", "")
+
+
+def citation_entry(section: Column, number: Column) -> Column:
+    """Entry `number` of a reference section, label and text, up to the label of the next number; null where there is none."""
+    mark = lambda n: F.concat(F.lit(r"(?:\["), n, F.lit(r"\]|\b"), n, F.lit(r"\.)"))
+    n = number.cast("long")
+    rx = F.concat(F.lit("(?is)("), mark(n.cast("string")), F.lit(r")\s*(.*?)(?=\s*"), mark((n + 1).cast("string")), F.lit("|$)"))
+    part = lambda i: F.call_function("regexp_extract", section, rx, F.lit(i))
+    strip = lambda c: F.regexp_replace(c, r"^\s+|\s+$", "")
+    return F.when(part(1) != "", F.concat(part(1), F.lit(" "), strip(part(2))))
+
+
 def verify_items(items: DataFrame, docs: DataFrame, key: str, item: str, text: str, is_dna: bool = False) -> DataFrame:
     """Items that occur in their document (case and spaces folded), or share a word longer than four letters with it.
     DNA items need ten bases and occur in the letters-only text."""

@@ -121,3 +121,26 @@ def _page_sql():
 @query("n07_strip_boilerplate", f"SELECT page_id, md5({_page_sql()}) AS clean FROM pages")
 def n07(spark, d):
     return fx.table(spark, d, "pages").select("page_id", F.md5(tx.strip_boilerplate(F.col("html"))).alias("clean"))
+
+
+REFS = """text || CASE doc_id % 3 WHEN 0 THEN chr(10) || 'References' || chr(10) || '[1] Lee et al. 2019, shore.' || chr(10) || '[2] Kim, 2020. ' || left(text, 30) || chr(10) || '[3] Roe 2021' WHEN 1 THEN ' Works  Cited 1. One entry 2. Two ' || doc_id ELSE '' END"""
+
+
+def cited(spark, d):
+    tail = (F.when(I() % 3 == 0, F.concat(F.lit("\nReferences\n[1] Lee et al. 2019, shore.\n[2] Kim, 2020. "), F.substring("text", 1, 30), F.lit("\n[3] Roe 2021")))
+            .when(I() % 3 == 1, F.concat(F.lit(" Works  Cited 1. One entry 2. Two "), I().cast("string"))).otherwise(""))
+    return docs(spark, d).select("doc_id", F.concat("text", tail).alias("text"))
+
+
+_SECTION = f"""WITH d AS (SELECT doc_id, {REFS} AS t FROM documents), s AS (SELECT doc_id, regexp_replace(regexp_extract(substr(t, CAST(FLOOR(length(t)*2/3) AS BIGINT) + 1), '(?is){quote(tx.REFERENCE_HEADERS)}.*', 0), '^\\s+|\\s+$', '', 'g') AS s FROM d)"""
+
+
+@query("n08_reference_section", _SECTION + " SELECT doc_id, md5(s) AS section FROM s")
+def n08(spark, d):
+    return cited(spark, d).select("doc_id", F.md5(tx.reference_section(F.col("text"))).alias("section"))
+
+
+@query("n09_citation_entry", _SECTION + r""", e AS (SELECT doc_id, regexp_extract(s, '(?is)(\[2\]|\b2\.)\s*(.*?)(?:\s*(?:\[3\]|\b3\.)|$)', ['label', 'entry']) AS e FROM s)
+SELECT doc_id, CASE WHEN e.label <> '' THEN e.label || ' ' || regexp_replace(e.entry, '^\s+|\s+$', '', 'g') END AS entry FROM e""")
+def n09(spark, d):
+    return cited(spark, d).select("doc_id", tx.citation_entry(tx.reference_section(F.col("text")), F.lit(2)).alias("entry"))
