@@ -12,6 +12,7 @@ from meadow.llm.common import WORD, numbered, settle
 
 #: Hash buckets by which the documents of one source are ordered; a bucket is the unit that one window sorts.
 BUCKETS = 65536
+SALTS = 64
 
 
 def words(text: Column) -> Column:
@@ -76,7 +77,10 @@ def sample_mix(docs: DataFrame, sources: DataFrame, epochs: float = 3.0, seed: i
     cut = cut.groupBy("_src").agg(F.min("_bucket").alias("_cut"), F.min("_from").alias("_cut_from"))
     # Buckets wholly below the target end before this one; without a border bucket all or none are taken.
     plan = plan.join(cut, same(plan, cut), "left").drop(cut["_src"])
-    d = d.join(plan, same(d, plan)).drop(plan["_src"])
+    # Each source's line of the plan is there once per salt, so that a source with any share of the rows joins in many tasks.
+    plan = plan.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("long"))
+    d = d.withColumn("_salt", F.pmod("_bucket", F.lit(SALTS)).cast("long"))
+    d = d.join(plan, same(d, plan) & (d["_salt"] == plan["_salt"])).drop(plan["_src"]).drop("_salt")
     border = F.col("_bucket").eqNullSafe(F.col("_cut"))
     inside = Window.partitionBy("_src", "_bucket").orderBy("_hash", "pick", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
     edge = d.filter(border).withColumn("_room", F.col("_more") - F.col("_cut_from")

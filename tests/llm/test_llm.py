@@ -350,7 +350,7 @@ def shingle_set(line):
 def test_line_groups(spark, none, monkeypatch, all_pairs):
     monkeypatch.setattr(line_dedup, "ALL_PAIRS", all_pairs)
     r = random.Random(9)
-    pool = [prose(r, r.randint(1, 60)) for _ in range(80)]
+    pool = [prose(r, r.randint(1, 60)) for _ in range(60)]
     pool += [p + " end" for p in pool[:40]] + [pool[50] + f" v{i}" for i in range(30)] + ["", "  ", "abc", "abcd efgh"]
     rows = [(i, "\n".join(r.choice(pool) for _ in range(r.randint(1, 6)))) for i in range(120)] + [(500, None), (501, ""), (None, pool[0])]
     df = spark.createDataFrame([(i, t, "k", 1) for i, t in rows], "doc_id long, text string, key string, n_chars int")
