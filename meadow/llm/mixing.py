@@ -78,7 +78,7 @@ def sample_mix(docs: DataFrame, sources: DataFrame, epochs: float = 3.0, seed: i
     # Buckets wholly below the target end before this one; without a border bucket all or none are taken.
     plan = plan.join(cut, same(plan, cut), "left").drop(cut["_src"])
     # Each source's line of the plan is there once per salt, so that a source with any share of the rows joins in many tasks.
-    plan = plan.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("long"))
+    plan = plan.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
     d = d.withColumn("_salt", F.pmod("_bucket", F.lit(SALTS)).cast("long"))
     d = d.join(plan, same(d, plan) & (d["_salt"] == plan["_salt"])).drop(plan["_src"]).drop("_salt")
     border = F.col("_bucket").eqNullSafe(F.col("_cut"))
