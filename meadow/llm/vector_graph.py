@@ -14,7 +14,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from meadow.llm.common import components, settle
+from meadow.llm.common import components, let, settle
 
 SHARD = 1000  # vectors a cluster should hold, counted once
 PART = 4096  # most vectors of one graph; a larger cluster is split by hash, and every two parts meet
@@ -155,11 +155,11 @@ def units(vectors: DataFrame) -> DataFrame:
     e = F.transform("embedding", lambda x: x.cast("double"))
     fine = F.col("embedding").isNotNull() & F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < float("inf")))
     v = vectors.select("vec_id", F.when(fine, e).alias("e")).filter("e is not null and size(e) > 0")
-    # divided by the largest component first, so that squares neither overflow nor vanish
-    v = v.withColumn("top", F.array_max(F.transform("e", lambda x: F.abs(x)))).filter("top > 0")
-    v = v.withColumn("e", F.transform("e", lambda x: x / F.col("top")))
-    v = v.withColumn("norm", F.sqrt(F.aggregate("e", F.lit(0.0), lambda a, x: a + x * x)))
-    return v.select("vec_id", F.transform("e", lambda x: x / F.col("norm")).alias("unit"))
+    # Divided by the largest component first, so that squares neither overflow nor vanish.
+    top = lambda a: F.array_max(F.transform(a, lambda x: F.abs(x)))
+    norm = lambda a: F.sqrt(F.aggregate(a, F.lit(0.0), lambda t, x: t + x * x))
+    over = lambda a, by: let(by(a), lambda n: F.transform(a, lambda x: x / n))
+    return v.filter(top(F.col("e")) > 0).select("vec_id", let(over(F.col("e"), top), lambda a: over(a, norm)).alias("unit"))
 
 
 def _stack(col: pd.Series, dim: int) -> np.ndarray:
@@ -218,7 +218,9 @@ def build_and_search(dealt: DataFrame, dim: int, radius: float) -> DataFrame:
         return pd.DataFrame({"shard": pdf["shard"].to_numpy(), "part": pdf["part"].to_numpy(), "rep": rep, "unit": pdf["unit"].to_numpy(),
                              "near": [rep[x[x >= 0]] for x in near], "links": links, "medoid": np.arange(len(rep)) == medoid})
 
-    return dealt.groupBy("shard", "part").applyInPandas(run, _GRAPH)
+    # As many partitions as the session shuffles into, so that small rows with much work each are not put together.
+    n = int(dealt.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return dealt.repartition(n, "shard", "part").groupBy("shard", "part").applyInPandas(run, _GRAPH)
 
 
 def cross_parts(graph: DataFrame, dealt: DataFrame, dim: int, radius: float) -> DataFrame:
@@ -301,7 +303,7 @@ def near_groups(vectors: DataFrame, radius: float = 0.9, overlap: int = 2, least
     `least_recall` of the sampled links, all is done again with one more overlapping cluster per vector. A null vec_id is a vector
     of its own without links. Repeated rows are copies. An empty table gives no rows. Other columns are ignored.
     """
-    named = units(vectors).filter("vec_id is not null")
+    named = settle(units(vectors).filter("vec_id is not null"), "units")
     copies = settle(named.groupBy("unit").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies")), "vectors")
     n, dim = copies.agg(F.count(F.lit(1)), F.max(F.size("unit"))).first()
     rows = vectors.select("vec_id")
