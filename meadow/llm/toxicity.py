@@ -215,7 +215,7 @@ def train(texts: list[str], labels: np.ndarray, epochs: int = 8, steps: int = 30
     """Adam on windows of labelled texts, then a calibration on every fourth text, which the network does not see.
 
     Small samples get smaller batches and more epochs, `steps` steps about. In each epoch a label-1 text gives its two highest windows (in the first epoch up to four drawn ones); a label-0 text
-    gives its three highest and two drawn ones. A third of the words' own embeddings is blanked in each step, so that the
+    gives its three highest and two drawn ones. Two thirds of the words' own embeddings are blanked in each step, so that the
     characters are learned too.
     """
     net, r = BiGru.start(seed), np.random.default_rng(seed)
@@ -228,7 +228,7 @@ def train(texts: list[str], labels: np.ndarray, epochs: int = 8, steps: int = 30
     m1, m2 = ({k: np.zeros_like(v) for k, v in net.p.items()} for _ in range(2))
     step, size = 0, int((np.bincount(owner[learn[owner]], minlength=1).clip(0, 5)).sum())
     batch = int(np.clip(size // 16, 16, batch))
-    epochs = int(np.clip(-(-steps * batch // max(size, 1)), epochs, 60))
+    epochs = int(np.clip(-(-steps * batch // max(size, 1)), epochs, 24))
     for epoch in range(epochs):
         chance = r.random(len(ids))
         rank = _rank_within(owner, chance)
@@ -244,7 +244,7 @@ def train(texts: list[str], labels: np.ndarray, epochs: int = 8, steps: int = 30
             own, local = np.unique(ids[part], return_inverse=True)
             local = local.reshape(len(part), WINDOW) - (1 if own[0] < 0 else 0)
             own = own[own >= 0]
-            slot = np.where(r.random(len(own)) < 0.33, SLOTS - 1, word[own])
+            slot = np.where(r.random(len(own)) < 0.67, SLOTS - 1, word[own])
             step += 1
             for k, g in net.gradients(slot, grams[own], real[own], local, y[part]).items():
                 m1[k] += 0.1 * (g - m1[k])
