@@ -377,6 +377,18 @@ def test_line_groups(spark, none, monkeypatch, all_pairs):
     assert line_dedup.line_groups(none).count() == 0 and line_dedup.drop_repeats(none).count() == 0
 
 
+def test_chain_of_variants_in_a_large_band(spark, monkeypatch):
+    """Each line is near the next two only, and all share their bands: one component, whatever the leaders take."""
+    monkeypatch.setattr(line_dedup, "ALL_PAIRS", 3)
+    monkeypatch.setattr(line_dedup, "bands", lambda line: line_dedup.F.array(line_dedup.F.lit(7).cast("long")))
+    r = random.Random(12)
+    words = ["".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(9)) for _ in range(140)]
+    lines = [" ".join(words[i:i + 20]) for i in range(120)]
+    order = r.sample(range(120), 120)
+    df = spark.createDataFrame([(k, lines[i]) for k, i in enumerate(order)], "doc_id long, text string")
+    assert [x["doc_id"] for x in line_dedup.line_groups(df).collect() if x["kept"]] == [0]
+
+
 # --- Queries and pipeline ---
 
 def test_pipeline(spark):
