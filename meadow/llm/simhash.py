@@ -9,7 +9,7 @@ group as soon as the sum is above the radius.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import accumulate
 
 import numpy as np
@@ -45,16 +45,20 @@ def fingerprint(text: str | None, width: int = 3) -> int:
     return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
-    """(doc_id, fp): fp the fingerprint as a signed long. Null and empty texts have 0."""
+def _coded(width: int) -> Callable[[str], Column]:
     @F.pandas_udf("long")
     def of(texts: pd.Series) -> pd.Series:
         return pd.Series(np.array([fingerprint(t, width) for t in texts], np.uint64).view(np.int64))
 
-    return docs.select("doc_id", of("text").alias("fp"))
+    return of
+
+
+def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
+    """(doc_id, fp): fp the fingerprint as a signed long. Null and empty texts have 0."""
+    return docs.select("doc_id", _coded(width)("text").alias("fp"))
 
 
-def hex16(fp: str = "fp") -> Column:
+def hex16(fp: str | Column = "fp") -> Column:
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
 
 
@@ -196,14 +200,16 @@ def near_groups(docs: DataFrame, width: int = 3, radius: int = 2) -> DataFrame:
 def keep_one(docs: DataFrame, width: int = 3, radius: int = 2) -> DataFrame:
     """Documents without near-copies: of each component the row with the smallest doc_id stays; columns as given.
 
-    Of repeated rows with that doc_id the smallest text stays. Rows whose component has no id (null doc_id only) stay.
+    Of repeated rows with that doc_id the smallest text stays. Rows whose component has no id (null doc_id only) stay;
+    a row without id in a component with one goes.
     """
     groups = near_groups(docs, width, radius)
     drop = groups.filter("doc_id is not null and doc_id <> component_id").select("doc_id").distinct()
     left = docs.join(drop, "doc_id", "left_anti")
-    nameless = groups.filter("doc_id is null and component_id is not null").limit(1).count() > 0
-    if nameless:
-        left = left.filter("doc_id is not null")
+    gone = groups.filter("doc_id is null and component_id is not null").select("fingerprint").distinct()
+    if gone.limit(1).count():
+        own = docs.filter("doc_id is null").select(F.struct("*").alias("_row"), hex16(_coded(width)("text")).alias("fingerprint"))
+        left = left.filter("doc_id is not null").unionByName(own.join(gone, "fingerprint", "left_anti").select("_row.*"))
     repeats = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 and doc_id is not null")
     if not repeats.limit(1).count():
         return left

@@ -123,6 +123,12 @@ def test_simhash_groups(spark, docs, none):
     assert simhash.near_groups(none).count() == 0 and simhash.keep_one(none).count() == 0
 
 
+def test_rows_without_id_are_judged_one_by_one(spark):
+    copy, other = "the heron stands in the mud of the tide", "salt wind over kelp and gull foam at night"
+    df = spark.createDataFrame([(1, copy, "a"), (None, copy, "b"), (None, other, "c"), (None, None, "d")], "doc_id long, text string, fp string")
+    assert sorted(r["fp"] for r in simhash.keep_one(df).collect()) == ["a", "c", "d"]
+
+
 def test_gray_tree_and_split_runs(spark, monkeypatch):
     r = np.random.default_rng(2)
     centre = r.integers(0, 2**63, 1, dtype=np.uint64)
