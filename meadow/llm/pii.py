@@ -76,14 +76,20 @@ def may_be(s: str) -> int:
     return (0 < s.find("@") < len(s) - 1) | ip << 1 | (plain and 14 <= len(digits) <= 19 and luhn(digits)) << 2 | (plain and 7 <= len(digits) <= 15) << 3
 
 
-LONGEST = 4  # tokens of a candidate
+MOST = 19  # digits of a candidate
 _EDGE = ".,;:!?'\"<>[]{}"
 
 
+def named(s: str) -> str:
+    """A string as the name of a node: itself in lower case, or a digest of that where it is long."""
+    s = s.lower()
+    return s if len(s) <= 80 else hashlib.sha256(s.encode("utf-8", "surrogatepass")).hexdigest()
+
+
 def occurrences(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int, str, list[str], int]]:
-    """(start, end, kind or -1, string, patterns, kinds it may be) of the seeds, and of candidates: runs of up to LONGEST tokens that all
-    hold a digit or an @ and may be of some kind, apart from the seeds. Patterns are a string's shape, and its coarse shape with the word
-    before it, the word behind it, or both; a seed beside it counts as its kind."""
+    """(start, end, kind or -1, string, patterns, kinds it may be) of the seeds, and of candidates: tokens with an @, and runs of tokens
+    that all hold a digit, MOST in all, where they may be of some kind, apart from the seeds. Patterns are a string's shape; its coarse
+    shape with the word before it, the word behind it, or both. A seed beside it counts as its kind."""
     if not spans and not _DIGIT.search(text) and "@" not in text:
         return []
     tokens = [(m.start(), m.end()) for m in _TOKEN.finditer(text)]
@@ -99,27 +105,29 @@ def occurrences(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int,
         return f"<{KINDS[kind]}>" if kind is not None else "#" if _DIGIT.search(w) else w
 
     def patterns(s: str, left: str, right: str) -> list[str]:
-        c = coarse(s)
-        return [f"shape|{shape(s)}", f"left|{left}|{c}", f"right|{right}|{c}", f"both|{left}|{right}|{c}"]
+        c = named(coarse(s))
+        return [f"shape|{named(shape(s))}", f"left|{left}|{c}", f"right|{right}|{c}", f"both|{left}|{right}|{c}"]
 
     out, at_token = [], [a for a, _ in tokens]
     for a, k, b in spans:
         i, j = bisect_right(at_token, a) - 1, bisect_left(at_token, b)
         out.append((a, b, k, text[a:b], patterns(text[a:b], word(i - 1, -1), word(j, 1)), 1 << k))
-    free = [bool(_DIGIT.search(text, a, b)) or "@" in text[a:b] for a, b in tokens]
+    mail = ["@" in text[a:b] for a, b in tokens]
+    size = [0 if m else len(_DIGIT.findall(text, a, b)) for m, (a, b) in zip(mail, tokens, strict=True)]
     for i, (a, _) in enumerate(tokens):
-        if not free[i]:
-            continue
-        for j in range(i, min(i + LONGEST, len(tokens))):
-            if not free[j]:
+        digits = 0
+        for j in range(i, len(tokens)):
+            digits += size[j]
+            if (j > i and mail[i]) or not (size[j] or mail[j] and j == i) or digits > MOST:
                 break
             b = tokens[j][1]
             s = text[a:b].strip(_EDGE)
             start = text.index(s, a) if s else a
             k = bisect_left(taken, (start + len(s), 0))
-            if len(s) < 5 or len(s) > 80 or (k and max(e for _, e in taken[max(0, k - 4):k]) > start) or not (kinds := may_be(s)):
-                continue
-            out.append((start, start + len(s), -1, s, patterns(s, word(i - 1, -1), word(j + 1, 1)), kinds))
+            if k and max(e for _, e in taken[max(0, k - 4):k]) > start:
+                break
+            if s and (kinds := may_be(s)):
+                out.append((start, start + len(s), -1, s, patterns(s, word(i - 1, -1), word(j + 1, 1)), kinds))
     return out
 
 
@@ -137,8 +145,8 @@ def scan(docs: DataFrame) -> DataFrame:
             base = seeds(text)
             occ = occurrences(text, base)
             said = ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in base)
-            rows.append((hashlib.sha256(said.encode()).hexdigest(), *([x[i] for x in base] for i in range(3)), *([x[i] for x in occ] for i in range(4)),
-                         ["\x1f".join(x[4]) for x in occ], [x[5] for x in occ]))
+            rows.append((hashlib.sha256(said.encode()).hexdigest(), *([x[i] for x in base] for i in range(3)), *([x[i] for x in occ] for i in range(3)),
+                         [named(x[3]) for x in occ], ["\x1f".join(x[4]) for x in occ], [x[5] for x in occ]))
         return pd.DataFrame(rows, columns=[f.split()[0] for f in _FIELDS.split(", ")])
 
     return docs.select("doc_id", run("text").alias("_s")).select("doc_id", F.monotonically_increasing_id().alias("row"), "_s.*")
@@ -170,25 +178,30 @@ def extract(docs: DataFrame, rounds: int = 3, support: int = 3, confidence: floa
     n_found (spans that only the patterns found).
 
     Spans are kind:start:end in code points, by start, then kind. A candidate is found if a pattern of at least
-    `confidence` in a kind holds it and its score for that kind reaches `score`. Null and empty texts have no spans;
+    `confidence` in a kind holds it and its score for that kind reaches `score`; found spans of a kind do not overlap. Null and empty texts have no spans;
     repeated rows have equal results; an empty table gives no rows. Other columns are ignored.
     """
     at = settle(scan(docs), "occurrences")
     one = at.select("row", F.explode(F.arrays_zip("o_start", "o_end", "o_kind", "o_text", "o_patterns", "o_may")).alias("o")).select(
-        "row", "o.o_start", "o.o_end", F.when(F.col("o.o_kind") >= 0, F.col("o.o_kind")).alias("kind"), F.lower("o.o_text").alias("item"), "o.o_may",
+        "row", "o.o_start", "o.o_end", F.when(F.col("o.o_kind") >= 0, F.col("o.o_kind")).alias("kind"), F.col("o.o_text").alias("item"), F.col("o.o_may").alias("may"),
         F.explode(F.split("o.o_patterns", "\x1f")).alias("pattern"))
     one = settle(one, "candidates")
-    edges = settle(one.select("pattern", "item", "kind").distinct(), "edges")
+    edges = settle(one.select("pattern", "item", "kind", F.when(F.col("kind").isNull(), F.col("may")).alias("may")).distinct(), "edges")
     seen = edges.filter("kind is not null").select("item").distinct()
     # A string that is a seed anywhere is not an unseen one elsewhere.
     edges = edges.filter("kind is not null").unionByName(edges.filter("kind is null").join(seen, "item", "left_anti"))
     patterns, items = score_graph(settle(edges, "graph"), rounds, support)
     found = one.filter("kind is null").drop("kind").join(patterns.filter(F.col("confidence") >= confidence), "pattern").filter(
-        F.getbit(F.col("o_may").cast("long"), F.col("kind")) == 1)
+        F.getbit(F.col("may").cast("long"), F.col("kind")) == 1)
     sure = items.filter(F.col("score") >= score).select("item", "kind").unionByName(
         one.filter("kind is not null").select("item", "kind").distinct())
-    found = found.join(sure.distinct(), ["item", "kind"], "left_semi").select("row", "o_start", "o_end", "kind").distinct()
-    spans = found.groupBy("row").agg(F.collect_list(F.struct(F.col("o_start").alias("b_start"), F.col("kind").alias("b_kind"), F.col("o_end").alias("b_end"))).alias("more"))
+    bare = F.min(F.col("pattern").rlike(r"^(before|behind|around)\|")).alias("bare")
+    found = found.join(sure.distinct(), ["item", "kind"], "left_semi").groupBy("row", "o_start", "o_end", "kind").agg(bare)
+    # Of overlapping spans of a kind one stays: rather one whose form speaks for it than one by words alone, then the first, then the longest.
+    ranked = F.array_sort(F.collect_list(F.struct("bare", "o_start", (-F.col("o_end")).alias("o_back"), "kind")))
+    spans = found.groupBy("row").agg(F.aggregate(ranked, F.array().cast("array<struct<b_start:int,b_kind:int,b_end:int>>"), lambda kept, x: F.when(
+        F.exists(kept, lambda y: (y["b_kind"] == x["kind"]) & (y["b_start"] < -x["o_back"]) & (x["o_start"] < y["b_end"])), kept).otherwise(
+        F.concat(kept, F.array(F.struct(x["o_start"].alias("b_start"), x["kind"].alias("b_kind"), (-x["o_back"]).alias("b_end")))))).alias("more"))
     out = at.select("doc_id", "row", "base_sha256", "b_start", "b_kind", "b_end").join(spans, "row", "left")
     base = F.arrays_zip("b_start", "b_kind", "b_end")
     every = F.array_sort(F.concat(base, F.coalesce("more", F.array().cast("array<struct<b_start:int,b_kind:int,b_end:int>>"))))

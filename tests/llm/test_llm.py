@@ -99,6 +99,15 @@ def test_patterns_find_what_the_seeds_hide(spark, none):
     assert pii.extract(df).count() == len(rows) and pii.extract(none).count() == 0
 
 
+def test_long_candidates(spark):
+    r = random.Random(7)
+    two = lambda: r.randint(10, 99)
+    rows = [(i, f"call +33 6 {two()} {two()} {two()} {two()} now") for i in range(40)] + [(100, "call +33 6 12 34 56 78 2024 100 now")]
+    rows += [(200 + i, f"mail tide{i}@shore.example today") for i in range(40)] + [(300, f"mail {'é' * 90}7@marée.example today")]
+    got = {x["doc_id"]: x for x in pii.extract(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[100]["spans"] == "phone:5:22" and got[300]["spans"] == "email:5:110"
+
+
 # --- 2 SimHash ---
 
 def plain_simhash(text, width=3):
