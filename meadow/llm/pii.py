@@ -89,7 +89,8 @@ def named(s: str) -> str:
 def occurrences(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int, str, list[str], int]]:
     """(start, end, kind or -1, string, patterns, kinds it may be) of the seeds, and of candidates: tokens with an @, and runs of tokens
     that all hold a digit, MOST in all, where they may be of some kind, apart from the seeds. Patterns are a string's shape; its coarse
-    shape with the word before it, the word behind it, or both. A seed beside it counts as its kind."""
+    shape with the word before it, the word behind it, or both; and these words alone (one and both) with whether it holds an @. A seed
+    beside it counts as its kind."""
     if not spans and not _DIGIT.search(text) and "@" not in text:
         return []
     tokens = [(m.start(), m.end()) for m in _TOKEN.finditer(text)]
@@ -105,8 +106,11 @@ def occurrences(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int,
         return f"<{KINDS[kind]}>" if kind is not None else "#" if _DIGIT.search(w) else w
 
     def patterns(s: str, left: str, right: str) -> list[str]:
-        c = named(coarse(s))
-        return [f"shape|{named(shape(s))}", f"left|{left}|{c}", f"right|{right}|{c}", f"both|{left}|{right}|{c}"]
+        c, sort = named(coarse(s)), "@" if "@" in s else "9"
+        before, behind = (w not in ("", "#", "<edge>") for w in (left, right))
+        behind &= left != "#"  # the rest of a longer run of numbers
+        words = [f"before|{left}|{sort}"] * before + [f"behind|{right}|{sort}"] * behind + [f"around|{left}|{right}|{sort}"] * (before and behind)
+        return [f"shape|{named(shape(s))}", f"left|{left}|{c}", f"right|{right}|{c}", f"both|{left}|{right}|{c}", *words]
 
     out, at_token = [], [a for a, _ in tokens]
     for a, k, b in spans:
@@ -152,24 +156,37 @@ def scan(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", run("text").alias("_s")).select("doc_id", F.monotonically_increasing_id().alias("row"), "_s.*")
 
 
-def score_graph(edges: DataFrame, rounds: int = 3, support: int = 3) -> tuple[DataFrame, DataFrame]:
-    """edges (pattern, item, kind; kind null if unseen, distinct) -> patterns (pattern, kind, confidence) and items
+def score_graph(edges: DataFrame, rounds: int = 3, support: int = 3, confidence: float = 0.8, score: float = 0.95) -> tuple[DataFrame, DataFrame]:
+    """edges (pattern, item, kind, may; kind null if unseen, distinct) -> patterns (pattern, kind, confidence) and items
     (item, kind, score), scored `rounds` times from one side of the graph to the other.
 
-    A pattern's confidence in a kind is the sum of its items' scores over its items plus one; it counts from `support` seeds.
-    A seed scores 1 for its kind, an unseen string one minus the product of its patterns' doubts."""
-    known = edges.filter("kind is not null").groupBy("pattern", "kind").agg(F.count(F.lit(1)).alias("n_seeds")).filter(F.col("n_seeds") >= support)
-    sizes = edges.groupBy("pattern").agg(F.count_distinct("item").alias("n_items"))
-    rated = settle(known.join(sizes, "pattern"), "patterns")
-    unseen = settle(edges.filter("kind is null").select("pattern", "item").join(rated.select("pattern").distinct(), "pattern", "left_semi"), "unseen")
-    extra = None
-    for _ in range(rounds):
-        total = F.col("n_seeds") + (F.coalesce("more", F.lit(0.0)) if extra is not None else F.lit(0.0))
-        p = rated if extra is None else rated.join(extra, ["pattern", "kind"], "left")
-        patterns = settle(p.select("pattern", "kind", (total / (F.col("n_items") + 1)).alias("confidence")), "confidence")
-        doubt = F.sum(F.log(1 - F.least("confidence", F.lit(0.99))))
-        items = settle(unseen.join(patterns, "pattern").groupBy("item", "kind").agg((1 - F.exp(doubt)).alias("score")), "scores")
-        extra = unseen.join(items, "item").groupBy("pattern", "kind").agg(F.sum("score").alias("more"))
+    A pattern's confidence in a kind is the sum of its items' scores over its items plus one; it counts from `support` seeds or
+    strings found. A seed scores 1 for its kind, an unseen string that may be of it one minus the product of its patterns' doubts;
+    it is found when it reaches `score` and a pattern of at least `confidence` holds it, and stays so. New patterns enter
+    with the strings found until none is new."""
+    sown = settle(edges.filter("kind is not null").groupBy("pattern", "kind").agg(F.count(F.lit(1)).alias("n_seeds")), "sown")
+    sizes = settle(edges.groupBy("pattern").agg(F.count_distinct("item").alias("n_items")), "sizes")
+    every = edges.filter("kind is null").select("pattern", "item", "may")
+    can = F.getbit(F.col("may").cast("long"), F.col("kind")) == 1
+    rated, n_rated, items, found = settle(sown.filter(F.col("n_seeds") >= support).join(sizes, "pattern"), "patterns"), -1, None, None
+    while (n := rated.count()) != n_rated:
+        n_rated = n
+        unseen = settle(every.join(rated.select("pattern").distinct(), "pattern", "left_semi"), "unseen")
+        gathered = lambda: unseen.join(items, "item").groupBy("pattern", "kind").agg(F.sum("score").alias("more"))  # noqa: B023, E731
+        extra = gathered() if items is not None else None
+        for _ in range(rounds):
+            total = F.col("n_seeds") + (F.coalesce("more", F.lit(0.0)) if extra is not None else F.lit(0.0))
+            p = rated if extra is None else rated.join(extra, ["pattern", "kind"], "left")
+            patterns = settle(p.select("pattern", "kind", (total / (F.col("n_items") + 1)).alias("confidence")), "confidence")
+            doubt = F.sum(F.log(1 - F.least("confidence", F.lit(0.99))))
+            held = unseen.join(patterns, "pattern").filter(can).groupBy("item", "kind")
+            items = settle(held.agg((1 - F.exp(doubt)).alias("score"), F.max("confidence").alias("best")), "scores")
+            extra = gathered()
+        now = items.filter((F.col("score") >= score) & (F.col("best") >= confidence)).select("item", "kind")
+        found = settle((now if found is None else now.unionByName(found)).distinct(), "found")
+        met = every.join(found, "item").groupBy("pattern", "kind").agg(F.count(F.lit(1)).alias("n_found"))
+        backed = met.join(sown, ["pattern", "kind"], "full").na.fill(0, ["n_found", "n_seeds"]).filter(F.col("n_found") + F.col("n_seeds") >= support)
+        rated = settle(backed.select("pattern", "kind", "n_seeds").join(sizes, "pattern"), "patterns")
     return patterns, items
 
 
@@ -190,7 +207,7 @@ def extract(docs: DataFrame, rounds: int = 3, support: int = 3, confidence: floa
     seen = edges.filter("kind is not null").select("item").distinct()
     # A string that is a seed anywhere is not an unseen one elsewhere.
     edges = edges.filter("kind is not null").unionByName(edges.filter("kind is null").join(seen, "item", "left_anti"))
-    patterns, items = score_graph(settle(edges, "graph"), rounds, support)
+    patterns, items = score_graph(settle(edges, "graph"), rounds, support, confidence, score)
     found = one.filter("kind is null").drop("kind").join(patterns.filter(F.col("confidence") >= confidence), "pattern").filter(
         F.getbit(F.col("may").cast("long"), F.col("kind")) == 1)
     sure = items.filter(F.col("score") >= score).select("item", "kind").unionByName(

@@ -99,6 +99,17 @@ def test_patterns_find_what_the_seeds_hide(spark, none):
     assert pii.extract(df).count() == len(rows) and pii.extract(none).count() == 0
 
 
+def test_words_alone_find_strings_of_another_shape(spark):
+    """A phone without + in the words of the seeds; its shape then counts where the words are others."""
+    r = random.Random(6)
+    rows = [(i, f"call +1 ({r.randint(200, 999)}) 555-{r.randint(1000, 9999)} now {prose(r, 3)}") for i in range(100)]
+    rows += [(200 + i, f"call {r.randint(200, 999)}-{r.randint(200, 999)}-{r.randint(1000, 9999)} now {prose(r, 3)}") for i in range(60)]
+    rows += [(300, "call (030) 123 4567 now"), (301, "reach 555-222-3333 please"), (302, "the year 2024-01-15 was dry")]
+    got = {x["doc_id"]: x for x in pii.extract(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[200 + i]["spans"] == "phone:5:17" and got[200 + i]["n_phone"] == 0 for i in range(60))
+    assert [got[i]["spans"] for i in (300, 301, 302)] == ["phone:5:19", "phone:6:18", ""]
+
+
 def test_long_candidates(spark):
     r = random.Random(7)
     two = lambda: r.randint(10, 99)
