@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from meadow.llm import line_dedup, mixing, pieces, pii, simhash, sketch, token_store, toxicity, vector_graph, warc
+from meadow.llm import (hard_negatives, hash_tree, line_dedup, mixing, pieces, pii, simhash, sketch, sql, token_store, toxicity, vector_codes,
+                        vector_graph, warc)
 from meadow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +69,24 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_groups(table(spark, sf_dir, "documents"), threshold=0.8)
+
+
+@query
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.code_report(table(spark, sf_dir, "embeddings"), parts=8, entries=16, rounds=6)
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.col("label").cast("long")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return hard_negatives.mine(vectors, F.col("vec_id") % 50 == 0, positives=5, negatives=3, lowest=50, highest=95)
+
+
+@query
+def op13_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hash_tree.assignment(table(spark, sf_dir, "documents"), hash_tree.EIGHT)
+
+
+ORACLE |= {"op11_vector_codes": sql.vector_codes(), "op12_hard_negatives": sql.HARD_NEGATIVES, "op13_hash_tree": sql.hash_tree(hash_tree.EIGHT)}
