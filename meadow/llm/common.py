@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -79,3 +81,13 @@ def _mark(e: DataFrame) -> tuple:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def worker_memory(name: str, make: Callable[[], object]) -> object:
+    """What `make` gives, made once per worker process and kept between its tasks, in a module of this package's own.
+
+    Functions travel to the executors by value, so that globals of theirs would be new in every task."""
+    held = sys.modules.setdefault("_meadow_worker", types.ModuleType("_meadow_worker")).__dict__
+    if name not in held:
+        held[name] = make()
+    return held[name]

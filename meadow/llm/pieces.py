@@ -1,8 +1,8 @@
 """SentencePiece encoding and decoding by a streaming Viterbi search over the pieces of a public model.
 
-The search goes over the text once and keeps, for each boundary, the best last piece and thus a path back. Only
-boundaries within the longest piece of the end can still be extended. When the paths back from all of them run through
-one boundary, everything before it is committed and forgotten.
+The search goes over the text once and keeps, for each boundary, the best last piece and thus a path back. A boundary survives
+as long as some piece that starts there can still go on: at most the longest piece's length of boundaries do. As soon as the
+paths back from all that survive run through one boundary, everything before it is committed and forgotten.
 
 For BPE models a step from one piece to the next counts only if the pair is stable: encoding its two pieces as one string by
 merges gives the same two pieces. Each boundary then has one path, and it spells the ids that the merges of the library give.
@@ -10,18 +10,23 @@ merges gives the same two pieces. Each boundary then has one path, and it spells
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import sentencepiece
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
+
+from meadow.llm.common import worker_memory
 
 SPACE = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-CACHE = 400_000  # entries of a task's memory of words and of pairs; it is emptied when full
-STRIDE = 64  # characters between two looks for a common boundary
+CACHE = 150_000  # entries of a worker's memories of steps, of which there are two, and of pairs, which is emptied when full
+LONGEST_STEP = 64  # characters of a step that is remembered
+SLICE = 64  # texts that are encoded before their rows leave the task
 
 
 class Pieces:
@@ -29,10 +34,10 @@ class Pieces:
 
     def __init__(self, proto: bytes):
         sp = sentencepiece.SentencePieceProcessor(model_proto=proto)
-        self.ids: dict[str, int] = {}
         self.scores: dict[str, float] = {}
         self.names: list[str | bytes] = []
         self.byte_ids = [0] * 256
+        self.starts: dict[str, int] = {}  # every beginning of a piece, with its id if it is a piece itself, else -1
         for i in range(sp.vocab_size()):
             name = sp.id_to_piece(i)
             if sp.is_byte(i):
@@ -41,19 +46,21 @@ class Pieces:
             elif sp.is_control(i) or sp.is_unknown(i):
                 self.names.append("")
             else:
-                self.ids[name], self.scores[name] = i, sp.get_score(i)
+                self.scores[name] = sp.get_score(i)
                 self.names.append(name)
-        self.longest = max(map(len, self.ids))
-        self.reach: dict[str, int] = {}  # longest piece with these last three characters
-        for name in self.ids:
-            if len(name) > 2:
-                self.reach[name[-3:]] = max(len(name), self.reach.get(name[-3:], 0))
+                for n in range(1, len(name)):
+                    self.starts.setdefault(name[:n], -1)
+                self.starts[name] = i
+        self.spelled = [n if isinstance(n, bytes) else n.replace(SPACE, " ").encode() for n in self.names]
+        self.longest = max(map(len, self.scores))
         self.stable: dict[int, bool] = {}
         self.known: dict[str, tuple[int, ...]] = {}
-        # If no piece goes on with a space after another character, every word start is a boundary of all paths.
-        self.cut = not any(SPACE in name.lstrip(SPACE) for name in self.ids)
-        lone = "" if "\n" in self.ids else "\n"
-        self.word = re.compile(f"{SPACE}+[^{SPACE}{lone}]*|[^{SPACE}{lone}]+" + ("|\n" if lone else ""))
+        self.older: dict[str, tuple[int, ...]] = {}  # steps from before `known` was full; those that come again move over
+        # If no piece goes on with a space after another character, all paths meet at every word start: a step ends there.
+        self.cut = not any(SPACE in name.lstrip(SPACE) for name in self.scores)
+        self.step = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
+        self.commits = self.searched = 0  # commits and searched steps, the widest span of live boundaries and the longest tail so far
+        self.widest = self.held = 0
 
     def merged(self, s: str) -> list[str]:
         """Pieces of a short string by merges: the best-scored neighbours first, the leftmost of equals."""
@@ -70,105 +77,121 @@ class Pieces:
 
     def follows(self, a: int, b: int) -> bool:
         """Whether piece b may stand after piece a, both by id."""
-        got = self.stable.get(a << 24 | b)
-        if got is None:
-            if len(self.stable) >= CACHE:
-                self.stable.clear()
-            x, y = self.names[a], self.names[b]
-            got = self.stable[a << 24 | b] = self.merged(x + y) == [x, y]
+        if len(self.stable) >= CACHE:
+            self.stable.clear()
+        x, y = self.names[a], self.names[b]
+        got = self.stable[a << 24 | b] = self.merged(x + y) == [x, y]
         return got
 
-    def extend(self, tail: str, back: list[int], last: list[int], first: int) -> None:
-        """Best last piece for each boundary of `tail` not yet in `back` (its length) and `last` (its id, -1 if unknown).
+    def search(self, chars: Iterable[str], first: int = -1) -> Iterator[int]:
+        """Ids of characters that come one by one, each as soon as it is certain; `first` is the id before them, -1 if none.
 
-        `first` is the id of the piece committed before the tail, -1 if none or unknown. Unknown characters merge with
-        nothing, so that any piece may stand on either side of them."""
-        ids, stable, reach = self.ids.get, self.stable.get, self.reach.get
-        for end in range(len(back), len(tail) + 1):
+        `tail` begins at the last committed boundary; for each boundary in it `back` is the length of its last piece and
+        `last` that piece's id (-1: a character that is no piece, which merges with nothing). `live` are the boundaries
+        from which a piece can still go on."""
+        starts, stable = self.starts.get, self.stable.get
+        tail, back, last, live = "", [0], [first], [0]
+        for c in chars:
+            tail += c
+            end = len(tail)
+            alive = [(s, i) for s in live if (i := starts(tail[s:end])) is not None]
+            newest = end - 1
+            if not alive or (alive[0][0] == newest and newest):
+                # No piece crosses the boundary before this character: all paths meet there.
+                if newest:
+                    yield from self._path(tail, back, last, newest)
+                    first, tail, back, last, end = last[newest], c, [0], [last[newest]], 1
+                    alive = [(0, i) for _, i in alive]
+                if not alive:
+                    self.commits += 1
+                    yield from self._bytes(c)
+                    first, tail, back, last, live = -1, "", [0], [-1], [0]
+                    continue
             size, found = 0, -1
-            far = reach(tail[end - 3:end], 2) if end > 2 else end
-            for start in range(end - 1, max(0, end - far) - 1, -1):
-                i = ids(tail[start:end], -1)
+            for start, i in reversed(alive):
                 if i < 0:
-                    if start == end - 1:  # an unknown character: the only path to this boundary
-                        size = 1
-                        break
                     continue
-                if start:
-                    if not back[start]:
-                        continue
-                    prev = last[start]
-                else:
-                    prev = first
+                prev = last[start]
                 if prev >= 0:
                     ok = stable(prev << 24 | i)
-                    if ok is None:
-                        ok = self.follows(prev, i)
-                    if not ok:
+                    if not (self.follows(prev, i) if ok is None else ok):
                         continue
                 size, found = end - start, i
                 break
             back.append(size)
             last.append(found)
-
-    def stream(self, chunks: Iterable[str]) -> Iterator[int]:
-        """Ids of a text that comes in chunks (spaces already written as the space mark), as soon as they are certain."""
-        tail, back, last, first = "", [0], [-1], -1
-        for chunk in chunks:
-            for at in range(0, len(chunk), STRIDE):
-                tail += chunk[at:at + STRIDE]
-                self.extend(tail, back, last, first)
-                if len(tail) >= 2 * STRIDE and (cut := self._common(back)):
-                    yield from self._path(tail, back, last, cut)
-                    first, tail = last[cut], tail[cut:]
-                    back, last = [0, *back[cut + 1:]], [-1, *last[cut + 1:]]
+            live = [s for s, _ in alive]
+            if size:
+                live.append(end)
+            if end > self.longest and (cut := self._meet(back, live)):
+                yield from self._path(tail, back, last, cut)
+                end -= cut
+                tail, back, last = tail[cut:], [0, *back[cut + 1:]], [last[cut], *last[cut + 1:]]
+                live = [s - cut for s in live]
+            if end - live[0] > self.widest:
+                self.widest = end - live[0]
+            if end > self.held:
+                self.held = end
         yield from self._path(tail, back, last, len(tail))
 
-    def _common(self, back: list[int]) -> int:
-        """The last boundary on the paths of all boundaries that a further piece can start from."""
-        live = {k for k in range(max(0, len(back) - self.longest), len(back)) if back[k]}
-        while len(live) > 1:
-            high = max(live)
-            live.remove(high)
-            live.add(high - back[high])
-        return live.pop() if live else 0
+    def _meet(self, back: list[int], live: list[int]) -> int:
+        """The last boundary on the paths of all live boundaries."""
+        paths = set(live)
+        while len(paths) > 1:
+            high = max(paths)
+            paths.remove(high)
+            paths.add(high - back[high])
+        return paths.pop()
+
+    def _bytes(self, c: str) -> list[int]:
+        return [self.byte_ids[b] for b in c.encode("utf-8", "replace")]
 
     def _path(self, tail: str, back: list[int], last: list[int], end: int) -> list[int]:
+        self.commits += 1
         out: list[int] = []
         while end:
-            if last[end] >= 0:
-                out.append(last[end])
-            else:
-                out += [self.byte_ids[b] for b in tail[end - 1:end].encode("utf-8", "replace")[::-1]]
+            out.append(last[end])
             end -= back[end]
         return out[::-1]
 
-    def encode(self, text: str | None) -> np.ndarray:
-        """Ids of a whole text. Equal words have equal ids, so each is searched once and remembered."""
-        if not text:
-            return np.empty(0, np.int32)
-        s = SPACE + text.replace(" ", SPACE)
+    def stream(self, chunks: Iterable[str]) -> Iterator[int]:
+        """Ids of a text that comes in chunks (spaces already written as the space mark), as soon as they are certain.
+
+        Where the model lets all paths meet at word starts, a word is one step of the search from one such boundary to the next;
+        a step taken before is looked up, others are searched. A step waits in the buffer until its end is there."""
         if not self.cut:
-            return np.fromiter(self.stream([s]), np.int32)
-        known, out = self.known, []
-        for w in self.word.findall(s):
-            got = known.get(w)
-            if got is None:
-                if len(known) >= CACHE:
-                    known.clear()
-                got = tuple(self.stream([w]))
-                if len(w) <= 64:
-                    known[w] = got
-            out += got
-        return np.array(out, np.int32)
+            yield from self.search(c for chunk in chunks for c in chunk)
+            return
+        rest = ""
+        for chunk in chunks:
+            steps = self.step.findall(rest + chunk)
+            rest = steps.pop() if steps else ""
+            for w in steps:
+                yield from self.known.get(w) or self._taken(w)
+        if rest:
+            yield from self.known.get(rest) or self._taken(rest)
+
+    def _taken(self, w: str) -> Iterable[int]:
+        """A step that is searched; a long one is not remembered, and its ids leave as they become certain."""
+        if len(self.known) >= CACHE:
+            self.older, self.known = self.known, {}
+        got = self.older.get(w)
+        if got is None:
+            self.searched += 1
+            if len(w) > LONGEST_STEP:
+                return self.search(w)
+            got = tuple(self.search(w))
+        self.known[w] = got
+        return got
+
+    def encode(self, text: str | None) -> np.ndarray:
+        """Ids of a whole text."""
+        return np.fromiter(self.stream([SPACE + text.replace(" ", SPACE)] if text else []), np.int32)
 
     def decode(self, ids: Iterable[int]) -> str:
         """The text of ids. Space marks become spaces, the leading one goes; invalid bytes become replacement characters."""
-        out: list[bytes] = []
-        for i in ids:
-            name = self.names[i]
-            out.append(name if isinstance(name, bytes) else name.replace(SPACE, " ").encode())
-        text = b"".join(out).decode("utf-8", "replace")
+        out = b"".join([self.spelled[i] for i in ids])
+        text = out.decode("utf-8", "replace")
         return text[1:] if text[:1] == " " else text
 
 
@@ -178,13 +201,18 @@ def load(path: str = MODEL) -> bytes:
         return f.read()
 
 
+def _model(proto: bytes) -> Pieces:
+    """One model per worker process, with what it remembers."""
+    return worker_memory(f"pieces {hashlib.sha256(proto).hexdigest()}", lambda: Pieces(proto))
+
+
 def encode(docs: DataFrame, proto: bytes, text: str = "text", out: str = "ids") -> DataFrame:
     """Adds `out`, the ids (array<int>) of each whole text. Null and empty texts have no ids; all rows and columns stay.
 
     The space mark in a text is read as a space. A column that has the name `out` already is replaced."""
     @F.pandas_udf("array<int>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        model = Pieces(proto)
+        model = _model(proto)
         for texts in batches:
             yield pd.Series([model.encode(t) for t in texts], index=texts.index, dtype=object)
 
@@ -195,15 +223,46 @@ def decode(rows: DataFrame, proto: bytes, ids: str = "ids", out: str = "text") -
     """Adds `out`, the text of each row's ids; null ids have an empty text."""
     @F.pandas_udf("string")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        model = Pieces(proto)
+        model = _model(proto)
         for many in batches:
-            yield pd.Series([model.decode(x) if x is not None else "" for x in many], index=many.index, dtype=object)
+            yield pd.Series([model.decode(x.tolist()) if x is not None else "" for x in many], index=many.index, dtype=object)
 
     return rows.withColumn(out, run(ids))
 
 
+def round_trip(docs: DataFrame, proto: bytes, with_ids: bool = True) -> DataFrame:
+    """All columns but `text`, then ids (array<int>, where wanted), n_ids, ids_sha256 (ids joined by commas), decoded_sha256, round_trip.
+
+    A worker encodes, decodes and digests a few texts at a time and hands their rows on, so that ids cross to the JVM at most once.
+    Null and empty texts have no ids and round-trip as the empty text; rows that repeat stay; an empty table gives no rows; other
+    columns pass through, those that have the name of a new one are replaced."""
+    new = [T.StructField("ids", T.ArrayType(T.IntegerType()))] if with_ids else []
+    new += [T.StructField("n_ids", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType()),
+            T.StructField("round_trip", T.BooleanType())]
+    taken = {f.name for f in new} | {"ids", "text"}
+    kept = [f for f in docs.schema.fields if f.name not in taken]
+    names = [f.name for f in kept]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = _model(proto)
+        for batch in batches:
+            for at in range(0, batch.num_rows, SLICE):
+                part = batch.slice(at, SLICE)
+                texts = [t or "" for t in part.column(part.schema.get_field_index("text")).to_pylist()]
+                coded = [model.encode(t) for t in texts]
+                lists = [c.tolist() for c in coded]
+                decoded = [model.decode(c) for c in lists]
+                sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+                ends = np.cumsum([0, *map(len, coded)])
+                ids = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(coded), pa.int32()))] if with_ids else []
+                yield pa.RecordBatch.from_arrays(
+                    [*[part.column(part.schema.get_field_index(n)) for n in names], *ids, pa.array(np.diff(ends), pa.int64()),
+                     pa.array([sha(",".join(map(str, c))) for c in lists]), pa.array([sha(d) for d in decoded]),
+                     pa.array([d == t for d, t in zip(decoded, texts, strict=True)])], names=[*names, *[f.name for f in new]])
+
+    return docs.select(*names, "text").mapInArrow(run, T.StructType([*kept, *new]))
+
+
 def digests(docs: DataFrame, proto: bytes) -> DataFrame:
-    """Per document row: doc_id, n_ids, ids_sha256 (ids joined by commas), decoded_sha256, round_trip."""
-    rows = decode(encode(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), proto), proto, out="decoded")
-    return rows.select("doc_id", F.size("ids").cast("long").alias("n_ids"), F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
-                       F.sha2("decoded", 256).alias("decoded_sha256"), (F.col("decoded") == F.col("text")).alias("round_trip"))
+    """Per document row: doc_id, n_ids, ids_sha256, decoded_sha256, round_trip, as in round_trip(). Other columns are ignored."""
+    return round_trip(docs.select("doc_id", "text"), proto, with_ids=False)

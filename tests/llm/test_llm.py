@@ -5,11 +5,12 @@ import hashlib
 import random
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from meadow.llm import common, line_dedup, mixing, pieces, pii, simhash, sketch, token_store, toxicity, vector_graph, warc
 
@@ -298,9 +299,37 @@ def test_pieces_are_those_of_the_library(spark, docs, none):
         assert list(model.encode(t)) == ids and model.decode(ids) == t
         spaced = [pieces.SPACE + t.replace(" ", pieces.SPACE)] if t else []
         assert list(model.stream(spaced)) == ids and list(model.stream(c for s in spaced for c in s)) == ids
+        assert list(model.search(spaced[0])) == ids if t else True
     got = pieces.digests(docs, pieces.load())
-    assert got.count() == docs.count() and got.filter("not round_trip").count() == 0
+    assert got.columns == ["doc_id", "n_ids", "ids_sha256", "decoded_sha256", "round_trip"]
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    want = Counter((d, len(i), sha(",".join(map(str, i))), sha(t or ""), True) for d, t in docs.select("doc_id", "text").collect() for i in [lib.encode(t or "")])
+    assert Counter(map(tuple, got.collect())) == want
     assert pieces.digests(none, pieces.load()).count() == 0
+    ids = pieces.encode(docs, pieces.load())
+    assert ids.columns == [*docs.columns, "ids"] and all(lib.encode(r["text"] or "") == r["ids"] for r in ids.collect())
+    back = pieces.decode(ids.withColumn("ids", F.when(F.col("doc_id") > 0, F.col("ids"))), pieces.load(), out="back").collect()
+    assert all(r["back"] == ((r["text"] or "") if r["doc_id"] is not None and r["doc_id"] > 0 else "") for r in back)
+    whole = pieces.round_trip(docs, pieces.load())
+    assert whole.columns == [c for c in docs.columns if c != "text"] + ["ids", "n_ids", "ids_sha256", "decoded_sha256", "round_trip"]
+
+
+def test_stream_commits_inside_a_window_of_the_longest_piece(texts):
+    """On ordinary documents ids leave at every word, no more than a piece's length is held, and what comes first leaves first."""
+    model = pieces.Pieces(pieces.load())
+    for t in texts[:60]:
+        before = model.commits
+        ids = list(model.search(pieces.SPACE + t.replace(" ", pieces.SPACE)))
+        assert model.commits - before >= len(t.split()) and ids == model.encode(t).tolist()
+    assert model.held <= model.longest and model.widest <= model.longest
+    taken = []
+    ids = model.search(c for c in (pieces.SPACE + texts[0].replace(" ", pieces.SPACE)) if not taken.append(c))
+    next(ids)
+    assert len(taken) <= model.longest + 2
+    for t in ("a" * 5000, "=" * 3000, "ab" * 2000):
+        list(model.search(t))
+    assert model.held <= 4 * model.longest
+
 
 
 # --- 8 Mixing ---
@@ -455,4 +484,4 @@ def test_every_operator_has_a_query():
     import __spark_entry__ as entry
 
     names = entry.queries()
-    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11)) and "pipeline" in names
+    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 14)) and "pipeline" in names
