@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from meadow.llm import line_dedup, mixing, pieces, simhash, toxicity
 from meadow.llm.common import settle, table
@@ -35,11 +35,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def piece_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of each text, and whether decoding them gives the text again."""
-    proto = pieces.load()
-    rows = pieces.decode(pieces.encode(docs, proto, out="ids"), proto, out="decoded")
-    text = F.coalesce("text", F.lit(""))
-    return rows.select("doc_id", "lang", "source", "n_chars", "ids", F.size("ids").cast("long").alias("n_ids"),
-                       F.sha2("decoded", 256).alias("decoded_sha256"), (F.col("decoded") == text).alias("round_trip"))
+    return pieces.round_trip(docs, pieces.load()).select("doc_id", "lang", "source", "n_chars", "ids", "n_ids", "decoded_sha256", "round_trip")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
