@@ -1,8 +1,8 @@
 """SentencePiece encoding and decoding by a streaming Viterbi search over the pieces of a public model.
 
-The search goes over the text once and keeps, for each boundary, the best last piece and thus a path back. A boundary survives
-as long as some piece that starts there can still go on: at most the longest piece's length of boundaries do. As soon as the
-paths back from all that survive run through one boundary, everything before it is committed and forgotten.
+The search goes over the text once and keeps, for each boundary, the best last piece and thus a path back. Pieces reach at most
+the longest piece's length beyond the character in hand, and that is the window. As soon as the paths back from all boundaries
+that a further piece can start from run through one boundary, everything before it is committed and forgotten.
 
 For BPE models a step from one piece to the next counts only if the pair is stable: encoding its two pieces as one string by
 merges gives the same two pieces. Each boundary then has one path, and it spells the ids that the merges of the library give.
@@ -24,7 +24,7 @@ from meadow.llm.common import worker_memory
 
 SPACE = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-CACHE = 150_000  # entries of a worker's memories of steps, of which there are two, and of pairs, which is emptied when full
+CACHE = 250_000  # entries of a worker's memories of steps, of which there are two, and of pairs, which is emptied when full
 LONGEST_STEP = 64  # characters of a step that is remembered
 SLICE = 64  # texts that are encoded before their rows leave the task
 
@@ -59,8 +59,7 @@ class Pieces:
         # If no piece goes on with a space after another character, all paths meet at every word start: a step ends there.
         self.cut = not any(SPACE in name.lstrip(SPACE) for name in self.scores)
         self.step = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
-        self.commits = self.searched = 0  # commits and searched steps, the widest span of live boundaries and the longest tail so far
-        self.widest = self.held = 0
+        self.commits = self.searched = self.held = 0  # commits, searched steps and the most characters between two commits so far
 
     def merged(self, s: str) -> list[str]:
         """Pieces of a short string by merges: the best-scored neighbours first, the leftmost of equals."""
@@ -83,76 +82,14 @@ class Pieces:
         got = self.stable[a << 24 | b] = self.merged(x + y) == [x, y]
         return got
 
-    def search(self, chars: Iterable[str], first: int = -1) -> Iterator[int]:
-        """Ids of characters that come one by one, each as soon as it is certain; `first` is the id before them, -1 if none.
-
-        `tail` begins at the last committed boundary; for each boundary in it `back` is the length of its last piece and
-        `last` that piece's id (-1: a character that is no piece, which merges with nothing). `live` are the boundaries
-        from which a piece can still go on."""
-        starts, stable = self.starts.get, self.stable.get
-        tail, back, last, live = "", [0], [first], [0]
-        for c in chars:
-            tail += c
-            end = len(tail)
-            alive = [(s, i) for s in live if (i := starts(tail[s:end])) is not None]
-            newest = end - 1
-            if not alive or (alive[0][0] == newest and newest):
-                # No piece crosses the boundary before this character: all paths meet there.
-                if newest:
-                    yield from self._path(tail, back, last, newest)
-                    first, tail, back, last, end = last[newest], c, [0], [last[newest]], 1
-                    alive = [(0, i) for _, i in alive]
-                if not alive:
-                    self.commits += 1
-                    yield from self._bytes(c)
-                    first, tail, back, last, live = -1, "", [0], [-1], [0]
-                    continue
-            size, found = 0, -1
-            for start, i in reversed(alive):
-                if i < 0:
-                    continue
-                prev = last[start]
-                if prev >= 0:
-                    ok = stable(prev << 24 | i)
-                    if not (self.follows(prev, i) if ok is None else ok):
-                        continue
-                size, found = end - start, i
-                break
-            back.append(size)
-            last.append(found)
-            live = [s for s, _ in alive]
-            if size:
-                live.append(end)
-            if end > self.longest and (cut := self._meet(back, live)):
-                yield from self._path(tail, back, last, cut)
-                end -= cut
-                tail, back, last = tail[cut:], [0, *back[cut + 1:]], [last[cut], *last[cut + 1:]]
-                live = [s - cut for s in live]
-            if end - live[0] > self.widest:
-                self.widest = end - live[0]
-            if end > self.held:
-                self.held = end
-        yield from self._path(tail, back, last, len(tail))
-
-    def _meet(self, back: list[int], live: list[int]) -> int:
-        """The last boundary on the paths of all live boundaries."""
-        paths = set(live)
-        while len(paths) > 1:
-            high = max(paths)
-            paths.remove(high)
-            paths.add(high - back[high])
-        return paths.pop()
-
-    def _bytes(self, c: str) -> list[int]:
-        return [self.byte_ids[b] for b in c.encode("utf-8", "replace")]
-
-    def _path(self, tail: str, back: list[int], last: list[int], end: int) -> list[int]:
-        self.commits += 1
-        out: list[int] = []
-        while end:
-            out.append(last[end])
-            end -= back[end]
-        return out[::-1]
+    def search(self, chunks: Iterable[str], first: int = -1) -> Iterator[int]:
+        """Ids of a text that comes in chunks, each as soon as it is certain; `first` is the id before them, -1 if none."""
+        window = _Window(self, first)
+        for chunk in chunks:
+            window.text += chunk
+            yield from window.advance(len(window.text) - self.longest)
+            window.forget()
+        yield from window.advance(len(window.text), True)
 
     def stream(self, chunks: Iterable[str]) -> Iterator[int]:
         """Ids of a text that comes in chunks (spaces already written as the space mark), as soon as they are certain.
@@ -160,7 +97,7 @@ class Pieces:
         Where the model lets all paths meet at word starts, a word is one step of the search from one such boundary to the next;
         a step taken before is looked up, others are searched. A step waits in the buffer until its end is there."""
         if not self.cut:
-            yield from self.search(c for chunk in chunks for c in chunk)
+            yield from self.search(chunks)
             return
         rest = ""
         for chunk in chunks:
@@ -172,15 +109,17 @@ class Pieces:
             yield from self.known.get(rest) or self._taken(rest)
 
     def _taken(self, w: str) -> Iterable[int]:
-        """A step that is searched; a long one is not remembered, and its ids leave as they become certain."""
+        """A step that is searched; a long one is not remembered."""
         if len(self.known) >= CACHE:
             self.older, self.known = self.known, {}
         got = self.older.get(w)
         if got is None:
             self.searched += 1
+            window = _Window(self, -1)
+            window.text = w
+            got = tuple(window.advance(len(w), True))
             if len(w) > LONGEST_STEP:
-                return self.search(w)
-            got = tuple(self.search(w))
+                return got
         self.known[w] = got
         return got
 
@@ -195,6 +134,101 @@ class Pieces:
         return text[1:] if text[:1] == " " else text
 
 
+class _Window:
+    """The search of one text. `base` is the last committed boundary and `text` begins at or before it; for a boundary b after it
+    back[b] is the length of the piece that ends there on the only path to it (0: no path), last[b] that piece's id (-1: a
+    character that is no piece, which merges with nothing). Pieces that start before `at` are all in; none goes beyond `far`."""
+
+    def __init__(self, model: Pieces, first: int):
+        self.model, self.text = model, ""
+        self.base = self.at = self.far = 0
+        self.back, self.last = [0], [first]
+
+    def advance(self, stop: int, final: bool = False) -> list[int]:
+        """Takes in the pieces that start before `stop`, which lies a piece's length before the end of the text or, if that is
+        final, at its end; returns the ids that have become certain."""
+        model, text, back, last = self.model, self.text, self.back, self.last
+        starts, stable, follows = model.starts.get, model.stable.get, model.follows
+        n, longest = len(text), model.longest
+        grow = n + 1 - len(back)
+        back.extend([0] * grow)
+        last.extend([-1] * grow)
+        base, at, far, out = self.base, self.at, self.far, []
+        while at < stop:
+            if at > base:
+                if far <= at:  # no piece goes over this boundary: all paths meet here
+                    self._commit(base, at, out)
+                    base = at
+                elif at - base > longest:
+                    meet = self._meet(at, far)
+                    if meet > base:
+                        self._commit(base, meet, out)
+                        base = meet
+                    elif at - base > model.held:
+                        model.held = at - base
+                if not back[at] and at > base:
+                    at += 1
+                    continue
+            prev = last[at]
+            key = prev << 24
+            end = at + 1
+            i = starts(text[at:end])
+            if i is None or i < 0:
+                if not back[end]:
+                    back[end] = 1
+                if far < end:
+                    far = end
+            while i is not None:
+                if i >= 0 and not back[end]:
+                    ok = True if prev < 0 else stable(key | i)
+                    if ok is None:
+                        ok = follows(prev, i)
+                    if ok:
+                        back[end], last[end] = end - at, i
+                if far < end:
+                    far = end
+                if end == n:
+                    break
+                end += 1
+                i = starts(text[at:end])
+            at += 1
+        if final and n > base:
+            self._commit(base, n, out)
+            base = n
+        self.base, self.at, self.far = base, at, far
+        return out
+
+    def _commit(self, base: int, end: int, out: list[int]) -> None:
+        """Adds the ids of the path from base to end."""
+        model, back, last = self.model, self.back, self.last
+        model.commits += 1
+        if end - base > model.held:
+            model.held = end - base
+        first = len(out)
+        while end > base:
+            if last[end] >= 0:
+                out.append(last[end])
+            else:
+                out.extend(model.byte_ids[b] for b in reversed(self.text[end - 1:end].encode("utf-8", "replace")))
+            end -= back[end]
+        out[first:] = out[:first - 1 if first else None:-1] if first < len(out) else []
+
+    def _meet(self, at: int, far: int) -> int:
+        """The last boundary on the paths of all that a further piece can start from."""
+        paths = {b for b in range(at, far + 1) if self.back[b]}
+        while len(paths) > 1:
+            high = max(paths)
+            paths.remove(high)
+            paths.add(high - self.back[high])
+        return paths.pop()
+
+    def forget(self) -> None:
+        """Drops what lies before the last commit."""
+        base = self.base
+        self.text, self.back, self.last = self.text[base:], self.back[base:], self.last[base:]
+        self.at, self.far, self.base = self.at - base, self.far - base, 0
+
+
 def load(path: str = MODEL) -> bytes:
     """The model's bytes, read once by the driver."""
     with open(path, "rb") as f:
