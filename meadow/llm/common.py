@@ -24,7 +24,16 @@ def settle(df: DataFrame, purpose: str = "table") -> DataFrame:
     spark = df.sparkSession
     path = work_folder(spark, purpose)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._settled_at = path
+    return out
+
+
+def forget(df: DataFrame) -> None:
+    """Delete a table that settle() wrote and nothing reads any more: what came of it must be written itself."""
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(df._settled_at)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def numbered(df: DataFrame, order: list[Column], out: str = "pos") -> DataFrame:
@@ -66,7 +75,8 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        e = settle(small.unionByName(low.withColumnRenamed("m", "v")).distinct(), "edges")
+        last, e = e, settle(small.unionByName(low.withColumnRenamed("m", "v")).distinct(), "edges")
+        forget(last)
         before, mark = mark, _mark(e)
         if mark == before:
             break
