@@ -1,13 +1,14 @@
 """Distances between samples, ordination and distance tests.
 
-Pair tables hold each unordered pair once: a, b, d with a < b. Distances come from blocked pair sums, so a feature found
-in every sample costs one cell per sample and block, not one row per pair. Tests keep the pair table distributed.
+Pair tables hold each unordered pair once: a, b, d with a < b. Distances come from tiles (see pairs), so a feature found in every
+sample costs one cell per sample and block, and what a pair needs of its samples is in the tile. Tests keep the pair table distributed.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, StandardScaler
@@ -16,8 +17,9 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from meadow.functions import tails
 from meadow.operators.compositional import clr_dense, feature_count, replace_zeros
-from meadow.operators.geo import haversine_km
-from meadow.operators.kernels import all_pairs, dense_index, pair_sums, permute_index, permuted_codes, small, value_ranks
+from meadow.operators.kernels import dense_index, permute_index, small, value_ranks
+from meadow.operators.pairs import pair_tiles
+from meadow.operators.permute import indexed_labels
 from meadow.operators.stats import group_sizes
 from meadow.operators.table import with_share
 from meadow.sources.tables import cut_lineage
@@ -30,15 +32,26 @@ def _joined(pairs: DataFrame, per_sample: DataFrame, cols: list[str]) -> DataFra
     return pairs
 
 
+def _sample_pairs(per_sample: DataFrame, distance, cells: DataFrame | None = None, col: str = "feature_id", value: str = "count",
+                  want: tuple = ()) -> DataFrame:
+    """a, b, d of every sample pair; `distance` takes the tile's sums and both samples' columns of per_sample, in their order."""
+    kind = dict(per_sample.dtypes)["sample_id"]
+
+    def finish(a, b, sums, ha, hb):
+        with np.errstate(divide="ignore", invalid="ignore"):
+            d = distance(sums, ha.T, hb.T)
+        return pd.DataFrame({"a": a, "b": b, "d": pd.Series(d).astype("Float64").mask(np.isnan(d))})
+
+    return pair_tiles(per_sample, cells, "sample_id", finish, f"a {kind}, b {kind}, d double", col, value, want)
+
+
 def bray_curtis(ab: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
     """1 - 2 sum(min) / (Sa + Sb). Without `pairs` every sample pair; pairs that share nothing are 1."""
     tot = ab.groupBy("sample_id").agg(F.sum("count").alias("t"))
     if pairs is None:
-        base = all_pairs(tot, "sample_id").join(pair_sums(ab, "sample_id", "feature_id", "count", want=("mins",)).select("a", "b", "mins"), ["a", "b"], "left")
-    else:
-        base = given_pair_sums(ab, pairs)
+        return _sample_pairs(tot, lambda s, a, b: 1 - 2 * s["mins"] / (a[0] + b[0]), ab, want=("mins",))
     d = 1 - 2 * F.coalesce("mins", F.lit(0.0)) / (F.col("t_a") + F.col("t_b"))
-    return _joined(base, tot, ["t"]).select("a", "b", d.alias("d"))
+    return _joined(given_pair_sums(ab, pairs), tot, ["t"]).select("a", "b", d.alias("d"))
 
 
 def given_pair_sums(ab: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -52,9 +65,7 @@ def given_pair_sums(ab: DataFrame, pairs: DataFrame) -> DataFrame:
 def jaccard(ab: DataFrame) -> DataFrame:
     """1 - shared / union of present features."""
     n = ab.groupBy("sample_id").agg(F.count(F.lit(1)).alias("n"))
-    base = all_pairs(n, "sample_id").join(pair_sums(ab, "sample_id", "feature_id", "count", want=("shared",)).select("a", "b", "shared"), ["a", "b"], "left")
-    s = F.coalesce("shared", F.lit(0.0))
-    return _joined(base, n, ["n"]).select("a", "b", (1 - s / (F.col("n_a") + F.col("n_b") - s)).alias("d"))
+    return _sample_pairs(n, lambda s, a, b: 1 - s["shared"] / (a[0] + b[0] - s["shared"]), ab.filter("count <> 0"), want=("shared",))
 
 
 def aitchison(ab: DataFrame, p: int | None = None) -> DataFrame:
@@ -63,41 +74,47 @@ def aitchison(ab: DataFrame, p: int | None = None) -> DataFrame:
     p = p or feature_count(ab)
     e = replace_zeros(ab, p).select("sample_id", "feature_id", (F.log("value") - F.log("zero_value")).alias("e"))
     s = e.groupBy("sample_id").agg(F.sum("e").alias("es"), F.sum(F.col("e") ** 2).alias("ee"), (-F.sum("e") / p).alias("z"))
-    base = all_pairs(s, "sample_id").join(pair_sums(e, "sample_id", "feature_id", "e", want=("dot",)).select("a", "b", "dot"), ["a", "b"], "left")
-    dz = F.col("z_a") - F.col("z_b")
-    d2 = p * dz * dz + 2 * dz * (F.col("es_a") - F.col("es_b")) + F.col("ee_a") + F.col("ee_b") - 2 * F.coalesce("dot", F.lit(0.0))
-    return _joined(base, s, ["es", "ee", "z"]).select("a", "b", F.sqrt(F.greatest(d2, F.lit(0.0))).alias("d"))
+
+    def distance(sums, a, b):
+        dz = a[2] - b[2]
+        return np.sqrt(np.maximum(p * dz * dz + 2 * dz * (a[0] - b[0]) + a[1] + b[1] - 2 * sums["dot"], 0.0))
+
+    return _sample_pairs(s, distance, e, value="e", want=("dot",))
 
 
 def unifrac(ab: DataFrame, branch: DataFrame, weighted: bool = True, normalized: bool = True) -> DataFrame:
     """UniFrac from branch shares: sum L |pa - pb| = Wa + Wb - 2 sum min(L pa, L pb)."""
     sb = with_share(ab).join(branch, "feature_id").groupBy("sample_id", "branch_id").agg(F.sum("share").alias("p"), F.max("length").alias("l"))
     value = F.col("l") * F.col("p") if weighted else F.sqrt("l")
-    # Branch shares are costly and read three times below, so they are written once.
+    # Branch shares are costly and read several times below, so they are written once.
     v = cut_lineage(sb.select("sample_id", "branch_id", value.alias("v"), "l"))
     w = v.groupBy("sample_id").agg((F.sum("v") if weighted else F.sum("l")).alias("w"))
-    base = all_pairs(w, "sample_id").join(pair_sums(v, "sample_id", "branch_id", "v", want=("mins",) if weighted else ("dot",)), ["a", "b"], "left")
-    both = F.col("w_a") + F.col("w_b")
-    if weighted:
-        diff = both - 2 * F.coalesce("mins", F.lit(0.0))
-        d = F.coalesce(F.try_divide(diff, both), F.lit(0.0)) if normalized else diff
-    else:
-        s = F.coalesce("dot", F.lit(0.0))
-        d = F.coalesce(F.try_divide(both - 2 * s, both - s), F.lit(0.0))
-    return _joined(base, w, ["w"]).select("a", "b", d.alias("d"))
+
+    def distance(sums, a, b):
+        both = a[0] + b[0]
+        if weighted:
+            diff = both - 2 * sums["mins"]
+            return np.where(both == 0, 0.0, diff / both) if normalized else diff
+        union = both - sums["dot"]
+        return np.where(union == 0, 0.0, (union - sums["dot"]) / union)
+
+    return _sample_pairs(w, distance, v, "branch_id", "v", ("mins",) if weighted else ("dot",))
 
 
 def geo_distance(sites: DataFrame, unit: str = "km") -> DataFrame:
     """Haversine distance of every pair in km, m or degrees."""
-    j = _joined(all_pairs(sites, "sample_id"), sites, ["lat", "lon"])
-    km = haversine_km(F.col("lat_a"), F.col("lon_a"), F.col("lat_b"), F.col("lon_b"))
-    return j.select("a", "b", {"km": km, "m": km * 1000, "degrees": F.degrees(km / 6371.0)}[unit].alias("d"))
+    def distance(_, a, b):
+        (la, oa), (lb, ob) = np.radians(a), np.radians(b)
+        h = np.sin((lb - la) / 2) ** 2 + np.cos(la) * np.cos(lb) * np.sin((ob - oa) / 2) ** 2
+        km = 2 * 6371.0 * np.arcsin(np.sqrt(np.clip(h, 0.0, 1.0)))
+        return {"km": km, "m": km * 1000, "degrees": np.degrees(km / 6371.0)}[unit]
+
+    return _sample_pairs(sites.select("sample_id", "lat", "lon"), distance)
 
 
 def column_distance(meta: DataFrame, col: str) -> DataFrame:
     """Absolute difference of a numeric column for every pair with known values."""
-    m = meta.filter(F.col(col).isNotNull())
-    return _joined(all_pairs(m, "sample_id"), m, [col]).select("a", "b", F.abs(F.col(f"{col}_a") - F.col(f"{col}_b")).alias("d"))
+    return _sample_pairs(meta.filter(F.col(col).isNotNull()).select("sample_id", col), lambda _, a, b: np.abs(a[0] - b[0]))
 
 
 def permanova_labels(labels: DataFrame, dist: DataFrame, group: str = "group") -> DataFrame:
@@ -108,30 +125,50 @@ def permanova_labels(labels: DataFrame, dist: DataFrame, group: str = "group") -
     return l.join(small(ok), "group", "left_semi")
 
 
-def permanova(dist: DataFrame, labels: DataFrame, reps: int = 99, seed: int = 42) -> DataFrame:
-    """pseudo_f, r2, p_value, n, k. Every task adds the within-group sums of its pairs for all permutations in Arrow
-    batches; one row of sums per task is reduced."""
+def pair_blocks(dist: DataFrame, coded: DataFrame, key: str = "sample_id", side: int = 512) -> DataFrame:
+    """(bi, bj, ia, ib, ca, cb, q): squared distances packed by the blocks of both samples' indexes, at most side x side to a row."""
+    end = lambda s: coded.select(F.col(key).alias(s), F.col("idx").alias(f"i{s}"), F.col("code").alias(f"c{s}"))
+    j = dist.join(end("a"), "a").join(end("b"), "b").select((F.col("d") ** 2).alias("q"), "ia", "ib", "ca", "cb")
+    swap = F.col("ia") > F.col("ib")
+    pick = lambda x, y, name: F.when(swap, F.col(y)).otherwise(F.col(x)).alias(name)
+    j = j.select("q", pick("ia", "ib", "ia"), pick("ib", "ia", "ib"), pick("ca", "cb", "ca"), pick("cb", "ca", "cb"))
+    j = j.select("*", F.floor(F.col("ia") / side).cast("int").alias("bi"), F.floor(F.col("ib") / side).cast("int").alias("bj"))
+
+    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        raw = [pdf[c].to_numpy(np.int32).tobytes() for c in ("ia", "ib", "ca", "cb")]
+        return pd.DataFrame([(pdf["bi"].iloc[0], pdf["bj"].iloc[0], *raw, pdf["q"].to_numpy(float).tobytes())], columns=["bi", "bj", "ia", "ib", "ca", "cb", "q"])
+
+    return j.groupBy("bi", "bj").applyInPandas(one, "bi int, bj int, ia binary, ib binary, ca binary, cb binary, q binary")
+
+
+def permanova(dist: DataFrame, labels: DataFrame, reps: int = 99, seed: int = 42, side: int = 512) -> DataFrame:
+    """pseudo_f, r2, p_value, n, k. Squared distances are packed into tiles; per permutation a tile times one-hot labels of one side,
+    summed against those of the other, gives its within-group sums. Permuted labels are computed from the samples' indexes once per
+    tile, so pairs carry no label arrays; one row of sums per tile is reduced."""
     dist = cut_lineage(dist)
     lab = cut_lineage(permanova_labels(labels, dist))
-    codes, sizes = permuted_codes(lab, "sample_id", "group", reps, seed)
-    n, k = sum(c for _, c in sizes), len(sizes)
-    weight = np.array([1.0 / c for _, c in sizes])
-    side = lambda s: small(codes, 20_000).select(F.col("sample_id").alias(s), F.col("code").alias(f"c{s}"), F.col("perms").alias(f"p{s}"))
-    rows = dist.join(side("a"), "a").join(side("b"), "b").select((F.col("d") ** 2).alias("q"), "ca", "cb", "pa", "pb")
+    coded, design = indexed_labels(lab, seed=seed)
+    n, k = design.n, design.k
 
     def within(batches):
-        acc, total = np.zeros(reps + 1), 0.0
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            q = pdf["q"].to_numpy()
-            la = np.column_stack([pdf["ca"].to_numpy()[:, None], np.stack(pdf["pa"].to_numpy())])
-            lb = np.column_stack([pdf["cb"].to_numpy()[:, None], np.stack(pdf["pb"].to_numpy())])
-            acc += (q[:, None] * (la == lb) * weight[la]).sum(axis=0)
-            total += q.sum()
-        yield pd.DataFrame({"w": [acc], "t": [total]})
-
-    part = rows.mapInPandas(within, "w array<double>, t double")
+        for batch in batches:
+            for at in range(batch.num_rows):
+                r = batch.slice(at, 1).to_pylist()[0]
+                ia, ib, ca, cb = (np.frombuffer(r[c], np.int32) for c in ("ia", "ib", "ca", "cb"))
+                rows, cols = r["bi"] * side, r["bj"] * side
+                tile = np.zeros((side, side))
+                tile[ia - rows, ib - cols] = np.frombuffer(r["q"])
+                own = np.zeros((2, side), np.int16)
+                own[0, ia - rows], own[1, ib - cols] = ca, cb
+                out = [_inside(tile, own[0][:, None], own[1][:, None], design.sizes)]
+                index = np.arange(side, dtype=np.int64)
+                for first in range(0, reps, 32):
+                    size = min(32, reps - first)
+                    la, lb = (design.labels(np.minimum(index + start, n - 1), first, size) for start in (rows, cols))
+                    out.append(_inside(tile, la, lb, design.sizes))
+                yield pa.RecordBatch.from_pydict({"w": [np.concatenate(out).tolist()], "t": [float(tile.sum())]})
+
+    part = pair_blocks(dist, coded, side=side).mapInArrow(within, "w array<double>, t double")
     s = part.select("t", F.posexplode("w").alias("i", "w")).groupBy("i").agg(F.sum("w").alias("ssw"), (F.sum("t") / n).alias("sst"))
     s = s.withColumn("f", F.try_divide((F.col("sst") - F.col("ssw")) / (k - 1), F.col("ssw") / (n - k)))
     obs = s.filter("i = 0").select(F.col("f").alias("pseudo_f"), (1 - F.col("ssw") / F.col("sst")).alias("r2"))
@@ -140,6 +177,14 @@ def permanova(dist: DataFrame, labels: DataFrame, reps: int = 99, seed: int = 42
             .withColumns({"n": F.lit(n), "k": F.lit(k)}))
 
 
+def _inside(tile: np.ndarray, la: np.ndarray, lb: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Per permutation (column of the labels) the tile's sum over pairs of one group, divided by the group's size."""
+    out = np.zeros(la.shape[1])
+    for g, size in enumerate(sizes):
+        out += ((la == g) * (tile @ (lb == g).astype(float))).sum(0) / size
+    return out
+
+
 def centroid_distances(dist: DataFrame, labels: DataFrame) -> DataFrame:
     """sample_id, group, distance to the group centroid, from pair sums: d2(i, c) = mean_j d2(i, j) - half the group mean."""
     dist = cut_lineage(dist)

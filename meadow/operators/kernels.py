@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from meadow.sources.tables import cut_lineage
 
@@ -113,6 +115,11 @@ def dense_index(df: DataFrame, key: str, out: str = "idx", buckets: int = 1024)
             .drop("_b", "_off", "_h", "_w"))
 
 
+def arrow_schema(ddl: str) -> pa.Schema:
+    """The Arrow schema of rows that an Arrow function returns under this DDL."""
+    return to_arrow_schema(T.StructType.fromDDL(ddl))
+
+
 # ---------------------------------------------------------------- pairs
 
 

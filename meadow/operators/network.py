@@ -1,45 +1,81 @@
-"""Feature networks: pair statistics come from blocked pair sums (see kernels.pair_sums)."""
+"""Feature networks: pair statistics come from tiles (see pairs); edges above a threshold never meet a table of all pairs."""
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from meadow.functions import tails
-from meadow.operators.compositional import alr, clr, feature_count
+from meadow.operators.compositional import alr, clr
 from meadow.operators.geo import connected_components
-from meadow.operators.kernels import all_pairs, pair_sums, small, value_ranks
+from meadow.operators.kernels import value_ranks
+from meadow.operators.pairs import pair_tiles
 
 
-def pair_covariances(ab: DataFrame, value: str, zero: str | None = None, n: int | None = None) -> DataFrame:
-    """a, b, va, vb, cov (sample, ddof 1) for every feature pair; absent cells count as 0, or as the sample's `zero`.
+def _feature_heads(ab: DataFrame, value: str, zero: str | None, n: int | None) -> tuple[DataFrame, DataFrame, int]:
+    """(per feature sez, s, v, szz, see; cells e = x - z that are not 0; number of samples).
 
-    With a zero column, x = z + e with e = x - z present rows only: cov(x, y) needs sum(e f) from the pair kernel and
-    sums of e, z and e z per feature.
+    Absent cells count as 0, or as the sample's `zero`. With z the zero and e = x - z present rows only: cov(x, y) needs
+    sum(e f) from the tile and sums of e, z and e z per feature.
     """
     n = n or ab.select("sample_id").distinct().count()
     z = F.col(zero) if zero else F.lit(0.0)
     e = ab.select("sample_id", "feature_id", (F.col(value) - z).alias("e"), z.alias("z"))
     zs = e.groupBy("sample_id").agg(F.first("z").alias("z")).agg(F.sum("z").alias("sz"), F.sum(F.col("z") ** 2).alias("szz"))
     f = e.groupBy("feature_id").agg(F.sum("e").alias("se"), F.sum(F.col("e") * F.col("z")).alias("sez"), F.sum(F.col("e") ** 2).alias("see"))
-    f = f.crossJoin(F.broadcast(zs))
     total = F.col("se") + F.col("sz")
-    f = f.select("feature_id", "se", "sez", total.alias("s"), "szz",
-                 ((F.col("see") + 2 * F.col("sez") + F.col("szz") - total * total / n) / (n - 1)).alias("v"))
-    dots = pair_sums(e.filter("e <> 0"), "feature_id", "sample_id", "e", want=("dot",)).select("a", "b", "dot")
-    pairs = all_pairs(f, "feature_id").join(dots, ["a", "b"], "left")
-    a = f.select(F.col("feature_id").alias("a"), F.col("sez").alias("za"), F.col("s").alias("sa"), F.col("v").alias("va"), "szz")
-    b = f.select(F.col("feature_id").alias("b"), F.col("sez").alias("zb"), F.col("s").alias("sb"), F.col("v").alias("vb"))
-    j = pairs.join(a, "a").join(b, "b")
-    cov = (F.coalesce("dot", F.lit(0.0)) + F.col("za") + F.col("zb") + F.col("szz") - F.col("sa") * F.col("sb") / n) / (n - 1)
-    return j.select("a", "b", "va", "vb", cov.alias("cov"))
+    f = f.crossJoin(F.broadcast(zs)).select("feature_id", "sez", total.alias("s"), ((F.col("see") + 2 * F.col("sez") + F.col("szz") - total * total / n) / (n - 1)).alias("v"),
+                                            "szz", "see")
+    return f, e.filter("e <> 0").select("sample_id", "feature_id", "e"), n
+
+
+def _cov(dot, a, b, n):
+    return (dot + a[0] + b[0] + a[3] - a[1] * b[1] / n) / (n - 1)
+
+
+def _pair_values(ab: DataFrame, value: str, zero: str | None, n: int | None, measures: dict, least: tuple | None = None) -> DataFrame:
+    """a, b and one column per measure, a function of (cov, va, vb), for every feature pair; null where it is not a number.
+
+    `least` = (measure, threshold) keeps pairs whose absolute value is at least the threshold; as measures rise with the
+    covariance, a tile drops pairs whose products still to come cannot bring them there."""
+    heads, cells, n = _feature_heads(ab, value, zero, n)
+    kind = dict(heads.dtypes)["feature_id"]
+
+    def finish(a, b, sums, ha, hb):
+        ha, hb = ha.T, hb.T
+        with np.errstate(divide="ignore", invalid="ignore"):
+            out = {name: f(_cov(sums["dot"], ha, hb, n), ha[2], hb[2]) for name, f in measures.items()}
+        return pd.DataFrame({"a": a, "b": b, **{k: pd.Series(v).astype("Float64").mask(~np.isfinite(v)) for k, v in out.items()}})
+
+    def reach(dot, rest, ha, hb):
+        ha, hb = ha.T[:, :, None], hb.T[:, None, :]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            ends = [np.abs(measures[least[0]](_cov(dot + d, ha, hb, n), ha[2], hb[2])) for d in (rest, -rest)]
+        return np.maximum(*ends) >= least[1] * (1 - 1e-12)
+
+    schema = f"a {kind}, b {kind}, " + ", ".join(f"{m} double" for m in measures)
+    size = {"rows_per_block": 512, "cols_per_chunk": 256} if least else {}
+    return pair_tiles(heads, cells, "feature_id", finish, schema, "sample_id", "e", ("dot",), reach if least else None, "see" if least else None, **size)
+
+
+def _pearson(cov, va, vb):
+    return cov / np.sqrt(np.where(va * vb > 0, va * vb, np.nan))
+
+
+def _phi(cov, va, vb):
+    return (va + vb - 2 * cov) / np.where(va + vb != 0, va + vb, np.nan)
+
+
+def pair_covariances(ab: DataFrame, value: str, zero: str | None = None, n: int | None = None) -> DataFrame:
+    """a, b, va, vb, cov (sample, ddof 1) for every feature pair; absent cells count as 0, or as the sample's `zero`."""
+    return _pair_values(ab, value, zero, n, {"va": lambda c, va, vb: va + 0 * c, "vb": lambda c, va, vb: vb + 0 * c, "cov": lambda c, va, vb: c})
 
 
 def proportionality(ab: DataFrame, p: int | None = None, pseudocount: float = 1.0) -> DataFrame:
     """vlr = var(log ratio), phi = vlr / (va + vb), rho = 1 - phi on CLR values, for every feature pair."""
-    c = pair_covariances(clr(ab, p, pseudocount), "clr", "zero_clr")
-    vlr = F.col("va") + F.col("vb") - 2 * F.col("cov")
-    phi = F.try_divide(vlr, F.col("va") + F.col("vb"))
-    return c.select("a", "b", vlr.alias("vlr"), phi.alias("phi"), (1 - phi).alias("rho"))
+    return _pair_values(clr(ab, p, pseudocount), "clr", "zero_clr", None, {
+        "vlr": lambda c, va, vb: va + vb - 2 * c, "phi": _phi, "rho": lambda c, va, vb: 1 - _phi(c, va, vb)})
 
 
 def keep_prevalent(ab: DataFrame, min_prevalence: float) -> DataFrame:
@@ -50,29 +86,40 @@ def keep_prevalent(ab: DataFrame, min_prevalence: float) -> DataFrame:
 
 
 def proportionality_edges(ab: DataFrame, threshold: float = 0.7, min_prevalence: float = 0.1) -> DataFrame:
-    """src, dst, weight = rho where abs(rho) >= threshold among prevalent features."""
-    r = proportionality(keep_prevalent(ab, min_prevalence))
-    return r.filter(F.abs("rho") >= threshold).select(F.col("a").alias("src"), F.col("b").alias("dst"), F.col("rho").alias("weight"))
+    """src, dst, weight = rho where abs(rho) >= threshold among prevalent features; pairs that cannot reach it leave the tile early."""
+    r = _pair_values(clr(keep_prevalent(ab, min_prevalence)), "clr", "zero_clr", None, {"weight": lambda c, va, vb: 1 - _phi(c, va, vb)}, ("weight", threshold))
+    return r.filter(F.abs("weight") >= threshold).select(F.col("a").alias("src"), F.col("b").alias("dst"), "weight")
 
 
 def clr_correlation(ab: DataFrame, transform: str = "clr", reference=None) -> DataFrame:
     """Pearson correlation of CLR (or ALR) values for every feature pair."""
     t = clr(ab) if transform == "clr" else alr(ab, reference)
-    c = pair_covariances(t, transform, f"zero_{transform}")
-    return c.select("a", "b", F.try_divide(F.col("cov"), F.sqrt(F.col("va") * F.col("vb"))).alias("r"))
+    return _pair_values(t, transform, f"zero_{transform}", None, {"r": _pearson})
 
 
 def count_correlation(ab: DataFrame) -> DataFrame:
     """Pearson correlation of counts (absent = 0) for every feature pair."""
-    c = pair_covariances(ab, "count")
-    return c.select("a", "b", F.try_divide(F.col("cov"), F.sqrt(F.col("va") * F.col("vb"))).alias("r"))
+    return _pair_values(ab, "count", None, None, {"r": _pearson})
+
+
+def correlated_counts(ab: DataFrame, threshold: float) -> DataFrame:
+    """a, b, r of the feature pairs with abs(r) >= threshold, without a table of the others."""
+    return _pair_values(ab, "count", None, None, {"r": _pearson}, ("r", threshold)).filter(F.abs("r") >= threshold)
 
 
 def effective_tests(ab: DataFrame) -> DataFrame:
-    """1 + (p - 1)(1 - var(eigenvalues) / p): the variance of the eigenvalues is the mean squared entry sum minus 1."""
-    r = count_correlation(ab)
+    """1 + (p - 1)(1 - var(eigenvalues) / p): the variance of the eigenvalues is the mean squared entry sum minus 1.
+
+    A tile gives one row, the sum of its squared correlations."""
+    heads, cells, n = _feature_heads(ab, "count", None, None)
+
+    def finish(a, b, sums, ha, hb):
+        with np.errstate(divide="ignore", invalid="ignore"):
+            r = _pearson(_cov(sums["dot"], ha.T, hb.T, n), ha.T[2], hb.T[2])
+        return pd.DataFrame({"rr": [float(np.nansum(r * r))]})
+
+    s = pair_tiles(heads, cells, "feature_id", finish, "rr double", "sample_id", "e", ("dot",), rows_per_block=512).agg(F.coalesce(F.sum("rr"), F.lit(0.0)).alias("rr"))
     p = ab.select("feature_id").distinct().agg(F.count(F.lit(1)).cast("double").alias("p"))
-    s = r.agg(F.coalesce(F.sum(F.col("r") ** 2), F.lit(0.0)).alias("rr"))
     return s.crossJoin(p).select((1 + (F.col("p") - 1) * (1 - ((F.col("p") + 2 * F.col("rr")) / F.col("p") - 1) / F.col("p"))).alias("effective"))
 
 

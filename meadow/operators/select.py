@@ -11,7 +11,7 @@ from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, functions as F
 
 from meadow.operators.kernels import exact_quantiles, small
-from meadow.operators.network import count_correlation
+from meadow.operators.network import correlated_counts
 from meadow.operators.stats import anova_f, group_sizes, spearman_features
 from meadow.operators.table import sample_count
 from meadow.sources.tables import cut_lineage
@@ -55,7 +55,7 @@ def drop_collinear(ab: DataFrame, scores: DataFrame, threshold: float = 0.95) ->
 
     A feature anchors the group of its earlier (id order) collinear partners.
     """
-    r = cut_lineage(count_correlation(ab).filter(F.abs("r") > threshold).select("a", "b"))
+    r = cut_lineage(correlated_counts(ab, threshold).filter(F.abs("r") > threshold).select("a", "b"))
     tied = r.select(F.explode(F.array("a", "b")).alias("feature_id")).distinct()
     free = ab.select("feature_id").distinct().join(tied, "feature_id", "left_anti")
     members = r.select(F.col("b").alias("anchor"), F.col("a").alias("feature_id")).unionByName(r.select(F.col("b").alias("anchor"), F.col("b").alias("feature_id")).distinct())
@@ -226,15 +226,15 @@ def predict_environment(dense: DataFrame, meta: DataFrame, targets: list[str], v
 
 def shuffle_baseline(ab: DataFrame, labels: DataFrame, reps: int = 20, seed: int = 42) -> DataFrame:
     """real, mean_shuffled, p_value: best single-feature eta-squared against the same score with shuffled labels."""
-    from meadow.operators.stats import permuted_statistics
+    from meadow.operators.permute import maxima
     n = labels.count()
     k = labels.select("group").distinct().count()
-    st = permuted_statistics(ab, labels, reps, "ftest", seed)
-    ratio = F.col("stat") * (k - 1) / (F.col("stat") * (k - 1) + (n - k))
-    top = st.groupBy("perm").agg(F.max(ratio).alias("score"))
-    real = top.filter("perm = -1").select(F.col("score").alias("real"))
+    own, top = maxima(ab, labels, reps, "ftest", seed)
+    ratio = lambda f: f * (k - 1) / (f * (k - 1) + (n - k))
+    real = own.agg(ratio(F.max("statistic")).alias("real"))
     b = F.count_if(F.col("score") >= F.col("real") - 1e-12)
-    return top.filter("perm >= 0").crossJoin(F.broadcast(real)).agg(F.max("real").alias("real"), F.avg("score").alias("mean_shuffled"), ((b + 1) / (reps + 1.0)).alias("p_value"))
+    shuffled = top.select(ratio(F.col("top")).alias("score")).crossJoin(F.broadcast(real))
+    return shuffled.agg(F.max("real").alias("real"), F.avg("score").alias("mean_shuffled"), ((b + 1) / (reps + 1.0)).alias("p_value"))
 
 
 # ---------------------------------------------------------------- across studies

@@ -12,7 +12,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from meadow.functions import tails
-from meadow.operators.kernels import exact_quantiles, permuted_codes, running_total, small, value_bucket, value_ranks
+from meadow.operators.kernels import exact_quantiles, running_total, small, value_bucket, value_ranks
+from meadow.operators.permute import maxima, permutation_p
 from meadow.sources.tables import cut_lineage
 
 
@@ -348,67 +349,18 @@ def core_features(ab: DataFrame, labels: DataFrame, prevalence: float = 0.8, abu
 # ---------------------------------------------------------------- permutations
 
 
-def permuted_group_sums(ab: DataFrame, labels: DataFrame, reps: int, seed: int = 42, value: str = "count") -> tuple[DataFrame, list]:
-    """feature_id, perm, g, s: sum of values per feature and group for the given labels (perm = -1) and each permutation.
-
-    The permuted labels of a sample are computed from its index where the sample is read; rows are then summed feature by
-    feature in Arrow batches before the shuffle. Returns the group sizes, in code order, too.
-    """
-    codes, sizes = permuted_codes(labels, "sample_id", "group", reps, seed)
-    k = len(sizes)
-    rows = ab.join(codes, "sample_id").select("feature_id", F.col(value).cast("double").alias("v"), "code", "perms")
-    kind = dict(ab.dtypes)["feature_id"]
-
-    def partial(batches):
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            feats, inv = np.unique(pdf["feature_id"].to_numpy(), return_inverse=True)
-            lab = np.column_stack([pdf["code"].to_numpy()[:, None], np.stack(pdf["perms"].to_numpy())])
-            v = pdf["v"].to_numpy()
-            sums = np.zeros((len(feats), reps + 1, k))
-            for g in range(k):
-                np.add.at(sums[:, :, g], inv, (lab == g) * v[:, None])
-            yield pd.DataFrame({"feature_id": feats, "sums": list(sums.reshape(len(feats), -1))})
-
-    part = rows.mapInPandas(partial, f"feature_id {kind}, sums array<double>")
-    flat = part.select("feature_id", F.posexplode("sums").alias("i", "s")).groupBy("feature_id", "i").agg(F.sum("s").alias("s"))
-    return flat.select("feature_id", (F.floor(F.col("i") / k) - 1).cast("int").alias("perm"), (F.col("i") % k).cast("int").alias("g"), "s"), sizes
-
-
-def permuted_statistics(ab: DataFrame, labels: DataFrame, reps: int, kind: str = "ttest", seed: int = 42, value: str = "count") -> DataFrame:
-    """feature_id, perm, stat: absolute mean difference (ttest, two groups) or F (ftest) for the data (perm -1) and each
-    permutation."""
-    sums, sizes = permuted_group_sums(ab, labels, reps, seed, value)
-    n = sum(c for _, c in sizes)
-    size = F.element_at(F.array(*[F.lit(float(c)) for _, c in sizes]), F.col("g") + 1)
-    if kind == "ttest":
-        sign = F.when(F.col("g") == 0, 1.0).otherwise(-1.0)
-        return sums.groupBy("feature_id", "perm").agg(F.abs(F.sum(sign * F.col("s") / size)).alias("stat"))
-    total = ab.join(labels, "sample_id", "left_semi").groupBy("feature_id").agg(F.sum(F.col(value) ** 2).alias("ss"), F.sum(value).alias("t"))
-    k = len(sizes)
-    q = sums.groupBy("feature_id", "perm").agg(F.sum(F.col("s") ** 2 / size).alias("q")).join(total, "feature_id")
-    ssb = F.col("q") - F.col("t") ** 2 / n
-    return q.select("feature_id", "perm", F.try_divide(ssb / (k - 1), F.greatest(F.col("ss") - F.col("q"), F.lit(0.0)) / (n - k)).alias("stat"))
-
-
-def permutation_test(ab: DataFrame, labels: DataFrame, reps: int = 99, kind: str = "ttest", seed: int = 42) -> DataFrame:
-    """Statistic and p = (b + 1) / (B + 1) per feature."""
-    st = permuted_statistics(ab, labels, reps, kind, seed)
-    obs = st.filter("perm = -1").select("feature_id", F.col("stat").alias("statistic"))
-    b = F.count_if(F.col("stat") >= F.col("statistic") - F.abs("statistic") * 1e-12)
-    return (st.filter("perm >= 0").join(obs, "feature_id").groupBy("feature_id")
-            .agg(F.max("statistic").alias("statistic"), ((b + 1) / (reps + 1.0)).alias("p_perm")))
+def permutation_test(ab: DataFrame, labels: DataFrame, reps: int = 99, kind: str = "ttest", seed: int = 42, stop: int | None = None) -> DataFrame:
+    """Statistic (absolute mean difference of two groups, or F) and p = (b + 1) / (B + 1) per feature; with `stop` a feature
+    leaves after so many exceedances, at permutation l, and has p = stop / l. See permute."""
+    return permutation_p(ab, labels, reps, kind, seed, stop=stop).select("feature_id", "statistic", "p_perm")
 
 
 def maxt(ab: DataFrame, labels: DataFrame, reps: int = 99, kind: str = "ftest", seed: int = 42) -> DataFrame:
     """Family-wise p: share of permutations whose largest statistic over all features reaches the feature's."""
-    st = permuted_statistics(ab, labels, reps, kind, seed)
-    top = st.filter("perm >= 0").groupBy("perm").agg(F.max("stat").alias("top"))
-    tops = F.broadcast(top.agg(F.array_sort(F.collect_list("top")).alias("tops")))
-    obs = st.filter("perm = -1").crossJoin(tops)
-    b = F.size(F.filter("tops", lambda x: x >= F.col("stat")))
-    return obs.select("feature_id", F.col("stat").alias("statistic"), ((b + 1) / (reps + 1.0)).alias("p_maxt"))
+    own, top = maxima(ab, labels, reps, kind, seed)
+    tops = F.broadcast(top.agg(F.collect_list("top").alias("tops")))  # one number per permutation
+    b = F.size(F.filter("tops", lambda x: x >= F.col("statistic") - F.abs("statistic") * 1e-12))
+    return own.crossJoin(tops).select("feature_id", "statistic", ((b + 1) / (reps + 1.0)).alias("p_maxt"))
 
 
 def compare_tests(ab: DataFrame, labels: DataFrame, groups: tuple[str, str], reps: int = 99, seed: int = 42, alpha: float = 0.05) -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from meadow.operators.kernels import all_pairs, dense_index, exact_quantiles, permute_index, small, value_ranks
+from meadow.operators.kernels import all_pairs, dense_index, exact_quantiles, permute_index, running_total, small, value_ranks
 from meadow.operators.table import sample_count
 from meadow.sources.tables import cut_lineage
 from meadow.functions import tails
@@ -205,6 +206,85 @@ def permuted_trait_signal(pairs: DataFrame, diff: DataFrame, reps: int, seed: in
     return perm.crossJoin(F.broadcast(obs)).agg(F.max("signal").alias("signal"), ((b + 1) / (reps + 1.0)).alias("p_value"), F.max("n_pairs").alias("n_pairs"))
 
 
+def rank_trie(feature_meta: DataFrame, ranks: list[str]) -> DataFrame:
+    """feature_id and clades, one struct (level, clade) for each clade of two or more features: level i holds the features that
+    agree in the first i ranks. Ranks are compared as in taxonomic_distance: as strings, null is a name of its own."""
+    names = [F.coalesce(F.col(r).cast("string"), F.lit("nan")) for r in ranks]
+    key = lambda i: F.sha2(F.to_json(F.array(*names[:i])), 256)
+    f = feature_meta.select("feature_id", F.posexplode(F.array(*[key(i) for i in range(1, len(ranks) + 1)])).alias("level", "clade"))
+    f = f.withColumn("level", F.col("level") + 1)
+    shared = f.groupBy("level", "clade").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
+    f = f.join(shared, ["level", "clade"]).groupBy("feature_id").agg(F.collect_list(F.struct("level", F.xxhash64("level", "clade").alias("clade"), "m")).alias("clades"))
+    return feature_meta.select("feature_id").join(f, "feature_id", "left")
+
+
+def clade_sums(rows: DataFrame, reps_col: str = "rep") -> DataFrame:
+    """rep, level, pairs, ys, yy: over the pairs inside the clades of a level their number and the sums of |difference| and its square.
+
+    rows (rep, level, clade, m, v). With values in order, L below and m - L - c above a value of c features, the sum of
+    |difference| is the sum of v c (2 L + c - m): a sorted running count per clade, no pairs. Equal values merge first."""
+    hist = rows.groupBy(reps_col, "level", "clade", "m", "v").agg(F.count(F.lit(1)).alias("c"))
+    run = running_total(hist, [reps_col, "level", "clade"], "v", "c", "hi")
+    part = run.groupBy(reps_col, "level", "clade").agg(
+        F.max("m").alias("m"), F.sum(F.col("v") * F.col("c") * (2 * (F.col("hi") - F.col("c")) + F.col("c") - F.col("m"))).alias("ys"),
+        F.sum(F.col("v") * F.col("c")).alias("s"), F.sum(F.col("v") * F.col("v") * F.col("c")).alias("ss"))
+    yy = F.greatest(F.col("m") * F.col("ss") - F.col("s") * F.col("s"), F.lit(0.0))
+    return part.groupBy(reps_col, "level").agg(F.sum(F.col("m") * (F.col("m") - 1) / 2).alias("pairs"), F.sum("ys").alias("ys"), F.sum(yy).alias("yy"))
+
+
+def clade_signal(traits: DataFrame, feature_meta: DataFrame, ranks: list[str], weights: list[int] | None = None, reps: int = 99,
+                 seed: int = 42, per_pass: int = 25) -> DataFrame:
+    """trait_signal on taxonomic distances, without a table of pairs: signal, p_value (where reps), n_pairs.
+
+    The distance of two features is the weight of the first rank that differs, so the pairs at level i of the rank trie less
+    those at level i + 1 have weight i, and correlation over pairs needs the sums of clade_sums only. A permutation gives each
+    feature the value at its permuted index; per_pass permutations are summed in one pass, P log P each. traits (feature_id,
+    value); features without a value or a row in feature_meta take no part.
+    """
+    weights = weights or list(range(6, 6 - len(ranks), -1))
+    t = traits.select("feature_id", F.col("value").cast("double").alias("v")).filter("v is not null")
+    f = cut_lineage(dense_index(rank_trie(feature_meta.join(t, "feature_id", "left_semi"), ranks).join(t, "feature_id"), "feature_id"))
+    n = f.count()
+    spark = f.sparkSession
+    ends = "signal double, p_value double, n_pairs long" if reps else "signal double, n_pairs long"
+    inside = lambda d: d.select("rep", F.explode("clades").alias("k"), "v").select("rep", "k.level", "k.clade", "k.m", "v")
+    top = f.select(F.lit(-1).alias("rep"), F.lit(0).alias("level"), F.lit(0).cast("long").alias("clade"), F.lit(n).cast("long").alias("m"), "v")
+    found = clade_sums(top.unionByName(inside(f.withColumn("rep", F.lit(-1))))).collect()
+    values = f.select(F.col("idx").alias("to"), "v")
+
+    def images(first: int, size: int):
+        @F.pandas_udf(T.ArrayType(T.LongType()))
+        def run(i: pd.Series) -> pd.Series:
+            return pd.Series(list(permute_index(i.to_numpy(), n, size, seed, first)))
+        return run("idx")
+
+    for first in range(0, reps, per_pass):
+        moved = f.select("clades", F.posexplode(images(first, min(per_pass, reps - first))).alias("rep", "to")).withColumn("rep", F.col("rep") + first)
+        found += clade_sums(inside(moved.join(values, "to"))).collect()
+    # One row per permutation and level reaches the driver.
+    at = {(r["rep"], r["level"]): (r["pairs"], r["ys"], r["yy"]) for r in found}
+    own = [i for i, w in enumerate(weights) if w > 0]
+
+    def correlation(rep: int) -> tuple[float, int]:
+        level = lambda i: np.array(at.get((rep if i else -1, i), (0.0, 0.0, 0.0)))
+        between = {i: level(i) - level(i + 1) for i in own}
+        pairs, ys, yy = sum(between.values(), np.zeros(3))
+        xs = sum(weights[i] * between[i][0] for i in own)
+        xx = sum(weights[i] ** 2 * between[i][0] for i in own)
+        xy = sum(weights[i] * between[i][1] for i in own)
+        if not pairs:
+            return 0.0, 0
+        spread = (xx - xs * xs / pairs) * (yy - ys * ys / pairs)
+        r = (xy - xs * ys / pairs) / spread ** 0.5 if spread > 1e-12 * xx * max(yy, 1e-300) else 0.0
+        return float(min(1.0, max(0.0, r))), int(round(pairs))
+
+    signal, n_pairs = correlation(-1)
+    if not reps:
+        return spark.createDataFrame([(signal, n_pairs)], ends)
+    b = sum(correlation(r)[0] >= signal - 1e-12 for r in range(reps))
+    return spark.createDataFrame([(signal, (b + 1) / (reps + 1.0), n_pairs)], ends)
+
+
 def trait_environment(scores: DataFrame, measured: DataFrame, key: str = "trait", alpha: float = 0.05) -> tuple[DataFrame, DataFrame]:
     """(correlations per trait and measure, strength per measure = 0.4 share significant + 0.6 strongest)."""
     c = cut_lineage(score_correlations(scores, measured, key))
@@ -224,36 +304,82 @@ def niche_breadth(ab: DataFrame, meta: DataFrame, cols: list[str]) -> DataFrame:
     return present.join(b, "feature_id", "left").select("feature_id", F.when(F.col("present") < 2, 0.5).otherwise(F.coalesce("b", F.lit(0.5))).alias("niche_breadth"))
 
 
-def ecotypes(ab: DataFrame, meta: DataFrame, cols: list[str], max_k: int = 4, min_prevalence: float = 0.05, min_silhouette: float = 0.2,
-             seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """(feature_id, k, ecotype, size, prevalence, silhouette), (feature_id, sample_id, ecotype).
+IN_TASK = 100_000  # rows of a feature up to which its clusters are found inside one task
+BUNDLE = 50_000  # rows, about, of the features that a task takes together
+ROUNDS = 1000  # Lloyd rounds after which a feature that still moves is taken for a cycle
+DIGITS = 9  # of means, so that the order of a sum cannot keep a centroid moving
 
-    Samples of a feature are clustered on scaled metadata. Lloyd rounds run for all features and all k at once until no centroid
-    moves; a feature whose centroids stay is left out of further rounds. Rows meet the few centroids of their (feature, k), pick the nearest, and are averaged (a partial aggregate), so a feature present
-    everywhere is spread over tasks. Silhouettes use centroids; the best k at or above min_silhouette stays.
-    """
-    stats = meta.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)], *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(cols)]).first()
-    z = [F.coalesce((F.col(c).cast("double") - float(stats[f"m{i}"])) / float(stats[f"s{i}"] or 1.0), F.lit(0.0)) for i, c in enumerate(cols)]
-    pts = meta.select("sample_id", F.array(*z).alias("x"))
-    n = meta.count()
-    keep = ab.groupBy("feature_id").agg(F.count(F.lit(1)).alias("p")).filter((F.col("p") >= min_prevalence * n) & (F.col("p") >= 2 * max_k))
-    rows = cut_lineage(ab.join(keep, "feature_id", "left_semi").select("feature_id", "sample_id").join(pts, "sample_id"))
-    dim = len(cols)
-    d2 = lambda x, c: sum(((F.get(x, F.lit(i)) - F.get(c, F.lit(i))) ** 2 for i in range(dim)), F.lit(0.0))
-    h = F.xxhash64("feature_id", "sample_id", F.lit(seed))
-    # max_k starting points per feature: one sample (smallest hash) from each hash class, which merges before the shuffle.
-    starts = rows.groupBy("feature_id", F.pmod(h, F.lit(max_k)).alias("slot")).agg(F.min_by("x", h).alias("c"))
-    ks = F.explode(F.array(*[F.lit(k) for k in range(2, max_k + 1)]))
-    cen = cut_lineage(starts.withColumn("k", ks).filter("slot < k").groupBy("feature_id", "k").agg(F.collect_list("c").alias("cs")))
 
-    dists = F.transform("cs", lambda c, i: F.struct(d2(F.col("x"), c).alias("d"), i.alias("i")))
-    joined = lambda cs: rows.join(cs, "feature_id").withColumn("ds", dists)
-
-    moving, settled = cen, None
+def _settled(x: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Centroids (sorted) when no mean moves any more, from sorted starting points. A centroid without points goes."""
+    cs, seen = start, set()
     while True:
+        near = ((x[:, None, :] - cs[None, :, :]) ** 2).sum(2).argmin(1)
+        count = np.bincount(near, minlength=len(cs))
+        sums = np.stack([np.bincount(near, weights=col, minlength=len(cs)) for col in x.T], 1)
+        new = np.round(sums[count > 0] / count[count > 0][:, None], DIGITS)
+        new = new[np.lexsort(new.T[::-1])]
+        if new.shape == cs.shape and (new == cs).all():
+            return cs
+        mark = new.tobytes()
+        if mark in seen:
+            raise RuntimeError("ecotypes: the centroids of a feature go round in a cycle")
+        seen.add(mark)
+        cs = new
+
+
+def _clustered(x: np.ndarray, h: np.ndarray, max_k: int) -> tuple[int, float, np.ndarray] | None:
+    """(k, silhouette, cluster of each row) of the best k of one feature; starting points as in _starts()."""
+    best = None
+    slot = h % max_k
+    firsts = {s: x[np.flatnonzero(slot == s)[h[slot == s].argmin()]] for s in np.unique(slot)}
+    for k in range(2, max_k + 1):
+        start = np.array([c for s, c in firsts.items() if s < k])
+        if not len(start):
+            continue
+        cs = _settled(x, start[np.lexsort(start.T[::-1])])
+        if len(cs) < 2:
+            continue
+        d = np.sqrt(((x[:, None, :] - cs[None, :, :]) ** 2).sum(2))
+        two = np.partition(d, 1, axis=1)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            s = np.where(two[:, 1] > 0, (two[:, 1] - two[:, 0]) / two[:, 1], 0.0).mean()
+        if best is None or s > best[1]:
+            best = k, float(s), d.argmin(1)
+    return best
+
+
+def _clustered_in_tasks(rows: DataFrame, max_k: int, min_silhouette: float) -> DataFrame:
+    """feature_id, k, silhouette, sample_id, ecotype of features with few rows: bundles of whole features, one pass."""
+    kinds = dict(rows.dtypes)
+    ddl = f"feature_id {kinds['feature_id']}, k int, silhouette double, sample_id {kinds['sample_id']}, ecotype int"
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = [pd.DataFrame({"feature_id": [], "k": [], "silhouette": [], "sample_id": [], "ecotype": []})]
+        for f, part in pdf.groupby("feature_id", sort=False):
+            best = _clustered(np.stack(part["x"].to_numpy()), part["h"].to_numpy(), max_k)
+            if best is not None and best[1] >= min_silhouette:
+                out.append(pd.DataFrame({"feature_id": f, "k": best[0], "silhouette": best[1], "sample_id": part["sample_id"].to_numpy(), "ecotype": best[2]}))
+        return pd.concat(out[1:] or out)
+
+    bundles = max(1, -(-rows.count() // BUNDLE))
+    return rows.groupBy(F.pmod(F.xxhash64("feature_id"), F.lit(bundles)).alias("bundle")).applyInPandas(run, ddl)
+
+
+def _clustered_in_rounds(rows: DataFrame, dim: int, max_k: int, min_silhouette: float) -> DataFrame:
+    """The same for features of any number of rows: rounds over all of them at once. Rows meet the few centroids of their
+    (feature, k), pick the nearest, and are averaged (a partial aggregate), so that a feature is spread over tasks."""
+    d2 = lambda x, c: sum(((F.get(x, F.lit(i)) - F.get(c, F.lit(i))) ** 2 for i in range(dim)), F.lit(0.0))
+    # One starting point per hash class of samples, the one of the smallest hash; minima merge before the shuffle.
+    starts = rows.groupBy("feature_id", F.pmod("h", F.lit(max_k)).alias("slot")).agg(F.min_by("x", "h").alias("c"))
+    ks = F.explode(F.array(*[F.lit(k) for k in range(2, max_k + 1)]))
+    moving = cut_lineage(starts.withColumn("k", ks).filter("slot < k").groupBy("feature_id", "k").agg(F.array_sort(F.collect_list("c")).alias("cs")))
+    dists = F.transform("cs", lambda c, i: F.struct(d2(F.col("x"), c).alias("d"), i.alias("i")))
+    joined = lambda cs: rows.join(cs, "feature_id").withColumn("ds", dists)
+    settled = None
+    for _ in range(ROUNDS):
         near = joined(moving).select("feature_id", "k", "x", F.array_min("ds")["i"].alias("i"))
-        # Means are cut to nine digits, so that the order of a sum cannot keep a centroid moving.
-        new = near.groupBy("feature_id", "k", "i").agg(F.array(*[F.round(F.avg(F.get("x", F.lit(i))), 9) for i in range(dim)]).alias("c"))
+        new = near.groupBy("feature_id", "k", "i").agg(F.array(*[F.round(F.avg(F.get("x", F.lit(i))), DIGITS) for i in range(dim)]).alias("c"))
         new = new.groupBy("feature_id", "k").agg(F.array_sort(F.collect_list("c")).alias("cs"))
         old = moving.select("feature_id", "k", F.col("cs").alias("was"))
         new = cut_lineage(new.join(old, ["feature_id", "k"]).select("feature_id", "k", "cs", (F.col("cs") == F.col("was")).alias("same")))
@@ -262,13 +388,37 @@ def ecotypes(ab: DataFrame, meta: DataFrame, cols: list[str], max_k: int = 4, mi
         moving = new.filter("not same").drop("same")
         if moving.isEmpty():
             break
-    cen = cut_lineage(settled)
+    else:
+        raise RuntimeError(f"ecotypes: centroids still move after {ROUNDS} rounds")
     two = F.array_sort("ds")
-    out = cut_lineage(joined(cen).filter(F.size("cs") > 1).select("feature_id", "k", "sample_id", F.get(two, F.lit(0)).alias("a"), F.get(two, F.lit(1)).alias("b")))
+    out = cut_lineage(joined(cut_lineage(settled)).filter(F.size("cs") > 1).select("feature_id", "k", "sample_id", F.get(two, F.lit(0)).alias("a"), F.get(two, F.lit(1)).alias("b")))
     da, db = F.sqrt("a.d"), F.sqrt("b.d")
     sil = out.groupBy("feature_id", "k").agg(F.avg(F.coalesce(F.try_divide(db - da, F.greatest(da, db)), F.lit(0.0))).alias("silhouette"))
     best = sil.groupBy("feature_id").agg(F.max_by("k", F.struct(F.col("silhouette"), -F.col("k"))).alias("k"), F.max("silhouette").alias("silhouette")).filter(F.col("silhouette") >= min_silhouette)
-    members = out.join(best, ["feature_id", "k"]).select("feature_id", "k", "silhouette", "sample_id", F.col("a.i").alias("ecotype"))
+    return out.join(best, ["feature_id", "k"]).select("feature_id", "k", "silhouette", "sample_id", F.col("a.i").alias("ecotype"))
+
+
+def ecotypes(ab: DataFrame, meta: DataFrame, cols: list[str], max_k: int = 4, min_prevalence: float = 0.05, min_silhouette: float = 0.2,
+             seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """(feature_id, k, ecotype, size, prevalence, silhouette), (feature_id, sample_id, ecotype).
+
+    The samples of a feature are clustered on scaled metadata by Lloyd rounds until no centroid moves (a cycle raises), for k =
+    2..max_k; silhouettes use centroids; the best k at or above min_silhouette stays. Features with up to IN_TASK rows are clustered
+    in bundles, each inside a task and in one pass; the others, which a task could not hold, by rounds over all their rows. Both
+    start from the same points and follow the same rule.
+    """
+    stats = meta.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)], *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(cols)]).first()
+    z = [F.coalesce((F.col(c).cast("double") - float(stats[f"m{i}"])) / float(stats[f"s{i}"] or 1.0), F.lit(0.0)) for i, c in enumerate(cols)]
+    pts = meta.select("sample_id", F.array(*z).alias("x"))
+    n = meta.count()
+    keep = ab.groupBy("feature_id").agg(F.count(F.lit(1)).alias("p")).filter((F.col("p") >= min_prevalence * n) & (F.col("p") >= 2 * max_k))
+    rows = cut_lineage(ab.join(keep, "feature_id").select("feature_id", "sample_id", "p").join(pts, "sample_id")
+                       .withColumn("h", F.xxhash64("feature_id", "sample_id", F.lit(seed))))
+    few, many = rows.filter(F.col("p") <= IN_TASK).drop("p"), rows.filter(F.col("p") > IN_TASK).drop("p")
+    members = _clustered_in_tasks(few, max_k, min_silhouette)
+    if not many.isEmpty():
+        members = members.unionByName(_clustered_in_rounds(many, len(cols), max_k, min_silhouette))
+    members = cut_lineage(members)
     prof = members.groupBy("feature_id", "k", "silhouette", "ecotype").agg(F.count(F.lit(1)).alias("size")).withColumn("prevalence", F.col("size") / n)
     return prof, members.select("feature_id", "sample_id", "ecotype")
 

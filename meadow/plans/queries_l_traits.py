@@ -177,13 +177,13 @@ def l08(spark, d):
 @query("l09_trait_signal", cte(k=KINDS, td=TD) + f"SELECT {q6('GREATEST(0, LEAST(1, CORR(d, e)))')} AS signal, COUNT(*) AS n_pairs FROM td WHERE d > 0")
 def l09(spark, d):
     k = kinds(spark, d)
-    return rounded(tr.trait_signal(k, tr.taxonomic_distance(k, ["kingdom", "phylum", "class"]), reps=0))
+    return rounded(tr.clade_signal(k, k, ["kingdom", "phylum", "class"], reps=0))
 
 
 @query("l09_trait_signal_p")
 def l09b(spark, d):
     k = kinds(spark, d)
-    return tr.trait_signal(k, tr.taxonomic_distance(k, ["kingdom", "phylum", "class"]), reps=49)
+    return tr.clade_signal(k, k, ["kingdom", "phylum", "class"], reps=49)
 
 
 @query("l10_trait_environment")
