@@ -24,7 +24,7 @@ from meadow.llm.common import worker_memory
 
 SPACE = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-CACHE = 250_000  # entries of a worker's memories of steps, of which there are two, and of pairs, which is emptied when full
+CACHE = 400_000  # entries of a worker's memories of steps, of which there are two, and of pairs, which is emptied when full
 LONGEST_STEP = 64  # characters of a step that is remembered
 SLICE = 64  # texts that are encoded before their rows leave the task
 
@@ -37,7 +37,7 @@ class Pieces:
         self.scores: dict[str, float] = {}
         self.names: list[str | bytes] = []
         self.byte_ids = [0] * 256
-        self.starts: dict[str, int] = {}  # every beginning of a piece, with its id if it is a piece itself, else -1
+        self.trie: dict = {}  # a node has a node per next character and, under 0, the id of the piece that ends there or -1
         for i in range(sp.vocab_size()):
             name = sp.id_to_piece(i)
             if sp.is_byte(i):
@@ -48,9 +48,10 @@ class Pieces:
             else:
                 self.scores[name] = sp.get_score(i)
                 self.names.append(name)
-                for n in range(1, len(name)):
-                    self.starts.setdefault(name[:n], -1)
-                self.starts[name] = i
+                node = self.trie
+                for c in name:
+                    node = node.setdefault(c, {0: -1})
+                node[0] = i
         self.spelled = [n if isinstance(n, bytes) else n.replace(SPACE, " ").encode() for n in self.names]
         self.longest = max(map(len, self.scores))
         self.stable: dict[int, bool] = {}
@@ -91,22 +92,22 @@ class Pieces:
             window.forget()
         yield from window.advance(len(window.text), True)
 
-    def stream(self, chunks: Iterable[str]) -> Iterator[int]:
-        """Ids of a text that comes in chunks (spaces already written as the space mark), as soon as they are certain.
+    def stream(self, chunks: Iterable[str]) -> Iterator[Iterable[int]]:
+        """Ids of a text that comes in chunks (spaces already written as the space mark), some at a time, as soon as they are certain.
 
         Where the model lets all paths meet at word starts, a word is one step of the search from one such boundary to the next;
         a step taken before is looked up, others are searched. A step waits in the buffer until its end is there."""
         if not self.cut:
-            yield from self.search(chunks)
+            yield self.search(chunks)
             return
         rest = ""
         for chunk in chunks:
             steps = self.step.findall(rest + chunk)
             rest = steps.pop() if steps else ""
             for w in steps:
-                yield from self.known.get(w) or self._taken(w)
+                yield self.known.get(w) or self._taken(w)
         if rest:
-            yield from self.known.get(rest) or self._taken(rest)
+            yield self.known.get(rest) or self._taken(rest)
 
     def _taken(self, w: str) -> Iterable[int]:
         """A step that is searched; a long one is not remembered."""
@@ -125,7 +126,10 @@ class Pieces:
 
     def encode(self, text: str | None) -> np.ndarray:
         """Ids of a whole text."""
-        return np.fromiter(self.stream([SPACE + text.replace(" ", SPACE)] if text else []), np.int32)
+        out: list[int] = []
+        for ids in self.stream([SPACE + text.replace(" ", SPACE)] if text else []):
+            out += ids
+        return np.array(out, np.int32)
 
     def decode(self, ids: Iterable[int]) -> str:
         """The text of ids. Space marks become spaces, the leading one goes; invalid bytes become replacement characters."""
@@ -147,9 +151,9 @@ class _Window:
     def advance(self, stop: int, final: bool = False) -> list[int]:
         """Takes in the pieces that start before `stop`, which lies a piece's length before the end of the text or, if that is
         final, at its end; returns the ids that have become certain."""
-        model, text, back, last = self.model, self.text, self.back, self.last
-        starts, stable, follows = model.starts.get, model.stable.get, model.follows
-        n, longest = len(text), model.longest
+        model, chars, back, last = self.model, list(self.text), self.back, self.last
+        root, stable, follows = model.trie.get, model.stable.get, model.follows
+        n, longest = len(chars), model.longest
         grow = n + 1 - len(back)
         back.extend([0] * grow)
         last.extend([-1] * grow)
@@ -170,27 +174,27 @@ class _Window:
                     at += 1
                     continue
             prev = last[at]
-            key = prev << 24
             end = at + 1
-            i = starts(text[at:end])
-            if i is None or i < 0:
-                if not back[end]:
-                    back[end] = 1
-                if far < end:
-                    far = end
-            while i is not None:
-                if i >= 0 and not back[end]:
-                    ok = True if prev < 0 else stable(key | i)
-                    if ok is None:
-                        ok = follows(prev, i)
-                    if ok:
-                        back[end], last[end] = end - at, i
-                if far < end:
-                    far = end
+            node = root(chars[at])
+            if (node is None or node[0] < 0) and not back[end]:
+                back[end] = 1
+            if far < end:
+                far = end
+            while node is not None:
+                i = node[0]
+                if i >= 0:
+                    if far < end:
+                        far = end
+                    if not back[end]:
+                        ok = True if prev < 0 else stable(prev << 24 | i)
+                        if ok is None:
+                            ok = follows(prev, i)
+                        if ok:
+                            back[end], last[end] = end - at, i
                 if end == n:
                     break
+                node = node.get(chars[end])
                 end += 1
-                i = starts(text[at:end])
             at += 1
         if final and n > base:
             self._commit(base, n, out)
