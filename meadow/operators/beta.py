@@ -11,7 +11,6 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, functions as F, types as T
 
@@ -340,12 +339,91 @@ def to_vectors(dense: DataFrame, value: str) -> DataFrame:
     return g.select("sample_id", array_to_vector(F.transform("l", lambda s: s["x"])).alias("features"))
 
 
-def pca(vectors: DataFrame, k: int = 3) -> tuple[DataFrame, list[float]]:
-    """(sample_id, axes array of centred scores), explained variance ratios."""
-    scaler = StandardScaler(withMean=True, withStd=False, inputCol="features", outputCol="centred").fit(vectors)
-    c = scaler.transform(vectors)
-    model = PCA(k=k, inputCol="centred", outputCol="pc").fit(c)
-    return model.transform(c).select("sample_id", vector_to_array("pc").alias("axes")), list(model.explainedVariance)
+def _summed(parts: DataFrame) -> dict[int, np.ndarray]:
+    """The sums of the rows (at, x: doubles as binary) with equal `at`: one row per piece of a result reaches the driver."""
+    def add(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"at": [pdf["at"].iloc[0]], "x": [np.sum([np.frombuffer(x) for x in pdf["x"]], axis=0).tobytes()]})
+
+    return {r["at"]: np.frombuffer(r["x"]) for r in parts.groupBy("at").applyInPandas(add, "at int, x binary").collect()}
+
+
+def _matrix(batch: pa.RecordBatch) -> np.ndarray:
+    return batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+
+
+def _products(x: DataFrame, mean: np.ndarray, v: np.ndarray, piece: int = 1 << 16) -> np.ndarray:
+    """(X - mean)' (X - mean) v in one pass over the rows; a task gives its sums in pieces of fixed size."""
+    def run(batches):
+        acc = np.zeros(v.shape)
+        for batch in batches:
+            m = _matrix(batch) - mean
+            acc += m.T @ (m @ v)
+        flat = acc.ravel()
+        yield pa.RecordBatch.from_pydict({"at": pa.array(range(-(-len(flat) // piece)), pa.int32()),
+                                          "x": [flat[i:i + piece].tobytes() for i in range(0, len(flat), piece)]})
+
+    got = _summed(x.select("x").mapInArrow(run, "at int, x binary"))
+    return np.concatenate([got[i] for i in sorted(got)]).reshape(v.shape)
+
+
+def pca(vectors: DataFrame, k: int = 3, extra: int = 8, rounds: int = 100, tol: float = 1e-9, seed: int = 42) -> tuple[DataFrame, list[float]]:
+    """(sample_id, axes array of centred scores), explained variance ratios. Of each axis the largest loading is positive.
+
+    A random block of k + extra directions is multiplied by the centred covariance, one pass over the rows each time, and
+    orthonormalised into a growing basis of the range (restarted from its best directions when it has eight blocks); the largest
+    axes are taken inside it. So features x basis is the most that the driver holds, never features x features. Ends when what
+    the covariance leaves outside the axes is below `tol` of the first variance; raises if `rounds` are not enough.
+    """
+    x = cut_lineage(vectors.select("sample_id", vector_to_array("features").alias("x")))
+    p = len((x.first() or {"x": []})["x"])
+
+    def sums(batches):
+        acc = np.zeros(p + 2)
+        for batch in batches:
+            m = _matrix(batch)
+            acc += np.concatenate([m.sum(0), [(m * m).sum(), len(m)]])
+        yield pa.RecordBatch.from_pydict({"at": pa.array([0], pa.int32()), "x": [acc.tobytes()]})
+
+    total = _summed(x.select("x").mapInArrow(sums, "at int, x binary"))[0]
+    n = total[-1]
+    mean = total[:p] / n
+    inertia = total[p] - n * (mean @ mean)
+    k = min(k, p)
+    block = min(k + extra, p)
+    basis = np.linalg.qr(np.random.default_rng(seed).normal(size=(p, block)))[0]
+    done = np.zeros((p, 0))
+    fresh = basis
+    for _ in range(rounds):
+        done = np.concatenate([done, _products(x, mean, fresh)], axis=1)
+        values, turn = np.linalg.eigh((basis.T @ done + done.T @ basis) / 2)
+        order = np.argsort(values)[::-1][:block]
+        values, best, moved = values[order], basis @ turn[:, order], done @ turn[:, order]
+        left = np.linalg.norm(moved[:, :k] - best[:, :k] * values[:k], axis=0)
+        if basis.shape[1] >= p or (left <= tol * max(values[0], 1e-300)).all():
+            break
+        if basis.shape[1] + block > 8 * block:
+            basis, done = best, moved
+        new = moved - best * values
+        for _ in range(2):
+            new = new - basis @ (basis.T @ new)
+        q, r = np.linalg.qr(new)
+        fresh = q[:, np.abs(np.diag(r)) > 1e-14 * max(values[0], 1e-300)][:, :p - basis.shape[1]]
+        fresh = np.linalg.qr(fresh - basis @ (basis.T @ fresh))[0]
+        if not fresh.shape[1]:
+            break
+        basis = np.concatenate([basis, fresh], axis=1)
+    else:
+        raise RuntimeError(f"pca: axes not settled after {rounds} rounds")
+    axes = best[:, :k] * np.sign(best[np.abs(best[:, :k]).argmax(0), range(k)])
+
+    def scores(batches):
+        for batch in batches:
+            s = (_matrix(batch) - mean) @ axes
+            yield pa.RecordBatch.from_arrays([batch.column("sample_id"), pa.FixedSizeListArray.from_arrays(pa.array(s.ravel()), k).cast(pa.list_(pa.float64()))],
+                                             names=["sample_id", "axes"])
+
+    out = x.mapInArrow(scores, f"sample_id {dict(x.dtypes)['sample_id']}, axes array<double>")
+    return out, [float(v / inertia) if inertia > 0 else 0.0 for v in values[:k]]
 
 
 def clr_pca(ab: DataFrame, k: int = 3, features: DataFrame | None = None) -> tuple[DataFrame, list[float]]:
@@ -434,14 +512,14 @@ def batch_entropy(batches: DataFrame) -> DataFrame:
 
 def batch_report(ab: DataFrame, batches: DataFrame, biology: DataFrame, dist: DataFrame | None = None, reps: int = 99,
                  features: DataFrame | None = None) -> DataFrame:
-    """One row: PERMANOVA R2 of batch and biology, their ratio, highest R2 of the first axes by batch, entropy ratio, verdict."""
+    """One row: PERMANOVA R2 of batch and biology, their ratio, highest R2 of the first five axes by batch, entropy ratio, verdict."""
     dist = cut_lineage(dist if dist is not None else bray_curtis(ab))
     pb = permanova(dist, batches, reps).select(F.col("r2").alias("batch_r2"), F.col("p_value").alias("batch_p"))
     bio = permanova(dist, biology, reps).select(F.col("r2").alias("biology_r2"))
-    scores, _ = clr_pca(ab, 3, features)
+    scores, ratio = clr_pca(ab, 5, features)
     j = cut_lineage(scores.join(batches, "sample_id"))
     axes = None
-    for i in range(3):
+    for i in range(len(ratio)):
         e = one_way(j.select("group", F.get("axes", F.lit(i)).alias("value"))).select("eta_squared")
         axes = e if axes is None else axes.unionByName(e)
     out = pb.crossJoin(bio).crossJoin(axes.agg(F.max("eta_squared").alias("max_axis_r2"))).crossJoin(batch_entropy(batches))

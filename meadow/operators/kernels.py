@@ -35,28 +35,51 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def value_bucket(value: Column, per_octave: int = 1024) -> Column:
-    """A whole number that never falls when value grows: signed, `per_octave` steps in each power of two, so that values
-    of a narrow range (shares, p values, dates) still fall into many buckets."""
+    """A whole number that never falls when value grows: signed, `per_octave` steps in each power of two. Values that lie close
+    together beside their size (dates in seconds) share few buckets; bucketed() splits those further."""
     v = value.cast("double")
     step = lambda x: F.floor(F.log2(x) * per_octave) + 10_000_000
     return F.when(v > 0, step(v)).when(v < 0, -step(-v)).otherwise(F.lit(0)).cast("long")
 
 
+SPLIT_ROWS = 20_000  # rows of a bucket up to which it is one; beyond a thousandth of all rows, too
+SPLITTERS = 255
+
+
+def bucketed(hist: DataFrame, keys: list[str], value: str, weight: str, bucket: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """hist with (_b, _s), which never fall when value grows inside a key, and the weight of each (keys, _b, _s) as _t.
+
+    A bucket with more than SPLIT_ROWS rows and a thousandth of all is split at quantiles of its own values, from a mergeable
+    sketch; there are at most a thousand such buckets, so that their splitters are broadcast. All other rows have _s = 0."""
+    b = hist.withColumn("_b", bucket if bucket is not None else value_bucket(F.col(value)))
+    sums = cut_lineage(b.groupBy(*keys, "_b").agg(F.sum(weight).alias("_t"), F.count(F.lit(1)).alias("_k")))
+    rows, most = sums.agg(F.coalesce(F.sum("_k"), F.lit(0)), F.coalesce(F.max("_k"), F.lit(0))).first()
+    limit = max(SPLIT_ROWS, rows // 1000)
+    if most <= limit:
+        return b.withColumn("_s", F.lit(0)), sums.select(*keys, "_b", F.lit(0).alias("_s"), "_t")
+    crowded = F.broadcast(sums.filter(F.col("_k") > limit).select(*keys, "_b"))
+    at = [(i + 1) / (SPLITTERS + 1) for i in range(SPLITTERS)]
+    cuts = b.join(crowded, [*keys, "_b"], "left_semi").groupBy(*keys, "_b").agg(F.percentile_approx(F.col(value).cast("double"), at, 10_000).alias("_cuts"))
+    b = b.join(F.broadcast(cut_lineage(cuts)), [*keys, "_b"], "left")
+    below = F.size(F.filter("_cuts", lambda c: c < F.col(value)))
+    b = b.withColumn("_s", F.when(F.col("_cuts").isNull(), 0).otherwise(below)).drop("_cuts")
+    return b, b.groupBy(*keys, "_b", "_s").agg(F.sum(weight).alias("_t"))
+
+
 def running_total(hist: DataFrame, keys: list[str], value: str, weight: str, out: str = "cum",
                   bucket: Column | None = None) -> DataFrame:
     """Inclusive running total of weight in rising value order within keys.
 
     Rows must be unique in (keys, value). The bucket totals give each bucket its offset; only one bucket of one key
-    is ever sorted in one task.
+    is ever sorted in one task, and crowded buckets are split (see bucketed).
     """
-    b = hist.withColumn("_b", bucket if bucket is not None else value_bucket(F.col(value)))
-    sums = b.groupBy(*keys, "_b").agg(F.sum(weight).alias("_t"))
-    before = W.partitionBy(*(keys or [F.lit(0)])).orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
-    offs = sums.select(*keys, "_b", F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_off"))
-    inside = W.partitionBy(*keys, "_b").orderBy(value).rowsBetween(W.unboundedPreceding, 0)
-    return (b.join(offs, [*keys, "_b"])
+    b, sums = bucketed(hist, keys, value, weight, bucket)
+    before = W.partitionBy(*(keys or [F.lit(0)])).orderBy("_b", "_s").rowsBetween(W.unboundedPreceding, -1)
+    offs = sums.select(*keys, "_b", "_s", F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_off"))
+    inside = W.partitionBy(*keys, "_b", "_s").orderBy(value).rowsBetween(W.unboundedPreceding, 0)
+    return (b.join(offs, [*keys, "_b", "_s"])
             .withColumn(out, F.sum(weight).over(inside) + F.col("_off"))
-            .drop("_b", "_off"))
+            .drop("_b", "_s", "_off"))
 
 
 def value_ranks(df: DataFrame, keys: list[str], value: str, totals: DataFrame | None = None,

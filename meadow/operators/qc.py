@@ -294,23 +294,89 @@ def region_length_check(ab: DataFrame, feature_meta: DataFrame, meta: DataFrame,
     return j.select("sample_id", "median_length", flag.alias("primer_match"))
 
 
+def _chi2_point(q: int, upper: float) -> float:
+    """The value that a chi-square variable of q degrees exceeds with the given chance."""
+    import numpy as np
+    low, high = 0.0, 1000.0 + 10.0 * q
+    for _ in range(100):
+        mid = (low + high) / 2
+        low, high = (mid, high) if float(tails.gamma_upper(q / 2, np.array([mid / 2]))[0]) > upper else (low, mid)
+    return mid
+
+
+def robust_fit(x: DataFrame, cols: list[str], rounds: int = 50):
+    """(location, covariance) of the half of the rows with the smallest covariance determinant, reweighted.
+
+    Concentration steps are aggregates: distances to the present fit, their (n + q + 1) / 2 smallest, mean and covariance of those,
+    until the determinant no longer falls. One start stands on medians and their deviations, one on the classical fit; the smaller
+    determinant wins. Then all rows within the 97.5 % ellipsoid, its size set by the median distance, give the fit.
+    """
+    import numpy as np
+    q = len(cols)
+    x = cut_lineage(x.select(*[F.col(c).alias(f"x{i}") for i, c in enumerate(cols)]))
+    n = x.count()
+
+    def moments(rows: DataFrame):
+        mean = np.array(rows.agg(*[F.avg(f"x{i}") for i in range(q)]).first(), float)
+        c = [F.col(f"x{i}") - float(mean[i]) for i in range(q)]
+        pairs = [(i, j) for i in range(q) for j in range(i, q)]
+        cov = np.zeros((q, q))
+        for (i, j), v in zip(pairs, rows.agg(*[F.avg(c[i] * c[j]) for i, j in pairs]).first(), strict=True):
+            cov[i, j] = cov[j, i] = v
+        return mean, cov
+
+    def distances(mean, cov) -> DataFrame:
+        return x.withColumn("_d", mahalanobis([F.col(f"x{i}") for i in range(q)], mean, np.linalg.pinv(cov)))
+
+    long = x.unpivot([], [f"x{i}" for i in range(q)], "column", "v")
+    med = {r["column"]: r["m"] for r in exact_quantiles(long, ["column"], "v", {"m": 0.5}).collect()}
+    center = np.array([med[f"x{i}"] for i in range(q)])
+    apart = x.select(*[F.abs(F.col(f"x{i}") - float(center[i])).alias(f"x{i}") for i in range(q)]).unpivot([], [f"x{i}" for i in range(q)], "column", "v")
+    mad = {r["column"]: r["m"] for r in exact_quantiles(apart, ["column"], "v", {"m": 0.5}).collect()}
+    classical = moments(x)
+    scale = [1.4826 * mad[f"x{i}"] or float(np.sqrt(classical[1][i, i])) or 1.0 for i in range(q)]
+    share = min(1.0, (n + q + 1) / 2 / n)
+    best = None
+    for mean, cov in ((center, np.diag(np.square(scale))), classical):
+        last = None
+        for _ in range(rounds):
+            d = cut_lineage(distances(mean, cov))
+            limit = exact_quantiles(d, [], "_d", {"m": share}).first()["m"]
+            mean, cov = moments(d.filter(F.col("_d") <= limit))
+            det = float(np.linalg.slogdet(cov)[1]) if np.linalg.matrix_rank(cov) == q else -np.inf
+            if last is not None and det >= last - 1e-9:
+                break
+            last = det
+        if best is None or det < best[0]:
+            best = det, mean, cov
+    _, mean, cov = best
+    if not np.isfinite(best[0]):  # half of the rows lie in a plane
+        return mean, cov
+    d = cut_lineage(distances(mean, cov))
+    factor = exact_quantiles(d, [], "_d", {"m": 0.5}).first()["m"] / _chi2_point(q, 0.5)
+    return moments(d.filter(F.col("_d") < factor * _chi2_point(q, 0.025)))
+
+
+def mahalanobis(values: list[Column], mean, inverse) -> Column:
+    c = [v - float(m) for v, m in zip(values, mean, strict=True)]
+    return sum((c[i] * c[j] * float(inverse[i, j]) for i in range(len(c)) for j in range(len(c))), F.lit(0.0))
+
+
 def metadata_outliers(df: DataFrame, cols: list[str], share: float = 0.1) -> DataFrame:
     """NORMAL or OUTLIER: the top share of squared Mahalanobis distances over columns more than half full.
 
-    Medians fill gaps, the covariance is one aggregate, its inverse (columns x columns) is solved on the driver.
+    Medians fill gaps; location and covariance are those of robust_fit, so that outliers do not hide each other. The inverse
+    (columns x columns) is solved on the driver.
     """
     import numpy as np
     row = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count(c).alias(c) for c in cols]).first()
     cols = [c for c in cols if row[c] > 0.5 * row["_n"]]
     long = df.select([F.col(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "column", "v").filter("v is not null")
     med = {r["column"]: r["m"] for r in exact_quantiles(long, ["column"], "v", {"m": 0.5}).collect()}
-    x = df.select("sample_id", *[F.coalesce(F.col(c).cast("double"), F.lit(med[c])).alias(f"x{i}") for i, c in enumerate(cols)])
-    q = len(cols)
-    means = x.agg(*[F.avg(f"x{i}") for i in range(q)]).first()
-    c = [F.col(f"x{i}") - float(means[i]) for i in range(q)]
-    cov = np.array(x.agg(*[F.avg(c[i] * c[j]) for i in range(q) for j in range(q)]).first(), float).reshape(q, q)
-    inv = np.linalg.pinv(cov)
-    d2 = sum((c[i] * c[j] * float(inv[i, j]) for i in range(q) for j in range(q)), F.lit(0.0))
+    x = cut_lineage(df.select("sample_id", *[F.coalesce(F.col(c).cast("double"), F.lit(med[c])).alias(f"x{i}") for i, c in enumerate(cols)]))
+    names = [f"x{i}" for i in range(len(cols))]
+    mean, cov = robust_fit(x, names)
+    d2 = mahalanobis([F.col(c) for c in names], mean, np.linalg.pinv(cov))
     out = cut_lineage(x.select("sample_id", d2.alias("distance2")))
     limit = exact_quantiles(out, [], "distance2", {"limit": 1 - share})
     return out.crossJoin(F.broadcast(limit)).select("sample_id", "distance2", F.when(F.col("distance2") > F.col("limit"), "OUTLIER").otherwise("NORMAL").alias("metadata_outlier"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ahocorasick
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -22,19 +23,60 @@ def lineage_parts(taxonomy):
     return F.split(t, ";")
 
 
+class Wildcards:
+    """Patterns with * for any text, matched against a whole name by one automaton over their literal pieces.
+
+    The automaton (a trie with failure links) finds all pieces of a name in one pass over it; a pattern is looked at where its
+    longest piece occurs, and then its pieces must follow each other from the name's start to its end."""
+
+    def __init__(self, patterns: list[tuple[str, str]]):
+        self.always, self.by_piece, self.automaton = [], {}, ahocorasick.Automaton()
+        for pattern, function in sorted(set(patterns)):
+            pieces = pattern.split("*")
+            key = max(pieces, key=len)
+            (self.by_piece.setdefault(key, []) if key else self.always).append((pieces, function))
+        for piece in self.by_piece:
+            self.automaton.add_word(piece, piece)
+        if self.by_piece:
+            self.automaton.make_automaton()
+
+    @staticmethod
+    def fits(name: str, pieces: list[str]) -> bool:
+        first, *middle, last = pieces
+        if len(name) < len(first) + len(last) or not name.startswith(first) or not name.endswith(last):
+            return False
+        at, end = len(first), len(name) - len(last)
+        for piece in middle:
+            found = name.find(piece, at, end)
+            if found < 0:
+                return False
+            at = found + len(piece)
+        return True
+
+    def match(self, name: str) -> list[str]:
+        seen = {piece for _, piece in self.automaton.iter(name)} if self.by_piece else set()
+        return sorted({f for p in seen for pieces, f in self.by_piece[p] if self.fits(name, pieces)} | {f for _, f in self.always})
+
+
 def functions_from_taxonomy(feature_meta: DataFrame, patterns: DataFrame) -> DataFrame:
     """feature_id, function for patterns(function, pattern) that match any lineage name as a whole; * is any text.
 
-    Names are made distinct first. Plain patterns are an equi join; only wildcard patterns are compared by regex, with the
-    few distinct names.
+    Names are made distinct first. Plain patterns are an equi join. Those with * are one automaton, which each task holds and
+    applies once to a name; the pattern table, a list of curated names, is taken to the driver for it.
     """
     parts = feature_meta.select("feature_id", F.explode(lineage_parts(F.col("taxonomy"))).alias("name")).filter("name <> ''").distinct()
     names = parts.select("name").distinct()
     p = patterns.select("function", F.lower("pattern").alias("pattern"))
     plain = names.join(p.filter(~F.col("pattern").contains("*")).withColumnRenamed("pattern", "name"), "name")
-    wild = p.filter(F.col("pattern").contains("*")).select(
-        "function", F.concat(F.lit("^\\Q"), F.regexp_replace("pattern", r"\*", r"\\E.*\\Q"), F.lit("\\E$")).alias("rx"))
-    loose = names.join(small(wild), F.expr("name rlike rx")).select("name", "function")
+    wild = [(r["pattern"], r["function"]) for r in p.filter(F.col("pattern").contains("*")).distinct().collect()]
+
+    def matched(batches):
+        known = Wildcards(wild)
+        for pdf in batches:
+            found = [(n, f) for n in pdf["name"] for f in known.match(n)]
+            yield pd.DataFrame(found, columns=["name", "function"], dtype=object)
+
+    loose = names.mapInPandas(matched, "name string, function string")
     return parts.join(plain.select("name", "function").unionByName(loose), "name").select("feature_id", "function").distinct()
 
 

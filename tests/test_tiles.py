@@ -246,3 +246,68 @@ def test_ecotypes_in_tasks_and_in_rounds_agree(spark, monkeypatch):
     prof, members = one
     assert {f for f, *_ in prof} == set(range(12)) and {k for _, k, *_ in prof} <= {3, 4}
     assert all(i % 3 == j % 3 for f in range(4) for i, j in itertools.combinations([i for h, i in members if h == f], 2) if members[f, i] == members[f, j])
+
+
+# ---------------------------------------------------------------- ranks, axes, outliers, patterns
+
+
+def test_narrow_values_are_split(spark, monkeypatch):
+    """A month of seconds lies in three octave steps; its buckets are split at quantiles and totals stay exact."""
+    monkeypatch.setattr(kernels, "SPLIT_ROWS", 2000)
+    g = np.random.default_rng(2)
+    v = np.unique(g.integers(1_700_000_000, 1_702_600_000, 100_000)).astype(float)
+    few = np.arange(50.0)
+    rows = spark.createDataFrame([("a", float(x), 1) for x in v] + [("b", float(x), 2) for x in few], "k string, v double, w int")
+    b, sums = kernels.bucketed(rows, ["k"], "v", "w")
+    sizes = {(r["k"], r["_b"], r["_s"]): r["_t"] for r in sums.collect()}
+    assert max(t for (k, _, _), t in sizes.items() if k == "a") < 0.05 * len(v) and sum(sizes.values()) == len(v) + 100
+    spread = [(r["lo"], r["hi"]) for r in b.filter("k = 'a'").groupBy("_b", "_s").agg(F.min("v").alias("lo"), F.max("v").alias("hi")).orderBy("_b", "_s").collect()]
+    assert all(x[1] < y[0] for x, y in itertools.pairwise(spread))
+    got = {(r["k"], r["v"]): r["cum"] for r in kernels.running_total(rows, ["k"], "v", "w").collect()}
+    assert all(got["a", x] == i + 1 for i, x in enumerate(v)) and all(got["b", x] == 2 * (i + 1) for i, x in enumerate(few))
+
+
+@pytest.mark.parametrize(("n", "p", "k"), [(60, 8, 3), (300, 120, 5), (40, 100, 4), (5, 3, 3)])
+def test_axes_are_those_of_the_svd(spark, n, p, k):
+    from pyspark.ml.linalg import Vectors
+    g = np.random.default_rng(n)
+    x = g.normal(size=(n, p)) * np.linspace(3, 0.5, p) + g.normal(size=p) * 5
+    df = spark.createDataFrame([(i, Vectors.dense(r)) for i, r in enumerate(x)], ["sample_id", "features"]).repartition(5)
+    scores, ratio = beta.pca(df, k)
+    c = x - x.mean(0)
+    u, s, vt = np.linalg.svd(c, full_matrices=False)
+    got = np.array([r["axes"] for r in sorted(scores.collect(), key=lambda r: r["sample_id"])])
+    want = c @ vt[:k].T * np.sign(vt[range(k), np.abs(vt[:k]).argmax(1)])
+    assert np.allclose(got, want, atol=1e-6) and np.allclose(ratio, (s ** 2 / (s ** 2).sum())[:k], atol=1e-9)
+
+
+def test_outliers_that_hide_each_other(spark):
+    from meadow.operators import qc
+    g = np.random.default_rng(8)
+    x = g.multivariate_normal([0, 0, 0], [[1, 0.9, 0], [0.9, 1, 0], [0, 0, 1]], 400)
+    x[:80] = g.normal([2.5, -2.5, 6], 0.3, (80, 3))
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], "sample_id int, a double, b double, c double")
+    got = {r["sample_id"]: (r["distance2"], r["metadata_outlier"]) for r in qc.metadata_outliers(df, ["a", "b", "c"], 0.2).collect()}
+    assert {i for i, (_, o) in got.items() if o == "OUTLIER"} == set(range(80))
+    assert min(got[i][0] for i in range(80)) > 3 * max(got[i][0] for i in range(80, 400))
+    mean, cov = qc.robust_fit(df, ["a", "b", "c"])
+    assert np.allclose(mean, x[80:].mean(0), atol=0.1) and np.allclose(cov, np.cov(x[80:].T), atol=0.2)
+    c = x - x.mean(0)
+    classical = (c @ np.linalg.inv(np.cov(c.T)) * c).sum(1)
+    assert (np.sort(classical)[-80:].min() < classical[:80].max()) and set(np.argsort(classical)[-80:]) != set(range(80))
+    flat = spark.createDataFrame([(i, 1.0, float(i)) for i in range(30)], "sample_id int, a double, b double")
+    assert qc.metadata_outliers(flat, ["a", "b"], 0.1).filter("metadata_outlier = 'OUTLIER'").count() <= 3
+
+
+def test_wildcards_are_those_of_the_regex():
+    import re
+    import random
+    r = random.Random(4)
+    patterns = ["*", "a*", "*a", "ab*ba", "a*b*c", "**", "x**y", "abc"] + ["".join(r.choice("ab*c") for _ in range(r.randint(1, 6))) for _ in range(300)]
+    table = [(p, f"f{i}") for i, p in enumerate(patterns) if "*" in p]
+    known = traits.Wildcards(table)
+    for _ in range(400):
+        name = "".join(r.choice("abc") for _ in range(r.randint(0, 9)))
+        want = sorted({f for p, f in table if re.fullmatch(".*".join(map(re.escape, p.split("*"))), name)})
+        assert known.match(name) == want
+    assert traits.Wildcards([]).match("a") == []
