@@ -456,13 +456,18 @@ def rda_variance_columns(dense: DataFrame, design: DataFrame, cols: list[str], v
 
 
 def procrustes(first: DataFrame, second: DataFrame, k: int) -> DataFrame:
-    """residual (0 = same shape) and correlation of two tables (sample_id, axes): k x k cross products are aggregated."""
-    j = first.select("sample_id", F.col("axes").alias("p")).join(second.select("sample_id", F.col("axes").alias("q")), "sample_id")
-    at = lambda c, i: F.get(c, F.lit(i))
-    sums = j.agg(F.count(F.lit(1)), *[F.sum(at("p", i)) for i in range(k)], *[F.sum(at("q", i)) for i in range(k)],
-                 *[F.sum(at("p", i) ** 2) for i in range(k)], *[F.sum(at("q", i) ** 2) for i in range(k)],
-                 *[F.sum(at("p", i) * at("q", h)) for i in range(k) for h in range(k)]).first()
-    n, v = sums[0], np.array(sums[1:], float)
+    """residual (0 = same shape) and correlation of two tables (sample_id, axes): a task gives one row, its k x k cross products."""
+    j = first.select("sample_id", F.slice("axes", 1, k).alias("p")).join(second.select("sample_id", F.slice("axes", 1, k).alias("q")), "sample_id")
+
+    def run(batches):
+        acc = np.zeros(1 + 4 * k + k * k)
+        for batch in batches:
+            p, q = (batch.column(c).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1) for c in ("p", "q"))
+            acc += np.concatenate([[len(p)], p.sum(0), q.sum(0), (p * p).sum(0), (q * q).sum(0), (p.T @ q).ravel()])
+        yield pa.RecordBatch.from_pydict({"at": pa.array([0], pa.int32()), "x": [acc.tobytes()]})
+
+    v = _summed(j.select("p", "q").mapInArrow(run, "at int, x binary"))[0]
+    n, v = v[0], v[1:]
     sp, sq, pp, qq, pq = v[:k], v[k:2 * k], v[2 * k:3 * k], v[3 * k:4 * k], v[4 * k:].reshape(k, k)
     norm_p, norm_q = np.sqrt((pp - sp ** 2 / n).sum()), np.sqrt((qq - sq ** 2 / n).sum())
     s = np.linalg.svd((pq - np.outer(sp, sq) / n) / (norm_p * norm_q), compute_uv=False).sum()

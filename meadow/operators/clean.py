@@ -685,6 +685,72 @@ def combine_proxies(geo: DataFrame, elem: DataFrame, metals: list[str], key: str
     return j.select(key, *[(pick(f"{m}_geo") * geo_weight + pick(f"{m}_elem") * elem_weight).alias(f"{m}_proxy") for m in metals])
 
 
+# Metals of broad rock types and of named formations, with their scores.
+ROCK_METALS = {
+    "ultramafic": {"nickel": 0.85, "chromium": 0.80, "cobalt": 0.70, "iron": 0.95},
+    "mafic": {"iron": 0.90, "chromium": 0.60, "cobalt": 0.65, "nickel": 0.60},
+    "granitic": {"uranium": 0.65, "thorium": 0.70, "rare_earth_elements": 0.50, "tungsten": 0.55},
+    "sulfide_rich": {"copper": 0.80, "zinc": 0.80, "iron": 0.95, "arsenic": 0.75, "lead": 0.70},
+    "hydrothermal": {"copper": 0.75, "uranium": 0.70, "gold": 0.65, "arsenic": 0.60, "zinc": 0.70},
+}
+FORMATION_METALS = {
+    "uraninite": {"uranium": 0.95, "thorium": 0.85, "vanadium": 0.70},
+    "carnotite": {"uranium": 0.90, "vanadium": 0.80},
+    "pitchblende": {"uranium": 0.92, "radium": 0.75, "bismuth": 0.60},
+    "arsenofeldspars": {"arsenic": 0.88, "gold": 0.65, "copper": 0.70},
+    "marcasite_pyrite": {"arsenic": 0.75, "copper": 0.80, "zinc": 0.70, "iron": 0.95},
+    "chalcopyrite": {"copper": 0.92, "iron": 0.85, "molybdenum": 0.70, "gold": 0.55},
+    "bornite_chalcocite": {"copper": 0.85, "iron": 0.70, "manganese": 0.60},
+    "sphalerite_galena": {"zinc": 0.92, "lead": 0.90, "cadmium": 0.70, "silver": 0.65},
+    "magnetite_hematite": {"iron": 1.0, "chromium": 0.65, "vanadium": 0.60},
+    "pentlandite": {"nickel": 0.95, "cobalt": 0.85, "iron": 0.90, "copper": 0.60},
+    "laterite": {"nickel": 0.92, "cobalt": 0.70, "iron": 0.95, "manganese": 0.75},
+    "bastnasite": {"rare_earth_elements": 0.90, "thorium": 0.70, "uranium": 0.50},
+}
+UNKNOWN_METAL = 0.3
+
+
+def _metal_table(spark, table: dict[str, dict[str, float]], key: str, score: str) -> DataFrame:
+    return spark.createDataFrame([(k, m, v) for k, row in table.items() for m, v in row.items()], f"{key} string, metal string, {score} double")
+
+
+def geology_metals(df: DataFrame, rock: str = "rock_type", formation: str = "formation", key: str = "sample_id") -> DataFrame:
+    """key, metal, score: metals of a sample's rock type and formation, names in any case; where both name a metal the formation
+    decides. A sample whose names are in neither table has the metal `unknown` at 0.3. Two joins with fixed tables."""
+    spark = df.sparkSession
+    named = df.select(key, F.lower(rock).alias("_rock"), F.lower(formation).alias("_formation"))
+    rocks = named.join(F.broadcast(_metal_table(spark, ROCK_METALS, "_rock", "r")), "_rock").select(key, "metal", "r", F.lit(None).cast("double").alias("f"))
+    forms = named.join(F.broadcast(_metal_table(spark, FORMATION_METALS, "_formation", "f")), "_formation").select(key, "metal", F.lit(None).cast("double").alias("r"), "f")
+    none = named.filter(~F.coalesce(F.col("_rock").isin(*ROCK_METALS), F.lit(False)) & ~F.coalesce(F.col("_formation").isin(*FORMATION_METALS), F.lit(False)))
+    found = rocks.unionByName(forms).groupBy(key, "metal").agg(F.coalesce(F.max("f"), F.max("r")).alias("score")).filter("score > 0")
+    return found.unionByName(none.select(key, F.lit("unknown").alias("metal"), F.lit(UNKNOWN_METAL).alias("score")))
+
+
+# Metals that take the mineral index where nothing else scores them, and the scores where no measure is there.
+INDEX_METALS = ["zinc", "nickel", "cadmium"]
+NEUTRAL_METALS = {"uranium": 0.5, "arsenic": 0.5, "copper": 0.5, "lead": 0.5, "zinc": 0.5, "nickel": 0.5, "cadmium": 0.5}
+
+
+def surface_metals(df: DataFrame, key: str = "sample_id") -> DataFrame:
+    """key and <metal>_geo, 0..1, from rock_type, slope_percent, clay_percent, iron_oxide_percent, aluminum_oxide_percent,
+    organic_carbon_percent and metal_mineral_index; a null or zero measure gives no score, an absent column counts as null.
+    A row that has no score at all takes the neutral ones."""
+    have = lambda c: F.nullif(F.col(c).cast("double"), F.lit(0.0)) if c in df.columns else F.lit(None).cast("double")
+    clay, iron, alum, carbon = (have(f"{c}_percent") for c in ("clay", "iron_oxide", "aluminum_oxide", "organic_carbon"))
+    rock = F.col("rock_type") if "rock_type" in df.columns else F.lit(None).cast("string")
+    steep = F.when(have("slope_percent") > 10, 0.1).otherwise(0.0)
+    one = lambda c: F.when(c.isNotNull(), F.least(c, F.lit(1.0)))
+    scores = {
+        "uranium": one(F.when(rock == "igneous", 0.5 + clay / 100 * 0.3 + steep)),
+        "arsenic": one(0.3 + iron * 0.5),
+        "copper": one(0.4 + clay / 100 * 0.3 + F.coalesce(alum * 0.2, F.lit(0.0))),
+        "lead": one(0.5 + carbon / 20 * 0.3),
+        **{m: have("metal_mineral_index") for m in INDEX_METALS},
+    }
+    nothing = F.coalesce(*scores.values()).isNull()
+    return df.select(key, *[F.when(nothing, NEUTRAL_METALS[m]).otherwise(c).alias(f"{m}_geo") for m, c in scores.items()])
+
+
 # Host names and sample kinds that are left out, and the columns searched.
 HOST_NAMES = ["homo sapiens", "mus musculus", "rattus norvegicus", "metazoa", "neotoma"]
 EXCLUDED_KINDS = ["gut metagenome", "plant metagenome", "pig metagenome", "fecal metagenome", "bat metagenome",

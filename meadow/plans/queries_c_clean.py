@@ -344,3 +344,41 @@ def c27(spark, d):
     elem = cl.element_proxy(soil(spark, d), ["uranium"]).select("sample_id", "uranium_elem")
     geo = customers(spark, d).filter(K() % 2 == 0).select(F.col("c_custkey").alias("sample_id"), F.lit(0.8).alias("uranium_geo"))
     return cl.combine_proxies(geo, elem, ["uranium"]).select("sample_id", r6("uranium_proxy").alias("uranium_proxy"))
+
+
+_ROCKS = ["Ultramafic", "mafic", "GRANITIC", "slate", None]
+_FORMATIONS = ["Laterite", "uraninite", "chalcopyrite", None, "chalk", "Pentlandite", "bastnasite"]
+
+
+def _nth(names: list, at: str) -> str:
+    return "CASE " + at + " " + " ".join(f"WHEN {i} THEN '{n}'" for i, n in enumerate(names) if n) + " END"
+
+
+def _rows(table: dict) -> str:
+    return "(VALUES " + ", ".join(f"('{k}', '{m}', {v}::DOUBLE)" for k, r in table.items() for m, v in r.items()) + ")"
+
+
+@query("c28_geology_metals", f"""WITH e AS (SELECT c_custkey AS sample_id, lower({_nth(_ROCKS, "c_custkey % 5")}) AS r, lower({_nth(_FORMATIONS, "c_custkey % 7")}) AS f FROM customer),
+t AS (SELECT * FROM {_rows(cl.ROCK_METALS)} v(k, metal, s)), u AS (SELECT * FROM {_rows(cl.FORMATION_METALS)} v(k, metal, s)),
+a AS (SELECT sample_id, metal, s, 1 AS o FROM e JOIN u ON f = k UNION ALL SELECT sample_id, metal, s, 2 FROM e JOIN t ON r = k),
+b AS (SELECT sample_id, metal, arg_min(s, o) AS score FROM a GROUP BY 1, 2)
+SELECT sample_id, metal, score FROM b UNION ALL SELECT sample_id, 'unknown', 0.3::DOUBLE FROM e WHERE sample_id NOT IN (SELECT sample_id FROM b)""")
+def c28(spark, d):
+    pick = lambda names, n: F.get(F.array(*[F.lit(x) for x in names]), (K() % n).cast("int"))
+    return cl.geology_metals(customers(spark, d).select(F.col("c_custkey").alias("sample_id"), pick(_ROCKS, 5).alias("rock_type"), pick(_FORMATIONS, 7).alias("formation")))
+
+
+@query("c29_surface_metals", f"""WITH e AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 3 = 0 THEN 'igneous' ELSE 'sedimentary' END AS rock, nullif(c_custkey % 60, 0)::DOUBLE AS clay,
+nullif(c_custkey % 4, 0)/2::DOUBLE AS iron, nullif(c_custkey % 5, 0)/2::DOUBLE AS al, nullif(c_custkey % 6, 0)::DOUBLE AS oc, nullif(c_custkey % 10, 0)/10::DOUBLE AS mi, c_custkey % 25 AS slope FROM customer),
+s AS (SELECT k, CASE WHEN rock = 'igneous' AND clay IS NOT NULL THEN LEAST(1, 0.5::DOUBLE + clay/100*0.3 + CASE WHEN slope > 10 THEN 0.1 ELSE 0 END) END AS u,
+CASE WHEN iron IS NOT NULL THEN LEAST(1, 0.3::DOUBLE + iron*0.5) END AS a, CASE WHEN clay IS NOT NULL THEN LEAST(1, 0.4::DOUBLE + clay/100*0.3 + COALESCE(al*0.2, 0)) END AS c,
+CASE WHEN oc IS NOT NULL THEN LEAST(1, 0.5::DOUBLE + oc/20*0.3) END AS l, mi FROM e), t AS (SELECT *, COALESCE(u, a, c, l, mi) IS NULL AS none FROM s)
+SELECT k AS sample_id, {', '.join(f"{q6(f'CASE WHEN none THEN 0.5::DOUBLE ELSE {x} END')} AS {m}_geo" for m, x in (("uranium", "u"), ("arsenic", "a"), ("copper", "c"), ("lead", "l"), ("zinc", "mi"), ("nickel", "mi"), ("cadmium", "mi")))} FROM t""")
+def c29(spark, d):
+    v = lambda e, name, by=1.0: F.nullif(e, F.lit(0)).cast("double").__truediv__(by).alias(name)
+    df = customers(spark, d).select(
+        F.col("c_custkey").alias("sample_id"), F.when(K() % 3 == 0, "igneous").otherwise("sedimentary").alias("rock_type"), v(K() % 60, "clay_percent"),
+        v(K() % 4, "iron_oxide_percent", 2.0), v(K() % 5, "aluminum_oxide_percent", 2.0), v(K() % 6, "organic_carbon_percent"), v(K() % 10, "metal_mineral_index", 10.0),
+        (K() % 25).alias("slope_percent"))
+    out = cl.surface_metals(df)
+    return out.select("sample_id", *[r6(c).alias(c) for c in out.columns if c.endswith("_geo")])

@@ -185,9 +185,9 @@ def vectors(spark, d):
 @query("h14_procrustes")
 def h14(spark, d):
     v = vectors(spark, d)
-    first = v.select("sample_id", F.slice("axes", 1, 4).alias("axes"))
-    second = v.select("sample_id", F.slice("axes", 3, 4).alias("axes"))
-    return bt.procrustes(first, second, 4)
+    first = v.select("sample_id", F.slice("axes", 1, 32).alias("axes"))
+    second = v.select("sample_id", F.slice("axes", 33, 32).alias("axes"))
+    return bt.procrustes(first, second, 32)
 
 
 @query("h15_batch_effect_score")
