@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from meadow.functions import tails
 from meadow.operators.compositional import clr_dense, feature_count, replace_zeros
-from meadow.operators.kernels import dense_index, permute_index, small, value_ranks
+from meadow.operators.kernels import dense_index, permute_index, small, summed_pieces, value_ranks
 from meadow.operators.pairs import pair_tiles
 from meadow.operators.permute import indexed_labels
 from meadow.operators.stats import group_sizes
@@ -339,19 +339,11 @@ def to_vectors(dense: DataFrame, value: str) -> DataFrame:
     return g.select("sample_id", array_to_vector(F.transform("l", lambda s: s["x"])).alias("features"))
 
 
-def _summed(parts: DataFrame) -> dict[int, np.ndarray]:
-    """The sums of the rows (at, x: doubles as binary) with equal `at`: one row per piece of a result reaches the driver."""
-    def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"at": [pdf["at"].iloc[0]], "x": [np.sum([np.frombuffer(x) for x in pdf["x"]], axis=0).tobytes()]})
-
-    return {r["at"]: np.frombuffer(r["x"]) for r in parts.groupBy("at").applyInPandas(add, "at int, x binary").collect()}
-
-
 def _matrix(batch: pa.RecordBatch) -> np.ndarray:
     return batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
 
 
-def _products(x: DataFrame, mean: np.ndarray, v: np.ndarray, piece: int = 1 << 16) -> np.ndarray:
+def _products(x: DataFrame, mean: np.ndarray, v: np.ndarray, piece: int = 1 << 13) -> np.ndarray:
     """(X - mean)' (X - mean) v in one pass over the rows; a task gives its sums in pieces of fixed size."""
     def run(batches):
         acc = np.zeros(v.shape)
@@ -362,7 +354,7 @@ def _products(x: DataFrame, mean: np.ndarray, v: np.ndarray, piece: int = 1 << 1
         yield pa.RecordBatch.from_pydict({"at": pa.array(range(-(-len(flat) // piece)), pa.int32()),
                                           "x": [flat[i:i + piece].tobytes() for i in range(0, len(flat), piece)]})
 
-    got = _summed(x.select("x").mapInArrow(run, "at int, x binary"))
+    got = summed_pieces(x.select("x").mapInArrow(run, "at int, x binary"))
     return np.concatenate([got[i] for i in sorted(got)]).reshape(v.shape)
 
 
@@ -384,7 +376,7 @@ def pca(vectors: DataFrame, k: int = 3, extra: int = 8, rounds: int = 100, tol:
             acc += np.concatenate([m.sum(0), [(m * m).sum(), len(m)]])
         yield pa.RecordBatch.from_pydict({"at": pa.array([0], pa.int32()), "x": [acc.tobytes()]})
 
-    total = _summed(x.select("x").mapInArrow(sums, "at int, x binary"))[0]
+    total = summed_pieces(x.select("x").mapInArrow(sums, "at int, x binary"))[0]
     n = total[-1]
     mean = total[:p] / n
     inertia = total[p] - n * (mean @ mean)
@@ -466,7 +458,7 @@ def procrustes(first: DataFrame, second: DataFrame, k: int) -> DataFrame:
             acc += np.concatenate([[len(p)], p.sum(0), q.sum(0), (p * p).sum(0), (q * q).sum(0), (p.T @ q).ravel()])
         yield pa.RecordBatch.from_pydict({"at": pa.array([0], pa.int32()), "x": [acc.tobytes()]})
 
-    v = _summed(j.select("p", "q").mapInArrow(run, "at int, x binary"))[0]
+    v = summed_pieces(j.select("p", "q").mapInArrow(run, "at int, x binary"))[0]
     n, v = v[0], v[1:]
     sp, sq, pp, qq, pq = v[:k], v[k:2 * k], v[2 * k:3 * k], v[3 * k:4 * k], v[4 * k:].reshape(k, k)
     norm_p, norm_q = np.sqrt((pp - sp ** 2 / n).sum()), np.sqrt((qq - sq ** 2 / n).sum())

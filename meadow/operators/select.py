@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame, functions as F
 
-from meadow.operators.kernels import exact_quantiles, small
+from meadow.operators.kernels import exact_quantiles, small, summed_pieces
 from meadow.operators.network import correlated_counts
 from meadow.operators.stats import anova_f, group_sizes, spearman_features
 from meadow.operators.table import sample_count
@@ -140,30 +142,116 @@ def feature_vectors(dense: DataFrame, value: str) -> tuple[DataFrame, list]:
     return to_vectors(dense, value), ids
 
 
+GRAM_FEATURES = 4096  # features up to which the products of all pairs of them are held; more must be selected first
+
+
+def fold_products(d: DataFrame, p: int, piece: int = 1 << 13) -> dict[int, np.ndarray]:
+    """A'A of A = [1, features, label] per fold of d(fold, features, label), in one pass.
+
+    A task goes through its rows fold by fold and gives each fold's sums in pieces of fixed size."""
+    w = p + 2
+    pieces = -(-w * w // piece)
+
+    def run(batches):
+        fold, acc = None, None
+
+        def out():
+            flat = acc.ravel()
+            return pa.RecordBatch.from_pydict({"at": pa.array([fold * pieces + i for i in range(pieces)], pa.int32()),
+                                               "x": [flat[i * piece:(i + 1) * piece].tobytes() for i in range(pieces)]})
+
+        for batch in batches:
+            folds = batch.column("fold").to_numpy()
+            x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, p)
+            a = np.column_stack([np.ones(len(x)), x, batch.column("label").to_numpy()])
+            for f in dict.fromkeys(folds.tolist()):
+                if f != fold:
+                    if fold is not None:
+                        yield out()
+                    fold, acc = f, np.zeros((w, w))
+                part = a[folds == f]
+                acc += part.T @ part
+        if fold is not None:
+            yield out()
+
+    rows = d.select("fold", vector_to_array("features").alias("x"), "label").sortWithinPartitions("fold")
+    got = summed_pieces(rows.mapInArrow(run, "at int, x binary"))
+    return {f: np.concatenate([got[f * pieces + i] for i in range(pieces)]).reshape(w, w) for f in sorted({at // pieces for at in got})}
+
+
+def elastic_nets(products: np.ndarray, reg: float, mix: float, tol: float = 1e-10, sweeps: int = 10_000) -> tuple[np.ndarray, np.ndarray]:
+    """(coefficients, intercepts) of elastic nets, one per matrix of products (nets x w x w), by coordinate descent on all of them at once.
+
+    Minimises |y - b - Z u|^2 / 2n + reg (mix |u|_1 + (1 - mix) |u|^2 / (2 sd(y))) over columns Z scaled to deviation 1, and gives
+    coefficients of the columns as they were; columns without spread get 0."""
+    n, k, w = products[:, 0, 0], len(products), products.shape[1]
+    mean = products[:, 0, :] / n[:, None]
+    cov = products / n[:, None, None] - mean[:, :, None] * mean[:, None, :]
+    scale = np.sqrt(np.maximum(np.diagonal(cov, axis1=1, axis2=2), 0.0) * (n / np.maximum(n - 1, 1))[:, None])
+    flat = scale <= 1e-12 * np.maximum(1.0, np.abs(mean))
+    safe = np.where(flat, 1.0, scale)
+    g = cov[:, 1:-1, 1:-1] / safe[:, 1:-1, None] / safe[:, None, 1:-1]
+    c = np.where(flat[:, 1:-1], 0.0, cov[:, 1:-1, -1] / safe[:, 1:-1])
+    ridge = reg * (1 - mix) / safe[:, -1]
+    u, gu = np.zeros((k, w - 2)), np.zeros((k, w - 2))
+    for _ in range(sweeps):
+        most = np.zeros(k)
+        for j in range(w - 2):
+            own = g[:, j, j]
+            r = c[:, j] - gu[:, j] + own * u[:, j]
+            new = np.where(flat[:, j + 1], 0.0, np.sign(r) * np.maximum(np.abs(r) - reg * mix, 0.0) / np.maximum(own + ridge, 1e-300))
+            step = new - u[:, j]
+            if step.any():
+                gu += step[:, None] * g[:, j, :]
+                u[:, j] = new
+                most = np.maximum(most, np.abs(step))
+        if (most <= tol * safe[:, -1]).all():
+            break
+    else:
+        raise RuntimeError(f"elastic net: coefficients still move after {sweeps} sweeps")
+    coef = u / safe[:, 1:-1]
+    return coef, mean[:, -1] - (coef * mean[:, 1:-1]).sum(1)
+
+
+def r_squared(products: np.ndarray, coef: np.ndarray, intercept: float) -> float:
+    """Of a model on the rows that the products were taken of, from the products alone."""
+    beta = np.concatenate([[intercept], coef])
+    n, yy, y = products[0, 0], products[-1, -1], products[0, -1]
+    sse = yy - 2 * beta @ products[:-1, -1] + beta @ products[:-1, :-1] @ beta
+    sst = yy - y * y / n
+    return float(1 - sse / sst) if sst > 0 else 0.0
+
+
+def _with_label(dense: DataFrame, meta: DataFrame, target: str, value: str) -> tuple[DataFrame, list]:
+    v, ids = feature_vectors(dense, value)
+    if len(ids) > GRAM_FEATURES:
+        raise ValueError(f"{len(ids)} features: select at most {GRAM_FEATURES} first")
+    return v.join(meta.filter(F.col(target).isNotNull()).select("sample_id", F.col(target).cast("double").alias("label")), "sample_id"), ids
+
+
 def elastic_net_losgo(dense: DataFrame, meta: DataFrame, target: str, study: str, value: str = "clr", reg: float = 0.1, mix: float = 0.5,
                       max_folds: int = 10) -> tuple[DataFrame, DataFrame]:
-    """(feature_id, mean_coefficient, folds), (fold, r2): elastic net fitted without one study (or study group) at a time."""
-    v, ids = feature_vectors(dense, value)
-    folds = group_folds(meta, study, max_folds)
-    d = cut_lineage(v.join(folds, "sample_id").join(meta.filter(F.col(target).isNotNull()).select("sample_id", F.col(target).cast("double").alias("label")), "sample_id"))
-    coefs, scores = [], []
-    for f in sorted(r[0] for r in d.select("fold").distinct().collect()):
-        model = LinearRegression(regParam=reg, elasticNetParam=mix, solver="l-bfgs", maxIter=50).fit(d.filter(F.col("fold") != f))
-        coefs.append(model.coefficients.toArray())
-        scores.append((int(f), float(RegressionEvaluator(metricName="r2").evaluate(model.transform(d.filter(F.col("fold") == f))))))
-    mean = sum(coefs) / len(coefs)
-    kind = dict(dense.dtypes)["feature_id"]
-    spark = dense.sparkSession
-    return (spark.createDataFrame([(i, float(m), len(coefs)) for i, m in zip(ids, mean)], f"feature_id {kind}, mean_coefficient double, folds int"),
-            spark.createDataFrame(scores, "fold int, r2 double"))
+    """(feature_id, mean_coefficient, folds), (fold, r2): elastic net fitted without one study (or study group) at a time.
+
+    One pass sums the products of each fold's rows; a training set is the total less its fold, a score comes from the fold's own
+    products. So no fold reads the rows again. See elastic_nets for the objective; at most GRAM_FEATURES features."""
+    d, ids = _with_label(dense, meta, target, value)
+    own = fold_products(d.join(group_folds(meta, study, max_folds).select("sample_id", "fold"), "sample_id"), len(ids))
+    folds = list(own)
+    total = sum(own.values())
+    coef, intercept = elastic_nets(np.array([total - own[f] for f in folds]), reg, mix)
+    kind, spark = dict(dense.dtypes)["feature_id"], dense.sparkSession
+    mean = coef.mean(0)
+    return (spark.createDataFrame([(i, float(m), len(folds)) for i, m in zip(ids, mean, strict=True)], f"feature_id {kind}, mean_coefficient double, folds int"),
+            spark.createDataFrame([(int(f), r_squared(own[f], c, b)) for f, c, b in zip(folds, coef, intercept, strict=True)], "fold int, r2 double"))
 
 
 def linear_discovery(dense: DataFrame, meta: DataFrame, target: str, value: str = "clr", n_top: int = 50, reg: float = 0.05) -> DataFrame:
-    """Features with the largest nonzero coefficients of one elastic net."""
-    v, ids = feature_vectors(dense, value)
-    d = v.join(meta.filter(F.col(target).isNotNull()).select("sample_id", F.col(target).cast("double").alias("label")), "sample_id")
-    c = LinearRegression(regParam=reg, elasticNetParam=0.5, maxIter=50).fit(d).coefficients.toArray()
-    rows = [(i, float(x)) for i, x in zip(ids, c) if x != 0]
+    """Features with the largest nonzero coefficients of one elastic net, see elastic_nets."""
+    d, ids = _with_label(dense, meta, target, value)
+    products = fold_products(d.withColumn("fold", F.lit(0)), len(ids))
+    coef, _ = elastic_nets(np.array(list(products.values())), reg, 0.5)
+    rows = [(i, float(x)) for i, x in zip(ids, coef[0], strict=True) if x != 0]
     t = dense.sparkSession.createDataFrame(rows, f"feature_id {dict(dense.dtypes)['feature_id']}, coefficient double")
     return t.orderBy(F.abs("coefficient").desc(), "feature_id").limit(n_top)
 

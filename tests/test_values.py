@@ -173,3 +173,35 @@ def test_citations_near_mentions(spark):
         assert got[i]["mentions"] == len(zones) and got[i]["clues"] == sorted(clues), (i, t)
         some += bool(clues)
     assert some > 20
+
+
+def test_elastic_nets_without_a_study(spark, table, wide):
+    """Coefficients are the minimum of the stated objective (proximal steps in NumPy), and close to MLlib's; r2 is taken on the fold left out."""
+    from pyspark.ml.regression import LinearRegression
+    g = np.random.default_rng(21)
+    dense = clr_dense(table)
+    x = dense.toPandas().pivot(index="sample_id", columns="feature_id", values="clr").sort_index().to_numpy()
+    y = x[:, 0] * 2 - x[:, 2] + g.normal(size=N) * 0.3 + 5
+    m = spark.createDataFrame([(i, "xyz"[i % 3], float(y[i]) if i != 7 else None) for i in range(N)], "sample_id long, study string, y double")
+    mean, scores = select.elastic_net_losgo(dense, m, "y", "study", reg=0.2, mix=0.5)
+    fold = {r["sample_id"]: r["fold"] for r in select.group_folds(m, "study").collect()}
+    r2, coefs = {r["fold"]: r["r2"] for r in scores.collect()}, []
+    known = np.array([i for i in range(N) if i != 7])
+    for f in range(3):
+        train, test = known[[fold[i] != f for i in known]], known[[fold[i] == f for i in known]]
+        sd, sy, n = x[train].std(0, ddof=1), y[train].std(ddof=1), len(train)
+        z, t = (x[train] - x[train].mean(0)) / sd, y[train] - y[train].mean()
+        u, step = np.zeros(P), n / np.linalg.norm(z, 2) ** 2 / 2
+        for _ in range(20000):
+            v = u - step * (-(z.T @ (t - z @ u)) / n + 0.2 * 0.5 / sy * u)
+            u = np.sign(v) * np.maximum(np.abs(v) - step * 0.2 * 0.5, 0)
+        coefs.append(u / sd)
+        fit = y[train].mean() + (x[test] - x[train].mean(0)) @ coefs[-1]
+        assert r2[f] == pytest.approx(1 - ((y[test] - fit) ** 2).sum() / ((y[test] - y[test].mean()) ** 2).sum(), abs=1e-6)
+    got = [r["mean_coefficient"] for r in mean.orderBy("feature_id").collect()]
+    assert got == pytest.approx(list(np.mean(coefs, axis=0)), abs=1e-6)
+    v, ids = select.feature_vectors(dense, "clr")
+    d = v.join(m.filter("y is not null").select("sample_id", F.col("y").alias("label")), "sample_id")
+    ml = LinearRegression(regParam=0.3, elasticNetParam=0.5, maxIter=500, tol=1e-12).fit(d).coefficients.toArray()
+    found = {r["feature_id"]: r["coefficient"] for r in select.linear_discovery(dense, m, "y", reg=0.3).collect()}
+    assert [found.get(i, 0.0) for i in ids] == pytest.approx(list(ml), abs=5e-3) and 0 < len(found) < P
