@@ -20,10 +20,19 @@ BROADCAST_BYTES = 32 << 20
 
 
 def small(df: DataFrame, limit: int = BROADCAST_ROWS, most_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Hint a broadcast only after checking that df has at most `limit` rows and `most_bytes` bytes (its columns as text);
-    beyond either the plan shuffles."""
-    width = F.octet_length(F.concat_ws(" ", *[F.to_json(F.struct(F.col(f"`{c}`"))) for c in df.columns]))
-    rows, size = df.limit(limit + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+    """Hint a broadcast only after checking that df has at most `limit` rows and `most_bytes` bytes; beyond either the plan
+    shuffles. df is written first, so that what made it is not run once for the check and once for the join."""
+    df = cut_lineage(df)
+
+    def width(field: T.StructField) -> Column:
+        c = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            return F.coalesce(F.octet_length(c), F.lit(0))
+        if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            return F.octet_length(F.to_json(F.struct(c)))
+        return F.lit(8)
+
+    rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(sum((width(f) for f in df.schema.fields), F.lit(0)).cast("long")), F.lit(0))).first()
     return F.broadcast(df) if rows <= limit and size <= most_bytes else df
 
 
