@@ -12,6 +12,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from meadow.operators.kernels import small
 from meadow.sources.tables import cut_lineage
 
 EARTH_KM = 6371.0
@@ -46,15 +47,26 @@ def near_cells(lat: Column, lon: Column, side: float, reach: int = 1) -> Column:
         F.array(*steps), lambda dy: F.transform(F.array(*steps), lambda dz: shift(dx, dy, dz))))))
 
 
+CROWDED = 4096  # points of the left side in a cell up to which the cell is one task's
+
+
 def close_points(left: DataFrame, right: DataFrame, km: float) -> DataFrame:
-    """Distinct coordinate pairs within km: lat, lon, lat2, lon2, km. The right side is spread to neighbour cells."""
+    """Distinct coordinate pairs within km: lat, lon, lat2, lon2, km. The right side is spread to neighbour cells.
+
+    A cell with many points is dealt by hash into parts, and the right side's points near it go to each of them, so that no task
+    holds a dense place alone."""
     side = chord(km)
     a = left.select("lat", "lon").filter("lat is not null and lon is not null").distinct()
     b = right.select(F.col("lat").alias("lat2"), F.col("lon").alias("lon2")).filter("lat2 is not null and lon2 is not null").distinct()
-    a = a.withColumn("_c", cell_of(F.col("lat"), F.col("lon"), side))
+    a = cut_lineage(a.withColumn("_c", cell_of(F.col("lat"), F.col("lon"), side)))
     b = b.withColumn("_c", F.explode(near_cells(F.col("lat2"), F.col("lon2"), side)))
+    crowded = a.groupBy("_c").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > CROWDED)
+    crowded = small(crowded.select("_c", F.ceil(F.col("_n") / CROWDED).cast("int").alias("_parts")))
+    parts = F.coalesce("_parts", F.lit(1))
+    a = a.join(crowded, "_c", "left").withColumn("_p", F.pmod(F.xxhash64("lat", "lon"), parts).cast("int")).drop("_parts")
+    b = b.join(crowded, "_c", "left").withColumn("_p", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_parts")
     d = haversine_km(F.col("lat"), F.col("lon"), F.col("lat2"), F.col("lon2"))
-    return a.join(b, "_c").withColumn("km", d).filter(F.col("km") <= km).drop("_c")
+    return a.join(b, ["_c", "_p"]).withColumn("km", d).filter(F.col("km") <= km).drop("_c", "_p")
 
 
 def samples_within_radius(samples: DataFrame, points: DataFrame, km: float, sample_id: str = "sample_id",

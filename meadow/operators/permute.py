@@ -211,3 +211,87 @@ def maxima(ab: DataFrame, labels: DataFrame, reps: int, kind: str = "ftest", see
     out = cut_lineage(packed.repartition("blk").sortWithinPartitions("blk", "run").mapInArrow(run, ddl))
     tops = out.filter("tops is not null").select(F.posexplode("tops").alias("perm", "top")).filter("not isnan(top)").groupBy("perm").agg(F.max("top").alias("top"))
     return out.filter("tops is null").select("feature_id", "statistic"), tops
+
+
+# ---------------------------------------------------------------- bootstrap
+
+# Cumulative Poisson(1) probabilities of 0, 1, ...
+POISSON = np.cumsum([np.exp(-1.0) / float(np.prod(range(1, k + 1))) for k in range(12)])
+
+
+def poisson_weights(index: np.ndarray, reps: int, seed: int, first: int = 0) -> np.ndarray:
+    """Counts (samples x reps) of how often a replicate draws a sample, from the sample's index and the replicate."""
+    with np.errstate(over="ignore"):
+        x = index.astype(np.uint64)[:, None] * np.uint64(0xD6E8FEB86659FD93) + (np.arange(first, first + reps, dtype=np.uint64) + np.uint64(seed) * np.uint64(7919))[None, :] * np.uint64(0x9E3779B97F4A7C15)
+        for shift in (31, 29, 32):
+            x ^= x >> np.uint64(shift)
+            x *= np.uint64(0xBF58476D1CE4E5B9)
+        x ^= x >> np.uint64(30)
+    u = (x >> np.uint64(11)).astype(float) / float(1 << 53)
+    return np.searchsorted(POISSON, u, side="right").astype(float)
+
+
+def cohens_d(n: np.ndarray, s: np.ndarray, ss: np.ndarray) -> np.ndarray:
+    """Difference of two means over the pooled deviation, from numbers, sums and sums of squares per group (last axis); nan where undefined."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        mean, dev = s / n, ss - s * s / n
+        pooled = np.sqrt(np.maximum(dev.sum(-1), 0.0) / (n.sum(-1) - 2))
+        d = (mean[..., 0] - mean[..., 1]) / pooled
+    return np.where((pooled > 1e-12) & np.isfinite(d), d, np.nan)
+
+
+def bootstrap_d(ab: DataFrame, labels: DataFrame, groups: tuple[str, str], reps: int, confidence: float, seed: int) -> DataFrame:
+    """feature_id, lower, upper: percentiles of Cohen's d (first less second group) over Poisson replicates.
+
+    Value tiles and their squares times weight tiles of each group, on accumulators of fixed size; weights are computed from the
+    samples' indexes, absent samples only count in the totals, which are summed run by run from the labels alone."""
+    coded, design = indexed_labels(labels, seed=seed)
+    order = [sorted(groups).index(g) for g in groups]
+    packed = pack(ab, coded, "count", _per_block(reps, 4))
+
+    def totals(pdf: pd.DataFrame) -> pd.DataFrame:
+        w = poisson_weights(pdf["idx"].to_numpy(), reps, seed)
+        return pd.DataFrame([(g, w[(pdf["code"] == g).to_numpy()].sum(0).tolist()) for g in range(2)], columns=["code", "n"])
+
+    each = coded.groupBy(F.floor(F.col("idx") / RUN)).applyInPandas(totals, "code int, n array<double>")
+    n = np.zeros((reps, 2))  # one number per replicate and group reaches the driver
+    for r in each.select("code", F.posexplode("n").alias("rep", "n")).groupBy("rep", "code").agg(F.sum("n").alias("n")).collect():
+        n[r["rep"], r["code"]] = r["n"]
+    tail = (1 - confidence) / 2
+    ddl = f"feature_id {dict(ab.dtypes)['feature_id']}, lower double, upper double"
+    schema = arrow_schema(ddl)
+
+    def done(feats: list, sums: np.ndarray) -> pa.RecordBatch:
+        d = cohens_d(n[None, :, order], sums[:, :, order, 0], sums[:, :, order, 1])
+        known = [x[~np.isnan(x)] for x in d]
+        ends = [np.quantile(x, [tail, 1 - tail]).tolist() if len(x) else [None, None] for x in known]
+        return pa.RecordBatch.from_pydict({"feature_id": feats, "lower": [e[0] for e in ends], "upper": [e[1] for e in ends]}, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blk, feats, sums = None, {}, np.zeros((0, reps, 2, 2))
+        for batch in batches:
+            for at in range(batch.num_rows):
+                r = batch.slice(at, 1).to_pylist()[0]
+                if blk is not None and r["blk"] != blk:
+                    yield done(list(feats), sums)
+                    feats, sums = {}, np.zeros((0, reps, 2, 2))
+                blk = r["blk"]
+                for f in r["feats"]:
+                    feats.setdefault(f, len(feats))
+                sums = np.concatenate([sums, np.zeros((len(feats) - len(sums), reps, 2, 2))])
+                fc, ic, code, v = (np.frombuffer(r[c], np.int32) if c != "v" else np.frombuffer(r[c]) for c in ("fc", "ic", "gc", "v"))
+                tile = np.zeros((len(feats), RUN))
+                np.add.at(tile, (np.array([feats[f] for f in r["feats"]])[fc], ic), v)
+                own = np.full(RUN, -1)
+                own[ic] = code
+                index = np.arange(RUN, dtype=np.int64) + r["run"] * RUN
+                for first in range(0, reps, AT_ONCE):
+                    w = poisson_weights(index, min(AT_ONCE, reps - first), seed, first)
+                    for g in range(2):
+                        on = w * (own == g)[:, None]
+                        sums[:, first:first + w.shape[1], g, 0] += tile @ on
+                        sums[:, first:first + w.shape[1], g, 1] += (tile * tile) @ on
+        if blk is not None:
+            yield done(list(feats), sums)
+
+    return packed.repartition("blk").sortWithinPartitions("blk", "run").mapInArrow(run, ddl)

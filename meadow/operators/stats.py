@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as
 
 from meadow.functions import tails
 from meadow.operators.kernels import exact_quantiles, running_total, small, value_bucket, value_ranks
-from meadow.operators.permute import maxima, permutation_p
+from meadow.operators.permute import bootstrap_d, maxima, permutation_p
 from meadow.sources.tables import cut_lineage
 
 
@@ -373,51 +373,5 @@ def compare_tests(ab: DataFrame, labels: DataFrame, groups: tuple[str, str], rep
 
 
 def bootstrap_ci(ab: DataFrame, labels: DataFrame, groups: tuple[str, str], reps: int = 100, confidence: float = 0.95, seed: int = 42) -> DataFrame:
-    """Percentile interval of Cohen's d: each replicate weights samples by Poisson(1) counts from a seeded hash.
-
-    Weights of a sample are an array made in place; sums of weights, values and squares per replicate are partial
-    aggregates in Arrow batches. Absent samples only add to the weight totals.
-    """
-    lab = only(labels, groups).withColumn("g", F.when(F.col("group") == groups[0], 0).otherwise(1))
-    # Cumulative Poisson(1) probabilities.
-    edges = np.cumsum([np.exp(-1.0) / float(np.prod(range(1, k + 1))) for k in range(12)])
-
-    @F.pandas_udf(T.ArrayType(T.ShortType()))
-    def weights(h: pd.Series) -> pd.Series:
-        x = h.to_numpy(dtype=np.int64).astype(np.uint64)[:, None] + np.arange(reps, dtype=np.uint64)[None, :] * np.uint64(0x9E3779B97F4A7C15)
-        with np.errstate(over="ignore"):
-            x ^= x >> np.uint64(31)
-            x *= np.uint64(0xBF58476D1CE4E5B9)
-            x ^= x >> np.uint64(29)
-        u = (x >> np.uint64(11)).astype(float) / float(1 << 53)
-        return pd.Series(list(np.searchsorted(edges, u, side="right").astype(np.int16)))
-
-    lw = lab.withColumn("w", weights(F.xxhash64("sample_id", F.lit(seed))))
-    tot = lw.select("g", F.posexplode("w").alias("rep", "w")).groupBy("g", "rep").agg(F.sum("w").alias("n"))
-    kind = dict(ab.dtypes)["feature_id"]
-
-    def partial(batches):
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            code = pdf["g"].to_numpy()
-            feats, inv = np.unique(pdf["feature_id"].to_numpy(), return_inverse=True)
-            w, v = np.stack(pdf["w"].to_numpy()).astype(float), pdf["count"].to_numpy(dtype=float)[:, None]
-            acc = np.zeros((len(feats), 2, 2, reps))
-            for g in (0, 1):
-                on = (code == g)[:, None]
-                np.add.at(acc[:, g, 0], inv, w * v * on)
-                np.add.at(acc[:, g, 1], inv, w * v * v * on)
-            yield pd.DataFrame({"feature_id": feats, "a": list(acc.reshape(len(feats), -1))})
-
-    part = ab.join(lw, "sample_id").select("feature_id", "count", "g", "w").mapInPandas(partial, f"feature_id {kind}, a array<double>")
-    s = part.select("feature_id", F.posexplode("a").alias("i", "x")).groupBy("feature_id", "i").agg(F.sum("x").alias("x"))
-    s = s.select("feature_id", (F.col("i") % reps).cast("int").alias("rep"), F.floor(F.col("i") / (2 * reps)).cast("int").alias("g"),
-                 (F.floor(F.col("i") / reps) % 2).cast("int").alias("m"), "x")
-    g = s.groupBy("feature_id", "rep", "g").agg(F.max(F.when(F.col("m") == 0, F.col("x"))).alias("s"), F.max(F.when(F.col("m") == 1, F.col("x"))).alias("ss"))
-    g = g.join(F.broadcast(tot), ["g", "rep"])
-    g = g.withColumns({"mean": F.try_divide(F.col("s"), F.col("n")), "dev": F.col("ss") - F.try_divide(F.col("s") ** 2, F.col("n"))})
-    at = lambda c, i: F.max(F.when(F.col("g") == i, F.col(c)))
-    d = g.groupBy("feature_id", "rep").agg(((at("mean", 0) - at("mean", 1)) / F.nullif(F.sqrt((at("dev", 0) + at("dev", 1)) / (at("n", 0) + at("n", 1) - 2)), F.lit(0.0))).alias("d"))
-    a = (1 - confidence) / 2
-    return d.groupBy("feature_id").agg(F.percentile("d", F.lit(a)).alias("lower"), F.percentile("d", F.lit(1 - a)).alias("upper"))
+    """Percentile interval of Cohen's d: each replicate weights samples by Poisson(1) counts from a seeded hash. See permute."""
+    return bootstrap_d(ab, only(labels, groups), groups, reps, confidence, seed)

@@ -311,3 +311,37 @@ def test_wildcards_are_those_of_the_regex():
         want = sorted({f for p, f in table if re.fullmatch(".*".join(map(re.escape, p.split("*"))), name)})
         assert known.match(name) == want
     assert traits.Wildcards([]).match("a") == []
+
+
+def test_bootstrap_by_hand(spark, table, groups, counts, monkeypatch):
+    monkeypatch.setattr(permute, "RUN", 16)
+    monkeypatch.setattr(permute, "AT_ONCE", 7)
+    two = groups.filter("group in ('a', 'b')")
+    coded, _ = permute.indexed_labels(two)
+    at = {r["sample_id"]: (r["idx"], r["code"]) for r in coded.collect()}
+    rows = [i for i in range(70) if f"s{i:02d}" in at]
+    w = permute.poisson_weights(np.array([at[f"s{i:02d}"][0] for i in rows]), 40, 42)
+    assert 0.9 < w.mean() < 1.1 and 0.8 < w.var() < 1.2
+    code = np.array([at[f"s{i:02d}"][1] for i in rows])
+    got = {r["feature_id"]: (r["lower"], r["upper"]) for r in stats.bootstrap_ci(table, groups, ("b", "a"), 40).collect()}
+    for j, (low, high) in got.items():
+        v, ds = counts[rows, j], []
+        for r in range(40):
+            part = [np.repeat(v[code == g], w[code == g, r].astype(int)) for g in (1, 0)]
+            dev = sum(((x - x.mean()) ** 2).sum() for x in part)
+            if dev > 1e-9:
+                ds.append((part[0].mean() - part[1].mean()) / math.sqrt(dev / (len(part[0]) + len(part[1]) - 2)))
+        assert (low is None and not ds) or np.allclose([low, high], np.quantile(ds, [0.025, 0.975]), atol=1e-9)
+    assert len(got) == len(np.flatnonzero(counts[rows].sum(0)))
+
+
+def test_crowded_cells_are_split(spark, monkeypatch):
+    from meadow.operators import geo
+    g = np.random.default_rng(6)
+    pts = [(i, float(48 + g.normal() * 0.02), float(11 + g.normal() * 0.02)) for i in range(300)] + [(1000 + i, float(g.uniform(-90, 90)), float(g.uniform(-180, 180))) for i in range(50)]
+    s = spark.createDataFrame(pts, "sample_id int, lat double, lon double")
+    p = spark.createDataFrame([(i, la, lo) for i, la, lo in pts[::3]], "point_id int, lat double, lon double")
+    whole = {(r["point_id"], r["sample_id"]): r["km"] for r in geo.samples_within_radius(s, p, 3.0).collect()}
+    monkeypatch.setattr(geo, "CROWDED", 20)
+    split = {(r["point_id"], r["sample_id"]): r["km"] for r in geo.samples_within_radius(s, p, 3.0).collect()}
+    assert split == whole and len(whole) > 1000
