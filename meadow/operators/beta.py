@@ -224,9 +224,8 @@ def permanova_validity(permanova_result: DataFrame, permdisp_result: DataFrame)
 
 
 def mantel(first: DataFrame, second: DataFrame, method: str = "spearman", reps: int = 99, seed: int = 42) -> DataFrame:
-    """r and p of two pair tables over the same pairs; ranks are made once, and a permutation relabels the second table.
-
-    The relabelled ids of a sample are computed from its index, so each permutation is an equi join on (permutation, a, b).
+    """r and p of two pair tables over the same pairs; ranks are made once, and a permutation relabels the second table. Relabelled
+    ids are computed from the samples' indexes; of whole tables, blocks of rows meet (_permuted_tiles).
     """
     j = first.select("a", "b", F.col("d").alias("x")).join(second.select("a", "b", F.col("d").alias("y")), ["a", "b"])
     if method == "spearman":
@@ -241,20 +240,67 @@ def mantel(first: DataFrame, second: DataFrame, method: str = "spearman", reps:
     ids = j.select(F.col("a").alias("id")).unionByName(j.select(F.col("b").alias("id"))).distinct()
     idx = cut_lineage(dense_index(ids, "id"))
     n = idx.count()
+    whole = m.first()["n_pairs"] == n * (n - 1) // 2
+    perm = _permuted_tiles(j, idx, m, n, reps, seed) if whole else _permuted_pairs(j, idx, n, reps, seed)
+    b = F.count_if(F.abs("pr") >= F.abs("r") - 1e-12)
+    return perm.crossJoin(F.broadcast(m)).agg(F.max("r").alias("r"), ((b + 1) / (reps + 1.0)).alias("p_value"), F.max("n_pairs").alias("n_pairs"))
 
+
+def _permuted_pairs(j: DataFrame, idx: DataFrame, n: int, reps: int, seed: int) -> DataFrame:
+    """pr per permutation over the pairs that both tables have after relabelling; for tables that lack pairs."""
     @F.pandas_udf(T.ArrayType(T.LongType()))
     def images(i: pd.Series) -> pd.Series:
         return pd.Series(list(permute_index(i.to_numpy(), n, reps, seed)))
 
     moved = idx.select("id", F.posexplode(images("idx")).alias("rep", "to")).join(idx.select(F.col("id").alias("new"), F.col("idx").alias("to")), "to")
-    moved = small(cut_lineage(moved.select("rep", "id", "new")))
+    moved = small(moved.select("rep", "id", "new"))
     p = j.select("a", "b", "x").join(moved.select("rep", F.col("id").alias("a"), F.col("new").alias("na")), "a")
     p = p.join(moved.select("rep", F.col("id").alias("b"), F.col("new").alias("nb")), ["rep", "b"])
     p = p.select("rep", "x", F.least("na", "nb").alias("a"), F.greatest("na", "nb").alias("b")).join(j.select("a", "b", "y"), ["a", "b"])
-    perm = p.groupBy("rep").agg(F.corr("x", "y").alias("pr"))
-    j2 = perm.crossJoin(F.broadcast(m))
-    b = F.count_if(F.abs("pr") >= F.abs("r") - 1e-12)
-    return j2.agg(F.max("r").alias("r"), ((b + 1) / (reps + 1.0)).alias("p_value"), F.max("n_pairs").alias("n_pairs"))
+    return p.groupBy("rep").agg(F.corr("x", "y").alias("pr"))
+
+
+def _permuted_tiles(j: DataFrame, idx: DataFrame, m: DataFrame, n: int, reps: int, seed: int, cells: int = 2 << 20) -> DataFrame:
+    """pr per permutation of whole pair tables: rows of both matrices are packed in blocks, and each two blocks meet once. A block of
+    the first and one of the second hold, for every permutation, the rows that it lays on each other; their products are added,
+    with the columns of the second taken in the permuted order. No table holds more than the pairs and blocks of them."""
+    side = max(1, min(n, cells // n))
+    nb = -(-n // side)
+    end = lambda c, i: idx.select(F.col("id").alias(c), F.col("idx").alias(i))
+    at = j.join(end("a", "ia"), "a").join(end("b", "ib"), "b").select("ia", "ib", "x", "y")
+    both = at.unionByName(at.select(F.col("ib").alias("ia"), F.col("ia").alias("ib"), "x", "y")).withColumn("blk", F.floor(F.col("ia") / side).cast("int"))
+
+    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
+        blk = int(pdf["blk"].iloc[0])
+        out = np.zeros((2, side, n))
+        rows, cols = pdf["ia"].to_numpy() - blk * side, pdf["ib"].to_numpy()
+        out[0, rows, cols], out[1, rows, cols] = pdf["x"], pdf["y"]
+        return pd.DataFrame([(blk, out[0].tobytes(), out[1].tobytes())], columns=["blk", "x", "y"])
+
+    packed = cut_lineage(both.groupBy("blk").applyInPandas(pack, "blk int, x binary, y binary"))
+    first = packed.select(F.col("blk").alias("bi"), "x", F.explode(F.sequence(F.lit(0), F.lit(nb - 1))).alias("bj"))
+    second = packed.select(F.col("blk").alias("bj"), "y")
+
+    def run(batches):
+        for batch in batches:
+            for k in range(batch.num_rows):
+                r = batch.slice(k, 1).to_pylist()[0]
+                x, y = (np.frombuffer(r[c]).reshape(side, n) for c in ("x", "y"))
+                acc = np.zeros(reps)
+                for start in range(0, reps, 16):
+                    image = permute_index(np.arange(n), n, min(16, reps - start), seed, start)
+                    for i in range(image.shape[1]):
+                        to = image[:, i]
+                        own = to[r["bi"] * side:(r["bi"] + 1) * side] - r["bj"] * side
+                        rows = np.flatnonzero((own >= 0) & (own < side))
+                        for a in rows:
+                            acc[start + i] += x[a] @ y[own[a]][to]
+                yield pa.RecordBatch.from_pydict({"s": [acc.tolist()]})
+
+    s = first.join(second, "bj").select("bi", "bj", "x", "y").mapInArrow(run, "s array<double>")
+    s = s.select(F.posexplode("s").alias("rep", "s")).groupBy("rep").agg((F.sum("s") / 2).alias("xy"))
+    spread = F.col("sx") * F.col("sy")
+    return s.crossJoin(F.broadcast(m)).select("rep", F.try_divide(F.col("xy") / F.col("n_pairs") - F.col("mx") * F.col("my"), spread).alias("pr"))
 
 
 def distance_decay(dist: DataFrame, sites: DataFrame) -> DataFrame:

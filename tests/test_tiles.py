@@ -345,3 +345,33 @@ def test_crowded_cells_are_split(spark, monkeypatch):
     monkeypatch.setattr(geo, "CROWDED", 20)
     split = {(r["point_id"], r["sample_id"]): r["km"] for r in geo.samples_within_radius(s, p, 3.0).collect()}
     assert split == whole and len(whole) > 1000
+
+
+@pytest.mark.parametrize("method", ["pearson", "spearman"])
+def test_mantel_by_hand(spark, monkeypatch, method):
+    import pandas as pd
+    g = np.random.default_rng(14)
+    n = 23
+    p, q = g.normal(size=(n, 2)), g.normal(size=n)
+    x = np.abs(p[:, None, :] - p[None]).sum(2)
+    y = np.round(np.abs(p[:, None, 0] - p[None, :, 0]) + np.abs(q[:, None] - q[None]), 1)
+    pairs_ = list(itertools.combinations(range(n), 2))
+    make = lambda m: spark.createDataFrame([(f"s{a:02d}", f"s{b:02d}", float(m[a, b])) for a, b in pairs_], "a string, b string, d double")
+    if method == "spearman":
+        for m in (x, y):
+            v = pd.Series([m[a, b] for a, b in pairs_]).rank().to_numpy()
+            for (a, b), r in zip(pairs_, v, strict=True):
+                m[a, b] = m[b, a] = r
+    index = {r["id"]: r["idx"] for r in kernels.dense_index(spark.createDataFrame([(f"s{i:02d}",) for i in range(n)], "id string"), "id").collect()}
+    at = np.array([index[f"s{i:02d}"] for i in range(n)])
+    back = np.argsort(at)
+    image = kernels.permute_index(np.arange(n), n, 29, 42)
+    corr = lambda to: np.corrcoef([x[a, b] for a, b in pairs_], [y[to[a], to[b]] for a, b in pairs_])[0, 1]
+    own = corr(np.arange(n))
+    want = (sum(abs(corr(back[image[at, r]])) >= abs(own) - 1e-12 for r in range(29)) + 1) / 30
+    whole = beta._permuted_tiles
+    monkeypatch.setattr(beta, "_permuted_tiles", lambda *a: whole(*a, cells=100))
+    got = beta.mantel(make(x), make(y), method, 29).first()
+    assert got["r"] == pytest.approx(own) and got["p_value"] == pytest.approx(want) and got["n_pairs"] == len(pairs_)
+    monkeypatch.setattr(beta, "_permuted_tiles", lambda j, idx, m, n, reps, seed: beta._permuted_pairs(j, idx, n, reps, seed))
+    assert beta.mantel(make(x), make(y), method, 29).first()["p_value"] == pytest.approx(want)
