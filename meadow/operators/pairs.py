@@ -27,6 +27,10 @@ Finish = Callable[[np.ndarray, np.ndarray, dict[str, np.ndarray], np.ndarray, np
 Reach = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], np.ndarray]
 
 
+RANGE_BYTES = 32 << 20  # of packed cells of a tile up to which one task adds all of its chunks
+MOST_PARTITIONS = 20_000
+
+
 class _Tile:
     """Accumulators of two blocks (one block twice where i = j)."""
 
@@ -41,6 +45,9 @@ class _Tile:
             ids = np.array(r["rows"], dtype=object) if r["rows"] and isinstance(r["rows"][0], str) else np.array(r["rows"])
             self.heads[r["blk"]] = ids, np.frombuffer(r["v"]).reshape(len(ids), -1)
             return
+        if r["blk"] < 0:
+            self._take(r["v"])
+            return
         if r["ch"] != self.chunk:
             self._add_chunk()
             self.chunk = r["ch"]
@@ -89,6 +96,18 @@ class _Tile:
                 self.alive &= self.reach(self.sums["dot"], rest, self.heads[i][1], self.heads[j][1])
         self.packed = {}
 
+    def part(self) -> bytes | None:
+        """The sums of the chunks seen so far."""
+        self._add_chunk()
+        return None if self.sums is None else np.stack([self.sums[w] for w in self.want]).tobytes()
+
+    def _take(self, part: bytes) -> None:
+        """Adds what part() gave of a range of chunks."""
+        if self.sums is None:
+            self._start()
+        for w, x in zip(self.want, np.frombuffer(part).reshape(len(self.want), *self.alive.shape)):
+            self.sums[w] += x
+
     def close(self, finish: Finish) -> pd.DataFrame | None:
         i, j = self.key
         if i not in self.heads or j not in self.heads:
@@ -149,28 +168,45 @@ def pair_tiles(heads: DataFrame, cells: DataFrame | None, row: str, finish: Fini
     packed = cut_lineage(packed)
     place = columns.index(norm) if norm else None
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
-        tile = None
+    def tiles_of(batches: Iterator[pa.RecordBatch]) -> Iterator[_Tile]:
+        """The tiles (or ranges of tiles) of a task, one after the other, when all their rows are in."""
+        tile, last = None, None
         for batch in batches:
             for at in range(batch.num_rows):
                 r = batch.slice(at, 1).to_pylist()[0]
-                key = r["bi"], r["bj"]
-                if tile is None or tile.key != key:
-                    if tile is not None and (out := tile.close(finish)) is not None:
-                        yield out
-                    tile = _Tile(key, want, place, reach)
+                key = r["bi"], r["bj"], r.get("g")
+                if key != last:
+                    if tile is not None:
+                        yield tile
+                    tile, last = _Tile(key[:2], want, place, reach), key
                 tile.add(r)
-        if tile is not None and (out := tile.close(finish)) is not None:
-            yield out
+        if tile is not None:
+            yield tile
 
     arrow = arrow_schema(schema)
 
     def arrow_run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for out in run(batches):
-            yield pa.RecordBatch.from_pandas(out, schema=arrow, preserve_index=False)
+        for tile in tiles_of(batches):
+            if (out := tile.close(finish)) is not None:
+                yield pa.RecordBatch.from_pandas(out, schema=arrow, preserve_index=False)
 
     both = packed.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(nb - 1))))
     both = both.withColumns({"bi": F.least("blk", "other"), "bj": F.greatest("blk", "other")}).drop("other")
-    # One partition per core and some more, so that tiles spread evenly; a tile is never cut.
-    ordered = both.repartition("bi", "bj").sortWithinPartitions("bi", "bj", "ch", "blk")
-    return ordered.mapInArrow(arrow_run, schema)
+    # A tile is never cut by rows. One with more than RANGE_BYTES of cells (few rows, many columns) is dealt by chunks to ranges, which
+    # give their sums; these meet by the tile. Pairs that leave a tile early need all of its chunks in one place.
+    ranges, tiles = 1, nb * (nb + 1) // 2
+    if cells is not None and not reach:
+        size = packed.agg(F.coalesce(F.sum(F.octet_length("rc") + F.octet_length("cc") + F.octet_length("v")).cast("long"), F.lit(0))).first()[0]
+        ranges = max(1, min(nc, -(-size * nb // (tiles * RANGE_BYTES))))
+    if ranges > 1:
+        def arrow_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for tile in tiles_of(batches):
+                if (part := tile.part()) is not None:
+                    yield pa.RecordBatch.from_pydict({"bi": pa.array([tile.key[0]], pa.int32()), "bj": pa.array([tile.key[1]], pa.int32()), "v": [part]})
+
+        dealt = F.when(F.col("ch") < 0, F.sequence(F.lit(0), F.lit(ranges - 1))).otherwise(F.array(F.pmod("ch", F.lit(ranges))))
+        each = both.withColumn("g", F.explode(dealt)).repartition(min(tiles * ranges, MOST_PARTITIONS), "bi", "bj", "g")
+        sums = each.sortWithinPartitions("bi", "bj", "g", "ch", "blk").mapInArrow(arrow_parts, "bi int, bj int, v binary")
+        none = {"blk": F.lit(-1), "ch": F.lit(0), "rows": F.array().cast(f"array<{kind}>"), "cols": F.array().cast(f"array<{ckind}>"), "rc": F.lit(b""), "cc": F.lit(b"")}
+        both = both.filter("ch < 0").unionByName(sums.withColumns(none))
+    return both.repartition("bi", "bj").sortWithinPartitions("bi", "bj", "ch", "blk").mapInArrow(arrow_run, schema)

@@ -389,3 +389,22 @@ def test_pcoa_tells_close_values_apart(spark):
     assert [r["eigenvalue"] for r in info.orderBy("axis").collect()] == pytest.approx(list(want), rel=1e-9)
     got = np.array([r["axes"] for r in coords.orderBy("sample_id").collect()])
     assert np.allclose(got.T @ got, np.diag(want), atol=1e-7)
+
+
+def test_chunks_of_a_tile_are_dealt_to_ranges(spark, table, counts, monkeypatch):
+    """A tile with many columns is no longer one task's: with ranges of a few bytes the distances stay the same."""
+    monkeypatch.setattr(pairs, "RANGE_BYTES", 2000)
+    ids = [f"s{i:02d}" for i in range(len(counts))]
+    t = counts.sum(1)
+    out = beta.bray_curtis(table)
+    got = {(r["a"], r["b"]): r["d"] for r in out.collect()}
+    assert len(got) == len(ids) * (len(ids) - 1) // 2
+    for (a, b), d in got.items():
+        i, j = int(a[1:]), int(b[1:])
+        assert d == pytest.approx(1 - 2 * np.minimum(counts[i], counts[j]).sum() / (t[i] + t[j]))
+    got = {(r["a"], r["b"]): r["d"] for r in beta.jaccard(table).collect()}
+    for (a, b), d in got.items():
+        x, y = counts[int(a[1:])] != 0, counts[int(b[1:])] != 0
+        assert d == pytest.approx(1 - (x & y).sum() / (x | y).sum())
+    plan = out._jdf.queryExecution().toString()
+    assert plan.count("MapInArrow") >= 2
