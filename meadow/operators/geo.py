@@ -40,13 +40,23 @@ def cell_of(lat: Column, lon: Column, side: float) -> Column:
 
 def near_cells(lat: Column, lon: Column, side: float, reach: int = 1) -> Column:
     """The cell of a point and its neighbours."""
+    return around(cell_of(lat, lon, side), reach)
+
+
+def around(c: Column, reach: int = 1) -> Column:
+    """A cell and its neighbours. Given as a column of the table, the cell is worked out once and not for each neighbour."""
     steps = [F.lit(i) for i in range(-reach, reach + 1)]
-    c = cell_of(lat, lon, side)
     shift = lambda dx, dy, dz: F.struct((c["x"] + dx).alias("x"), (c["y"] + dy).alias("y"), (c["z"] + dz).alias("z"))
     return F.flatten(F.flatten(F.transform(F.array(*steps), lambda dx: F.transform(
         F.array(*steps), lambda dy: F.transform(F.array(*steps), lambda dz: shift(dx, dy, dz))))))
 
 
+def _shuffled(df: DataFrame) -> DataFrame:
+    """df as a side that is sorted and merged: the planner takes points spread to their cells for as few as the table they came
+    from, and would send them all through the driver."""
+    return df.hint("merge")
+
+
 CROWDED = 4096  # points of the left side in a cell up to which the cell is one task's
 
 
@@ -66,7 +76,7 @@ def close_points(left: DataFrame, right: DataFrame, km: float) -> DataFrame:
     a = a.join(crowded, "_c", "left").withColumn("_p", F.pmod(F.xxhash64("lat", "lon"), parts).cast("int")).drop("_parts")
     b = b.join(crowded, "_c", "left").withColumn("_p", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_parts")
     d = haversine_km(F.col("lat"), F.col("lon"), F.col("lat2"), F.col("lon2"))
-    return a.join(b, ["_c", "_p"]).withColumn("km", d).filter(F.col("km") <= km).drop("_c", "_p")
+    return a.join(_shuffled(b), ["_c", "_p"]).withColumn("km", d).filter(F.col("km") <= km).drop("_c", "_p")
 
 
 def samples_within_radius(samples: DataFrame, points: DataFrame, km: float, sample_id: str = "sample_id",
@@ -97,7 +107,7 @@ def nearest(samples: DataFrame, places: DataFrame, place_id: str) -> DataFrame:
         right = spot.withColumn("_c", F.explode(near_cells(F.col("lat2"), F.col("lon2"), side)))
         left = todo.withColumn("_c", cell_of(F.col("lat"), F.col("lon"), side))
         d = haversine_km(F.col("lat"), F.col("lon"), F.col("lat2"), F.col("lon2"))
-        best = (left.join(right, "_c").withColumn("km", d).groupBy("lat", "lon")
+        best = (left.join(_shuffled(right), "_c").withColumn("km", d).groupBy("lat", "lon")
                 .agg(F.min_by("place", F.struct("km", "place")).alias("place"), F.min("km").alias("km")))
         if side < 2:
             best = best.filter(F.col("km") <= EARTH_KM * 2 * math.asin(side / 2))
@@ -176,11 +186,11 @@ def connected_components(edges: DataFrame) -> DataFrame:
     both = cut_lineage(both.filter("src <> dst"))
     lab = cut_lineage(both.groupBy(F.col("src").alias("node")).agg(F.least(F.min("dst"), F.col("node")).alias("component")))
     while True:
-        step = (both.join(lab.select(F.col("node").alias("dst"), "component"), "dst").groupBy(F.col("src").alias("node"))
+        step = (both.join(_shuffled(lab.select(F.col("node").alias("dst"), "component")), "dst").groupBy(F.col("src").alias("node"))
                 .agg(F.min("component").alias("c")))
-        new = lab.join(step, "node").select("node", F.least("component", "c").alias("component"), F.col("component").alias("old"))
+        new = lab.join(_shuffled(step), "node").select("node", F.least("component", "c").alias("component"), F.col("component").alias("old"))
         jump = new.select(F.col("node").alias("component"), F.col("component").alias("far"))
-        new = cut_lineage(new.join(jump, "component", "left").select("node", F.coalesce("far", "component").alias("component"), "old"))
+        new = cut_lineage(new.join(_shuffled(jump), "component", "left").select("node", F.coalesce("far", "component").alias("component"), "old"))
         changed = new.filter("component <> old").isEmpty()
         lab = new.drop("old")
         if changed:
@@ -197,14 +207,14 @@ def near_groups(points: DataFrame, km: float) -> DataFrame:
     side = chord(km) / math.sqrt(3) * 0.999
     p = points.select("lat", "lon").filter("lat is not null and lon is not null").distinct()
     p = p.withColumn("c", cell_of(F.col("lat"), F.col("lon"), side))
-    near = F.explode(near_cells(F.col("lat"), F.col("lon"), side, 2))
+    near = F.explode(around(F.col("c"), 2))
     q = p.select(F.col("lat").alias("lat2"), F.col("lon").alias("lon2"), F.col("c").alias("c2"), near.alias("c"))
     d = haversine_km(F.col("lat"), F.col("lon"), F.col("lat2"), F.col("lon2"))
     key = lambda c: F.concat_ws(",", f"{c}.x", f"{c}.y", f"{c}.z")
-    edges = (p.join(q, "c").filter(key("c") < key("c2")).filter(d <= km)
+    edges = (p.join(_shuffled(q), "c").filter(key("c") < key("c2")).filter(d <= km)
              .select(key("c").alias("src"), key("c2").alias("dst")).distinct())
     comp = connected_components(edges)
-    named = p.withColumn("node", key("c")).join(comp, "node", "left")
+    named = p.withColumn("node", key("c")).join(_shuffled(comp), "node", "left")
     return named.select("lat", "lon", F.coalesce("component", "node").alias("group"))
 
 
@@ -220,7 +230,7 @@ def dedup_facilities(facilities: DataFrame, km: float = 2.0, priority: Column |
     rank = priority if priority is not None else F.coalesce(*[
         F.when(F.upper("data_source") == s, i) for s, i in SOURCE_ORDER.items()], F.lit(99))
     f = facilities.withColumn("_rank", F.struct(rank.alias("r"), F.col("facility_id").alias("i")))
-    placed = f.join(near_groups(facilities, km), ["lat", "lon"])
+    placed = f.join(_shuffled(near_groups(facilities, km)), ["lat", "lon"])
     rest = [c for c in facilities.columns if c not in ("lat", "lon")]
     first = lambda c: F.min_by(c, F.when(F.col(c).isNotNull(), F.col("_rank"))).alias(c)
     out = placed.groupBy("group").agg(*[first(c) for c in rest], first("lat"), first("lon"),

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from meadow.operators import beta, kernels, network, pairs, permute, select, stats, traits
+from meadow.operators import beta, geo, kernels, network, pairs, permute, select, stats, traits
 
 
 @pytest.fixture(scope="module")
@@ -408,3 +408,13 @@ def test_chunks_of_a_tile_are_dealt_to_ranges(spark, table, counts, monkeypatch)
         assert d == pytest.approx(1 - (x & y).sum() / (x | y).sum())
     plan = out._jdf.queryExecution().toString()
     assert plan.count("MapInArrow") >= 2
+
+
+def test_points_spread_to_cells_are_not_broadcast(spark, tmp_path):
+    """A small file of points makes 125 times as many rows of cells; these must not pass through the driver."""
+    path = str(tmp_path / "points")
+    spark.range(400).selectExpr("id AS facility_id", "'NRC' AS data_source", "id % 20 / 10.0 AS lat", "floor(id / 20) / 10.0 AS lon").write.parquet(path)
+    points = spark.read.parquet(path)
+    plan = geo.close_points(points, points, 50.0)._jdf.queryExecution().toString()
+    assert "SortMergeJoin [_c" in plan[plan.index("== Physical Plan =="):]
+    assert geo.dedup_facilities(points, 50.0).count() == 1
