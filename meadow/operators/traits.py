@@ -5,9 +5,10 @@ from __future__ import annotations
 import ahocorasick
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from meadow.operators.kernels import all_pairs, dense_index, exact_quantiles, permute_index, running_total, small, value_ranks
+from meadow.operators.kernels import all_pairs, dense_index, exact_quantiles, permute_index, running_total, small, summed_pieces, value_ranks
 from meadow.operators.table import sample_count
 from meadow.sources.tables import cut_lineage
 from meadow.functions import tails
@@ -348,46 +349,70 @@ def niche_breadth(ab: DataFrame, meta: DataFrame, cols: list[str]) -> DataFrame:
 
 IN_TASK = 100_000  # rows of a feature up to which its clusters are found inside one task
 BUNDLE = 50_000  # rows, about, of the features that a task takes together
-ROUNDS = 1000  # Lloyd rounds after which a feature that still moves is taken for a cycle
+PACKED = 500_000  # points, about, that a task holds while it packs them by feature
 DIGITS = 9  # of means, so that the order of a sum cannot keep a centroid moving
 
 
-def _settled(x: np.ndarray, start: np.ndarray) -> np.ndarray:
-    """Centroids (sorted) when no mean moves any more, from sorted starting points. A centroid without points goes."""
-    cs, seen = start, set()
-    while True:
-        near = ((x[:, None, :] - cs[None, :, :]) ** 2).sum(2).argmin(1)
-        count = np.bincount(near, minlength=len(cs))
-        sums = np.stack([np.bincount(near, weights=col, minlength=len(cs)) for col in x.T], 1)
-        new = np.round(sums[count > 0] / count[count > 0][:, None], DIGITS)
-        new = new[np.lexsort(new.T[::-1])]
-        if new.shape == cs.shape and (new == cs).all():
-            return cs
-        mark = new.tobytes()
-        if mark in seen:
-            raise RuntimeError("ecotypes: the centroids of a feature go round in a cycle")
-        seen.add(mark)
-        cs = new
+def _distances2(x: np.ndarray, cs: np.ndarray) -> np.ndarray:
+    """Squared distances, one row per centroid, of points given as one row per dimension."""
+    return np.stack([sum((v - c) ** 2 for v, c in zip(x, row)) for row in cs])
+
+
+def _sums(x: np.ndarray, cs: np.ndarray) -> np.ndarray:
+    """Sums and counts (last column) of the points nearest to each centroid, ties to the lower one."""
+    near, low = np.zeros(x.shape[1], np.intp), None
+    for i, row in enumerate(cs):
+        d = sum((v - c) ** 2 for v, c in zip(x, row))
+        if low is None:
+            low = d
+        else:
+            near[d < low] = i
+            np.minimum(low, d, out=low)
+    return np.stack([np.bincount(near, weights=v, minlength=len(cs)) for v in [*x, np.ones(x.shape[1])]], 1)
+
+
+def _means(sums: np.ndarray) -> np.ndarray:
+    """The sorted centroids of sums and counts. A centroid without points goes."""
+    live = sums[sums[:, -1] > 0]
+    new = np.round(live[:, :-1] / live[:, -1:], DIGITS) + 0.0
+    return new[np.lexsort(new.T[::-1])]
+
+
+def _silhouettes(x: np.ndarray, cs: np.ndarray) -> np.ndarray:
+    two = np.sqrt(np.partition(_distances2(x, cs), 1, axis=0)[:2])
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return np.where(two[1] > 0, (two[1] - two[0]) / two[1], 0.0)
+
+
+def _settled(start: np.ndarray, seen: set, new: np.ndarray) -> bool:
+    """Whether no mean moved any more; raises when the means come back to an earlier place."""
+    if new.shape == start.shape and (new == start).all():
+        return True
+    mark = new.tobytes()
+    if mark in seen:
+        raise RuntimeError("ecotypes: the centroids of a feature go round in a cycle")
+    seen.add(mark)
+    return False
 
 
 def _clustered(x: np.ndarray, h: np.ndarray, max_k: int) -> tuple[int, float, np.ndarray] | None:
     """(k, silhouette, cluster of each row) of the best k of one feature; starting points as in _starts()."""
     best = None
     slot = h % max_k
+    xt = np.ascontiguousarray(x.T)
     firsts = {s: x[np.flatnonzero(slot == s)[h[slot == s].argmin()]] for s in np.unique(slot)}
     for k in range(2, max_k + 1):
         start = np.array([c for s, c in firsts.items() if s < k])
         if not len(start):
             continue
-        cs = _settled(x, start[np.lexsort(start.T[::-1])])
+        cs, seen = start[np.lexsort(start.T[::-1])], set()
+        while not _settled(cs, seen, new := _means(_sums(xt, cs))):
+            cs = new
         if len(cs) < 2:
             continue
-        d = np.sqrt(((x[:, None, :] - cs[None, :, :]) ** 2).sum(2))
-        two = np.partition(d, 1, axis=1)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            s = np.where(two[:, 1] > 0, (two[:, 1] - two[:, 0]) / two[:, 1], 0.0).mean()
+        s = _silhouettes(xt, cs).mean()
         if best is None or s > best[1]:
-            best = k, float(s), d.argmin(1)
+            best = k, float(s), _distances2(xt, cs).argmin(0)
     return best
 
 
@@ -408,36 +433,96 @@ def _clustered_in_tasks(rows: DataFrame, max_k: int, min_silhouette: float) -> D
     return rows.groupBy(F.pmod(F.xxhash64("feature_id"), F.lit(bundles)).alias("bundle")).applyInPandas(run, ddl)
 
 
+def _packed(rows: DataFrame, code: dict) -> DataFrame:
+    """f (place of the feature), x: the points of many rows of one feature, dimension by dimension, as binary."""
+    def run(batches):
+        held, n = {}, 0
+
+        def blocks():
+            keys = list(held)
+            return pa.RecordBatch.from_pydict({"f": pa.array(keys, pa.int32()), "x": pa.array([np.concatenate(held[f], axis=1).tobytes() for f in keys], pa.binary())})
+
+        for batch in batches:
+            x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+            f = np.array([code[v] for v in batch.column("feature_id").to_pylist()], np.int32)
+            for one in np.unique(f):
+                held.setdefault(int(one), []).append(x[f == one].T)
+            n += batch.num_rows
+            if n >= PACKED:
+                yield blocks()
+                held, n = {}, 0
+        if held:
+            yield blocks()
+
+    return rows.select("feature_id", "x").mapInArrow(run, "f int, x binary")
+
+
+def _block_sums(blocks: DataFrame, dim: int, cs: dict, what) -> dict:
+    """Sums of what(points, centroids) over all blocks, for the (feature, k) in cs; a task gives one row for each."""
+    order = sorted(cs)
+    at: dict = {}
+    for i, (f, k) in enumerate(order):
+        at.setdefault(f, []).append((i, cs[f, k]))
+
+    def run(batches):
+        acc = {}
+        for batch in batches:
+            for f, raw in zip(batch.column("f").to_pylist(), batch.column("x")):
+                x = np.frombuffer(raw.as_buffer()).reshape(dim, -1)
+                for i, c in at.get(f, ()):
+                    acc[i] = acc.get(i, 0.0) + what(x, c)
+        if acc:
+            yield pa.RecordBatch.from_pydict({"at": pa.array(list(acc), pa.int32()), "x": [np.asarray(v, float).tobytes() for v in acc.values()]})
+
+    got = summed_pieces(blocks.mapInArrow(run, "at int, x binary"))
+    return {key: got[i] for i, key in enumerate(order)}
+
+
 def _clustered_in_rounds(rows: DataFrame, dim: int, max_k: int, min_silhouette: float) -> DataFrame:
-    """The same for features of any number of rows: rounds over all of them at once. Rows meet the few centroids of their
-    (feature, k), pick the nearest, and are averaged (a partial aggregate), so that a feature is spread over tasks."""
-    d2 = lambda x, c: sum(((F.get(x, F.lit(i)) - F.get(c, F.lit(i))) ** 2 for i in range(dim)), F.lit(0.0))
+    """The same for features of any number of rows: their points are packed into blocks once, and each round is a pass over the
+    blocks that gives sums per centroid. The driver holds the centroids only, at most max_k^2 for every IN_TASK rows."""
     # One starting point per hash class of samples, the one of the smallest hash; minima merge before the shuffle.
-    starts = rows.groupBy("feature_id", F.pmod("h", F.lit(max_k)).alias("slot")).agg(F.min_by("x", "h").alias("c"))
-    ks = F.explode(F.array(*[F.lit(k) for k in range(2, max_k + 1)]))
-    moving = cut_lineage(starts.withColumn("k", ks).filter("slot < k").groupBy("feature_id", "k").agg(F.array_sort(F.collect_list("c")).alias("cs")))
-    dists = F.transform("cs", lambda c, i: F.struct(d2(F.col("x"), c).alias("d"), i.alias("i")))
-    joined = lambda cs: rows.join(cs, "feature_id").withColumn("ds", dists)
-    settled = None
-    for _ in range(ROUNDS):
-        near = joined(moving).select("feature_id", "k", "x", F.array_min("ds")["i"].alias("i"))
-        new = near.groupBy("feature_id", "k", "i").agg(F.array(*[F.round(F.avg(F.get("x", F.lit(i))), DIGITS) for i in range(dim)]).alias("c"))
-        new = new.groupBy("feature_id", "k").agg(F.array_sort(F.collect_list("c")).alias("cs"))
-        old = moving.select("feature_id", "k", F.col("cs").alias("was"))
-        new = cut_lineage(new.join(old, ["feature_id", "k"]).select("feature_id", "k", "cs", (F.col("cs") == F.col("was")).alias("same")))
-        still = new.filter("same").drop("same")
-        settled = still if settled is None else settled.unionByName(still)
-        moving = new.filter("not same").drop("same")
-        if moving.isEmpty():
-            break
-    else:
-        raise RuntimeError(f"ecotypes: centroids still move after {ROUNDS} rounds")
-    two = F.array_sort("ds")
-    out = cut_lineage(joined(cut_lineage(settled)).filter(F.size("cs") > 1).select("feature_id", "k", "sample_id", F.get(two, F.lit(0)).alias("a"), F.get(two, F.lit(1)).alias("b")))
-    da, db = F.sqrt("a.d"), F.sqrt("b.d")
-    sil = out.groupBy("feature_id", "k").agg(F.avg(F.coalesce(F.try_divide(db - da, F.greatest(da, db)), F.lit(0.0))).alias("silhouette"))
-    best = sil.groupBy("feature_id").agg(F.max_by("k", F.struct(F.col("silhouette"), -F.col("k"))).alias("k"), F.max("silhouette").alias("silhouette")).filter(F.col("silhouette") >= min_silhouette)
-    return out.join(best, ["feature_id", "k"]).select("feature_id", "k", "silhouette", "sample_id", F.col("a.i").alias("ecotype"))
+    starts = rows.groupBy("feature_id", F.pmod("h", F.lit(max_k)).alias("slot")).agg(F.min_by("x", "h").alias("c")).collect()
+    names = sorted({r["feature_id"] for r in starts}, key=str)
+    code = {f: i for i, f in enumerate(names)}
+    blocks = cut_lineage(_packed(rows, code))
+    firsts: dict = {}
+    for r in starts:
+        firsts.setdefault(code[r["feature_id"]], []).append((r["slot"], r["c"]))
+    moving, seen, settled = {}, {}, {}
+    for i, points in firsts.items():
+        for k in range(2, max_k + 1):
+            start = np.array([c for slot, c in points if slot < k])
+            if len(start):
+                moving[i, k], seen[i, k] = start[np.lexsort(start.T[::-1])], set()
+    while moving:
+        sums = _block_sums(blocks, dim, moving, _sums)
+        new = {key: _means(v.reshape(-1, dim + 1)) for key, v in sums.items()}
+        still = {key for key in moving if _settled(moving[key], seen[key], new[key])}
+        settled.update({key: moving[key] for key in still})
+        moving = {key: new[key] for key in new if key not in still}
+    settled = {key: cs for key, cs in settled.items() if len(cs) > 1}
+    sil = _block_sums(blocks, dim, settled, lambda x, c: np.array([_silhouettes(x, c).sum(), x.shape[1]])) if settled else {}
+    best: dict = {}
+    for (i, k), (total, count) in sorted(sil.items()):
+        if i not in best or total / count > best[i][1]:
+            best[i] = k, float(total / count)
+    kept = {names[i]: (k, s, settled[i, k]) for i, (k, s) in best.items() if s >= min_silhouette}
+    kinds = dict(rows.dtypes)
+
+    def members(batches):
+        for batch in batches:
+            x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1).T
+            f = np.array([code[v] for v in batch.column("feature_id").to_pylist()])
+            for one in np.unique(f):
+                if names[one] in kept:
+                    k, s, cs = kept[names[one]]
+                    here = np.flatnonzero(f == one)
+                    part = batch.take(pa.array(here))
+                    yield pa.RecordBatch.from_arrays([part.column("feature_id"), pa.array([k] * len(here), pa.int32()), pa.array([s] * len(here), pa.float64()), part.column("sample_id"),
+                                                      pa.array(_distances2(x[:, here], cs).argmin(0), pa.int32())], names=["feature_id", "k", "silhouette", "sample_id", "ecotype"])
+
+    return rows.select("feature_id", "sample_id", "x").mapInArrow(members, f"feature_id {kinds['feature_id']}, k int, silhouette double, sample_id {kinds['sample_id']}, ecotype int")
 
 
 def ecotypes(ab: DataFrame, meta: DataFrame, cols: list[str], max_k: int = 4, min_prevalence: float = 0.05, min_silhouette: float = 0.2,

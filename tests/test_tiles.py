@@ -248,6 +248,23 @@ def test_ecotypes_in_tasks_and_in_rounds_agree(spark, monkeypatch):
     assert all(i % 3 == j % 3 for f in range(4) for i, j in itertools.combinations([i for h, i in members if h == f], 2) if members[f, i] == members[f, j])
 
 
+def test_ecotype_rounds_write_no_tables(spark, monkeypatch):
+    """Many rounds over a large feature read its packed points; a table written per round made time grow with the rounds."""
+    g = np.random.default_rng(6)
+    meta = spark.createDataFrame([(i, *map(float, g.random(3))) for i in range(1500)], "sample_id int, u double, v double, w double")
+    ab = meta.select("sample_id", F.explode(F.array(F.lit("a"), F.lit("b"))).alias("feature_id"), F.lit(1.0).alias("count"))
+    want = [{tuple(r) for r in t.collect()} for t in traits.ecotypes(ab, meta, ["u", "v", "w"], min_silhouette=0.0)]
+    written, passes, cut, sums = [], [], traits.cut_lineage, traits._block_sums
+    monkeypatch.setattr(traits, "IN_TASK", 0)
+    monkeypatch.setattr(traits, "PACKED", 300)
+    monkeypatch.setattr(traits, "cut_lineage", lambda df: written.append(1) or cut(df))
+    monkeypatch.setattr(traits, "_block_sums", lambda *a: passes.append(1) or sums(*a))
+    prof, members = traits.ecotypes(ab, meta, ["u", "v", "w"], min_silhouette=0.0)
+    assert {tuple(r) for r in members.collect()} == want[1]
+    assert sorted((*r[:4], *np.round(r[4:], 9)) for r in map(tuple, prof.collect())) == sorted((*r[:4], *np.round(r[4:], 9)) for r in want[0])
+    assert len(passes) > 10 and len(written) <= 4
+
+
 # ---------------------------------------------------------------- ranks, axes, outliers, patterns
 
 
