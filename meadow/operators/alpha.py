@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from meadow.operators.kernels import exact_quantiles, running_total
 from meadow.operators.table import with_share
+from meadow.sources.tables import cut_lineage
 from meadow.functions.tails import p_absent
 
 
@@ -85,19 +86,26 @@ def rarefy(ab: DataFrame, depth: int, seed: int = 42, blocks: int = 64) -> DataF
     """
     whole = ab.select("sample_id", "feature_id", F.floor("count").cast("long").alias("n")).filter("n > 0")
     whole = whole.withColumn("block", F.pmod(F.xxhash64("feature_id"), F.lit(blocks)).cast("int"))
-    sums = whole.groupBy("sample_id", "block").agg(F.sum("n").alias("n"))
+    cells = cut_lineage(whole.groupBy("sample_id", "block").agg(F.sort_array(F.collect_list(F.struct("feature_id", "n"))).alias("c"), F.sum("n").alias("n")))
+    sums = cells.select("sample_id", "block", "n")
     per = sums.groupBy("sample_id").agg(F.sort_array(F.collect_list(F.struct("block", "n"))).alias("b"), F.sum("n").alias("t"))
     rng = F.xxhash64("sample_id", F.lit(seed))
 
     @F.pandas_udf(T.ArrayType(T.LongType()))
     def deal(counts: pd.Series, key: pd.Series) -> pd.Series:
-        draw = lambda c, k: np.random.default_rng(k % 2**63).multivariate_hypergeometric(np.asarray(c, np.int64), min(depth, int(np.sum(c))), method="marginals")
+        def draw(c, k):
+            c = np.asarray(c, np.int64)
+            size = min(depth, int(c.sum()))
+            if len(c) == 1 or size == c.sum():
+                return c if size == c.sum() else np.array([size])
+            return np.random.default_rng(k % 2**63).multivariate_hypergeometric(c, size, method="marginals")
+
         return pd.Series([draw(c, k) for c, k in zip(counts, key)])
 
     share = per.withColumn("d", deal(F.transform("b", lambda x: x["n"]), rng))
     share = share.select("sample_id", F.explode(F.arrays_zip(F.transform("b", lambda x: x["block"]).alias("block"), F.col("d"))).alias("x")).select(
         "sample_id", "x.block", F.col("x.d").alias("d"))
-    cells = whole.groupBy("sample_id", "block").agg(F.sort_array(F.collect_list(F.struct("feature_id", "n"))).alias("c"))
+    share = cut_lineage(share.filter("d > 0"))
 
     @F.pandas_udf(T.ArrayType(T.LongType()))
     def inside(counts: pd.Series, size: pd.Series, key: pd.Series) -> pd.Series:
@@ -105,7 +113,11 @@ def rarefy(ab: DataFrame, depth: int, seed: int = 42, blocks: int = 64) -> DataF
         return pd.Series([draw(c, d, k) for c, d, k in zip(counts, size, key)])
 
     j = cells.join(share, ["sample_id", "block"])
-    j = j.withColumn("k", inside(F.transform("c", lambda x: x["n"]), "d", F.xxhash64("sample_id", "block", F.lit(seed))))
+    # Only blocks of several features that are taken in part need a draw.
+    drawn = (F.size("c") > 1) & (F.col("d") < F.col("n"))
+    counts = F.transform("c", lambda x: x["n"])
+    part = j.filter(drawn).withColumn("k", inside(counts, "d", F.xxhash64("sample_id", "block", F.lit(seed))))
+    j = j.filter(~drawn).withColumn("k", F.when(F.size("c") == 1, F.array("d")).otherwise(counts)).unionByName(part)
     out = j.select("sample_id", F.explode(F.arrays_zip(F.transform("c", lambda x: x["feature_id"]).alias("f"), F.col("k"))).alias("x"))
     return out.select("sample_id", F.col("x.f").alias("feature_id"), F.col("x.k").cast("double").alias("count")).filter("count > 0")
 

@@ -265,6 +265,16 @@ def test_ecotype_rounds_write_no_tables(spark, monkeypatch):
     assert len(passes) > 10 and len(written) <= 4
 
 
+def test_rarefy_draws_only_where_a_draw_decides(spark):
+    """A draw over one feature, or of all reads, is known; the generator was asked for each and refuses 10^9 reads."""
+    from meadow.operators import alpha
+    rows = [("one", "f", 3e9), ("few", "f", 2.0), ("few", "g", 3.0), *[("many", f"f{i}", 4.0) for i in range(300)]]
+    ab = spark.createDataFrame(rows, "sample_id string, feature_id string, count double")
+    got = alpha.rarefy(ab, 12).collect()
+    assert {tuple(r) for r in got if r["sample_id"] != "many"} == {("one", "f", 12.0), ("few", "f", 2.0), ("few", "g", 3.0)}
+    assert sum(r["count"] for r in got if r["sample_id"] == "many") == 12
+
+
 # ---------------------------------------------------------------- ranks, axes, outliers, patterns
 
 
