@@ -158,8 +158,9 @@ def alpha_vs_metadata(values: DataFrame, meta: DataFrame, numeric: list[str], ca
     Spearman for numbers, Mann-Whitney for two groups, Kruskal-Wallis for more; all metrics of a column in one plan.
     """
     from meadow.operators import stats
-    v = values.select("sample_id", F.col("metric").alias("feature_id"), F.col("value").cast("double").alias("count"))
-    live = meta.join(v.select("sample_id").distinct(), "sample_id", "left_semi")
+    # Every test reads both tables several times; the diversity behind the values is worked out once.
+    v = cut_lineage(values.select("sample_id", F.col("metric").alias("feature_id"), F.col("value").cast("double").alias("count")))
+    live = cut_lineage(meta.join(v.select("sample_id").distinct(), "sample_id", "left_semi"))
     out = None
     for c in numeric:
         s = stats.spearman_features(v, live, c)

@@ -275,6 +275,22 @@ def test_rarefy_draws_only_where_a_draw_decides(spark):
     assert sum(r["count"] for r in got if r["sample_id"] == "many") == 12
 
 
+def test_alpha_tests_read_the_values_once(spark):
+    """Three tests over one table of values: what is behind the table is worked out once, not for each test and each pass."""
+    from meadow.operators import alpha
+    reads = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    base = spark.createDataFrame([(i, "m", float(i * 7 % 31)) for i in range(60)], "sample_id int, metric string, value double")
+    meta = spark.createDataFrame([(i, float(i), i % 2 == 0, "abc"[i % 3]) for i in range(60)], "sample_id int, value double, flag boolean, `group` string")
+    out = alpha.alpha_vs_metadata(base.mapInArrow(seen, base.schema), meta, ["value"], ["flag", "group"])
+    assert out.count() == 3 and reads.value == 60
+
+
 # ---------------------------------------------------------------- ranks, axes, outliers, patterns
 
 
