@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from meadow.operators.kernels import exact_quantiles, small, value_ranks
 from meadow.operators.table import with_share
+from meadow.sources.tables import cut_lineage
 
 
 def feature_count(ab: DataFrame) -> int:
@@ -136,7 +137,7 @@ def percentile_normalize(ab: DataFrame, batches: DataFrame) -> DataFrame:
 
     Works on value histograms. Quantile positions meet the global histogram through buckets of positions, an equi join.
     """
-    j = ab.join(batches.select("sample_id", "batch"), "sample_id")
+    j = cut_lineage(ab.join(batches.select("sample_id", "batch"), "sample_id"))
     size = batches.groupBy("batch").agg(F.count(F.lit(1)).alias("n"))
     n = batches.count()
     keys = j.select("feature_id").distinct()

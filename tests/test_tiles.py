@@ -309,6 +309,22 @@ def test_redundancy_reads_the_dense_table_once(spark):
     assert got == pytest.approx((fit ** 2).sum() / (cy ** 2).sum()) and reads.value == 120
 
 
+def test_percentiles_read_the_table_once(spark):
+    from meadow.operators import compositional
+    reads = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    base = spark.createDataFrame([(i, "f", float(i + 1)) for i in range(40)], "sample_id int, feature_id string, count double")
+    batches = spark.createDataFrame([(i, "ab"[i % 2]) for i in range(40)], "sample_id int, batch string")
+    got = {r["sample_id"]: r["count"] for r in compositional.percentile_normalize(base.mapInArrow(seen, base.schema), batches).collect()}
+    # The value of rank r in its batch of 20 moves to position 39 r / 20 of the values 1 to 40.
+    assert all(got[i] == pytest.approx(1 + 39 * (i // 2 + 1) / 20) for i in range(40)) and reads.value == 40
+
+
 # ---------------------------------------------------------------- ranks, axes, outliers, patterns
 
 
