@@ -248,11 +248,11 @@ def harmonic(m: Column) -> Column:
 def _running_extreme(h: DataFrame, keys: list[str], order: str, value: str, fn, out: str, forward: bool) -> DataFrame:
     b = h.withColumn("_b", value_bucket(F.col(order)))
     ends = b.groupBy(*keys, "_b").agg(fn(value).alias("_e"))
-    rows = (W.unboundedPreceding, -1) if forward else (1, W.unboundedFollowing)
-    over = W.partitionBy(*(keys or [F.lit(0)])).orderBy("_b").rowsBetween(*rows)
+    # Windows that end at the last row are worked out anew for each row; the order is turned instead.
+    way = (lambda c: F.col(c).asc()) if forward else (lambda c: F.col(c).desc())
+    over = W.partitionBy(*(keys or [F.lit(0)])).orderBy(way("_b")).rowsBetween(W.unboundedPreceding, -1)
     ends = ends.select(*keys, "_b", fn("_e").over(over).alias("_edge"))
-    rows_in = (W.unboundedPreceding, 0) if forward else (0, W.unboundedFollowing)
-    inside = fn(value).over(W.partitionBy(*keys, "_b").orderBy(order).rowsBetween(*rows_in))
+    inside = fn(value).over(W.partitionBy(*keys, "_b").orderBy(way(order)).rowsBetween(W.unboundedPreceding, 0))
     pick = F.greatest if forward else F.least
     return b.join(ends, [*keys, "_b"]).withColumn(out, pick(inside, "_edge")).drop("_b", "_edge")
 
