@@ -7,6 +7,8 @@ order-preserving value buckets, so no window ever holds a whole hot key.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -132,6 +134,43 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, qs: dict[str, fl
     return run.groupBy(*keys).agg(*aggs)
 
 
+SORTED_HERE = 10_000  # rows of one value range up to which the driver sorts them
+
+
+def quantile(df: DataFrame, value: Column, q: float) -> float | None:
+    """Linear-interpolated quantile of one column: counts per value range say where its rows lie, and that range is counted again
+    in finer parts until it is small or has one value. Nothing is written or shuffled but the counts."""
+    x = df.select(value.cast("double").alias("v")).filter("v is not null")
+
+    def ranges(rows: DataFrame, part: Column) -> list[tuple[float, float, int]]:
+        found = rows.groupBy(part.alias("b")).agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count(F.lit(1)).alias("c")).collect()
+        return sorted((r["lo"], r["hi"], r["c"]) for r in found)
+
+    parts = ranges(x, value_bucket(F.col("v"), 64))
+    pos = (sum(c for *_, c in parts) - 1) * q
+    if not parts:
+        return None
+
+    def at(k: int, parts: list) -> float:
+        while True:
+            for lo, hi, c in parts:
+                if k < c:
+                    break
+                k -= c
+            if lo == hi:
+                return lo
+            rows = x.filter(F.col("v").between(lo, hi))
+            if c <= SORTED_HERE:
+                return sorted(r["v"] for r in rows.collect())[k]
+            middle, width = lo / 2 + hi / 2, hi / 4096 - lo / 4096
+            step = F.floor((F.col("v") - middle) / width) if width > 0 else F.lit(0)
+            parts = ranges(rows, F.when(F.col("v") == lo, -1_000_000).when(F.col("v") == hi, 1_000_000).otherwise(step))
+
+    low = at(math.floor(pos), parts)
+    high = low if pos == math.floor(pos) else at(math.ceil(pos), parts)
+    return low + (high - low) * (pos - math.floor(pos))
+
+
 def dense_index(df: DataFrame, key: str, out: str = "idx", buckets: int = 1024) -> DataFrame:
     """0-based index in (hash, key) order, the same for any partitioning; key must be unique in df."""
     h = F.xxhash64(F.col(key))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from meadow.functions import tails
 from meadow.operators.clean import number
-from meadow.operators.kernels import exact_quantiles, small, value_ranks
+from meadow.operators.kernels import exact_quantiles, quantile, small, spread, value_ranks
 from meadow.operators.stats import spearman_features
 from meadow.operators.table import sample_count, with_share
 from meadow.sources.tables import cut_lineage
@@ -313,7 +313,7 @@ def robust_fit(x: DataFrame, cols: list[str], rounds: int = 50):
     """
     import numpy as np
     q = len(cols)
-    x = cut_lineage(x.select(*[F.col(c).alias(f"x{i}") for i, c in enumerate(cols)]))
+    x = cut_lineage(spread(x.select(*[F.col(c).alias(f"x{i}") for i, c in enumerate(cols)])))
     n = x.count()
 
     def moments(rows: DataFrame):
@@ -328,20 +328,17 @@ def robust_fit(x: DataFrame, cols: list[str], rounds: int = 50):
     def distances(mean, cov) -> DataFrame:
         return x.withColumn("_d", mahalanobis([F.col(f"x{i}") for i in range(q)], mean, np.linalg.pinv(cov)))
 
-    long = x.unpivot([], [f"x{i}" for i in range(q)], "column", "v")
-    med = {r["column"]: r["m"] for r in exact_quantiles(long, ["column"], "v", {"m": 0.5}).collect()}
-    center = np.array([med[f"x{i}"] for i in range(q)])
-    apart = x.select(*[F.abs(F.col(f"x{i}") - float(center[i])).alias(f"x{i}") for i in range(q)]).unpivot([], [f"x{i}" for i in range(q)], "column", "v")
-    mad = {r["column"]: r["m"] for r in exact_quantiles(apart, ["column"], "v", {"m": 0.5}).collect()}
+    center = np.array([quantile(x, F.col(f"x{i}"), 0.5) for i in range(q)])
+    mad = [quantile(x, F.abs(F.col(f"x{i}") - float(center[i])), 0.5) for i in range(q)]
     classical = moments(x)
-    scale = [1.4826 * mad[f"x{i}"] or float(np.sqrt(classical[1][i, i])) or 1.0 for i in range(q)]
+    scale = [1.4826 * mad[i] or float(np.sqrt(classical[1][i, i])) or 1.0 for i in range(q)]
     share = min(1.0, (n + q + 1) / 2 / n)
     best = None
     for mean, cov in ((center, np.diag(np.square(scale))), classical):
         last = None
         for _ in range(rounds):
-            d = cut_lineage(distances(mean, cov))
-            limit = exact_quantiles(d, [], "_d", {"m": share}).first()["m"]
+            d = distances(mean, cov)
+            limit = quantile(d, F.col("_d"), share)
             mean, cov = moments(d.filter(F.col("_d") <= limit))
             det = float(np.linalg.slogdet(cov)[1]) if np.linalg.matrix_rank(cov) == q else -np.inf
             if last is not None and det >= last - 1e-9:
@@ -352,8 +349,8 @@ def robust_fit(x: DataFrame, cols: list[str], rounds: int = 50):
     _, mean, cov = best
     if not np.isfinite(best[0]):  # half of the rows lie in a plane
         return mean, cov
-    d = cut_lineage(distances(mean, cov))
-    factor = exact_quantiles(d, [], "_d", {"m": 0.5}).first()["m"] / _chi2_point(q, 0.5)
+    d = distances(mean, cov)
+    factor = quantile(d, F.col("_d"), 0.5) / _chi2_point(q, 0.5)
     return moments(d.filter(F.col("_d") < factor * _chi2_point(q, 0.025)))
 
 
@@ -371,15 +368,14 @@ def metadata_outliers(df: DataFrame, cols: list[str], share: float = 0.1) -> Dat
     import numpy as np
     row = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count(c).alias(c) for c in cols]).first()
     cols = [c for c in cols if row[c] > 0.5 * row["_n"]]
-    long = df.select([F.col(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "column", "v").filter("v is not null")
-    med = {r["column"]: r["m"] for r in exact_quantiles(long, ["column"], "v", {"m": 0.5}).collect()}
+    med = {c: quantile(df, F.col(c), 0.5) for c in cols}
     x = cut_lineage(df.select("sample_id", *[F.coalesce(F.col(c).cast("double"), F.lit(med[c])).alias(f"x{i}") for i, c in enumerate(cols)]))
     names = [f"x{i}" for i in range(len(cols))]
     mean, cov = robust_fit(x, names)
     d2 = mahalanobis([F.col(c) for c in names], mean, np.linalg.pinv(cov))
     out = cut_lineage(x.select("sample_id", d2.alias("distance2")))
-    limit = exact_quantiles(out, [], "distance2", {"limit": 1 - share})
-    return out.crossJoin(F.broadcast(limit)).select("sample_id", "distance2", F.when(F.col("distance2") > F.col("limit"), "OUTLIER").otherwise("NORMAL").alias("metadata_outlier"))
+    limit = quantile(out, F.col("distance2"), 1 - share)
+    return out.select("sample_id", "distance2", F.when(F.col("distance2") > limit, "OUTLIER").otherwise("NORMAL").alias("metadata_outlier"))
 
 
 def overall_flag(checks: list[Column]) -> Column:
