@@ -58,23 +58,32 @@ def _shuffled(df: DataFrame) -> DataFrame:
 
 
 CROWDED = 4096  # points of the left side in a cell up to which the cell is one task's
+TASK_PAIRS = 1_000_000  # pairs of points to compare, about, that one task meets
+MOST_TASKS = 20_000
 
 
 def close_points(left: DataFrame, right: DataFrame, km: float) -> DataFrame:
     """Distinct coordinate pairs within km: lat, lon, lat2, lon2, km. The right side is spread to neighbour cells.
 
-    A cell with many points is dealt by hash into parts, and the right side's points near it go to each of them, so that no task
-    holds a dense place alone."""
+    A cell with many points or many pairs is dealt by hash into parts, and the right side's points near it go to each of them, so
+    that no task holds a dense place alone. The number of tasks follows the pairs to compare, not the few points read."""
     side = chord(km)
     a = left.select("lat", "lon").filter("lat is not null and lon is not null").distinct()
     b = right.select(F.col("lat").alias("lat2"), F.col("lon").alias("lon2")).filter("lat2 is not null and lon2 is not null").distinct()
     a = cut_lineage(a.withColumn("_c", cell_of(F.col("lat"), F.col("lon"), side)))
-    b = b.withColumn("_c", F.explode(near_cells(F.col("lat2"), F.col("lon2"), side)))
-    crowded = a.groupBy("_c").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > CROWDED)
-    crowded = small(crowded.select("_c", F.ceil(F.col("_n") / CROWDED).cast("int").alias("_parts")))
+    b = cut_lineage(b).withColumn("_c", F.explode(near_cells(F.col("lat2"), F.col("lon2"), side)))
+    count = lambda df, n: df.groupBy("_c").agg(F.count(F.lit(1)).alias(n))
+    cells = count(a, "_n").join(_shuffled(count(b, "_m")), "_c")
+    parts = F.greatest(F.ceil(F.col("_n") / CROWDED), F.least(F.col("_n"), F.ceil(F.col("_n") * F.col("_m") / TASK_PAIRS)))
+    cells = cut_lineage(cells.select("_c", parts.cast("int").alias("_parts"), (F.col("_n") * F.col("_m")).alias("_pairs")))
+    pairs = cells.agg(F.coalesce(F.sum("_pairs"), F.lit(0))).first()[0]
+    crowded = small(cells.filter("_parts > 1").select("_c", "_parts"))
     parts = F.coalesce("_parts", F.lit(1))
     a = a.join(crowded, "_c", "left").withColumn("_p", F.pmod(F.xxhash64("lat", "lon"), parts).cast("int")).drop("_parts")
     b = b.join(crowded, "_c", "left").withColumn("_p", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_parts")
+    tasks = min(MOST_TASKS, -(-pairs // TASK_PAIRS))
+    if tasks > 1:
+        a, b = a.repartition(tasks, "_c", "_p"), b.repartition(tasks, "_c", "_p")
     d = haversine_km(F.col("lat"), F.col("lon"), F.col("lat2"), F.col("lon2"))
     return a.join(_shuffled(b), ["_c", "_p"]).withColumn("km", d).filter(F.col("km") <= km).drop("_c", "_p")
 
@@ -166,8 +175,11 @@ def borrow_from_nearby(samples: DataFrame, archive: DataFrame, km: float, fields
     near = close_points(need, archive, km)
     known = lambda c: F.col(c).isNotNull().cast("int")
     score = (known("collection_date") * 3 + known("location") * 2) * 1000 - F.col("km") - known("host") * 10
-    a = archive.select(F.col("lat").alias("lat2"), F.col("lon").alias("lon2"), "archive_id", "collection_date", "location",
-                       "host", F.struct(*fields).alias("f"))
+    # All rows of a place are equally far, so the best of them is found before the place is joined.
+    given = (known("collection_date") * 3 + known("location") * 2) * 1000 - known("host") * 10
+    a = (archive.withColumn("g", given).groupBy(F.col("lat").alias("lat2"), F.col("lon").alias("lon2"))
+         .agg(F.min_by(F.struct("archive_id", "collection_date", "location", "host", F.struct(*fields).alias("f")), F.struct(-F.col("g"), F.col("archive_id"))).alias("a"))
+         .select("lat2", "lon2", "a.*"))
     spot = (near.join(a, ["lat2", "lon2"]).withColumn("score", score).groupBy("lat", "lon")
             .agg(F.min_by(F.struct("archive_id", "f"), F.struct(-F.col("score"), F.col("archive_id"))).alias("best")))
     best = need.join(spot, ["lat", "lon"]).select("sample_id", "best")
