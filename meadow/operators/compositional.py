@@ -56,9 +56,23 @@ def dense_grid(samples: DataFrame, features: DataFrame, chunks: int = 64) -> Dat
     return s.join(f, "_ch").drop("_ch")
 
 
+DENSE_FEATURES = 4096  # kept features up to which the cells of a sample are one row on their way
+
+
 def with_zeros(ab: DataFrame, value: str, zero: str, features: DataFrame | None = None) -> DataFrame:
-    """Dense (sample, feature, value) over kept features; absent cells take the sample's zero column."""
-    feats = features if features is not None else ab.select("feature_id").distinct()
+    """Dense (sample, feature, value) over kept features; absent cells take the sample's zero column.
+
+    With up to DENSE_FEATURES features a sample's cells meet once and its missing ones are added there; beyond, the grid is joined."""
+    feats = cut_lineage((features if features is not None else ab).select("feature_id").distinct())
+    if feats.count() <= DENSE_FEATURES:
+        cell = lambda f, x: F.struct(f.alias("feature_id"), x.alias("x"))
+        kept = F.when(F.col("_kept"), cell(F.col("feature_id"), F.col(value)))
+        s = (ab.join(F.broadcast(feats.withColumn("_kept", F.lit(True))), "feature_id", "left")
+             .groupBy("sample_id").agg(F.first(zero).alias("_z"), F.collect_list(kept).alias("_have"))
+             .crossJoin(F.broadcast(feats.agg(F.collect_list("feature_id").alias("_every")))))
+        absent = F.transform(F.array_except("_every", F.transform("_have", lambda c: c["feature_id"])), lambda f: cell(f, F.col("_z")))
+        return (s.select("sample_id", "_z", F.explode(F.concat("_have", absent)).alias("c"))
+                .select("sample_id", "c.feature_id", F.coalesce("c.x", "_z").alias(value)))
     zeros = ab.groupBy("sample_id").agg(F.first(zero).alias("_z"))
     grid = dense_grid(ab.select("sample_id").distinct(), feats)
     return (grid.join(zeros, "sample_id").join(ab.select("sample_id", "feature_id", value), ["sample_id", "feature_id"], "left")
@@ -66,7 +80,9 @@ def with_zeros(ab: DataFrame, value: str, zero: str, features: DataFrame | None
 
 
 def clr_dense(ab: DataFrame, features: DataFrame | None = None, p: int | None = None, pseudocount: float = 1.0) -> DataFrame:
-    return with_zeros(clr(ab, p, pseudocount), "clr", "zero_clr", features)
+    """Dense CLR values over kept features. The table is written once, as its features, means and cells are asked for."""
+    ab = cut_lineage(ab.select("sample_id", "feature_id", "count"))
+    return with_zeros(clr(ab, p, pseudocount), "clr", "zero_clr", features if features is not None else ab)
 
 
 def ilr(ab: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame, functions as F
 
+from meadow.operators.beta import cell_vectors, sample_cells, to_vectors
 from meadow.operators.kernels import exact_quantiles, small, summed_pieces
 from meadow.operators.network import correlated_counts
 from meadow.operators.stats import anova_f, group_sizes, spearman_features
@@ -136,10 +137,10 @@ def best_threshold(scored: DataFrame, truth: str = "label", prob: str = "probabi
 
 
 def feature_vectors(dense: DataFrame, value: str) -> tuple[DataFrame, list]:
-    """(sample_id, features), feature ids in vector order. Kept features only; one row is one sample."""
-    ids = [r[0] for r in dense.select("feature_id").distinct().orderBy("feature_id").collect()]
-    from meadow.operators.beta import to_vectors
-    return to_vectors(dense, value), ids
+    """(sample_id, features), feature ids in vector order. Kept features only; one row is one sample, written once."""
+    cells = cut_lineage(sample_cells(dense, value))
+    ids = [r[0] for r in cells.select(F.explode(F.transform("l", lambda s: s["feature_id"])).alias("f")).distinct().orderBy("f").collect()]
+    return cell_vectors(cells), ids
 
 
 GRAM_FEATURES = 4096  # features up to which the products of all pairs of them are held; more must be selected first
@@ -259,7 +260,7 @@ def linear_discovery(dense: DataFrame, meta: DataFrame, target: str, value: str
 def forest_importance(dense: DataFrame, labels: DataFrame, value: str = "clr", n_top: int = 50, trees: int = 20, seed: int = 42) -> DataFrame:
     """feature_id, importance of a random forest for labels(sample_id, group)."""
     v, ids = feature_vectors(dense, value)
-    d = v.join(labels, "sample_id")
+    d = cut_lineage(v.join(labels, "sample_id"))
     d = StringIndexer(inputCol="group", outputCol="label").fit(d).transform(d)
     m = RandomForestClassifier(numTrees=trees, maxDepth=5, seed=seed).fit(d)
     imp = m.featureImportances.toArray()
@@ -269,9 +270,9 @@ def forest_importance(dense: DataFrame, labels: DataFrame, value: str = "clr", n
 
 def batch_predictability(dense: DataFrame, batches: DataFrame, value: str = "clr", folds: int = 3, trees: int = 20, seed: int = 42) -> DataFrame:
     """fold, accuracy of predicting the batch on held-out samples (folds by a seeded hash of the sample)."""
-    v, _ = feature_vectors(dense, value)
-    d = v.join(batches, "sample_id").withColumn("fold", F.pmod(F.xxhash64("sample_id", F.lit(seed)), F.lit(folds)).cast("int"))
-    d = cut_lineage(StringIndexer(inputCol="group", outputCol="label").fit(d).transform(d))
+    v = to_vectors(dense, value)
+    d = cut_lineage(v.join(batches, "sample_id").withColumn("fold", F.pmod(F.xxhash64("sample_id", F.lit(seed)), F.lit(folds)).cast("int")))
+    d = StringIndexer(inputCol="group", outputCol="label").fit(d).transform(d)
     ev = MulticlassClassificationEvaluator(metricName="accuracy")
     rows = []
     for f in range(folds):
@@ -282,21 +283,21 @@ def batch_predictability(dense: DataFrame, batches: DataFrame, value: str = "clr
 
 def panel_validation(dense: DataFrame, labels: DataFrame, studies: DataFrame, panel: DataFrame, value: str = "clr", max_folds: int = 5, seed: int = 42) -> DataFrame:
     """fold, train_score, test_score of a fixed feature panel with whole studies held out."""
-    v, _ = feature_vectors(dense.join(small(panel.select("feature_id")), "feature_id", "left_semi"), value)
-    d = v.join(labels, "sample_id").join(group_folds(studies, "study", max_folds).select("sample_id", "fold"), "sample_id")
-    d = cut_lineage(StringIndexer(inputCol="group", outputCol="label").fit(d).transform(d))
-    ev = MulticlassClassificationEvaluator(metricName="accuracy")
+    v = to_vectors(dense.join(small(panel.select("feature_id")), "feature_id", "left_semi"), value)
+    d = cut_lineage(v.join(labels, "sample_id").join(group_folds(studies, "study", max_folds).select("sample_id", "fold"), "sample_id"))
+    d = StringIndexer(inputCol="group", outputCol="label").fit(d).transform(d)
     rows = []
     for f in sorted(r[0] for r in d.select("fold").distinct().collect()):
-        train, test = d.filter(F.col("fold") != f), d.filter(F.col("fold") == f)
-        m = RandomForestClassifier(numTrees=20, maxDepth=5, seed=seed).fit(train)
-        rows.append((int(f), float(ev.evaluate(m.transform(train))), float(ev.evaluate(m.transform(test)))))
+        m = RandomForestClassifier(numTrees=20, maxDepth=5, seed=seed).fit(d.filter(F.col("fold") != f))
+        hit = F.when(F.col("prediction") == F.col("label"), 1.0).otherwise(0.0)
+        own = F.col("fold") == f
+        rows.append((int(f), *m.transform(d).agg(F.avg(F.when(~own, hit)), F.avg(F.when(own, hit))).first()))
     return dense.sparkSession.createDataFrame(rows, "fold int, train_score double, test_score double")
 
 
 def predict_environment(dense: DataFrame, meta: DataFrame, targets: list[str], value: str = "clr", min_samples: int = 100, clusters: int = 3, seed: int = 42) -> DataFrame:
     """target, n, r2 (mean over spatial folds): one forest regression per environment column with enough values."""
-    v, _ = feature_vectors(dense, value)
+    v = to_vectors(dense, value)
     d = cut_lineage(v.join(spatial_folds(meta, clusters, seed), "sample_id").join(meta.select("sample_id", *targets), "sample_id"))
     counts = d.agg(*[F.count(t).alias(t) for t in targets]).first()
     rows = []
