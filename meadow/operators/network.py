@@ -11,6 +11,7 @@ from meadow.operators.compositional import alr, clr
 from meadow.operators.geo import connected_components
 from meadow.operators.kernels import value_ranks
 from meadow.operators.pairs import pair_tiles
+from meadow.sources.tables import cut_lineage
 
 
 def _feature_heads(ab: DataFrame, value: str, zero: str | None, n: int | None) -> tuple[DataFrame, DataFrame, int]:
@@ -39,7 +40,8 @@ def _pair_values(ab: DataFrame, value: str, zero: str | None, n: int | None, mea
 
     `least` = (measure, threshold) keeps pairs whose absolute value is at least the threshold; as measures rise with the
     covariance, a tile drops pairs whose products still to come cannot bring them there."""
-    heads, cells, n = _feature_heads(ab, value, zero, n)
+    # Written once: samples, heads and cells each read it, heads several times.
+    heads, cells, n = _feature_heads(cut_lineage(ab.select("sample_id", "feature_id", value, *([zero] if zero else []))), value, zero, n)
     kind = dict(heads.dtypes)["feature_id"]
 
     def finish(a, b, sums, ha, hb):
@@ -87,7 +89,8 @@ def keep_prevalent(ab: DataFrame, min_prevalence: float) -> DataFrame:
 
 def proportionality_edges(ab: DataFrame, threshold: float = 0.7, min_prevalence: float = 0.1) -> DataFrame:
     """src, dst, weight = rho where abs(rho) >= threshold among prevalent features; pairs that cannot reach it leave the tile early."""
-    r = _pair_values(clr(keep_prevalent(ab, min_prevalence)), "clr", "zero_clr", None, {"weight": lambda c, va, vb: 1 - _phi(c, va, vb)}, ("weight", threshold))
+    kept = cut_lineage(keep_prevalent(cut_lineage(ab.select("sample_id", "feature_id", "count")), min_prevalence))
+    r = _pair_values(clr(kept), "clr", "zero_clr", None, {"weight": lambda c, va, vb: 1 - _phi(c, va, vb)}, ("weight", threshold))
     return r.filter(F.abs("weight") >= threshold).select(F.col("a").alias("src"), F.col("b").alias("dst"), "weight")
 
 
@@ -127,7 +130,8 @@ def spearman_network(ab: DataFrame, top: int = 100, min_rho: float = 0.5, alpha:
     """Edges among the `top` most abundant features: Spearman with BH p < alpha and abs rho > min_rho, with its sign."""
     from meadow.operators.stats import adjust_p
     from meadow.operators.table import top_features
-    kept = ab.join(F.broadcast(top_features(ab, top, "mean").select("feature_id")), "feature_id", "left_semi")
+    ab = cut_lineage(ab.select("sample_id", "feature_id", "count"))
+    kept = cut_lineage(ab.join(F.broadcast(top_features(ab, top, "mean").select("feature_id")), "feature_id", "left_semi"))
     n = ab.select("sample_id").distinct().count()
     rk = value_ranks(kept, ["feature_id"], "count", n=n)
     zero = rk.filter("value = 0").select("feature_id", F.col("rank").alias("r0"))
