@@ -469,6 +469,35 @@ def test_prefix_join_loses_no_pair(spark, monkeypatch, family):
     assert line_dedup.prefix_pairs(one, texts, 0.8).count() == 0
 
 
+@pytest.mark.parametrize("block", [512, 7])
+def test_crowded_family_is_linked_by_a_few_of_its_lines(spark, monkeypatch, block):
+    """Copies of a template with edits, all of one band: a few lines link nearly all, so that the number of links found does not
+    grow with the square of the family, and with the blocks no component is missed."""
+    monkeypatch.setattr(line_dedup, "BLOCK", block)
+    r = random.Random(19)
+    base = [r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(300)]
+    lines = []
+    for k in range(120):
+        line = list(base)
+        for i in r.sample(range(300), 3 if k % 6 else 12):
+            line[i] = chr(65 + k % 26)
+        lines.append("".join(line))
+    texts = line_dedup.described(spark.createDataFrame(list(enumerate(lines)), "key long, line string")).cache()
+    family = spark.createDataFrame([(999, k, k, 120, 1) for k in range(120)], "lead long, key long, root long, lines int, parts int")
+    sets = [shingle_set(x) for x in lines]
+    near = [(a, b) for b in range(120) for a in range(b) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    known = line_dedup._known(family, texts)
+    led = {(x["a"], x["b"]) for x in line_dedup.leader_links(known, 0.8).collect()}
+    assert led and led <= set(near) and len(led) <= line_dedup.LEADERS * 120
+    every = {(x["a"], x["b"]) for x in line_dedup.family_links(known, 0.8).collect()}
+    assert every == set(near)
+    groups = common.components(spark.createDataFrame(sorted(led), "a long, b long"))
+    left = {(x["a"], x["b"]) for x in line_dedup.family_links(line_dedup._still_open(line_dedup._moved(known, groups)), 0.8).collect()}
+    assert len(led) + len(left) < 0.5 * len(near)
+    want, got = closure(list(range(120)), near), closure(list(range(120)), sorted(led | left))
+    assert want == got
+
+
 def test_screen_keeps_lines_with_a_tail(spark):
     """Pairs of a line and the line with a tail, at just 0.8 and up to 0.9: the screen rejected some 5% at 0.8."""
     r = random.Random(13)
