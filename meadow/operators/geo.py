@@ -13,7 +13,7 @@ import math
 from pyspark.sql import Column, DataFrame, functions as F
 
 from meadow.operators.kernels import small
-from meadow.sources.tables import cut_lineage
+from meadow.sources.tables import cut_lineage, forget, written
 
 EARTH_KM = 6371.0
 
@@ -191,21 +191,29 @@ def borrow_from_nearby(samples: DataFrame, archive: DataFrame, km: float, fields
 def connected_components(edges: DataFrame) -> DataFrame:
     """node, component (smallest node id) of undirected edges(src, dst).
 
-    Each round takes the smallest label among neighbours and then follows the label's own label, so long chains close in
-    a logarithmic number of rounds. State is checkpointed every round; only a change count reaches the driver.
+    Each round gives a node, and the node that its label names, the smallest label among its neighbours, and then follows the
+    label's own label: whole trees are hooked to smaller ones, so chains and wide grids close in a logarithmic number of rounds.
+    State is written every round and the one before it is deleted; only a change count reaches the driver.
     """
     both = edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct()
-    both = cut_lineage(both.filter("src <> dst"))
-    lab = cut_lineage(both.groupBy(F.col("src").alias("node")).agg(F.least(F.min("dst"), F.col("node")).alias("component")))
+    both = written(both.filter("src <> dst"))
+    lab = written(both.groupBy(F.col("src").alias("node")).agg(F.least(F.min("dst"), F.col("node")).alias("component")))
     while True:
         step = (both.join(_shuffled(lab.select(F.col("node").alias("dst"), "component")), "dst").groupBy(F.col("src").alias("node"))
                 .agg(F.min("component").alias("c")))
-        new = lab.join(_shuffled(step), "node").select("node", F.least("component", "c").alias("component"), F.col("component").alias("old"))
-        jump = new.select(F.col("node").alias("component"), F.col("component").alias("far"))
-        new = cut_lineage(new.join(_shuffled(jump), "component", "left").select("node", F.coalesce("far", "component").alias("component"), "old"))
-        changed = new.filter("component <> old").isEmpty()
+        near = lab.join(_shuffled(step), "node")
+        own = near.select("node", F.least("component", "c").alias("c"), F.col("component").alias("old"))
+        hook = near.filter("c < component").select(F.col("component").alias("node"), "c", F.lit(None).cast(lab.schema["component"].dataType).alias("old"))
+        near = written(own.unionByName(hook).groupBy("node").agg(F.min("c").alias("component"), F.max("old").alias("old")))
+        jump = near.select(F.col("node").alias("component"), F.col("component").alias("far"))
+        new = written(near.join(_shuffled(jump), "component", "left").select("node", F.coalesce("far", "component").alias("component"), "old"))
+        settled = new.filter("component <> old").isEmpty()
+        for done in (lab, near):
+            forget(done)
         lab = new.drop("old")
-        if changed:
+        lab._written_at = new._written_at
+        if settled:
+            forget(both)
             break
     return lab
 
